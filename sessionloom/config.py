@@ -89,6 +89,7 @@ class Rules:
     inclusive_days: bool = False
     partition_by: tuple[str, ...] = ("year", "month", "day")
     broadcast_rows: int = 500_000
+    parallel_tables: int = 4
 
     @classmethod
     def daily(cls, **changes) -> "Rules":

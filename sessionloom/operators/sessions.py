@@ -20,7 +20,7 @@ SLICE = "_slice"
 
 
 def previous_time(
-    df: DataFrame, keys: list[str], t: str, tie: list[str] | None = None, out: str = "prev_ts", slice_seconds: int = 60
+    df: DataFrame, keys: list[str], t: str, tie: list[str] | None = None, out: str = "prev_ts", slice_seconds: int = 10
 ) -> DataFrame:
     """Add the previous event time within ``keys``, ordered by ``t`` then ``tie``.
 
@@ -86,7 +86,7 @@ def session_blocks(
         blocks.withColumn("_prev", F.lag("block_last").over(ordered))
         .withColumn("_opens", opens)
         .withColumn("session_seq", F.sum("_opens").over(ordered))
-        .withColumn("session_start", F.min("block_first").over(whole))
+        .withColumn("session_start", F.max(F.when(F.col("_opens") == 1, F.col("block_first"))).over(ordered))
         .withColumn("session_end", F.greatest(F.max("block_last").over(whole), F.max("block_end").over(whole)))
         .drop("_prev", "_opens")
     )
@@ -152,7 +152,7 @@ def block_facts(
     facts = blocks.groupBy(*by, "session_seq").agg(
         F.min("block_first").alias("session_start_ts"),
         F.max("block_last").alias("session_last_ts"),
-        F.max("session_end").alias("session_end_ts"),
+        F.max(F.greatest("block_last", "block_end")).alias("session_end_ts"),
         F.sum("block_rows").alias("event_count"),
     )
     return session_names(facts, keys[-1], id_style, "session_start_ts", "session_seq").drop("session_seq")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sessionloom.functions.times import local_time, utc_time, ymd
@@ -147,7 +145,8 @@ def union_tenants(frames: list[DataFrame]) -> DataFrame:
             if not isinstance(dtype, T.NullType):
                 seen.setdefault(name, set()).add(dtype.simpleString())
     mixed = [name for name, kinds in seen.items() if len(kinds) > 1]
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [stringify(df, mixed) for df in frames],
-    )
+    level = [stringify(df, mixed) for df in frames]
+    while len(level) > 1:  # pairwise, so that the plan of many tenants stays shallow
+        pairs = [level[i:i + 2] for i in range(0, len(level), 2)]
+        level = [p[0].unionByName(p[1], allowMissingColumns=True) if len(p) > 1 else p[0] for p in pairs]
+    return level[0]

@@ -8,6 +8,7 @@ Parquet with pruned columns.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -16,8 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from sessionloom import sinks
 from sessionloom.config import CASTS, RENAMES, SPECS, Rules, RunWindow, Source, TableSpec, Tenant
 from sessionloom.functions.times import local_day_bounds, local_time
-from sessionloom.operators import quality, shape
-from sessionloom.operators.dedup import dedup, duplicate_ids
+from sessionloom.operators import dedup as copies, quality, shape
 from sessionloom.operators.facts import session_master
 from sessionloom.operators.intervals import assign_sessions, fits_broadcast, unassigned
 from sessionloom.operators.sessions import (
@@ -105,13 +105,12 @@ def run(
     audit = Audit(run_id, date.fromisoformat(window.day))
     with Staging(spark, run_id) as staging:
         job = _Job(spark, source, chosen, target.rstrip("/"), window, rules, dry_run, renames, max_files, audit, staging)
-        ordered = sorted(specs, key=lambda s: (not s.is_session, not s.is_activity))
-        for spec in ordered:
+        for spec in (s for s in specs if s.is_session):
             job.table(spec)
-            if spec.is_activity:
-                job.master()
-        if not any(s.is_activity for s in ordered):
-            job.master()
+        others = sorted((s for s in specs if not s.is_session), key=lambda s: not s.is_activity)
+        with ThreadPoolExecutor(max_workers=rules.parallel_tables) as pool:  # the driver only submits Spark jobs
+            list(pool.map(job.table, others))
+        job.master()
         if not dry_run:
             sinks.append_audit(audit.frame(spark), f"{job.target}/{AUDIT_TABLE}")
     return RunResult(run_id, audit.frame(spark), job.written)
@@ -145,6 +144,7 @@ class _Job:
             last += timedelta(days=1)
         self.days = RunWindow(self.window.day, last.isoformat()).days()
         self.bounds = local_day_bounds(self.window.day, last.isoformat(), self.rules.zone)
+        self.local_bounds = tuple(local_time(b, self.rules.zone) for b in self.bounds)
         self.by = [TENANT, *self.rules.partition_by]
         self.keys = [TENANT, USER]
         self.cut = "date" if self.rules.cut_by_day else None
@@ -230,13 +230,13 @@ class _Job:
         """Deduplicate by record id; only rows that have copies are shuffled when those are few."""
         if not self.rules.deduplicate or ID not in kept.columns:
             return kept, {}
-        repeated = self.staging.put(f"{spec.target}-repeated", duplicate_ids(kept, ID, [TENANT]))
+        repeated = self.staging.put(f"{spec.target}-repeated", copies.duplicate_ids(kept, ID, [TENANT]))
         extra = repeated.groupBy(TENANT).agg(F.sum(F.col("copies") - 1).alias("n")).collect()  # one row per tenant
         counts = {r[TENANT]: r["n"] for r in extra}
         if not counts:
             return kept, counts
-        few = repeated if fits_broadcast(repeated, self.rules.broadcast_rows) else None
-        return dedup(kept, ID, [TIME], [TENANT], repeated=few), counts
+        few = repeated if copies.fits_broadcast(repeated, ID, self.rules.broadcast_rows) else None
+        return copies.dedup(kept, ID, [TIME], [TENANT], repeated=few), counts
 
     # -- sessions and enrichment ------------------------------------------
 
@@ -254,7 +254,9 @@ class _Job:
         grace = None if rules.tail_seconds is not None else rules.grace_seconds
         known = facts.filter(F.col(USER).isNotNull())
         self.lookup = self.staging.put("lookup", session_bounds(known, self.keys, USER, grace, rules.tail_seconds))
-        self.lookup_small = fits_broadcast(self.lookup, rules.broadcast_rows)
+        self.lookup_small = fits_broadcast(
+            self.lookup, "sess_start", "sess_end", self.local_bounds, max_rows=rules.broadcast_rows
+        )
         self.session_tenants = [r[0] for r in self.lookup.select(TENANT).distinct().collect()]  # tenants only
         rows = sessionize(
             kept, self.keys, TIME, rules.gap_seconds, self.cut, rules.id_style, end, salt, blocks=self.blocks
@@ -267,10 +269,9 @@ class _Job:
         """Session ids from the lookup; tenants without sessions keep their rows unassigned."""
         if spec.full_load or not self.session_tenants:
             return unassigned(kept)
-        local = tuple(local_time(b, self.rules.zone) for b in self.bounds)
         rows = assign_sessions(
             kept, self.lookup, USER, TIME, tenant=TENANT, label_unassigned=self.rules.label_unassigned,
-            pick=self.rules.pick, within=local, salt_by=self._salt(kept), small=self.lookup_small,
+            pick=self.rules.pick, within=self.local_bounds, salt_by=self._salt(kept), small=self.lookup_small,
         )
         joined = F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants)
         rows = rows.withColumn("session_id", F.when(joined, F.col("session_id")))
