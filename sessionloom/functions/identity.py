@@ -34,7 +34,7 @@ def bot_pattern(words: tuple[str, ...] = BOT_WORDS) -> str:
 def valid_identity(c: Column) -> Column:
     """True when a value names somebody; never null."""
     text = F.lower(F.trim(c.cast("string")))
-    return c.isNotNull() & ~text.isin(*PLACEHOLDERS)
+    return F.coalesce(~text.isin(*PLACEHOLDERS), F.lit(False))
 
 
 def resolved_identity(primary: Column, fallback: Column) -> Column:

@@ -47,8 +47,12 @@ def epoch_ms(c: Column, dtype: T.DataType) -> Column:
 
 
 def local_time(c: Column, zone: str) -> Column:
-    """UTC ``timestamp_ntz`` to the wall clock of ``zone``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), c)
+    """UTC ``timestamp_ntz`` to the wall clock of ``zone``.
+
+    With the session zone at UTC the casts keep the digits; a constant zone is resolved
+    once here, while ``convert_timezone`` looks both zones up again for every row.
+    """
+    return F.from_utc_timestamp(c.cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def local_day_bounds(day: str, next_day: str, zone: str) -> tuple[Column, Column]:

@@ -33,13 +33,6 @@ def duplicate_ids(df: DataFrame, id: str, keys: list[str] | None = None) -> Data
     )
 
 
-def fits_broadcast(repeated: DataFrame, id: str, max_rows: int = 500_000, max_bytes: int = 256 << 20) -> bool:
-    """Whether a staged ``duplicate_ids`` result is small enough to broadcast."""
-    width = F.octet_length(F.col(id).cast("string")) + 64
-    total = repeated.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
-    return total["rows"] <= max_rows and total["bytes"] <= max_bytes
-
-
 def dedup(
     df: DataFrame, id: str, order_by: list[str], keys: list[str] | None = None, repeated: DataFrame | None = None
 ) -> DataFrame:
@@ -47,7 +40,7 @@ def dedup(
 
     Rows without an id bypass the shuffle. Copies of one id are cut to one row per task
     before the shuffle, as Spark pushes the rank limit below the exchange. ``repeated``,
-    a ``duplicate_ids`` result for which ``fits_broadcast`` holds, limits the shuffle to the rows
+    a ``duplicate_ids`` result for which ``skew.fits_broadcast`` holds, limits the shuffle to the rows
     that have copies at all.
     """
     by = [*(keys or []), id]

@@ -17,24 +17,14 @@ BUCKET = "_bucket"
 _LO, _HI = "_iv_start", "_iv_end"
 
 
-def fits_broadcast(
-    intervals: DataFrame, start: str, end: str, within: tuple[Column, Column], grace: int = 0,
-    bucket_seconds: int = 21_600, max_rows: int = 500_000, max_bytes: int = 256 << 20,
-) -> bool:
-    """Whether the bucketed intervals are small enough to broadcast.
-
-    Counts what ``interval_join`` would really send, every interval once per bucket that
-    it touches, in rows and in bytes. One narrow aggregate; cheap on a staged table.
-    """
+def bucket_copies(
+    start: str, end: str, within: tuple[Column, Column], grace: int = 0, bucket_seconds: int = 21_600
+) -> Column:
+    """How many buckets an interval touches: the copies of it that ``interval_join`` sends."""
     lo, hi = (F.floor(whole_seconds(c) / bucket_seconds) for c in within)
     first = F.greatest(F.floor((whole_seconds(F.col(start)) - grace) / bucket_seconds), lo)
     last = F.least(F.floor((whole_seconds(F.col(end)) + grace) / bucket_seconds), hi)
-    copies = F.greatest(last - first + 1, F.lit(0))
-    width = F.octet_length(F.to_json(F.struct("*")))
-    total = intervals.agg(
-        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"), F.coalesce(F.sum(copies * width), F.lit(0)).alias("bytes")
-    ).first()
-    return total["rows"] <= max_rows and total["bytes"] <= max_bytes
+    return F.greatest(last - first + 1, F.lit(0))
 
 
 def _by_bucket(intervals: DataFrame, width: int, within: tuple[Column, Column]) -> DataFrame:
@@ -73,7 +63,7 @@ def interval_join(
     match, ``pick="latest"`` the match with the latest start (a backward as-of join
     bounded by the interval end), at most one row per event. ``within`` gives time
     bounds that hold for all events; without it they are taken from the events.
-    ``small`` says that ``fits_broadcast`` holds for the intervals.
+    ``small`` says that ``skew.fits_broadcast`` holds for the intervals and their ``bucket_copies``.
 
     With ``latest`` the intervals of one key and bucket travel as one array. Sessions of
     one key start more than a gap apart, so it holds at most ``bucket_seconds / gap + 1``

@@ -54,10 +54,11 @@ def drop_null(df: DataFrame, c: str) -> DataFrame:
 
 def quality_filter(df: DataFrame, agent: str | None, user: str | None, pattern: str | None = None) -> DataFrame:
     """Rows without any quality reason."""
-    reason = quality_reason(
-        F.col(agent) if agent else None, F.col(user) if user else None, pattern
-    )
-    return df.filter(reason.isNull())
+    if user:
+        df = df.filter(valid_identity(F.col(user)))
+    if agent:
+        df = df.filter(F.col(agent).isNotNull() & ~F.col(agent).rlike(pattern or bot_pattern()))
+    return df
 
 
 def audit_counts(tagged: DataFrame, by: str = "tenant", reason: str = "drop_reason") -> DataFrame:

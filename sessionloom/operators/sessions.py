@@ -92,7 +92,9 @@ def session_blocks(
     )
 
 
-def _attach(df: DataFrame, blocks: DataFrame, keys: list[str], t: str, gap: int, salt_by: list[str] | None) -> DataFrame:
+def _attach(
+    df: DataFrame, blocks: DataFrame, keys: list[str], t: str, gap: int, salt_by: list[str] | None, small: bool = False
+) -> DataFrame:
     found = spread(blocks).select(
         *keys, BLOCK, SALT,
         F.col("session_seq").alias("_seq"),
@@ -100,7 +102,10 @@ def _attach(df: DataFrame, blocks: DataFrame, keys: list[str], t: str, gap: int,
         F.col("session_end").alias("_end"),
     )
     rows = with_salt(_with_block(df, t, gap), salt_by or [t])
-    return left_join(rows, found, [*keys, BLOCK, SALT]).drop(BLOCK, SALT)
+    # Every copy in ``found`` stands for at least one row with the same key, so a hashed
+    # partition never holds more of it than of the rows, and the rows need no sort.
+    hint = "broadcast" if small else "shuffle_hash"
+    return left_join(rows, found, [*keys, BLOCK, SALT], hint=hint).drop(BLOCK, SALT)
 
 
 def session_sequence(
@@ -127,18 +132,20 @@ def session_names(df: DataFrame, user: str, id_style: str, start: str, seq: str)
 def sessionize(
     df: DataFrame, keys: list[str], t: str, gap: int = 1800, cut_by: str | None = "date", id_style: str = "hash",
     raw_end: str | None = None, salt_by: list[str] | None = None, blocks: DataFrame | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Give every row its session.
 
     ``keys`` end with the user column. ``cut_by`` (the local date) starts a new session
     at midnight; ``None`` lets sessions run on. Hashed ids come with ``session_label``,
     ``session_end`` and ``is_session_assigned``. Pass ``blocks`` to reuse a materialised
-    ``session_blocks`` of the same rows.
+    ``session_blocks`` of the same rows; ``small`` says that ``skew.fits_broadcast`` holds
+    for them and their ``copies_made``.
     """
     by = [*keys, cut_by] if cut_by else list(keys)
     if blocks is None:
         blocks = session_blocks(df, by, t, gap, raw_end, salt_by)
-    rows = session_names(_attach(df, blocks, by, t, gap, salt_by), keys[-1], id_style, "_start", "_seq")
+    rows = session_names(_attach(df, blocks, by, t, gap, salt_by, small), keys[-1], id_style, "_start", "_seq")
     if id_style == "hash":
         rows = rows.withColumn("session_end", F.col("_end")).withColumn("is_session_assigned", F.lit(True))
     return rows.drop("_seq", "_start", "_end")

@@ -33,11 +33,30 @@ def salt_marks() -> list[Column]:
 def spread(df: DataFrame) -> DataFrame:
     """One row per salt that occurs in the group."""
     occurring = F.expr(
-        f"filter(sequence({_LOW}, {_HIGH}), i -> (shiftright({_MASK}, i) & 1L) = 1L)"
+        f"if({_LOW} = {_HIGH}, array({_LOW}), "
+        f"filter(sequence({_LOW}, {_HIGH}), i -> (shiftright({_MASK}, i) & 1L) = 1L))"
     )
     return df.withColumn(SALT, F.explode(occurring)).drop(_MASK, _LOW, _HIGH)
 
 
+def copies_made() -> Column:
+    """How many rows ``spread`` makes of a row."""
+    return F.bit_count(_MASK)
+
+
+def fits_broadcast(df: DataFrame, copies: Column | None = None, max_rows: int = 500_000, max_bytes: int = 256 << 20) -> bool:
+    """Whether ``df``, every row taken ``copies`` times, is small enough to broadcast.
+
+    One aggregate over rows and bytes; cheap on a staged table.
+    """
+    times = F.lit(1) if copies is None else copies
+    width = F.octet_length(F.to_json(F.struct("*")))
+    total = df.agg(
+        F.coalesce(F.sum(times), F.lit(0)).alias("rows"), F.coalesce(F.sum(times * width), F.lit(0)).alias("bytes")
+    ).first()
+    return total["rows"] <= max_rows and total["bytes"] <= max_bytes
+
+
 def salts_in(big: DataFrame, on: list[str], by: list[str]) -> DataFrame:
     """The salts that ``big`` uses under each key, one row per key."""
     return with_salt(big, by).groupBy(*on).agg(*salt_marks())
@@ -54,9 +73,13 @@ def salted_left_join(
     return left_join(with_salt(big, by), copies, [*on, SALT], where).drop(SALT)
 
 
-def left_join(big: DataFrame, small: DataFrame, on: list[str], where: Column | None = None) -> DataFrame:
+def left_join(
+    big: DataFrame, small: DataFrame, on: list[str], where: Column | None = None, hint: str | None = None
+) -> DataFrame:
     """Left join on equal names plus a residual condition, key columns taken from ``big``."""
     right = small.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    if hint:
+        right = right.hint(hint)
     cond = where if where is not None else F.lit(True)
     for c in on:
         cond = (F.col(c) == F.col(f"_r_{c}")) & cond

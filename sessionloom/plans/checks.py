@@ -35,6 +35,12 @@ EVERYTHING = RunWindow("2023-12-31", "2024-02-01")
 TENANTS = [Tenant(f"tenant_{i}", str(i)) for i in range(3)]
 
 
+def everywhen() -> tuple[Column, Column]:
+    """Bounds that cover the local time of every event."""
+    lo, hi = (F.lit(d).cast("timestamp_ntz") for d in (EVERYTHING.day, EVERYTHING.next_day))
+    return lo, hi
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     require_utc(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -75,35 +81,37 @@ def timed_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumnsRenamed({"resolved_user_id": "x", "event_timestamp_local": "t"})
 
 
-def known_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of somebody: the child-table view."""
-    return quality.quality_filter(timed_clicks(spark, sf_dir), None, "x")
+def staged_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``timed_clicks`` written once for queries that read it on several sides of a join."""
+    return Staging(spark, "clicks").put("timed", timed_clicks(spark, sf_dir))
 
 
-def kept_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a known person: the session-table view."""
-    return quality.quality_filter(timed_clicks(spark, sf_dir), "user_agent", "x")
+def known(clicks: DataFrame) -> DataFrame:
+    """Rows of somebody: the child-table view."""
+    return quality.quality_filter(clicks, None, "x")
 
 
-def click_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessionize(kept_clicks(spark, sf_dir), ["x"], "t", GAP, "date", raw_end="session_end_raw_local", salt_by=["t", "_id"])
+def kept(clicks: DataFrame) -> DataFrame:
+    """Rows of a known person: the session-table view."""
+    return quality.quality_filter(clicks, "user_agent", "x")
 
 
-def click_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session_blocks(kept_clicks(spark, sf_dir), ["x", "date"], "t", GAP, "session_end_raw_local", ["t", "_id"])
+def click_sessions(clicks: DataFrame) -> DataFrame:
+    return sessionize(kept(clicks), ["x"], "t", GAP, "date", raw_end="session_end_raw_local", salt_by=["t", "_id"])
 
 
-def click_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return block_facts(click_blocks(spark, sf_dir), ["x"])
+def click_facts(clicks: DataFrame) -> DataFrame:
+    blocks = session_blocks(kept(clicks), ["x", "date"], "t", GAP, "session_end_raw_local", ["t", "_id"])
+    return block_facts(blocks, ["x"])
 
 
-def click_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session_bounds(click_facts(spark, sf_dir), ["x"], "x", grace=60)
+def click_lookup(clicks: DataFrame) -> DataFrame:
+    return session_bounds(click_facts(clicks), ["x"], "x", grace=60)
 
 
-def enriched_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enriched(clicks: DataFrame) -> DataFrame:
     return assign_sessions(
-        known_clicks(spark, sf_dir), click_lookup(spark, sf_dir), "x", "t", pick="latest", salt_by=["t", "_id"]
+        known(clicks), click_lookup(clicks), "x", "t", pick="latest", salt_by=["t", "_id"], within=everywhen()
     )
 
 
@@ -136,11 +144,11 @@ def session_sequences(spark, sf_dir):
 
 
 def session_hash_ids(spark, sf_dir):
-    return click_sessions(spark, sf_dir).select("_id", "session_id", "session_label", "is_session_assigned")
+    return click_sessions(staged_clicks(spark, sf_dir)).select("_id", "session_id", "session_label", "is_session_assigned")
 
 
 def session_end_times(spark, sf_dir):
-    return click_sessions(spark, sf_dir).select("_id", "session_end")
+    return click_sessions(staged_clicks(spark, sf_dir)).select("_id", "session_end")
 
 
 def long_day_sessions(spark, sf_dir):
@@ -153,7 +161,7 @@ def session_bounds_tail(spark, sf_dir):
 
 
 def session_bounds_grace(spark, sf_dir):
-    return click_lookup(spark, sf_dir)
+    return click_lookup(timed_clicks(spark, sf_dir))
 
 
 def row_durations(spark, sf_dir):
@@ -187,7 +195,7 @@ def quality_counts(spark, sf_dir):
 
 
 def quality_kept(spark, sf_dir):
-    return kept_clicks(spark, sf_dir).select("_id", "x", "t", "date")
+    return kept(timed_clicks(spark, sf_dir)).select("_id", "x", "t", "date")
 
 
 def audit_by_tenant(spark, sf_dir):
@@ -243,40 +251,43 @@ def interval_left_all(spark, sf_dir):
 
 def interval_overlaps(spark, sf_dir):
     """Every match where sessions overlap: one row per event and session."""
+    clicks = staged_clicks(spark, sf_dir)
     return interval_join(
-        known_clicks(spark, sf_dir), click_lookup(spark, sf_dir), {"x": "sess_user"}, "t", "sess_start", "sess_end",
-        ["session_id"], salt_by=["t", "_id"],
+        known(clicks), click_lookup(clicks), {"x": "sess_user"}, "t", "sess_start", "sess_end",
+        ["session_id"], salt_by=["t", "_id"], within=everywhen(),
     ).select("_id", "session_id")
 
 
 def interval_latest(spark, sf_dir):
+    clicks = staged_clicks(spark, sf_dir)
     return interval_join(
-        known_clicks(spark, sf_dir), click_facts(spark, sf_dir), {"x": "x"}, "t", "session_start_ts", "session_end_ts",
-        ["session_id", "session_start_ts"], pick="latest", grace=60, salt_by=["t", "_id"],
+        known(clicks), click_facts(clicks), {"x": "x"}, "t", "session_start_ts", "session_end_ts",
+        ["session_id", "session_start_ts"], pick="latest", grace=60, salt_by=["t", "_id"], within=everywhen(),
     ).select("_id", "session_id", "session_start_ts")
 
 
 def assigned_or_not(spark, sf_dir):
-    return enriched_clicks(spark, sf_dir).select("_id", "session_id", "is_session_assigned")
+    return enriched(staged_clicks(spark, sf_dir)).select("_id", "session_id", "is_session_assigned")
 
 
 def orphans_dropped(spark, sf_dir):
-    return drop_orphans(enriched_clicks(spark, sf_dir)).select("_id", "session_id")
+    return drop_orphans(enriched(staged_clicks(spark, sf_dir))).select("_id", "session_id")
 
 
 def unassigned_shape(spark, sf_dir):
-    return unassigned(known_clicks(spark, sf_dir)).select("_id", "session_id", "is_session_assigned")
+    return unassigned(known(timed_clicks(spark, sf_dir))).select("_id", "session_id", "is_session_assigned")
 
 
 # -- facts ------------------------------------------------------------------
 
 
 def activity_per_session(spark, sf_dir):
-    return activity_counts(drop_orphans(enriched_clicks(spark, sf_dir)), ["session_id"])
+    return activity_counts(drop_orphans(enriched(staged_clicks(spark, sf_dir))), ["session_id"])
 
 
 def _master(spark, sf_dir):
-    return session_master(click_facts(spark, sf_dir), drop_orphans(enriched_clicks(spark, sf_dir)))
+    clicks = staged_clicks(spark, sf_dir)
+    return session_master(click_facts(clicks), drop_orphans(enriched(clicks)))
 
 
 def session_master_rows(spark, sf_dir):
@@ -285,7 +296,7 @@ def session_master_rows(spark, sf_dir):
 
 def session_master_quiet(spark, sf_dir):
     """No activity table: all counts are 0."""
-    return session_master(click_facts(spark, sf_dir)).select(
+    return session_master(click_facts(timed_clicks(spark, sf_dir))).select(
         "session_id", "session_duration", "scroll_count", "click_count", "unique_pages", "is_bounce", "is_engaged"
     )
 
@@ -471,7 +482,7 @@ def sequence_run(spark, sf_dir):
 
 
 def multi_tenant_sessions(spark, sf_dir):
-    df = kept_clicks(spark, sf_dir).withColumn("tenant", F.concat(F.lit("tenant_"), (F.col("uid") % 3).cast("string")))
+    df = kept(timed_clicks(spark, sf_dir)).withColumn("tenant", F.concat(F.lit("tenant_"), (F.col("uid") % 3).cast("string")))
     blocks = session_blocks(df, ["tenant", "x", "date"], "t", GAP, "session_end_raw_local", ["t", "_id"])
     return block_facts(blocks, ["tenant", "x"]).groupBy("tenant").agg(
         F.count(F.lit(1)).alias("sessions"), F.sum("event_count").alias("events"),

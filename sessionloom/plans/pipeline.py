@@ -19,10 +19,11 @@ from sessionloom.config import CASTS, RENAMES, SPECS, Rules, RunWindow, Source,
 from sessionloom.functions.times import local_day_bounds, local_time
 from sessionloom.operators import dedup as copies, quality, shape
 from sessionloom.operators.facts import session_master
-from sessionloom.operators.intervals import assign_sessions, fits_broadcast, unassigned
+from sessionloom.operators.intervals import assign_sessions, bucket_copies, unassigned
 from sessionloom.operators.sessions import (
     block_facts, row_duration, session_blocks, session_bounds, session_rollup, sessionize,
 )
+from sessionloom.operators.skew import copies_made, fits_broadcast
 from sessionloom.plans.audit import Audit
 from sessionloom.session import Staging, require_utc
 from sessionloom.sources.reader import Unreadable, read_table, time_window
@@ -235,7 +236,7 @@ class _Job:
         counts = {r[TENANT]: r["n"] for r in extra}
         if not counts:
             return kept, counts
-        few = repeated if copies.fits_broadcast(repeated, ID, self.rules.broadcast_rows) else None
+        few = repeated if fits_broadcast(repeated, max_rows=self.rules.broadcast_rows) else None
         return copies.dedup(kept, ID, [TIME], [TENANT], repeated=few), counts
 
     # -- sessions and enrichment ------------------------------------------
@@ -254,12 +255,12 @@ class _Job:
         grace = None if rules.tail_seconds is not None else rules.grace_seconds
         known = facts.filter(F.col(USER).isNotNull())
         self.lookup = self.staging.put("lookup", session_bounds(known, self.keys, USER, grace, rules.tail_seconds))
-        self.lookup_small = fits_broadcast(
-            self.lookup, "sess_start", "sess_end", self.local_bounds, max_rows=rules.broadcast_rows
-        )
+        per_bucket = bucket_copies("sess_start", "sess_end", self.local_bounds)
+        self.lookup_small = fits_broadcast(self.lookup, per_bucket, rules.broadcast_rows)
         self.session_tenants = [r[0] for r in self.lookup.select(TENANT).distinct().collect()]  # tenants only
         rows = sessionize(
-            kept, self.keys, TIME, rules.gap_seconds, self.cut, rules.id_style, end, salt, blocks=self.blocks
+            kept, self.keys, TIME, rules.gap_seconds, self.cut, rules.id_style, end, salt, blocks=self.blocks,
+            small=fits_broadcast(self.blocks, copies_made(), rules.broadcast_rows),
         )
         if rules.default_duration is not None:
             rows = row_duration(rows, TIME, default_tail=rules.default_duration)

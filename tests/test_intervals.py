@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessionloom.operators import intervals as I
+from sessionloom.operators.skew import fits_broadcast
 
 BASE = dt.datetime(2024, 1, 10)
 
@@ -126,10 +127,11 @@ def test_null_id_where_labels_are_off(spark):
 def test_broadcast_check_counts_buckets_not_rows(spark):
     one = spark.createDataFrame([("s", at(0), at(10 * 86_400))], "sid string, lo timestamp_ntz, hi timestamp_ntz")
     bounds = tuple(F.lit(str(at(d * 86_400))).cast("timestamp_ntz") for d in (0, 10))
-    assert I.fits_broadcast(one, "lo", "hi", bounds, max_rows=41)
-    assert not I.fits_broadcast(one, "lo", "hi", bounds, max_rows=40)
-    assert not I.fits_broadcast(one, "lo", "hi", bounds, max_bytes=100)
-    assert I.fits_broadcast(one.limit(0), "lo", "hi", bounds)
+    copies = I.bucket_copies("lo", "hi", bounds)
+    assert fits_broadcast(one, copies, max_rows=41)
+    assert not fits_broadcast(one, copies, max_rows=40)
+    assert not fits_broadcast(one, copies, max_bytes=100)
+    assert fits_broadcast(one.limit(0), copies)
 
 
 def test_aqe_splits_what_salting_cannot(spark):

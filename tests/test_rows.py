@@ -9,6 +9,7 @@ from sessionloom.config import CASTS, RENAMES, Rules
 from sessionloom.functions.identity import BOT_WORDS, bot_pattern
 from sessionloom.functions.times import local_day_bounds
 from sessionloom.operators import dedup as D, facts, quality as Q, shape
+from sessionloom.operators.skew import fits_broadcast
 from sessionloom.sources.reader import date_range, time_window
 
 T0 = dt.datetime(2024, 1, 10, 10)
@@ -178,8 +179,8 @@ def test_dedup(spark, known):
 
 def test_duplicate_ids(spark):
     assert [tuple(r) for r in D.duplicate_ids(dirty(spark), "id", ["tenant"]).collect()] == [(1, "a", 3)]
-    assert D.fits_broadcast(D.duplicate_ids(dirty(spark), "id", ["tenant"]), "id", max_rows=1)
-    assert not D.fits_broadcast(D.duplicate_ids(dirty(spark), "id", ["tenant"]), "id", max_rows=0)
+    assert fits_broadcast(D.duplicate_ids(dirty(spark), "id", ["tenant"]), max_rows=1)
+    assert not fits_broadcast(D.duplicate_ids(dirty(spark), "id", ["tenant"]), max_rows=0)
 
 
 def test_copies_are_cut_before_the_shuffle(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from sessionloom.functions.times import whole_seconds
 from sessionloom.operators import sessions as S
 from sessionloom.operators.shape import event_time
-from sessionloom.operators.skew import SALTS, spread
+from sessionloom.operators.skew import SALTS, copies_made, fits_broadcast, spread
 
 BASE = dt.datetime(2024, 1, 10, 10, 0, 0)
 
@@ -141,6 +141,15 @@ def test_sessions_partition_rows_by_the_gap(spark):
     assert bad_inside == rows.select("session_id").distinct().count()
 
 
+def test_broadcast_blocks_give_the_same_sessions(spark):
+    df = frame(spark, random_rows(seed=13))
+    blocks = S.session_blocks(df, ["user", "date"], "t")
+    assert fits_broadcast(blocks, copies_made())
+    small = S.sessionize(df, ["user"], "t", blocks=blocks, small=True)
+    assert "BroadcastHashJoin" in executed(small)
+    assert as_dict(small, "session_id") == as_dict(S.sessionize(df, ["user"], "t"), "session_id")
+
+
 def test_a_hot_block_is_one_row_with_many_salts(spark):
     rows = [(f"e{i:04d}", "hot", at(i / 10)) for i in range(3000)] + [("x", "cold", at(0))]
     blocks = S.session_blocks(frame(spark, rows), ["user", "date"], "t", salt_by=["t", "id"])
@@ -185,13 +194,9 @@ def executed(df):
 
 
 def test_rows_are_shuffled_once_and_windows_see_blocks_only(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        wide = frame(spark, random_rows(200)).withColumn("payload", F.repeat("id", 5))
-        plan = executed(S.sessionize(wide, ["user"], "t"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 4
+    wide = frame(spark, random_rows(200)).withColumn("payload", F.repeat("id", 5))
+    plan = executed(S.sessionize(wide, ["user"], "t"))
+    assert plan.count("Exchange hashpartitioning") == 4 and "ShuffledHashJoin" in plan
     assert "partial_min" in plan and "partial_bit_or" in plan
     assert not [line for line in plan.splitlines() if "Window [" in line and "payload" in line]
 
