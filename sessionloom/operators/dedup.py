@@ -13,13 +13,13 @@ def _holds_map(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def _content_hash(df: DataFrame) -> Column:
+def _content_hash(df: DataFrame, ignore: tuple[str, ...]) -> Column:
     """Order among rows that tie on everything else; equal hashes mean equal rows."""
-    return F.xxhash64(*[f.name for f in df.schema.fields if not _holds_map(f.dataType)])
+    return F.xxhash64(*[f.name for f in df.schema.fields if f.name not in ignore and not _holds_map(f.dataType)])
 
 
-def _first_per_id(df: DataFrame, by: list[str], order_by: list[str]) -> DataFrame:
-    ordered = Window.partitionBy(*by).orderBy(*order_by, _content_hash(df))
+def _first_per_id(df: DataFrame, by: list[str], order_by: list[str], ignore: tuple[str, ...]) -> DataFrame:
+    ordered = Window.partitionBy(*by).orderBy(*order_by, _content_hash(df, ignore))
     return df.withColumn("_rank", F.row_number().over(ordered)).filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -34,19 +34,20 @@ def duplicate_ids(df: DataFrame, id: str, keys: list[str] | None = None) -> Data
 
 
 def dedup(
-    df: DataFrame, id: str, order_by: list[str], keys: list[str] | None = None, repeated: DataFrame | None = None
+    df: DataFrame, id: str, order_by: list[str], keys: list[str] | None = None, repeated: DataFrame | None = None,
+    ignore: tuple[str, ...] = (),
 ) -> DataFrame:
     """Keep the first row per id by ``order_by``; rows without an id are all kept.
 
     Rows without an id bypass the shuffle. Copies of one id are cut to one row per task
     before the shuffle, as Spark pushes the rank limit below the exchange. ``repeated``,
     a ``duplicate_ids`` result for which ``skew.fits_broadcast`` holds, limits the shuffle to the rows
-    that have copies at all.
+    that have copies at all. Ties are broken by content, without the columns in ``ignore``.
     """
     by = [*(keys or []), id]
     if repeated is not None:
         ids = F.broadcast(repeated.select(*by))
         alone, copied = (df.join(ids, by, how).select(*df.columns) for how in ("left_anti", "left_semi"))
-        return alone.unionByName(_first_per_id(copied, by, order_by))
-    known = _first_per_id(df.filter(F.col(id).isNotNull()), by, order_by)
+        return alone.unionByName(_first_per_id(copied, by, order_by, ignore))
+    known = _first_per_id(df.filter(F.col(id).isNotNull()), by, order_by, ignore)
     return known.unionByName(df.filter(F.col(id).isNull()))

@@ -33,6 +33,7 @@ log = logging.getLogger(__name__)
 TENANT = "tenant"
 USER = "_user"
 ENRICH = "_enrich"
+SPREAD = "_spread"
 TIME = "event_timestamp_local"
 ID = "mongo_id"
 EXTRA_TIMES = ("created_at", "session_start", "session_end_raw")
@@ -191,7 +192,9 @@ class _Job:
             try:
                 raw = read_table(self.spark, self.source, t, spec)
                 shaped = shape_table(raw, spec, self.rules, None if spec.full_load else self.bounds, self.renames)
-                frames[t.name] = shaped.withColumn(TENANT, F.lit(t.name))
+                # Written to the staged table and read from there on, so every later use sees the same number.
+                numbered = shaped.withColumn(SPREAD, F.monotonically_increasing_id())
+                frames[t.name] = numbered.withColumn(TENANT, F.lit(t.name))
             except Unreadable as e:
                 self.audit.fail(t.name, spec.target, "READ", e)
             except shape.MissingColumns as e:
@@ -237,19 +240,15 @@ class _Job:
         if not counts:
             return kept, counts
         few = repeated if fits_broadcast(repeated, max_rows=self.rules.broadcast_rows) else None
-        return copies.dedup(kept, ID, [TIME], [TENANT], repeated=few), counts
+        return copies.dedup(kept, ID, [TIME], [TENANT], repeated=few, ignore=(SPREAD,)), counts
 
     # -- sessions and enrichment ------------------------------------------
 
-    def _salt(self, df: DataFrame) -> list[str]:
-        return [TIME, ID] if ID in df.columns else [TIME]
-
     def _sessions(self, kept: DataFrame) -> DataFrame:
         rules = self.rules
         by = [*self.keys, self.cut] if self.cut else self.keys
         end = "session_end_raw_local" if "session_end_raw_local" in kept.columns else None
-        salt = self._salt(kept)
-        blocks = session_blocks(kept, by, TIME, rules.gap_seconds, end, salt)
+        blocks = session_blocks(kept, by, TIME, rules.gap_seconds, end, [SPREAD])
         self.blocks = self.staging.put("blocks", blocks)
         facts = block_facts(self.blocks, self.keys, self.cut, rules.id_style)
         grace = None if rules.tail_seconds is not None else rules.grace_seconds
@@ -259,7 +258,7 @@ class _Job:
         self.lookup_small = fits_broadcast(self.lookup, per_bucket, rules.broadcast_rows)
         self.session_tenants = [r[0] for r in self.lookup.select(TENANT).distinct().collect()]  # tenants only
         rows = sessionize(
-            kept, self.keys, TIME, rules.gap_seconds, self.cut, rules.id_style, end, salt, blocks=self.blocks,
+            kept, self.keys, TIME, rules.gap_seconds, self.cut, rules.id_style, end, [SPREAD], blocks=self.blocks,
             small=fits_broadcast(self.blocks, copies_made(), rules.broadcast_rows),
         )
         if rules.default_duration is not None:
@@ -272,7 +271,7 @@ class _Job:
             return unassigned(kept)
         rows = assign_sessions(
             kept, self.lookup, USER, TIME, tenant=TENANT, label_unassigned=self.rules.label_unassigned,
-            pick=self.rules.pick, within=self.local_bounds, salt_by=self._salt(kept), small=self.lookup_small,
+            pick=self.rules.pick, within=self.local_bounds, salt_by=[SPREAD], small=self.lookup_small,
         )
         joined = F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants)
         rows = rows.withColumn("session_id", F.when(joined, F.col("session_id")))
@@ -283,7 +282,7 @@ class _Job:
     # -- sinks -------------------------------------------------------------
 
     def _final(self, rows: DataFrame) -> DataFrame:
-        final = shape.finalize_times(rows.drop(USER, ENRICH, "drop_reason"), EXTRA_TIMES)
+        final = shape.finalize_times(rows.drop(USER, ENRICH, SPREAD, "drop_reason"), EXTRA_TIMES)
         final = shape.fix_void(shape.enforce_schema(final, CASTS) if self.rules.enforce_types else final)
         return shape.add_ymd(final) if "year" in self.by else final
 
@@ -306,7 +305,7 @@ class _Job:
         if full_load:
             self.written[name] = self.spark.read.schema(final.schema).parquet(f"{self.target}/{name}")
             return self._per_tenant(final)
-        touched = {tuple(p) for p in seen.get["partitions"]}
+        touched = self._touched(seen, final)
         stored = self._read_back(final.schema, name)
         counts: dict[str, int] = {}
         for row in stored.groupBy(*self.by).count().collect():  # one row per tenant and day
@@ -319,6 +318,16 @@ class _Job:
         self.written[name] = self._read_back(final.schema, name)
         return counts
 
+    @staticmethod
+    def _touched(seen: Observation, final: DataFrame) -> set[tuple]:
+        """Partitions a finished write had rows for: at most one per tenant and day."""
+        try:
+            return {tuple(p) for p in seen.get["partitions"]}
+        except Exception:  # an empty plan is optimised away together with its metric
+            if final.isEmpty():
+                return set()
+            raise
+
     @staticmethod
     def _per_tenant(df: DataFrame) -> dict[str, int]:
         return {r[TENANT]: r["count"] for r in df.groupBy(TENANT).count().collect()}
