@@ -103,7 +103,10 @@ def interval_join(
     if small:
         joined = left_join(rows, F.broadcast(found), keys, where)
     else:
-        joined = salted_left_join(rows, found, keys, salt_by or [t], where)
+        # With ``latest`` a hashed partition holds at most one array per event in it, so the
+        # arrays are hashed and the events need no sort; several intervals per key are merged.
+        hint = "shuffle_hash" if pick == "latest" else None
+        joined = salted_left_join(rows, found, keys, salt_by or [t], where, hint)
 
     if pick == "latest":
         hits = F.filter("_entries", lambda e: (e[_LO] <= F.col(t)) & (e[_HI] >= F.col(t)))

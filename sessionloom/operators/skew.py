@@ -63,14 +63,14 @@ def salts_in(big: DataFrame, on: list[str], by: list[str]) -> DataFrame:
 
 
 def salted_left_join(
-    big: DataFrame, small: DataFrame, on: list[str], by: list[str], where: Column | None = None
+    big: DataFrame, small: DataFrame, on: list[str], by: list[str], where: Column | None = None, hint: str | None = None
 ) -> DataFrame:
     """``big`` LEFT JOIN ``small`` on equal ``on`` and ``where``; one hot key of ``big`` uses many tasks.
 
     ``small`` carries the key columns under their own names and no other name of ``big``.
     """
     copies = spread(small.join(salts_in(big, on, by), on, "inner"))
-    return left_join(with_salt(big, by), copies, [*on, SALT], where).drop(SALT)
+    return left_join(with_salt(big, by), copies, [*on, SALT], where, hint).drop(SALT)
 
 
 def left_join(

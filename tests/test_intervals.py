@@ -134,12 +134,23 @@ def test_broadcast_check_counts_buckets_not_rows(spark):
     assert fits_broadcast(one.limit(0), copies)
 
 
-def test_aqe_splits_what_salting_cannot(spark):
-    """Identical rows share a salt; the join stays a sort-merge join that AQE may split."""
+@pytest.mark.parametrize("pick, kind", [("latest", "ShuffledHashJoin"), ("all", "SortMergeJoin")])
+def test_salted_joins_are_equi_joins(spark, pick, kind):
+    """Neither a cross nor a nested-loop join, and a form that AQE may split further."""
     _, _, e, s = inputs(spark, 6, 50, 20)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = join(e, s, pick="latest")._jdf.queryExecution().executedPlan().toString()
+        plan = join(e, s, pick=pick)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "LeftOuter" in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert kind in plan and "LeftOuter" in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_identical_events_still_match(spark):
+    """A third of all events are copies of one row: they share a salt and all find their session."""
+    rows = [("copy", "hot", at(100))] * 500 + [(f"e{i}", "hot", at(100 + i)) for i in range(1000)]
+    e = spark.createDataFrame(rows, "id string, user string, t timestamp_ntz")
+    s = spark.createDataFrame([("s1", "hot", at(0), at(5000))], "sid string, who string, lo timestamp_ntz, hi timestamp_ntz")
+    out = join(e, s, pick="latest", salt_by=["t", "id"])
+    assert out.filter("sid = 's1'").count() == 1500
