@@ -184,14 +184,13 @@ def identity_resolved(spark, sf_dir):
 def _tagged(spark, sf_dir):
     df = timed_clicks(spark, sf_dir).withColumn("tenant", F.concat(F.lit("tenant_"), (F.col("uid") % 3).cast("string")))
     lo, hi = local_day_bounds("2024-01-03", "2024-01-25", ZONE)
-    reason = quality.quality_reason(F.col("user_agent"), F.col("x"))
-    return df.withColumn("drop_reason", F.coalesce(reason, quality.time_reason(F.col("created_at"), lo, hi)))
+    late = quality.time_reason(F.col("created_at"), lo, hi)
+    return quality.tag_quality(df, "user_agent", "x").withColumn("drop_reason", F.coalesce("drop_reason", late))
 
 
 def quality_counts(spark, sf_dir):
     df = timed_clicks(spark, sf_dir).withColumn("tenant", F.lit("all"))
-    tagged = df.withColumn("drop_reason", quality.quality_reason(F.col("user_agent"), F.col("x")))
-    return quality.audit_counts(tagged).drop("null_timestamp_dropped", "mongo_filter_leak_dropped")
+    return quality.audit_counts(quality.tag_quality(df, "user_agent", "x")).drop("null_timestamp_dropped", "mongo_filter_leak_dropped")
 
 
 def quality_kept(spark, sf_dir):

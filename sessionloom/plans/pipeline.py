@@ -79,11 +79,14 @@ def shape_table(
     df = shape.event_time(df, time_col, rules.zone, spec.time_encoding)
     df = shape.localize(df, EXTRA_TIMES, rules.zone, {time_col: spec.time_encoding})
     reason = quality.time_reason(F.col("event_timestamp_utc"), *(bounds if bounds is not None else ()))
-    if rules.quality:
-        has_agent = spec.check_agents and "user_agent" in df.columns
-        agent = shape.text_of(F.col("user_agent"), df.schema["user_agent"].dataType) if has_agent else None
-        reason = F.coalesce(quality.quality_reason(agent, F.col(USER) if user else None), reason)
-    return df.withColumn("drop_reason", reason)
+    if not rules.quality:
+        return df.withColumn("drop_reason", reason)
+    agent = None
+    if spec.check_agents and "user_agent" in df.columns:
+        agent = "_agent"
+        df = df.withColumn(agent, shape.text_of(F.col("user_agent"), df.schema["user_agent"].dataType))
+    df = quality.tag_quality(df, agent, USER if user else None).withColumn("_time_reason", reason)
+    return df.withColumn("drop_reason", F.coalesce("drop_reason", "_time_reason")).drop("_time_reason", "_agent")
 
 
 def run(

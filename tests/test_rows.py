@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from sessionloom.config import CASTS, RENAMES, Rules
-from sessionloom.functions.identity import BOT_WORDS, bot_pattern
+from sessionloom.functions.identity import BOT_WORDS, bot_pattern, is_bot
 from sessionloom.functions.times import local_day_bounds
 from sessionloom.operators import dedup as D, facts, quality as Q, shape
 from sessionloom.operators.skew import fits_broadcast
@@ -140,17 +140,26 @@ def test_identity(spark):
 def test_quality_order(spark):
     rows = [(None, None), ("GoogleBot", None), ("ok", "unknown"), ("ok", "u")]
     df = spark.createDataFrame(rows, "ua string, u string")
-    reasons = [r[0] for r in df.select(Q.quality_reason(F.col("ua"), F.col("u"))).collect()]
+    reasons = [r["drop_reason"] for r in Q.tag_quality(df, "ua", "u").collect()]
     assert reasons == [Q.NULL_AGENT, Q.BOT, Q.BAD_IDENTITY, None]
 
 
 def test_every_bot_word_is_found(spark):
-    agents = [(f"Mozilla {w.upper()}/1",) for w in BOT_WORDS] + [("Mozilla/5.0 (X11; Linux)",)]
-    got = [r[0] for r in spark.createDataFrame(agents, "ua string").select(F.col("ua").rlike(bot_pattern())).collect()]
-    assert got == [True] * len(BOT_WORDS) + [False]
+    agents = [(f"Mozilla {w.upper()}/1",) for w in BOT_WORDS] + [(f"M\u00f6zilla {w.upper()}/1",) for w in BOT_WORDS]
+    agents += [("Mozilla/5.0 (X11; Linux)",), ("Sp\u0130der",), ("",), (None,)]
+    df = spark.createDataFrame(agents, "ua string")
+    want = [True] * (2 * len(BOT_WORDS)) + [False] * 3 + [None]
+    full = "(?i)(" + "|".join(BOT_WORDS) + ")"
+    for test in (is_bot(F.col("ua"), F.lower("ua")), F.col("ua").rlike(bot_pattern()), F.col("ua").rlike(full)):
+        assert [r[0] for r in df.select(test).collect()] == want
     assert len(BOT_WORDS) == 38
 
 
+def test_own_bot_pattern(spark):
+    df = spark.createDataFrame([("probe/1",), ("GoogleBot",)], "ua string")
+    assert [r["ua"] for r in Q.quality_filter(df, "ua", None, "^probe").collect()] == ["GoogleBot"]
+
+
 def test_audit_counts_add_up(spark):
     df = spark.createDataFrame(
         [("a", r) for r in (Q.NULL_AGENT, Q.BOT, Q.BOT, Q.BAD_IDENTITY, Q.NULL_TIME, Q.LEAK, None, None)], "tenant string, drop_reason string"
