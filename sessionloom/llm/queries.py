@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sessionloom.llm import bpe, dedup_exact
+from sessionloom.llm import bpe, dedup_exact, near_dedup
 from sessionloom.llm.common import col, read, utf8, whole_text
 from sessionloom.session import Staging
 
@@ -23,6 +23,10 @@ def op2_bpe_transcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(read(spark, sf_dir, "documents"), Staging(spark, "op8"), shingle_words=4)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_exact.groups(read(spark, sf_dir, "documents"), Staging(spark, "op9"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -30,6 +34,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe_transcode": op2_bpe_transcode,
+    "op8_minmax_near_dedup": op8_minmax_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
