@@ -39,7 +39,7 @@ def digest(text: str = "text"):
     return F.unhex(F.sha2(utf8(ascii_lower(whole_text(text))), 256))
 
 
-def frequent(digests: DataFrame, column: str, counters: int = COUNTERS) -> DataFrame:
+def frequent(digests: DataFrame, column: str, stage: Staging, counters: int = COUNTERS) -> DataFrame:
     """Misra-Gries: the values of ``column`` whose summed counts reach n / (2 * counters)."""
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,10 +55,9 @@ def frequent(digests: DataFrame, column: str, counters: int = COUNTERS) -> DataF
         yield pa.RecordBatch.from_pydict({"v": pa.array(values, pa.binary()), "c": pa.array(counts, pa.int64())})
 
     held = digests.select(column).mapInArrow(summary, "v binary, c long")
-    counted = held.groupBy("v").agg(F.sum("c").alias("c"))  # at null: all rows
-    total = counted.filter("v is null").select(F.col("c").alias("n"))
-    reach = F.col("c") * 2 * counters >= F.col("n")
-    return counted.filter("v is not null").join(F.broadcast(total), reach).select(F.col("v").alias(column))
+    counted = stage.put("counted", held.groupBy("v").agg(F.sum("c").alias("c")))
+    rows = counted.filter("v is null").first()["c"]  # at null: all rows
+    return counted.filter((F.col("c") * (2 * counters) >= rows) & F.col("v").isNotNull()).select(F.col("v").alias(column))
 
 
 def groups(docs: DataFrame, stage: Staging, counters: int = COUNTERS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -66,7 +65,7 @@ def groups(docs: DataFrame, stage: Staging, counters: int = COUNTERS, doc_id: st
     rows = stage.put("digests", docs.select(
         col(doc_id).cast("long").alias("doc_id"), digest(text).alias("digest"), F.monotonically_increasing_id().alias("row"),
     ))
-    heavy = stage.put("heavy", frequent(rows, "digest", counters))
+    heavy = stage.put("heavy", frequent(rows, "digest", stage, counters))
     first = F.max(F.struct(F.col("doc_id"), F.col("row")))
     winners = F.broadcast(
         rows.join(F.broadcast(heavy), "digest", "left_semi").groupBy("digest")

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sessionloom.llm import bpe, dedup_exact, near_dedup
+from sessionloom.llm import bpe, dedup_exact, fingerprints, near_dedup
 from sessionloom.llm.common import col, read, utf8, whole_text
 from sessionloom.session import Staging
 
@@ -32,10 +32,15 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bpe_transcode": op2_bpe_transcode,
     "op8_minmax_near_dedup": op8_minmax_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_weighted_fingerprints": op10_weighted_fingerprints,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
