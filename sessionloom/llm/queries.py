@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sessionloom.llm import bpe, dedup_exact, fingerprints, near_dedup
+from sessionloom.llm import bpe, dedup_exact, fingerprints, near_dedup, pii, token_counts
 from sessionloom.llm.common import col, read, utf8, whole_text
 from sessionloom.session import Staging
 
@@ -14,6 +14,14 @@ from sessionloom.session import Staging
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text")))
+    spans = F.col("spans")
+    counts = [F.size(pii.of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    base = pii.listed(pii.of_kind(spans, *pii.BASE_KINDS))
+    return found.select("doc_id", *counts, F.sha2(utf8(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"))
+
+
 def op2_bpe_transcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
     made = bpe.encode(docs, f"{TOKENIZERS}/byte_bpe_50k.json", decoded="decoded")
@@ -23,6 +31,11 @@ def op2_bpe_transcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
+    return token_counts.count_tokens(docs, f"{TOKENIZERS}/piece_bpe_32k.model").drop("text")
+
+
 def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(read(spark, sf_dir, "documents"), Staging(spark, "op8"), shingle_words=4)
 
@@ -37,7 +50,9 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_spans": op1_pii_spans,
     "op2_bpe_transcode": op2_bpe_transcode,
+    "op7_unigram_counts": op7_unigram_counts,
     "op8_minmax_near_dedup": op8_minmax_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_weighted_fingerprints": op10_weighted_fingerprints,
