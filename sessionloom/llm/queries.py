@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sessionloom.llm import bpe, dedup_exact, fingerprints, near_dedup, pii, token_counts
-from sessionloom.llm.common import col, read, utf8, whole_text
+from sessionloom.llm import bpe, dedup_exact, fingerprints, mixing, near_dedup, pii, token_counts
+from sessionloom.llm.common import WORD, read, utf8, whole_text
 from sessionloom.session import Staging
 
 #: Where the public tokenizer files are; only read, never copied.
@@ -31,6 +31,17 @@ def op2_bpe_transcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = Staging(spark, "op4")
+    docs = read(spark, sf_dir, "documents")
+    sized = stage.put("sized", docs.select(
+        "doc_id", "source", F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size")))
+    named = sized.withColumn("doc_id", F.col("doc_id").cast("string"))
+    plan = mixing.Mix(named, stage)
+    return plan.with_targets(plan.taken(named)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+
+
 def op7_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
     return token_counts.count_tokens(docs, f"{TOKENIZERS}/piece_bpe_32k.model").drop("text")
@@ -52,6 +63,7 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii_spans": op1_pii_spans,
     "op2_bpe_transcode": op2_bpe_transcode,
+    "op4_mix_sources": op4_mix_sources,
     "op7_unigram_counts": op7_unigram_counts,
     "op8_minmax_near_dedup": op8_minmax_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
