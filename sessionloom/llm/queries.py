@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sessionloom.llm import bpe, chat, dedup_exact, fingerprints, mixing, near_dedup, pii, token_counts
+from sessionloom.llm import bpe, chat, dedup_exact, fingerprints, language, mixing, near_dedup, pii, token_counts, warc
 from sessionloom.llm.common import WORD, read, utf8, whole_text
 from sessionloom.session import Staging
 
@@ -31,6 +31,11 @@ def op2_bpe_transcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(read(spark, sf_dir, "pages"), Staging(spark, "op3"))
+    return warc.read(manifest, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = Staging(spark, "op4")
     docs = read(spark, sf_dir, "documents")
@@ -42,6 +47,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", language.held_out().alias("held_out"), "text")
+    return language.predict(rows, language.learned(docs)).drop("text", "rejected")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.range(2).select(
@@ -79,7 +90,9 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii_spans": op1_pii_spans,
     "op2_bpe_transcode": op2_bpe_transcode,
+    "op3_warc_archive": op3_warc_archive,
     "op4_mix_sources": op4_mix_sources,
+    "op5_language_id": op5_language_id,
     "op6_chat_format": op6_chat_format,
     "op7_unigram_counts": op7_unigram_counts,
     "op8_minmax_near_dedup": op8_minmax_near_dedup,
@@ -93,7 +106,19 @@ _CONTROLS = r"(<)(\\*)(/?s>|\|im_start\|>|\|im_end\|>)|(\[)(\\*)(/?INST\])"
 _ESCAPED = rf"regexp_replace({{}}, '{_CONTROLS}', '\1\4\2\5\\\3\6', 'g')"
 _ROLE = _ESCAPED.format(r"replace(replace(role, '\', '\\'), chr(10), '\n')")
 
+_DIGEST = "sha1(coalesce(html, ''))"
+_BASE32 = f"""array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    (('0x' || substr({_DIGEST}, 1 + 10 * (k // 8)::INT, 10))::BIGINT >> (35 - 5 * (k % 8))::INT) & 31)::INT, 1)), '')"""
+
 ORACLES = {
+    "op3_warc_archive": f"""
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, {_BASE32} AS payload_digest,
+                   min(page_id) OVER (PARTITION BY {_DIGEST}) AS first
+            FROM pages)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p""",
     "op6_chat_format": f"""
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
