@@ -119,6 +119,53 @@ ORACLES = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM p""",
+    "op4_mix_sources": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   ('0x' || substr(md5('mix-1' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS spot
+            FROM documents),
+        per AS (
+            SELECT source, sum(size)::BIGINT AS s, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS w
+            FROM d GROUP BY source),
+        filled AS (
+            SELECT *, (sum(s) OVER () - coalesce(sum(3 * s) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level
+            FROM per WINDOW o AS (ORDER BY s / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        src AS (
+            SELECT source, coalesce('=' || source, '') AS src, s AS source_size, least((3 * s)::DOUBLE, max(level) OVER () * w) AS target,
+                   greatest(1, ceil(s / 2000000))::BIGINT AS shards
+            FROM filled),
+        placed AS (
+            SELECT d.doc_id, d.size, d.spot, src.src, src.source_size, src.target, d.spot % src.shards AS shard
+            FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source),
+        shard AS (
+            SELECT src, shard, ceil(sum(size) / 32)::BIGINT AS blocks, max(source_size) AS source_size, max(target) AS target
+            FROM placed GROUP BY src, shard HAVING sum(size) > 0),
+        own AS (
+            SELECT src, sum(blocks)::BIGINT AS own, max(target) / max(source_size) * sum(blocks) AS votes FROM shard GROUP BY src),
+        source_seats AS (
+            SELECT src, count(*) AS seats FROM (
+                SELECT src, row_number() OVER (ORDER BY votes / (2 * j - 1) DESC, src, j) AS place
+                FROM (SELECT src, votes, unnest(range(1, 3 * own + 1)) AS j FROM own))
+            WHERE place <= (SELECT floor(sum(votes) + 1e-6) FROM own) GROUP BY src),
+        quota AS (
+            SELECT src, shard, count(*) AS quota FROM (
+                SELECT src, shard, row_number() OVER (PARTITION BY src ORDER BY blocks::DOUBLE / (2 * j - 1) DESC, shard, j) AS place
+                FROM (SELECT src, shard, blocks, unnest(range(1, 3 * blocks + 1)) AS j FROM shard))
+            JOIN source_seats USING (src) WHERE place <= seats GROUP BY src, shard),
+        deal AS (
+            SELECT src, shard, blocks, coalesce(quota, 0) // blocks AS every, coalesce(quota, 0) % blocks AS more,
+                   ('0x' || substr(md5('mix-1' || src || '/' || shard), 1, 15))::BIGINT % blocks AS phase
+            FROM shard LEFT JOIN quota USING (src, shard)),
+        stream AS (
+            SELECT *, sum(size) OVER (PARTITION BY src, shard ORDER BY spot, doc_id::VARCHAR, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
+            FROM placed LEFT JOIN deal USING (src, shard)),
+        cut AS (SELECT *, stop // 32 AS j, (stop - size) // 32 AS i FROM stream)
+        SELECT doc_id, size, source_size, target, coalesce(
+            every * size
+            + 32 * ((j * more + phase) // blocks) + (stop - 32 * j) * (((j + 1) * more + phase) // blocks - (j * more + phase) // blocks)
+            - 32 * ((i * more + phase) // blocks) - (stop - size - 32 * i) * (((i + 1) * more + phase) // blocks - (i * more + phase) // blocks),
+            0)::BIGINT AS taken
+        FROM cut""",
     "op6_chat_format": f"""
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -131,6 +178,23 @@ ORACLES = {
                sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
                sum(chars)::BIGINT AS formatted_chars
         FROM made GROUP BY conv_id""",
+    "op8_minmax_near_dedup": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g
+            FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (
+            SELECT x, y FROM p JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y
+            WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+        e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        r(x, y) AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+        c AS (SELECT x, min(y) AS root FROM r GROUP BY x)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.root, d.doc_id)) AS component_id,
+               d.doc_id = least(d.doc_id, coalesce(c.root, d.doc_id)) AS kept
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.x = d.doc_id""",
     "op9_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_LOWERED}) AS text_sha256, {_LOWERED} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
