@@ -64,8 +64,9 @@ def map_text(
     values per field. A batch is worked off in slices, so that a task never holds the results
     of more than ``slice_rows`` texts.
     """
-    schema = T.StructType([*df.schema.fields, *fields])
-    at = df.columns.index(text)
+    at, names = df.columns.index(text), [*df.columns, *(f.name for f in fields)]
+    plain = [f"c{i}" for i in range(len(names))]  # mapInArrow cannot take names with dots
+    held = [T.StructField(n, f.dataType) for n, f in zip(plain, [*df.schema.fields, *fields])]
     types = [_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,9 +76,9 @@ def map_text(
                 part = batch.slice(start, slice_rows)
                 made = work([t or "" for t in part.column(at).to_pylist()])
                 columns = [*part.columns, *(pa.array(v, type=t) for v, t in zip(made, types))]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                yield pa.RecordBatch.from_arrays(columns, names=plain)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*plain[: len(df.columns)]).mapInArrow(run, T.StructType(held)).toDF(*names)
 
 
 def _arrow_type(t: T.DataType) -> pa.DataType:

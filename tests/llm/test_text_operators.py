@@ -1,0 +1,267 @@
+"""The row-wise text operators against the libraries and patterns they have to agree with, and odd inputs."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, normalizers
+
+import check
+from sessionloom.llm import bpe, language, pii, queries, token_counts
+from sessionloom.llm.common import BREAK, ascii_lower, free_names
+
+BPE_FILE = f"{queries.TOKENIZERS}/byte_bpe_50k.json"
+PIECES = f"{queries.TOKENIZERS}/piece_bpe_32k.model"
+SF = "/root/testdata/sf0.001"
+ODD = [None, "", " \t\n", "x", "a" * 60_000, "é" * 5_000, "Same text.", "Same text.", "\x00\x1c\x85  \U0001f600"]
+SCHEMA = "doc_id long, text string, lang string, ids string, `a.b` int, `__id` int, row int"
+
+
+def odd_rows(spark):
+    return spark.createDataFrame([(i if i % 4 else None, t, None, "clash", 1, 2, 3) for i, t in enumerate(ODD)], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def own():
+    with open(BPE_FILE, encoding="utf-8") as f:
+        return bpe.ByteBpe(f.read())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(BPE_FILE)
+
+
+def ids(packed):
+    return np.frombuffer(packed, "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=40) | st.lists(st.sampled_from(
+    ["<|endoftext|>", "'s", "'re", "  ", "\n", " the", "é", "梦", "1", "12", "!", " ", "ing"]), max_size=20).map("".join))
+def test_bpe_equals_the_library(text):
+    text = text.encode("utf-8", "replace").decode()
+    own, library = _TOKENIZERS["own"], _TOKENIZERS["library"]
+    want = library.encode(text, add_special_tokens=False).ids
+    assert ids(own.encode(text)) == want
+    assert own.decode(own.encode(text)) == library.decode(want, skip_special_tokens=False)
+
+
+_TOKENIZERS = {}
+
+
+@pytest.fixture(scope="module", autouse=True)
+def _tokenizers(own, library):
+    _TOKENIZERS.update(own=own, library=library)
+
+
+@pytest.mark.parametrize("text", ["a" * 20_001, "ab" * 9_000, "xyz" * 17 + " " + "q" * 48, "é" * 999])
+def test_long_pre_tokens_are_merged_in_the_same_order(own, library, text):
+    assert ids(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_fragments_are_cut_at_pairs_no_token_holds(own):
+    inside = {(a, b) for t in own.token_bytes[:50256] for a, b in zip(t, t[1:])}
+    for word in ("hello", "naïveté", "zqxjkv", "\U0001f600\U0001f601"):
+        data = word.encode()
+        pieces = own.fragments(data)
+        assert b"".join(pieces) == data
+        cuts = np.cumsum([len(p) for p in pieces])[:-1].tolist()
+        assert cuts == [i for i in range(1, len(data)) if (data[i - 1], data[i]) not in inside]
+
+
+def test_bpe_frame_with_odd_rows(spark, own):
+    rows = odd_rows(spark).drop("ids")
+    out = bpe.encode(rows, BPE_FILE, decoded="decoded").collect()
+    assert [r["decoded"] for r in out] == [t or "" for t in ODD]
+    assert [r["ids"] for r in out] == [own.encode(t or "") for t in ODD]
+    assert out[1]["a.b"] == 1
+    again = bpe.decode(bpe.encode(rows, BPE_FILE).drop("text"), BPE_FILE).collect()
+    assert [r["decoded"] for r in again] == [t or "" for t in ODD]
+    assert bpe.encode(rows.limit(0), BPE_FILE).count() == 0
+    with pytest.raises(ValueError):
+        bpe.encode(odd_rows(spark), BPE_FILE)
+
+
+def test_op2_equals_the_library(spark, library):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = queries.op2_bpe_transcode(spark, SF).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        want = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        assert r["n_tokens"] == len(want)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+# personal data
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def by_patterns(text):
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 12 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    out += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15]
+    return sorted(out, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+
+def base(spans):
+    return [s for s in spans if s[0] in pii.BASE_KINDS]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text("a.@+12 5-(0)%é94\n", max_size=40))
+def test_base_spans_equal_the_patterns(text):
+    assert base(pii.spans_of(text)) == by_patterns(text)
+
+
+def test_planted_data_and_added_kinds():
+    text = ("mail é bob.b@ex-1.example.org, call +1 (918) 555-4124 or pay 4111 1111 1111 1111 from 10.0.255.1. "
+            "IBAN: DE89 3704 0044 0532 0130 00, account no. 12-345678, see https://u.example.com/a?b=1. Accounting 123456.")
+    found = {k: text[a:b] for k, a, b in pii.spans_of(text)}
+    assert found == {
+        "email": "bob.b@ex-1.example.org", "phone": "+1 (918) 555-4124", "card": "4111 1111 1111 1111", "ip": "10.0.255.1",
+        "iban": "DE89 3704 0044 0532 0130 00", "account": "12-345678", "url": "https://u.example.com/a?b=1"}
+    assert pii.spans_of("IBAN DE88 3704 0044 0532 0130 00") == []  # fails modulo 97
+
+
+def test_long_hostile_texts_end_soon():
+    for text in ("a" * 200_000 + "@", "a@" * 100_000, "1." * 100_000, "9" * 200_000, "+1" + " " * 200_000, "+1 " * 60_000):
+        assert all(text[a:b] for _, a, b in pii.spans_of(text))
+
+
+def test_op1_equals_the_patterns(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.op1_pii_spans(spark, SF).collect():
+        want = by_patterns(texts[r["doc_id"]])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        for kind in pii.BASE_KINDS:
+            assert r[f"n_{kind}"] == sum(k == kind for k, _, _ in want)
+        assert [s for s in r["spans"].split(",") if s.split(":")[0] in pii.BASE_KINDS] == (joined.split(",") if joined else [])
+
+
+def test_pii_frame_with_odd_rows_and_redaction(spark):
+    out = pii.find(odd_rows(spark)).collect()
+    assert [r["spans"] for r in out] == [[]] * len(ODD)
+    text = spark.createDataFrame([("to a@b.co, 1.2.3.4!",), (None,)], "text string")
+    assert [r["redacted"] for r in pii.redact(pii.find(text)).collect()] == ["to [email], [ip]!", ""]
+    assert pii.find(text.limit(0)).count() == 0
+
+
+# token counts
+
+@pytest.fixture(scope="module")
+def unigram():
+    pieces = token_counts.vocabulary(PIECES)
+    tokenizer = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    tokenizer.normalizer = normalizers.Sequence(
+        [normalizers.Prepend(token_counts.SPACE), normalizers.Replace(" ", token_counts.SPACE)])
+    _TOKENIZERS.update(unigram=tokenizer, counter=token_counts.Counter(pieces))
+    return tokenizer
+
+
+@pytest.fixture(scope="module", autouse=True)
+def _unigram(unigram):
+    return unigram
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=30) | st.lists(st.sampled_from(
+    ["a", "the", "ing", " ", "   ", "\n", "é", "梦", "<0x41>", "</s>", "▁", "1", "23", " of", "\t", "\U0001f600"]), max_size=25).map("".join))
+def test_counts_equal_the_library(text):
+    text = text.encode("utf-8", "replace").decode()
+    counter, library = _TOKENIZERS["counter"], _TOKENIZERS["unigram"]
+    assert counter.count(text)[0] == len(library.encode(text, add_special_tokens=False).ids)
+    if text:  # word by word as over the whole text
+        assert counter.count(text) == counter.viterbi(token_counts.SPACE + text.replace(" ", token_counts.SPACE))
+
+
+def test_ties_scores_and_unknowns_without_byte_fallback():
+    pieces = [("<unk>", 0.0), ("▁", -1.5), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁a", -2.5), ("bc", -0.25)]
+    tokenizer = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=False))
+    tokenizer.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
+    counter = token_counts.Counter(pieces)
+    assert counter.split is None
+    rng = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rng.choices("abcx y", k=rng.randint(1, 12)))
+        assert counter.count(text)[0] == len(tokenizer.encode(text).ids), text
+
+
+def test_op7_equals_the_library(spark, unigram):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.op7_unigram_counts(spark, SF).collect():
+        assert r["n_tokens"] == len(unigram.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
+
+
+def test_counts_with_odd_rows(spark):
+    out = token_counts.count_tokens(odd_rows(spark), PIECES).collect()
+    assert [r["n_tokens"] for r in out][:2] == [0, 0] and out[6]["score"] == out[7]["score"]
+    assert token_counts.count_tokens(odd_rows(spark).limit(0), PIECES).count() == 0
+
+
+# language
+
+def test_language_is_learned_without_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = queries.op5_language_id(spark, "/root/testdata/sf0.01").join(docs, "doc_id").filter("held_out").collect()
+    assert len(found) > 200
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in found)
+    # what is held out does not change the model
+    changed = docs.withColumn("lang", F.when(language.held_out(), F.lit("xx")).otherwise(F.col("lang")))
+    one, two = language.learned(docs), language.learned(changed)
+    assert one.languages == two.languages and (one.table == two.table).all()
+
+
+def test_buckets_ignore_case_and_do_not_depend_on_chunks(monkeypatch):
+    assert (language.buckets("Hello, World") == language.buckets("hello world")).all()
+    assert len(language.buckets("123 !!")) == 0 and len(language.buckets("")) == 0
+    text = "die katze sitzt auf dem tisch " * 50
+    whole = np.bincount(language.buckets(text), minlength=1 << 15)
+    monkeypatch.setattr(language, "CHUNK", 400)
+    parts = np.bincount(language.buckets(text), minlength=1 << 15)
+    assert np.abs(whole - parts).sum() < 0.1 * whole.sum()
+
+
+def test_language_edge_cases(spark):
+    rows = odd_rows(spark)
+    nothing = language.learned(rows)
+    out = language.predict(rows, nothing).collect()
+    assert {r["lang_pred"] for r in out} == {"und"} and all(r["rejected"] for r in out)
+    model = language.train([("the cat sat on the mat", "en"), ("die katze auf dem tisch", "de")] * 40)
+    out = language.predict(rows, model).collect()
+    assert [r["lang_pred"] == "und" for r in out] == [not any(c.isalpha() for c in t or "") for t in ODD]
+    assert out[6][7:] == out[7][7:]
+    kept = language.accepted(rows, model)
+    assert kept.columns == rows.columns and all(any(c.isalpha() for c in r["text"] or "") for r in kept.collect())
+    one = language.train([("only one language here", "en")] * 20)
+    assert one.predict("anything")[:2] == ("en", 1.0)
+    assert language.predict(rows.limit(0), model).count() == 0
+
+
+def test_helpers(spark):
+    df = spark.createDataFrame([("ÀBCé",)], "`X` string")
+    assert free_names(df, "x", "y") == ["x_", "y"]
+    assert df.select(ascii_lower(F.col("X"))).first()[0] == "Àbcé"
+    assert re.split(BREAK, "a \x0b\x0cb c") == ["a", "b c"]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_its_sql(spark, name):
+    verdict, _ = check.compare(spark, check.oracle_connection(SF), SF, name)
+    assert verdict.startswith("ok"), verdict
