@@ -11,16 +11,20 @@ band (bands of minima and of maxima are separate): a pair at similarity 0.8 shar
 2. Documents with one word sequence form a class, represented by its smallest id (salted
    join, so that a class with a third of all rows is no one task's work). Only
    representatives go on.
-3. In each bucket all are tried against the bucket's smallest id: as many pairs as rows.
-   Confirmed links give components.
-4. What lies in one bucket but in different components is then tried in full, so no pair of
-   a shared bucket is left undecided unless its ends are connected already. There is no cap.
-5. A pair is tried in three steps: set sizes (exact bound), signature bytes (75 of 150 have
-   to agree; a pair at 0.8 has 120 on average, with a deviation of 5), and last the whole
-   shingle sets (64-bit hashes), which alone decide.
-
-Worst case: a bucket of many documents that are pairwise below the threshold, yet agree in
-five signature values, costs all its cross pairs in step 4.
+3. A bucket of up to ``SMALL`` documents is tried in full. A larger one has a hub, its member
+   that shares most buckets with others, and all are tried against the hub: as many pairs as
+   rows. Confirmed links give components.
+4. Pairs of a large bucket of which one end is not linked to the hub are still open where
+   their components differ. Against a hub h of size H every member x has the exact number m
+   of h's shingles it lacks and its extras, the shingles h lacks. Two members share at most
+   H - max(m, m') of h, so the sizes alone tell how many extras they must have in common to
+   be linked. Pairs that need one or more are found by an equi-join on (hub, extra) and kept
+   if they have as many in common; pairs that need none follow from the distinct sizes
+   (m, extras) under each hub. Both are tried in full, so no pair that shares a bucket is
+   left undecided unless its ends are connected already. There is no cap.
+5. A pair is tried by its signature bytes (75 of 150 have to agree; a pair at 0.8 has 120 on
+   average, with a deviation of 5), then by the whole shingle sets (64-bit hashes), which
+   alone decide.
 
 Defined results: a text without words (null, empty, blank) has the empty set and is linked
 with nothing; fewer words than a shingle make one shingle of all of them. Rows that share a
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sessionloom.llm.common import all_columns, col, free_names, map_text
 from sessionloom.llm.components import components
@@ -50,6 +54,8 @@ AGREE = VALUES // 2
 CHUNK = 4096
 REMEMBERED = 400_000
 PERCENT = 80
+#: Buckets up to this size are tried in full.
+SMALL = 8
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _FACTOR = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -176,10 +182,16 @@ class NearDuplicates:
     def groups(self) -> DataFrame:
         """``doc_id, n_shingles, component_id, kept``, one row per document."""
         crowded = self._crowded()
-        stars = crowded.filter("rid <> hub").select(F.col("hub").alias("a"), F.col("rid").alias("b")).distinct()
-        links = self._confirmed("star", stars)
+        x, y = (crowded.filter(F.col("members") <= SMALL).select("key", F.col("rid").alias(p)) for p in "ab")
+        direct = self._likely("direct", x.join(y, "key").filter("a < b").select("a", "b").distinct())
+        stars = self._stars(crowded)
+        ids = direct.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(stars.select(F.explode(F.array("hub", "rid")).alias("rid")))
+        self.sets = self._sets(self.stage.put("ids", ids.distinct()))
+        stars = self._measured(stars)
+        links = self.stage.put("links", self._confirmed(direct).unionByName(
+            stars.filter("linked").select(F.col("hub").alias("u"), F.col("rid").alias("v"))))
         labels = components(links, self.stage, "first")
-        more = self._confirmed("cross", self._undecided(crowded, labels))
+        more = self.stage.put("more", self._confirmed(self._likely("open", self._undecided(stars, labels))))
         if not more.isEmpty():
             joined = labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
             labels = components(joined, self.stage, "second")
@@ -192,39 +204,82 @@ class NearDuplicates:
         )
 
     def _crowded(self) -> DataFrame:
-        """``key, rid, n, hub`` of the buckets with two or more representatives."""
-        banded = self.reps.select("rid", "n", F.explode("bands").alias("key"))
-        hubs = banded.groupBy("key").agg(F.min("rid").alias("hub"), F.max("rid").alias("last")).filter("hub < last")
-        return self.stage.put("crowded", banded.join(hubs.drop("last"), "key"))
-
-    def _undecided(self, crowded: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of one bucket that lie in different components and were not tried with a hub."""
+        """``key, rid, members`` of the buckets with two or more representatives."""
+        banded = self.reps.select("rid", F.explode("bands").alias("key"))
+        sizes = banded.groupBy("key").agg(F.count("*").alias("members"), F.min("rid").alias("r"), F.max("rid").alias("s"))
+        return self.stage.put("crowded", banded.join(sizes.filter("r < s").drop("r", "s"), "key"))
+
+    def _stars(self, crowded: DataFrame) -> DataFrame:
+        """``hub, rid``: every member of a large bucket with the bucket's hub."""
+        scores = crowded.groupBy("rid").agg(F.sum("members").alias("score"))
+        large = crowded.filter(F.col("members") > SMALL).join(scores, "rid")
+        hubs = large.groupBy("key").agg(F.max_by("rid", F.struct(F.col("score"), -F.col("rid"))).alias("hub"))
+        return self.stage.put("stars", large.join(hubs, "key").filter("rid <> hub").select("hub", "rid").distinct())
+
+    def _sets(self, ids: DataFrame) -> DataFrame:
+        """``rid, shingles`` of the documents that are compared; moves texts only if their ids cannot be broadcast."""
+        wanted = F.broadcast(ids) if fits_broadcast(ids) else ids
+        return self.stage.put("sets", shingle_sets(self.texts.join(wanted, "rid", "left_semi"), self.shingle_words))
+
+    def _similar(self, both: Column, size: Column) -> Column:
+        """Whether sets with ``both`` in common and ``size`` elements together, common ones twice, are linked."""
+        return both * 100 >= (size - both) * self.percent
+
+    def _measured(self, stars: DataFrame) -> DataFrame:
+        """Stars with the hub's size, what the member lacks of it, its extras, and whether the two are linked."""
+        hubs = self.sets.select(F.col("rid").alias("hub"), F.col("shingles").alias("hub_set"))
+        pairs = stars.join(hubs, "hub").join(self.sets, "rid")
+        pairs = pairs.select("hub", "rid", F.size("hub_set").alias("whole"), F.size("shingles").alias("own"),
+                             F.array_except("shingles", "hub_set").alias("extras"))
+        both = F.col("own") - F.size("extras")
+        return self.stage.put("measured", pairs.withColumns({
+            "lacks": F.col("whole") - both, "more": F.size("extras"), "linked": self._similar(both, F.col("whole") + F.col("own"))}).drop("own"))
+
+    def _undecided(self, stars: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` under one hub, in different components, that can still be linked."""
         of = labels.select(F.col("node").alias("rid"), "root")
-        placed = crowded.join(of, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-        placed = self.stage.put("placed", placed)
-        mixed = placed.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("key")
-        rest = self.stage.put("mixed", placed.join(mixed, "key", "left_semi").filter("rid <> hub"))
-        x, y = (rest.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("rid", "n", "root")]) for p in "xy")
-        near = F.expr(f"x_root < y_root and 100 * least(x_n, y_n) >= {self.percent} * greatest(x_n, y_n)")
-        return x.join(y, "key").filter(near).select(
-            F.least("x_rid", "y_rid").alias("a"), F.greatest("x_rid", "y_rid").alias("b")).distinct()
-
-    def _confirmed(self, name: str, pairs: DataFrame) -> DataFrame:
-        """The pairs whose whole sets are similar enough, as edges ``u, v``."""
+        placed = self.stage.put("placed", stars.join(of, "rid", "left").withColumn("root", F.coalesce("root", "rid")))
+        mixed = placed.groupBy("hub").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("hub")
+        members = placed.join(mixed, "hub", "left_semi")
+        common = F.col("whole") - F.greatest("x_lacks", "y_lacks")  # of the hub's shingles, at most
+        size = F.col("whole") * 2 - F.col("x_lacks") + F.col("x_more") - F.col("y_lacks") + F.col("y_more")
+        apart = "x_root <> y_root and (y_linked or x_rid < y_rid)"
+
+        def side(p: str, rows: DataFrame, *names: str) -> DataFrame:
+            return rows.select("hub", *[F.col(n).alias(f"{p}_{n}") for n in names])
+
+        what = ("rid", "root", "linked", "lacks", "more")
+        each = members.select("hub", "whole", *what, F.explode("extras").alias("extra"))
+        x = each.filter("not linked").select("hub", "extra", "whole", *[F.col(n).alias(f"x_{n}") for n in what])
+        y = each.select("hub", "extra", *[F.col(n).alias(f"y_{n}") for n in what])
+        sharing = (
+            x.join(y, ["hub", "extra"]).filter(apart)
+            .groupBy("hub", "whole", "x_rid", "y_rid", "x_lacks", "x_more", "y_lacks", "y_more").agg(F.count("*").alias("shared"))
+            .filter(self._similar(common + F.col("shared"), size))
+        )
+        sizes = members.select("hub", "whole", "linked", "lacks", "more").distinct()
+        x_sizes = side("x", sizes.filter("not linked"), "lacks", "more").join(sizes.select("hub", "whole").distinct(), "hub")
+        fitting = x_sizes.join(side("y", sizes.select("hub", "lacks", "more").distinct(), "lacks", "more"), "hub").filter(
+            self._similar(common, size))
+        bare = (
+            fitting.join(side("x", members.filter("not linked"), "rid", "root", "lacks", "more"), ["hub", "x_lacks", "x_more"])
+            .join(side("y", members, *what), ["hub", "y_lacks", "y_more"]).filter(apart)
+        )
+        both = sharing.select("x_rid", "y_rid").unionByName(bare.select("x_rid", "y_rid"))
+        return both.select(F.least("x_rid", "y_rid").alias("a"), F.greatest("x_rid", "y_rid").alias("b")).distinct()
+
+    def _likely(self, name: str, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` whose sizes allow a link and whose signature bytes agree often enough."""
         a, b = (self.reps.select(F.col("rid").alias(p), F.col("n").alias(f"{p}_n"), F.col("bytes").alias(f"{p}_bytes")) for p in "ab")
         sized = pairs.join(a, "a").join(b, "b").filter(f"100 * least(a_n, b_n) >= {self.percent} * greatest(a_n, b_n)")
-        likely = self.stage.put(f"{name}_likely", sized.select("a", "b", "a_bytes", "b_bytes").mapInArrow(_agreeing, "a long, b long").distinct())
-        ids = self.stage.put(f"{name}_ids", likely.select(F.explode(F.array("a", "b")).alias("rid")).distinct())
-        wanted = F.broadcast(ids) if fits_broadcast(ids) else ids
-        sets = self.stage.put(f"{name}_sets", shingle_sets(self.texts.join(wanted, "rid", "left_semi"), self.shingle_words))
-        x, y = (sets.select(F.col("rid").alias(p), F.col("shingles").alias(f"{p}_set")) for p in "ab")
+        return self.stage.put(name, sized.select("a", "b", "a_bytes", "b_bytes").mapInArrow(_agreeing, "a long, b long").distinct())
+
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose whole sets are similar enough, as edges ``u, v``."""
+        x, y = (self.sets.select(F.col("rid").alias(p), F.col("shingles").alias(f"{p}_set")) for p in "ab")
         both = F.size(F.array_intersect("a_set", "b_set"))
-        either = F.size("a_set") + F.size("b_set") - F.col("both")
-        links = (
-            likely.join(x, "a").join(y, "b").withColumn("both", both).filter(F.col("both") * 100 >= either * self.percent)
-            .select(F.col("a").alias("u"), F.col("b").alias("v"))
-        )
-        return self.stage.put(f"{name}_links", links)
+        close = self._similar(both, F.size("a_set") + F.size("b_set"))
+        return pairs.join(x, "a").join(y, "b").filter(close).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def groups(docs: DataFrame, stage: Staging, shingle_words: int = 5, percent: int = PERCENT) -> DataFrame:
