@@ -62,8 +62,8 @@ def likeness(x: Column, y: Column, samples: int = SAMPLES) -> Column:
     return sum(same[1:], same[0]) / F.lit(float(samples))
 
 
-def _ranges(docs: DataFrame) -> tuple[Column, Column]:
-    """The range of a doc_id, increasing with it, -1 at null; and the plan's cut of the ids."""
+def _range(docs: DataFrame) -> Column:
+    """The range of a doc_id, increasing with it, -1 at null."""
     found = docs.agg(F.count("*").alias("rows"), F.percentile_approx(
         "doc_id", F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES + 1)]), F.lit(100_000)).alias("cuts")).first()
     cuts = sorted({*(found["cuts"] or [0])})
@@ -75,12 +75,13 @@ def _ranges(docs: DataFrame) -> tuple[Column, Column]:
     low = F.element_at(bounds, place + 1)
     width = F.coalesce(F.try_element_at(bounds, place + 2), low) - low
     inside = F.least(F.lit(parts - 1), F.floor((F.col("doc_id") - low) / (width + 1.0) * parts))
-    return F.coalesce(place * parts + F.greatest(F.lit(0), inside), F.lit(-1)).cast("long"), bounds
+    at = place * parts + F.greatest(F.lit(0), inside)
+    return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at).cast("long")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """``range, place, copy, doc_id, text, next_text``; rows with ``copy`` are their range's last and no result."""
-    at, _ = _ranges(docs)
+    at = _range(docs)
     heads = docs.groupBy(at.alias("range")).agg(F.max("doc_id").alias("head"))
     rising = Window.orderBy("range")  # at most 65,537 rows
     first = F.min("range").over(rising.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

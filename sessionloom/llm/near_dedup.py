@@ -176,7 +176,7 @@ class NearDuplicates:
             .agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).filter("rep < last").select("seq", "rep")
         )
         self.classed = stage.put("classed", salted_left_join(drawn, several, ["seq"], ["doc_id"]).select(
-            "doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), "bands", "bytes"))
+            "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"), "bands", "bytes"))
         self.reps = self.classed.filter("doc_id = rep and bands is not null").select(F.col("rep").alias("rid"), "n", "bands", "bytes")
 
     def groups(self) -> DataFrame:

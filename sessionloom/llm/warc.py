@@ -136,14 +136,15 @@ def decompress(source) -> Iterator[bytes]:
         shared = zstandard.ZstdCompressionDict(source.read(struct.unpack("<II", data)[1]))
         data = b""
     reader = zstandard.ZstdDecompressor(dict_data=shared)
-    frame, out = reader.decompressobj(), []
+    frame, out, inside = reader.decompressobj(), [], False
     while data or (data := source.read(READ_BYTES)):
         out.append(frame.decompress(data))
+        inside = not frame.eof
         data = frame.unused_data if frame.eof else b""
         if frame.eof:
             yield b"".join(out)
             frame, out = reader.decompressobj(), []
-    if any(out):
+    if inside:
         raise ValueError("the archive ends inside a record")
 
 
