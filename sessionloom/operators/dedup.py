@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from sessionloom.operators.skew import salted_left_join
+
 
 def _holds_map(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
@@ -13,13 +15,13 @@ def _holds_map(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def _content_hash(df: DataFrame, ignore: tuple[str, ...]) -> Column:
+def content_hash(df: DataFrame, ignore: tuple[str, ...] = ()) -> Column:
     """Order among rows that tie on everything else; equal hashes mean equal rows."""
     return F.xxhash64(*[f.name for f in df.schema.fields if f.name not in ignore and not _holds_map(f.dataType)])
 
 
 def _first_per_id(df: DataFrame, by: list[str], order_by: list[str], ignore: tuple[str, ...]) -> DataFrame:
-    ordered = Window.partitionBy(*by).orderBy(*order_by, _content_hash(df, ignore))
+    ordered = Window.partitionBy(*by).orderBy(*order_by, content_hash(df, ignore))
     return df.withColumn("_rank", F.row_number().over(ordered)).filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -33,6 +35,20 @@ def duplicate_ids(df: DataFrame, id: str, keys: list[str] | None = None) -> Data
     )
 
 
+def losers(rows: DataFrame, id: str, order_by: list[str], keys: list[str], row: str, repeated: DataFrame) -> DataFrame:
+    """``keys`` and ``row`` of all rows but the first per id, by ``order_by`` and then ``row``.
+
+    ``row`` numbers the rows within ``keys`` and is stored with them, so the survivor is the same
+    whenever it is asked for. ``rows`` needs no other columns; only rows of ``repeated`` ids
+    (from ``duplicate_ids``) are shuffled, an id with many copies is spread over many tasks.
+    """
+    by = [*keys, id]
+    place = F.struct(*order_by, row)
+    copied = rows.join(repeated.select(*by), by, "left_semi")
+    first = copied.groupBy(*by).agg(F.min(place).alias("_first"))
+    return salted_left_join(copied, first, by, [row]).filter(place != F.col("_first")).select(*keys, row)
+
+
 def dedup(
     df: DataFrame, id: str, order_by: list[str], keys: list[str] | None = None, repeated: DataFrame | None = None,
     ignore: tuple[str, ...] = (),

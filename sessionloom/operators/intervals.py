@@ -33,6 +33,18 @@ def _by_bucket(intervals: DataFrame, width: int, within: tuple[Column, Column])
     return intervals.filter(first <= last).withColumn(BUCKET, F.explode(F.sequence(first, last)))
 
 
+def _clipped(intervals: DataFrame, on: list[str]) -> DataFrame:
+    """End an interval where the next start of its key hides it for good.
+
+    From the next start on, the next interval wins if it ends no earlier. So a far-off raw end
+    is listed under the buckets up to the next session only, not up to the end of the window.
+    """
+    rising = Window.partitionBy(*on).orderBy(_LO, _HI, "_payload")
+    following = F.col("_next")
+    until = F.when(following[_HI] >= F.col(_HI), F.least(F.col(_HI), following[_LO])).otherwise(F.col(_HI))
+    return intervals.withColumn("_next", F.lead(F.struct(_LO, _HI)).over(rising)).withColumn(_HI, until).drop("_next")
+
+
 def _visible(intervals: DataFrame, on: list[str], width: int) -> DataFrame:
     """Drop carried-in intervals that can never be the latest one.
 
@@ -79,8 +91,8 @@ def interval_join(
         return F.floor(whole_seconds(c) / bucket_seconds)
 
     if within is None:
-        ends = events.agg(F.min(t).alias("lo"), F.max(t).alias("hi"))
-        within = (ends.select("lo").scalar(), ends.select("hi").scalar())
+        ends = events.agg(F.struct(F.min(t).alias("lo"), F.max(t).alias("hi")).alias("ends")).scalar()
+        within = (ends["lo"], ends["hi"])
     keys = [*on, BUCKET]
     rows = events.withColumn(BUCKET, bucket(F.col(t)))
     found = intervals.select(
@@ -89,6 +101,8 @@ def interval_join(
         shift_seconds(F.col(end), grace).alias(_HI),
         F.struct(*payload).alias("_payload"),
     )
+    if pick == "latest":
+        found = _clipped(found, list(on))
     found = _by_bucket(found, bucket_seconds, (bucket(within[0]), bucket(within[1])))
 
     where = None

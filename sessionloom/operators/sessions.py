@@ -10,6 +10,9 @@ find their session again through a salted equi-join on the block.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sessionloom.functions.times import shift_seconds, utc_time, whole_seconds
@@ -26,7 +29,8 @@ def previous_time(
 
     The lag runs inside short time slices, so that a hot user's rows are spread
     over many tasks; the first row of a slice takes the last time of the slice
-    before it, found on one summary row per slice. Keys and times must not be null.
+    before it, found on one summary row per slice. Null keys form a group of their own;
+    times must not be null.
     """
     sliced = df.withColumn(SLICE, F.floor(whole_seconds(F.col(t)) / slice_seconds))
     inside = Window.partitionBy(*keys, SLICE).orderBy(t, *(tie or []))
@@ -37,7 +41,7 @@ def previous_time(
         .select(*keys, SLICE, F.lag("_last").over(across).alias("_carry"))
     )
     local = sliced.withColumn("_local", F.lag(t).over(inside))
-    joined = left_join(local, carry, [*keys, SLICE])
+    joined = left_join(local, carry, [*keys, SLICE], null_safe=True)
     return joined.withColumn(out, F.coalesce("_local", "_carry")).drop("_local", "_carry", SLICE)
 
 
@@ -105,7 +109,11 @@ def _attach(
     # Every copy in ``found`` stands for at least one row with the same key, so a hashed
     # partition never holds more of it than of the rows, and the rows need no sort.
     hint = "broadcast" if small else "shuffle_hash"
-    return left_join(rows, found, [*keys, BLOCK, SALT], hint=hint).drop(BLOCK, SALT)
+    joined = left_join(rows, found, [*keys, BLOCK, SALT], hint=hint)
+    # Blocks come from the same rows, so only a null key or time may be without one.
+    whole = reduce(and_, [F.col(c).isNotNull() for c in [*keys, BLOCK]])
+    lost = F.raise_error(F.lit("a row has no session block: blocks and rows differ")).cast("long")
+    return joined.withColumn("_seq", F.when(F.col("_seq").isNull() & whole, lost).otherwise(F.col("_seq"))).drop(BLOCK, SALT)
 
 
 def session_sequence(

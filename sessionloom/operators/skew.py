@@ -47,14 +47,14 @@ def copies_made() -> Column:
 def fits_broadcast(df: DataFrame, copies: Column | None = None, max_rows: int = 500_000, max_bytes: int = 256 << 20) -> bool:
     """Whether ``df``, every row taken ``copies`` times, is small enough to broadcast.
 
-    One aggregate over rows and bytes; cheap on a staged table.
+    Rows are counted first; a staged table answers that from its footers or one narrow
+    column. Their bytes are measured only if the rows are few enough.
     """
     times = F.lit(1) if copies is None else copies
+    if df.agg(F.coalesce(F.sum(times), F.lit(0)).alias("rows")).first()["rows"] > max_rows:
+        return False
     width = F.octet_length(F.to_json(F.struct("*")))
-    total = df.agg(
-        F.coalesce(F.sum(times), F.lit(0)).alias("rows"), F.coalesce(F.sum(times * width), F.lit(0)).alias("bytes")
-    ).first()
-    return total["rows"] <= max_rows and total["bytes"] <= max_bytes
+    return df.agg(F.coalesce(F.sum(times * width), F.lit(0)).alias("bytes")).first()["bytes"] <= max_bytes
 
 
 def salts_in(big: DataFrame, on: list[str], by: list[str]) -> DataFrame:
@@ -74,13 +74,18 @@ def salted_left_join(
 
 
 def left_join(
-    big: DataFrame, small: DataFrame, on: list[str], where: Column | None = None, hint: str | None = None
+    big: DataFrame, small: DataFrame, on: list[str], where: Column | None = None, hint: str | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Left join on equal names plus a residual condition, key columns taken from ``big``."""
+    """Left join on equal names plus a residual condition, key columns taken from ``big``.
+
+    ``null_safe`` lets null keys meet null keys.
+    """
     right = small.withColumnsRenamed({c: f"_r_{c}" for c in on})
     if hint:
         right = right.hint(hint)
     cond = where if where is not None else F.lit(True)
     for c in on:
-        cond = (F.col(c) == F.col(f"_r_{c}")) & cond
+        same = F.col(c).eqNullSafe(F.col(f"_r_{c}")) if null_safe else F.col(c) == F.col(f"_r_{c}")
+        cond = same & cond
     return big.join(right, cond, "left").drop(*[f"_r_{c}" for c in on])

@@ -31,14 +31,14 @@ from sessionloom.sources.reader import date_range, time_window
 ZONE = "Asia/Kolkata"
 GAP = 1800
 LONG_GAP = 21_600
-EVERYTHING = RunWindow("2023-12-31", "2024-02-01")
 TENANTS = [Tenant(f"tenant_{i}", str(i)) for i in range(3)]
 
 
-def everywhen() -> tuple[Column, Column]:
-    """Bounds that cover the local time of every event."""
-    lo, hi = (F.lit(d).cast("timestamp_ntz") for d in (EVERYTHING.day, EVERYTHING.next_day))
-    return lo, hi
+def everything(spark: SparkSession, sf_dir: str) -> RunWindow:
+    """Days that cover the local time of every event, a day wider on each side."""
+    days = F.col("ts").cast("date")
+    ends = events(spark, sf_dir).agg(F.date_sub(F.min(days), 1).alias("lo"), F.date_add(F.max(days), 2).alias("hi")).first()
+    return RunWindow(str(ends["lo"]), str(ends["hi"])) if ends["lo"] else RunWindow("1970-01-01", "1970-01-02")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def click_lookup(clicks: DataFrame) -> DataFrame:
 
 def enriched(clicks: DataFrame) -> DataFrame:
     return assign_sessions(
-        known(clicks), click_lookup(clicks), "x", "t", pick="latest", salt_by=["t", "_id"], within=everywhen()
+        known(clicks), click_lookup(clicks), "x", "t", pick="latest", salt_by=["t", "_id"]
     )
 
 
@@ -166,10 +166,8 @@ def session_bounds_grace(spark, sf_dir):
 
 def row_durations(spark, sf_dir):
     df = local_events(spark, sf_dir).withColumn("given_end", shift_seconds(F.col("t"), 90))
-    open_end = row_duration(df, "t", "session_end").select("event_id", F.col("session_duration").alias("open_seconds"))
-    return open_end.join(
-        row_duration(df, "t", "given_end").select("event_id", F.col("session_duration").alias("given_seconds")), "event_id"
-    )
+    df = row_duration(df, "t", "session_end", out="open_seconds")
+    return row_duration(df, "t", "given_end", out="given_seconds").select("event_id", "open_seconds", "given_seconds")
 
 
 # -- quality and time -------------------------------------------------------
@@ -253,7 +251,7 @@ def interval_overlaps(spark, sf_dir):
     clicks = staged_clicks(spark, sf_dir)
     return interval_join(
         known(clicks), click_lookup(clicks), {"x": "sess_user"}, "t", "sess_start", "sess_end",
-        ["session_id"], salt_by=["t", "_id"], within=everywhen(),
+        ["session_id"], salt_by=["t", "_id"],
     ).select("_id", "session_id")
 
 
@@ -261,7 +259,7 @@ def interval_latest(spark, sf_dir):
     clicks = staged_clicks(spark, sf_dir)
     return interval_join(
         known(clicks), click_facts(clicks), {"x": "x"}, "t", "session_start_ts", "session_end_ts",
-        ["session_id", "session_start_ts"], pick="latest", grace=60, salt_by=["t", "_id"], within=everywhen(),
+        ["session_id", "session_start_ts"], pick="latest", grace=60, salt_by=["t", "_id"],
     ).select("_id", "session_id", "session_start_ts")
 
 
@@ -432,7 +430,7 @@ def _raw_tables(spark, sf_dir) -> Source:
 
 def _run(spark, sf_dir, **options) -> RunResult:
     require_utc(spark)
-    options = {"window": EVERYTHING, **options}
+    options = {"window": everything(spark, sf_dir), **options}
     return run(spark, _raw_tables(spark, sf_dir), TENANTS, Staging(spark, "target").folder("out"), **options)
 
 

@@ -114,7 +114,7 @@ audit AS (
   UNION ALL SELECT tenant, 'fingerprint_v2', total, ua, bots, ident, 0, kept, 0 FROM base)"""
 
 AUDIT_COLUMNS = """
-  tenant AS client_name, tab AS source_table, 'SUCCESS' AS status, DATE '2023-12-31' AS run_date, false AS is_full_load,
+  tenant AS client_name, tab AS source_table, 'SUCCESS' AS status, (SELECT CAST(min(ts) AS DATE) - 1 FROM events) AS run_date, false AS is_full_load,
   CAST(rows_read AS BIGINT) AS rows_read_raw, CAST(ua AS BIGINT) AS null_user_agent_dropped,
   CAST(bots AS BIGINT) AS bots_dropped, CAST(ident AS BIGINT) AS invalid_identity_dropped,
   CAST(0 AS BIGINT) AS mongo_filter_leak_dropped, CAST(orph AS BIGINT) AS orphans_dropped,
@@ -245,7 +245,7 @@ SELECT tenant, CASE WHEN event_id % 13 <> 0 THEN _id END AS mongo_id, t AS event
 FROM child WHERE hit IS NOT NULL""",
     "full_load_run": f"""WITH {RAW}
 SELECT 'tenant_' || CAST(uid % 3 AS VARCHAR) AS client_name, 'nudge_responses_v2' AS source_table, 'SUCCESS' AS status,
-       DATE '2023-12-31' AS run_date, true AS is_full_load, 2 * count(*) AS rows_read_raw, CAST(0 AS BIGINT) AS null_user_agent_dropped,
+       (SELECT CAST(min(ts) AS DATE) - 1 FROM events) AS run_date, true AS is_full_load, 2 * count(*) AS rows_read_raw, CAST(0 AS BIGINT) AS null_user_agent_dropped,
        CAST(0 AS BIGINT) AS bots_dropped, 2 * count(*) FILTER (bad) AS invalid_identity_dropped,
        CAST(0 AS BIGINT) AS mongo_filter_leak_dropped, CAST(0 AS BIGINT) AS orphans_dropped,
        2 * count(*) FILTER (NOT bad) - count(*) FILTER (NOT bad AND event_id % 13 <> 0) AS final_rows_written,

@@ -34,6 +34,8 @@ TENANT = "tenant"
 USER = "_user"
 ENRICH = "_enrich"
 SPREAD = "_spread"
+CONTENT = "_content"
+ORPHAN = "_orphan"
 TIME = "event_timestamp_local"
 ID = "mongo_id"
 EXTRA_TIMES = ("created_at", "session_start", "session_end_raw")
@@ -170,19 +172,22 @@ class _Job:
             rows = self._sessions(kept) if spec.is_session else self._enriched(kept, spec)
             stage = "WRITE"
             final = self._final(rows)
-            counts = self._store(final, spec.target, ready, spec.full_load)
+            counts, orphans = self._store(final, spec.target, ready, spec.full_load)
         except Exception as e:  # a failing table must not stop the run
             for name in ready:
                 self.audit.fail(name, spec.target, stage, e)
             return
         for name in ready:
             kept_n, repeat_n, out_n = kept_counts.get(name, 0), repeats.get(name, 0), counts.get(name, 0)
-            orphans = kept_n - repeat_n - out_n if spec.needs_session else 0
+            orphan_n = orphans.get(name, 0)
             self.audit.count(
-                name, spec.target, duplicate_mongo_id_dropped=repeat_n, orphans_dropped=orphans, final_rows_written=out_n
+                name, spec.target, duplicate_mongo_id_dropped=repeat_n, orphans_dropped=orphan_n, final_rows_written=out_n
             )
+            if kept_n != repeat_n + orphan_n + out_n:  # each figure is counted on its own
+                lost = kept_n - repeat_n - orphan_n - out_n
+                self.audit.fail(name, spec.target, "WRITE", f"{lost} of {kept_n} kept rows are neither written nor dropped")
             self.audit.close(name, spec.target, kept_n)
-        result = self.written.get(spec.target, final)
+        result = self.written.get(spec.target, final.filter(~F.col(ORPHAN)).drop(ORPHAN) if ORPHAN in final.columns else final)
         if spec.is_session:
             self.sessions, self.session_ready = result, ready
         elif spec.is_activity:
@@ -196,7 +201,7 @@ class _Job:
                 raw = read_table(self.spark, self.source, t, spec)
                 shaped = shape_table(raw, spec, self.rules, None if spec.full_load else self.bounds, self.renames)
                 # Written to the staged table and read from there on, so every later use sees the same number.
-                numbered = shaped.withColumn(SPREAD, F.monotonically_increasing_id())
+                numbered = shaped.withColumns({CONTENT: copies.content_hash(shaped), SPREAD: F.monotonically_increasing_id()})
                 frames[t.name] = numbered.withColumn(TENANT, F.lit(t.name))
             except Unreadable as e:
                 self.audit.fail(t.name, spec.target, "READ", e)
@@ -234,16 +239,24 @@ class _Job:
         return kept
 
     def _unique(self, kept: DataFrame, spec: TableSpec) -> tuple[DataFrame, dict[str, int]]:
-        """Deduplicate by record id; only rows that have copies are shuffled when those are few."""
+        """Deduplicate by record id: the losers' row numbers are found on narrow columns and staged.
+
+        Every later use of the survivors anti-joins that table, so all uses see the same rows,
+        whatever the join strategy and arrival order.
+        """
         if not self.rules.deduplicate or ID not in kept.columns:
-            return kept, {}
+            return kept.drop(CONTENT), {}
         repeated = self.staging.put(f"{spec.target}-repeated", copies.duplicate_ids(kept, ID, [TENANT]))
         extra = repeated.groupBy(TENANT).agg(F.sum(F.col("copies") - 1).alias("n")).collect()  # one row per tenant
         counts = {r[TENANT]: r["n"] for r in extra}
         if not counts:
-            return kept, counts
-        few = repeated if fits_broadcast(repeated, max_rows=self.rules.broadcast_rows) else None
-        return copies.dedup(kept, ID, [TIME], [TENANT], repeated=few, ignore=(SPREAD,)), counts
+            return kept.drop(CONTENT), counts
+        narrow = kept.filter(F.col(ID).isNotNull()).select(TENANT, ID, TIME, CONTENT, SPREAD)
+        gone = copies.losers(narrow, ID, [TIME, CONTENT], [TENANT], SPREAD, repeated)
+        gone = self.staging.put(f"{spec.target}-losers", gone)
+        if fits_broadcast(gone, max_rows=self.rules.broadcast_rows):
+            gone = F.broadcast(gone)
+        return kept.drop(CONTENT).join(gone, [TENANT, SPREAD], "left_anti").select(*kept.drop(CONTENT).columns), counts
 
     # -- sessions and enrichment ------------------------------------------
 
@@ -279,13 +292,13 @@ class _Job:
         joined = F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants)
         rows = rows.withColumn("session_id", F.when(joined, F.col("session_id")))
         if spec.needs_session and self.rules.quality:
-            rows = rows.filter(F.col("is_session_assigned") | ~joined)
+            rows = rows.withColumn(ORPHAN, ~F.col("is_session_assigned") & joined)
         return rows
 
     # -- sinks -------------------------------------------------------------
 
     def _final(self, rows: DataFrame) -> DataFrame:
-        final = shape.finalize_times(rows.drop(USER, ENRICH, SPREAD, "drop_reason"), EXTRA_TIMES)
+        final = shape.finalize_times(rows.drop(USER, ENRICH, SPREAD, CONTENT, "drop_reason"), EXTRA_TIMES)
         final = shape.fix_void(shape.enforce_schema(final, CASTS) if self.rules.enforce_types else final)
         return shape.add_ymd(final) if "year" in self.by else final
 
@@ -298,17 +311,30 @@ class _Job:
         mine = F.col(TENANT).isin([t.name for t in self.tenants])
         return stored.filter(mine & day.between(F.lit(self.days[0]), F.lit(self.days[-1])))
 
-    def _store(self, final: DataFrame, name: str, ready: list[str], full_load: bool = False) -> dict[str, int]:
-        """Write ``final`` and return the rows per tenant; emptied days of the window are cleared."""
+    def _store(
+        self, final: DataFrame, name: str, ready: list[str], full_load: bool = False
+    ) -> tuple[dict[str, int], dict[str, int]]:
+        """Write ``final`` but for its orphans; the rows written and the orphans, per tenant.
+
+        Emptied days of the window are cleared.
+        """
+        orphan = F.col(ORPHAN) if ORPHAN in final.columns else F.lit(False)
         if self.dry_run:
-            return self._per_tenant(final)
+            return self._per_tenant(final.filter(~orphan)), self._per_tenant(final.filter(orphan))
         seen = Observation()
-        marked = final.observe(seen, F.collect_set(F.struct(*self.by)).alias("partitions"))
-        sinks.write_partitions(marked, f"{self.target}/{name}", self.by, max_files=self.max_files)
+        of = {f"orphans_{i}": t.name for i, t in enumerate(self.tenants)}  # one figure per tenant
+        marked = final.observe(
+            seen, F.collect_set(F.when(~orphan, F.struct(*self.by))).alias("partitions"),
+            *[F.count_if(orphan & (F.col(TENANT) == t)).alias(c) for c, t in of.items()],
+        )
+        final = final.drop(ORPHAN)
+        sinks.write_partitions(marked.filter(~orphan).drop(ORPHAN), f"{self.target}/{name}", self.by, max_files=self.max_files)
         if full_load:
             self.written[name] = self.spark.read.schema(final.schema).parquet(f"{self.target}/{name}")
-            return self._per_tenant(final)
+            return self._per_tenant(self.written[name].filter(F.col(TENANT).isin([t.name for t in self.tenants]))), {}
         touched = self._touched(seen, final)
+        orphans = {t: seen.get[c] for c, t in of.items()} if touched is not None else {}
+        touched = touched or set()
         stored = self._read_back(final.schema, name)
         counts: dict[str, int] = {}
         for row in stored.groupBy(*self.by).count().collect():  # one row per tenant and day
@@ -319,16 +345,16 @@ class _Job:
                 values = {c: str(v) for c, v in zip(self.by, part)}
                 sinks.clear_partition(self.spark, f"{self.target}/{name}", final.schema, values)
         self.written[name] = self._read_back(final.schema, name)
-        return counts
+        return counts, orphans
 
     @staticmethod
-    def _touched(seen: Observation, final: DataFrame) -> set[tuple]:
-        """Partitions a finished write had rows for: at most one per tenant and day."""
+    def _touched(seen: Observation, final: DataFrame) -> set[tuple] | None:
+        """Partitions a finished write had rows for, at most one per tenant and day; None without any row."""
         try:
             return {tuple(p) for p in seen.get["partitions"]}
         except Exception:  # an empty plan is optimised away together with its metric
             if final.isEmpty():
-                return set()
+                return None
             raise
 
     @staticmethod
