@@ -240,34 +240,48 @@ class NearDuplicates:
         of = labels.select(F.col("node").alias("rid"), "root")
         placed = self.stage.put("placed", stars.join(of, "rid", "left").withColumn("root", F.coalesce("root", "rid")))
         mixed = placed.groupBy("hub").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("hub")
-        members = placed.join(mixed, "hub", "left_semi")
-        common = F.col("whole") - F.greatest("x_lacks", "y_lacks")  # of the hub's shingles, at most
-        size = F.col("whole") * 2 - F.col("x_lacks") + F.col("x_more") - F.col("y_lacks") + F.col("y_more")
+        members = self.stage.put("members", placed.join(mixed, "hub", "left_semi"))
         apart = "x_root <> y_root and (y_linked or x_rid < y_rid)"
+        what = ("rid", "root", "linked", "lacks", "more")
 
-        def side(p: str, rows: DataFrame, *names: str) -> DataFrame:
-            return rows.select("hub", *[F.col(n).alias(f"{p}_{n}") for n in names])
+        def side(p: str, rows: DataFrame, *names: str, also: tuple[str, ...] = ()) -> DataFrame:
+            return rows.select("hub", *also, *[F.col(n).alias(f"{p}_{n}") for n in names])
+
+        # What sizes can meet, and how many extras they then share at least.
+        sizes = members.groupBy("hub", "whole", "lacks", "more").agg(F.bool_or(~F.col("linked")).alias("loose"))
+        meets = side("x", sizes.filter("loose"), "lacks", "more", also=("whole",)).join(side("y", sizes, "lacks", "more"), "hub")
+        meets = meets.withColumn("need", self._needed()).filter("need <= least(x_more, y_more)")
+        ends = [meets.select("hub", "need", F.col(f"{p}_lacks").alias("lacks"), F.col(f"{p}_more").alias("more")) for p in "xy"]
+        least = ends[0].unionByName(ends[1]).groupBy("hub", "lacks", "more").agg(F.greatest(F.min("need"), F.lit(1)).alias("least"))
+
+        # Members that share n extras share one of the first e - n + 1 of either, in one order for all.
+        head = F.slice(F.array_sort("extras"), F.lit(1), F.greatest(F.lit(0), F.col("more") - F.col("least") + 1).cast("int"))
+        each = members.join(least, ["hub", "lacks", "more"]).select("hub", "whole", *what, F.explode(head).alias("extra"))
+        x = side("x", each.filter("not linked"), *what, also=("extra", "whole"))
+        y = side("y", each, *what, also=("extra",))
+        fits = self._needed() <= F.least("x_more", "y_more")
+        tried = x.join(y, ["hub", "extra"]).filter(F.expr(apart) & fits).select("hub", "x_rid", "y_rid").distinct()
+        given = tried.join(side("x", members, "rid", "extras", "lacks", "more", also=("whole",)), ["hub", "x_rid"])
+        given = given.join(side("y", members, "rid", "extras", "lacks", "more"), ["hub", "y_rid"])
+        sharing = given.filter(F.size(F.array_intersect("x_extras", "y_extras")) >= self._needed())
 
-        what = ("rid", "root", "linked", "lacks", "more")
-        each = members.select("hub", "whole", *what, F.explode("extras").alias("extra"))
-        x = each.filter("not linked").select("hub", "extra", "whole", *[F.col(n).alias(f"x_{n}") for n in what])
-        y = each.select("hub", "extra", *[F.col(n).alias(f"y_{n}") for n in what])
-        sharing = (
-            x.join(y, ["hub", "extra"]).filter(apart)
-            .groupBy("hub", "whole", "x_rid", "y_rid", "x_lacks", "x_more", "y_lacks", "y_more").agg(F.count("*").alias("shared"))
-            .filter(self._similar(common + F.col("shared"), size))
-        )
-        sizes = members.select("hub", "whole", "linked", "lacks", "more").distinct()
-        x_sizes = side("x", sizes.filter("not linked"), "lacks", "more").join(sizes.select("hub", "whole").distinct(), "hub")
-        fitting = x_sizes.join(side("y", sizes.select("hub", "lacks", "more").distinct(), "lacks", "more"), "hub").filter(
-            self._similar(common, size))
         bare = (
-            fitting.join(side("x", members.filter("not linked"), "rid", "root", "lacks", "more"), ["hub", "x_lacks", "x_more"])
+            meets.filter("need <= 0").select("hub", "x_lacks", "x_more", "y_lacks", "y_more")
+            .join(side("x", members.filter("not linked"), "rid", "root", "lacks", "more"), ["hub", "x_lacks", "x_more"])
             .join(side("y", members, *what), ["hub", "y_lacks", "y_more"]).filter(apart)
         )
         both = sharing.select("x_rid", "y_rid").unionByName(bare.select("x_rid", "y_rid"))
         return both.select(F.least("x_rid", "y_rid").alias("a"), F.greatest("x_rid", "y_rid").alias("b")).distinct()
 
+    def _needed(self) -> Column:
+        """Extras that members of these sizes have in common at least if they are linked; none if not positive.
+
+        Linked sets have at least p / (100 + p) of their two sizes' sum in common, and of the
+        hub's shingles at most ``whole - max(lacks)``.
+        """
+        size = F.col("whole") * 2 - F.col("x_lacks") + F.col("x_more") - F.col("y_lacks") + F.col("y_more")
+        return F.ceil(size * self.percent / (100 + self.percent) - 1e-9) - (F.col("whole") - F.greatest("x_lacks", "y_lacks"))
+
     def _likely(self, name: str, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` whose sizes allow a link and whose signature bytes agree often enough."""
         a, b = (self.reps.select(F.col("rid").alias(p), F.col("n").alias(f"{p}_n"), F.col("bytes").alias(f"{p}_bytes")) for p in "ab")
