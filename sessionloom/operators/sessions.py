@@ -112,8 +112,10 @@ def _attach(
     joined = left_join(rows, found, [*keys, BLOCK, SALT], hint=hint)
     # Blocks come from the same rows, so only a null key or time may be without one.
     whole = reduce(and_, [F.col(c).isNotNull() for c in [*keys, BLOCK]])
-    lost = F.raise_error(F.lit("a row has no session block: blocks and rows differ")).cast("long")
-    return joined.withColumn("_seq", F.when(F.col("_seq").isNull() & whole, lost).otherwise(F.col("_seq"))).drop(BLOCK, SALT)
+    lost = F.col("_seq").isNull() & whole
+    error = F.raise_error(F.lit("a row has no session block: blocks and rows differ"))
+    checked = {c: F.when(lost, error).otherwise(F.col(c)) for c in ("_seq", "_start", "_end")}
+    return joined.withColumns(checked).drop(BLOCK, SALT)
 
 
 def session_sequence(

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sessionloom import sinks
 from sessionloom.config import (
-    RENAMES, SEQUENCE_RENAMES, SEQUENCE_SPECS, Rules, RunWindow, Source, TableSpec, Tenant,
+    RENAMES, SEQUENCE_RENAMES, SEQUENCE_SPECS, SPECS, Rules, RunWindow, Source, TableSpec, Tenant,
 )
+from sessionloom.functions.identity import BOT_WORDS
 from sessionloom.functions.times import local_day_bounds, shift_seconds
 from sessionloom.operators import quality, shape
 from sessionloom.operators.dedup import dedup
@@ -26,7 +27,7 @@ from sessionloom.operators.sessions import (
 from sessionloom.plans.audit import AUDIT_SCHEMA, COUNTERS
 from sessionloom.plans.pipeline import RunResult, run
 from sessionloom.session import Staging, require_utc
-from sessionloom.sources.reader import date_range, time_window
+from sessionloom.sources.reader import date_range, read_table, time_window
 
 ZONE = "Asia/Kolkata"
 GAP = 1800
@@ -195,6 +196,15 @@ def quality_kept(spark, sf_dir):
     return kept(timed_clicks(spark, sf_dir)).select("_id", "x", "t", "date")
 
 
+def every_bot_word(spark, sf_dir):
+    """All fragments that mark an agent as automated, in three spellings, between two browsers."""
+    words = F.array(*[F.lit(w) for w in (*BOT_WORDS, "Firefox/121.0", "Safari/605")])
+    word = F.element_at(words, (_mod(len(BOT_WORDS) + 2) + 1).cast("int"))
+    spelled = F.when(_mod(3) == 0, F.upper(word)).when(_mod(3) == 1, F.initcap(word)).otherwise(word)
+    df = events(spark, sf_dir).select("event_id", F.concat(F.lit("Mozilla/5.0 ("), spelled, F.lit(")")).alias("agent"))
+    return quality.tag_quality(df, "agent", None).select("event_id", "agent", F.coalesce(F.col("drop_reason"), F.lit("none")).alias("reason"))
+
+
 def audit_by_tenant(spark, sf_dir):
     return quality.audit_counts(_tagged(spark, sf_dir))
 
@@ -387,6 +397,24 @@ def full_refresh(spark, sf_dir):
     return _write_and_redo(spark, sf_dir, "all")
 
 
+def bounded_files(spark, sf_dir):
+    """At most so many files per partition as asked for."""
+    path = Staging(spark, "sink").folder("few")
+    rows = _day_rows(spark, sf_dir)
+    sinks.write_partitions(rows.repartition(16), path, ["year", "month", "day"], max_files=4)
+    stored = spark.read.schema(rows.schema).parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    return stored.groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("rows"), (F.count_distinct("file") <= 4).alias("bounded"))
+
+
+def forced_text(spark, sf_dir):
+    """A numeric raw column read as text."""
+    folder = Staging(spark, "raw").folder("typed")
+    events(spark, sf_dir).select("event_id", F.col("user_id").alias("who")).write.parquet(f"{folder}/0_clicks")
+    spec = TableSpec("clicks", "clicks", force_string=("who",))
+    return read_table(spark, Source("parquet", {}, location=folder + "/{prefix}_{suffix}"), TENANTS[0], spec)
+
+
 def append_audit(spark, sf_dir):
     """The counters of ``audit_by_tenant`` as audit rows, appended twice and read back."""
     path = Staging(spark, "sink").folder("audit")
@@ -478,6 +506,70 @@ def sequence_run(spark, sf_dir):
     return stored
 
 
+def _session_table(spark, sf_dir, change: Callable[[DataFrame], DataFrame]) -> Source:
+    """Write a changed raw session table of three tenants."""
+    clicks = raw_clicks(spark, sf_dir).withColumnsRenamed(
+        {"created_at": "createdAt", "session_end_raw": "sessionEnd", "user_agent": "userAgent"})
+    table = clicks.select(
+        (F.col("uid") % 3).cast("string").alias("prefix"), "fingerprint", "user_id", "createdAt", "_id", "sessionEnd", "userAgent")
+    folder = Staging(spark, "raw").folder("sessions")
+    change(table).write.partitionBy("prefix").parquet(f"{folder}/user_sessions_v2")
+    return Source("parquet", {}, location=folder + "/{suffix}/prefix={prefix}")
+
+
+def _session_run(spark, sf_dir, source: Source, tenants: list[Tenant] = TENANTS, **options) -> RunResult:
+    specs = tuple(s for s in SPECS if s.is_session)
+    target = Staging(spark, "target").folder("out")
+    return run(spark, source, tenants, target, everything(spark, sf_dir), specs=specs, **options)
+
+
+def duplicate_run(spark, sf_dir):
+    """Every session record three times in different files and some once more with a later time.
+
+    Run twice, with and without broadcasts: the survivors and their sessions are the same.
+    """
+
+    def copies(table: DataFrame) -> DataFrame:
+        later = table.filter(F.col("_id").cast("long") % 10 == 0).withColumn("createdAt", F.col("createdAt") + F.expr("interval 10 minutes"))
+        return table.repartition(3).unionByName(table.repartition(5, "_id")).unionByName(later).unionByName(table)
+
+    source = _session_table(spark, sf_dir, copies)
+    runs = [
+        _session_run(spark, sf_dir, source, rules=Rules.daily(broadcast_rows=n, build_master=False)).tables["user_sessions_v2"]
+        .select(F.lit(n).alias("broadcast_rows"), "tenant", "mongo_id", "session_id", "session_label", "session_end")
+        for n in (0, 500_000)
+    ]
+    return runs[0].unionByName(runs[1])
+
+
+def bad_times_run(spark, sf_dir):
+    """Text times, some of which name no time and some of which lie outside the window."""
+    number = F.col("_id").cast("long")
+    later = (F.col("createdAt") + F.expr("interval 400 days")).cast("string")
+    text = F.when(number % 31 == 0, "some day").when(number % 37 == 0, later).otherwise(F.col("createdAt").cast("string"))
+    source = _session_table(spark, sf_dir, lambda t: t.withColumn("createdAt", text))
+    return _audit_view(_session_run(spark, sf_dir, source, rules=Rules.daily(build_master=False)))
+
+
+def faulty_tenant_run(spark, sf_dir):
+    """Beside the three tenants one without a table, one without its time column, one without rows and columns."""
+    source = _session_table(spark, sf_dir, lambda t: t)
+    root = source.location.split("/{suffix}")[0] + "/user_sessions_v2"
+    rows = raw_clicks(spark, sf_dir)
+    rows.select("_id", "fingerprint").write.parquet(f"{root}/prefix=7")
+    rows.select("_id").filter("false").write.parquet(f"{root}/prefix=8")
+    tenants = [*TENANTS, Tenant("untimed", "7"), Tenant("empty", "8"), Tenant("missing", "9")]
+    result = _session_run(spark, sf_dir, source, tenants, rules=Rules.daily(build_master=False))
+    return result.audit.select("client_name", "source_table", "status", "stage_failed", "final_rows_written")
+
+
+def master_by_fingerprint(spark, sf_dir):
+    """Session facts per session and device."""
+    result = _session_run(spark, sf_dir, _session_table(spark, sf_dir, lambda t: t), rules=Rules.daily(master_user="fingerprint"))
+    return result.tables["session_master"].select(
+        "tenant", "session_id", "fingerprint", "date", "session_start_ts", "session_end_ts", "event_count", "scroll_count")
+
+
 def multi_tenant_sessions(spark, sf_dir):
     df = kept(timed_clicks(spark, sf_dir)).withColumn("tenant", F.concat(F.lit("tenant_"), (F.col("uid") % 3).cast("string")))
     blocks = session_blocks(df, ["tenant", "x", "date"], "t", GAP, "session_end_raw_local", ["t", "_id"])
@@ -506,6 +598,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "identity_resolved": identity_resolved,
     "quality_counts": quality_counts,
     "quality_kept": quality_kept,
+    "every_bot_word": every_bot_word,
     "audit_by_tenant": audit_by_tenant,
     "local_day_window": local_day_window,
     "day_range": day_range,
@@ -532,6 +625,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ymd_partitions": ymd_partitions,
     "overwrite_one_day": overwrite_one_day,
     "full_refresh": full_refresh,
+    "bounded_files": bounded_files,
+    "forced_text": forced_text,
     "append_audit": append_audit,
     "multi_tenant_sessions": multi_tenant_sessions,
     "tenant_run": tenant_run,
@@ -541,4 +636,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dry_run": dry_run,
     "full_load_run": full_load_run,
     "sequence_run": sequence_run,
+    "duplicate_run": duplicate_run,
+    "bad_times_run": bad_times_run,
+    "faulty_tenant_run": faulty_tenant_run,
+    "master_by_fingerprint": master_by_fingerprint,
 }

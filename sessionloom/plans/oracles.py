@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from sessionloom.functions.identity import BOT_WORDS
+
+BOTS = "[" + ", ".join(f"'{w}'" for w in (*BOT_WORDS, "Firefox/121.0", "Safari/605")) + "]"
+
 LOCAL = """
 ev AS (
   SELECT *, ts + INTERVAL 330 MINUTE AS t, CAST(ts + INTERVAL 330 MINUTE AS DATE) AS date FROM events)"""
@@ -243,6 +247,40 @@ SELECT tenant, CASE WHEN event_id % 13 <> 0 THEN _id END AS mongo_id, t AS event
        true AS is_session_assigned, '{{"timestamp":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","kind":"' || activity || '"}}' AS details,
        CAST(year(date) AS INTEGER) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day
 FROM child WHERE hit IS NOT NULL""",
+    "every_bot_word": f"""WITH a AS (
+  SELECT event_id, {BOTS}[1 + event_id % {len(BOT_WORDS) + 2}] AS word FROM events),
+b AS (
+  SELECT event_id, 'Mozilla/5.0 (' || CASE event_id % 3 WHEN 0 THEN upper(word) WHEN 1 THEN upper(word[1]) || lower(word[2:]) ELSE word END || ')' AS agent
+  FROM a)
+SELECT event_id, agent, CASE WHEN len(list_filter({BOTS}[:{len(BOT_WORDS)}], lambda w: contains(lower(agent), w))) > 0 THEN 'bot' ELSE 'none' END AS reason
+FROM b""",
+    "bounded_files": f"""WITH {LOCAL}
+SELECT CAST(year(date) AS INTEGER) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day, count(*) AS rows, true AS bounded
+FROM ev GROUP BY date""",
+    "forced_text": "SELECT event_id, CAST(user_id AS VARCHAR) AS who FROM events",
+    "duplicate_run": f"""WITH {SESSIONS}
+SELECT m.b AS broadcast_rows, s.tenant, _id AS mongo_id, session_id, session_label, en AS session_end
+FROM s JOIN sess USING (tenant, x, date, seq), (VALUES (0), (500000)) AS m(b)""",
+    "bad_times_run": f"""WITH {CLICKS},
+timed AS (
+  SELECT *, CASE WHEN reason IS NOT NULL THEN reason WHEN event_id % 31 = 0 THEN 'null_time' WHEN event_id % 37 = 0 THEN 'leak' END AS why
+  FROM tagged)
+SELECT tenant AS client_name, 'user_sessions_v2' AS source_table, 'SUCCESS' AS status,
+       (SELECT CAST(min(ts) AS DATE) - 1 FROM events) AS run_date, false AS is_full_load, count(*) AS rows_read_raw,
+       count(*) FILTER (why = 'null_user_agent') AS null_user_agent_dropped, count(*) FILTER (why = 'bot') AS bots_dropped,
+       count(*) FILTER (why = 'invalid_identity') AS invalid_identity_dropped, count(*) FILTER (why = 'leak') AS mongo_filter_leak_dropped,
+       CAST(0 AS BIGINT) AS orphans_dropped, count(*) FILTER (why IS NULL) AS final_rows_written,
+       count(*) FILTER (why = 'null_time') AS null_timestamp_dropped, CAST(0 AS BIGINT) AS duplicate_mongo_id_dropped
+FROM timed GROUP BY tenant""",
+    "faulty_tenant_run": f"""WITH {CLICKS}
+SELECT tenant AS client_name, 'user_sessions_v2' AS source_table, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS stage_failed,
+       count(*) AS final_rows_written FROM kept GROUP BY tenant
+UNION ALL VALUES ('untimed', 'user_sessions_v2', 'FAILED', 'TIMESTAMP', 0), ('empty', 'user_sessions_v2', 'EMPTY', NULL, 0),
+  ('missing', 'user_sessions_v2', 'FAILED', 'READ', 0)""",
+    "master_by_fingerprint": f"""WITH {SESSIONS}
+SELECT s.tenant, session_id, fingerprint, s.date, min(t) AS session_start_ts, max(en) AS session_end_ts, count(*) AS event_count,
+       CAST(0 AS BIGINT) AS scroll_count
+FROM s JOIN sess USING (tenant, x, date, seq) GROUP BY s.tenant, session_id, fingerprint, s.date""",
     "full_load_run": f"""WITH {RAW}
 SELECT 'tenant_' || CAST(uid % 3 AS VARCHAR) AS client_name, 'nudge_responses_v2' AS source_table, 'SUCCESS' AS status,
        (SELECT CAST(min(ts) AS DATE) - 1 FROM events) AS run_date, true AS is_full_load, 2 * count(*) AS rows_read_raw, CAST(0 AS BIGINT) AS null_user_agent_dropped,

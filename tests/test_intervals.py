@@ -154,3 +154,16 @@ def test_identical_events_still_match(spark):
     s = spark.createDataFrame([("s1", "hot", at(0), at(5000))], "sid string, who string, lo timestamp_ntz, hi timestamp_ntz")
     out = join(e, s, pick="latest", salt_by=["t", "id"])
     assert out.filter("sid = 's1'").count() == 1500
+
+
+def test_far_off_ends_make_few_copies(spark):
+    """Sessions that claim to last until 2099 are listed up to the next session only."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [("u", f"s{i}", start + dt.timedelta(hours=5 * i), dt.datetime(2099, 1, 1) + dt.timedelta(minutes=i)) for i in range(1700)]
+    intervals = spark.createDataFrame(rows, "sess_user string, session_id string, sess_start timestamp_ntz, sess_end timestamp_ntz")
+    found = intervals.select(F.col("sess_user").alias("u"), F.col("sess_start").alias(I._LO), F.col("sess_end").alias(I._HI), F.struct("session_id").alias("_payload"))
+    within = tuple(F.floor(F.unix_timestamp(F.lit(str(d)).cast("timestamp")) / 21600) for d in (start, dt.datetime(2025, 1, 1)))
+    assert I._by_bucket(I._clipped(found, ["u"]), 21600, within).count() <= 3 * 1700
+    events = spark.createDataFrame([("u", start + dt.timedelta(hours=h, minutes=7)) for h in range(0, 8000, 13)], "u string, t timestamp_ntz")
+    got = I.interval_join(events, intervals, {"u": "sess_user"}, "t", "sess_start", "sess_end", ["session_id"], pick="latest").collect()
+    assert all(r["session_id"] == f"s{int((r['t'] - start).total_seconds() // 18000)}" for r in got) and len(got) == 616

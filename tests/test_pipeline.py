@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from sessionloom import sinks
 from sessionloom.config import SEQUENCE_RENAMES, SEQUENCE_SPECS, SPECS, Rules, RunWindow, Source, TableSpec, Tenant
+from sessionloom.operators.dedup import duplicate_ids, losers
+from sessionloom.operators.sessions import session_blocks, sessionize
 from sessionloom.operators.shape import add_ymd
+from sessionloom.plans import pipeline
 from sessionloom.plans.pipeline import run
 from sessionloom.session import Staging, scratch_root
 from sessionloom.sources.reader import Unreadable, read_table, time_window
@@ -314,3 +317,40 @@ def test_sequence_mode(spark, folder, source):
     activity = {r["mongo_id"]: r["session_id"] for r in result.tables["activity_logs_v2"].collect()}
     assert activity == {"a": "f1_1", "b": None, "c": None}
     assert os.path.isdir(folder + "/out/activity_logs_v2/tenant=north/date=2024-01-10")
+
+
+def test_survivors_do_not_depend_on_arrival_order(spark):
+    """Exact copies, staged once with row numbers: any reading order names the same losers."""
+    rows = [("n", f"id{i % 50}", at(i % 50), 7, i) for i in range(200)]
+    schema = "tenant string, mongo_id string, t timestamp, content long, row long"
+    found = []
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: r[4] % 7)):
+        df = spark.createDataFrame(order, schema).repartition(5)
+        repeated = duplicate_ids(df, "mongo_id", ["tenant"])
+        found.append(sorted(r["row"] for r in losers(df, "mongo_id", ["t", "content"], ["tenant"], "row", repeated).collect()))
+    assert found[0] == found[1] == found[2] == list(range(50, 200))
+
+
+def test_blocks_and_rows_that_differ_raise(spark):
+    df = spark.createDataFrame([("a", at(i * 100), i) for i in range(20)], "u string, t timestamp_ntz, n long")
+    blocks = session_blocks(df.filter("n < 10"), ["u"], "t", 1800, salt_by=["n"])
+    with pytest.raises(Exception, match="no session block"):
+        sessionize(df, ["u"], "t", cut_by=None, salt_by=["n"], blocks=blocks).collect()
+
+
+def test_copies_read_narrow_columns_until_the_rows_are_written(spark, folder, source):
+    wide = [(f"{i % 7}", "f1", "ann", at(i % 7), None, UA + "x" * 2000) for i in range(70)]
+    put(spark, folder, "n", "user_sessions_v2", wide, SESSION)
+    spec = next(s for s in SPECS if s.is_session)
+    result = run(spark, source, TENANTS[:1], folder + "/out", DAY, specs=(spec,), rules=Rules.daily(broadcast_rows=0))
+    row = audit_of(result)["north", "user_sessions_v2"]
+    assert (row["duplicate_mongo_id_dropped"], row["final_rows_written"]) == (63, 7)
+
+
+def test_a_lost_row_is_reported(spark, folder, source, monkeypatch):
+    enriched = pipeline._Job._enriched
+    monkeypatch.setattr(pipeline._Job, "_enriched", lambda self, kept, spec: enriched(self, kept, spec).filter("mongo_id is null or mongo_id <> 'a'"))
+    audit = audit_of(run(spark, source, TENANTS[:1], folder + "/out", DAY, specs=CORE))
+    row = audit["north", "activity_logs_v2"]
+    assert (row["status"], row["stage_failed"]) == ("FAILED", "WRITE") and row["error_message"].startswith("1 of 6")
+    assert row["orphans_dropped"] == 1
