@@ -94,15 +94,18 @@ def shape_table(
 def run(
     spark: SparkSession, source: Source, tenants: list[Tenant], target: str, window: RunWindow | None = None,
     specs: tuple[TableSpec, ...] = SPECS, rules: Rules = Rules(), only: str | None = None, dry_run: bool = False,
-    renames: dict[str, str] = RENAMES, max_files: int | None = None, run_id: str | None = None,
+    renames: dict[str, str] = RENAMES, max_files: int | None = None, run_id: str | None = None, refresh: str = "touched",
 ) -> RunResult:
     """Process every spec for every tenant and append one audit row per pair.
 
     ``window`` defaults to yesterday in the rules' zone; any range of days back-fills.
     ``only`` isolates one tenant; partitions of the others stay as they are. A tenant or
     table that fails is recorded in the audit and does not stop the rest. A dry run
-    computes and counts everything and writes nothing to ``target``.
+    computes and counts everything and writes nothing to ``target``. ``refresh="all"``
+    replaces each table as a whole instead of the touched partitions, for all tenants only.
     """
+    if refresh == "all" and only is not None:
+        raise ValueError("a full refresh replaces the rows of all tenants")
     require_utc(spark)
     window = window or RunWindow.yesterday(rules.zone)
     chosen = [t for t in tenants if only is None or t.name.lower() == only.lower()]
@@ -111,7 +114,7 @@ def run(
     run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     audit = Audit(run_id, date.fromisoformat(window.day))
     with Staging(spark, run_id) as staging:
-        job = _Job(spark, source, chosen, target.rstrip("/"), window, rules, dry_run, renames, max_files, audit, staging)
+        job = _Job(spark, source, chosen, target.rstrip("/"), window, rules, dry_run, renames, max_files, audit, staging, refresh)
         for spec in (s for s in specs if s.is_session):
             job.table(spec)
         others = sorted((s for s in specs if not s.is_session), key=lambda s: not s.is_activity)
@@ -136,6 +139,7 @@ class _Job:
     max_files: int | None
     audit: Audit
     staging: Staging
+    refresh: str = "touched"
     written: dict[str, DataFrame] = field(default_factory=dict)
     sessions: DataFrame | None = None
     blocks: DataFrame | None = None
@@ -328,7 +332,7 @@ class _Job:
             *[F.count_if(orphan & (F.col(TENANT) == t)).alias(c) for c, t in of.items()],
         )
         final = final.drop(ORPHAN)
-        sinks.write_partitions(marked.filter(~orphan).drop(ORPHAN), f"{self.target}/{name}", self.by, max_files=self.max_files)
+        sinks.write_partitions(marked.filter(~orphan).drop(ORPHAN), f"{self.target}/{name}", self.by, self.refresh, self.max_files)
         if full_load:
             self.written[name] = self.spark.read.schema(final.schema).parquet(f"{self.target}/{name}")
             return self._per_tenant(self.written[name].filter(F.col(TENANT).isin([t.name for t in self.tenants]))), {}
@@ -337,13 +341,14 @@ class _Job:
         touched = touched or set()
         stored = self._read_back(final.schema, name)
         counts: dict[str, int] = {}
+        emptied: list[dict[str, str]] = []
         for row in stored.groupBy(*self.by).count().collect():  # one row per tenant and day
             part = tuple(row[c] for c in self.by)
             if part in touched:
                 counts[part[0]] = counts.get(part[0], 0) + row["count"]
             elif part[0] in ready:
-                values = {c: str(v) for c, v in zip(self.by, part)}
-                sinks.clear_partition(self.spark, f"{self.target}/{name}", final.schema, values)
+                emptied.append({c: str(v) for c, v in zip(self.by, part)})
+        sinks.clear_partitions(self.spark, f"{self.target}/{name}", emptied)
         self.written[name] = self._read_back(final.schema, name)
         return counts, orphans
 
@@ -373,5 +378,8 @@ class _Job:
                 facts = session_rollup(self.sessions, [TENANT, "session_id", "session_label", name, "date"])
             final = shape.enforce_schema(session_master(facts, self.activity, [TENANT, "session_id"]), CASTS)
             self._store(shape.add_ymd(final), MASTER, self.session_ready)
-        except Exception:  # the other tables go on
+        except Exception as e:  # the other tables go on, and the audit names the missing facts
             log.exception("session master failed")
+            for t in self.tenants:
+                self.audit.open(t.name, MASTER, False)
+                self.audit.fail(t.name, MASTER, "SESSION_MASTER", e)

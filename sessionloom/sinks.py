@@ -37,6 +37,14 @@ def clear_partition(spark: SparkSession, path: str, schema, partition: dict[str,
     empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
 
 
+def clear_partitions(spark: SparkSession, path: str, partitions: list[dict[str, str]]) -> None:
+    """Remove partition folders in one step, for days that a re-run leaves without rows."""
+    sc = spark.sparkContext
+    for partition in partitions:
+        folder = sc._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{k}={v}" for k, v in partition.items()]]))
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_audit(df: DataFrame, path: str) -> None:
     """Append audit rows, partitioned by run date."""
     add_ymd(df, "run_date").write.mode("append").partitionBy("year", "month", "day").parquet(path)

@@ -354,3 +354,24 @@ def test_a_lost_row_is_reported(spark, folder, source, monkeypatch):
     row = audit["north", "activity_logs_v2"]
     assert (row["status"], row["stage_failed"]) == ("FAILED", "WRITE") and row["error_message"].startswith("1 of 6")
     assert row["orphans_dropped"] == 1
+
+
+def test_full_refresh_from_a_run(spark, folder, source):
+    out = folder + "/out"
+    run(spark, source, TENANTS, out, RunWindow("2024-01-09", "2024-01-11"), specs=CORE)
+    assert {r["day"] for r in spark.read.parquet(out + "/user_sessions_v2").collect()} == {9, 10}
+    run(spark, source, TENANTS, out, DAY, specs=CORE, refresh="all")
+    assert {r["day"] for r in spark.read.parquet(out + "/user_sessions_v2").collect()} == {10}
+    with pytest.raises(ValueError):
+        run(spark, source, TENANTS, out, DAY, specs=CORE, refresh="all", only="north")
+
+
+def test_a_failing_master_is_audited(spark, folder, source, monkeypatch):
+    def broken(*args, **kw):
+        raise RuntimeError("no facts today")
+
+    monkeypatch.setattr(pipeline, "session_master", broken)
+    audit = audit_of(run(spark, source, TENANTS, folder + "/out", DAY, specs=CORE))
+    row = audit["south", "session_master"]
+    assert (row["status"], row["stage_failed"], row["error_message"]) == ("FAILED", "SESSION_MASTER", "no facts today")
+    assert audit["south", "user_sessions_v2"]["status"] == "SUCCESS"
