@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sessionloom.llm.common import BREAK, ascii_lower, col, utf8, whole_text
 
 SAMPLES = 32
-RANGE_ROWS, QUANTILES, MOST_RANGES = 2000, 256, 65_536
+RANGE_ROWS, QUANTILES, MOST_RANGES = 500, 256, 65_536
 #: Hex digits of a sample in the fingerprint; its bits in a sample's sort key.
 DIGITS, ID_BITS = 6, 22
 _PART = 21
