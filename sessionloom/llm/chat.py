@@ -23,7 +23,7 @@ bound. One conversation with very many events is folded by message in many tasks
 Defined results: null texts are empty; a null role is the empty role; null kinds count as
 ``delta``; a null sequence number sorts first, ties sort by kind, role and text, and equal
 events both count; deltas and edits without an ``open`` make a message with an empty role
-unless an event names one; a conversation whose messages are all deleted has no row; a null
+unless an event names one; events after a ``delete`` begin the message again; a conversation whose messages are all deleted has no row; a null
 conv_id is a conversation of its own. An empty log gives no rows. Other columns do not matter.
 """
 
@@ -97,13 +97,12 @@ def fold(log: DataFrame) -> DataFrame:
     numbered = F.transform("events", lambda e, i: F.when(anew(e), i).otherwise(F.lit(-1)))
     last = F.array_max(numbered)
     kept = F.slice("events", F.greatest(last + 1, F.lit(1)), F.size("events"))
-    kinds = F.transform("events", lambda e: e["kind"])
     words = F.transform(
         F.filter("kept", lambda e: ~e["kind"].isin("regenerate", "delete")), lambda e: e["text"])
     roles = F.filter(F.transform("events", lambda e: e["role"]), lambda r: r.isNotNull())
     return (
-        folded.withColumns({"kept": kept, "kinds": kinds, "roles": roles})
-        .filter(~((F.size("kinds") > 0) & (F.element_at(F.transform("kept", lambda e: e["kind"]), 1) == "delete") & (F.size("kept") == 1)))
+        folded.withColumns({"kept": kept, "roles": roles})
+        .filter((F.size("kept") > 1) | (F.get("kept", F.lit(0))["kind"] != "delete"))
         .select("conv_id", "turn", F.coalesce(F.try_element_at("roles", F.lit(-1)), F.lit("")).alias("role"),
                 F.array_join(words, "").alias("text"))
     )
