@@ -250,9 +250,11 @@ def local_times(spark, sf_dir):
 
 
 def interval_left_all(spark, sf_dir):
+    rows = Staging(spark, "local").put("events", local_events(spark, sf_dir).select("event_id", "user_id", "t"))
+    blocks = session_blocks(rows, ["user_id"], "t", LONG_GAP)
+    lookup = session_bounds(block_facts(blocks, ["user_id"], None, "sequence"), ["user_id"], "user_id", tail=LONG_GAP)
     return interval_join(
-        local_events(spark, sf_dir).select("event_id", "user_id", "t"), sequence_lookup(spark, sf_dir),
-        {"user_id": "sess_user"}, "t", "sess_start", "sess_end", ["session_id"],
+        rows, lookup, {"user_id": "sess_user"}, "t", "sess_start", "sess_end", ["session_id"],
     ).select("event_id", "session_id")
 
 
