@@ -205,3 +205,11 @@ def test_facts_add_no_exchange_to_the_blocks(spark):
     blocks = S.session_blocks(frame(spark, random_rows(200)), ["user", "date"], "t")
     count = executed(blocks).count("Exchange hashpartitioning")
     assert executed(S.block_facts(blocks, ["user"])).count("Exchange hashpartitioning") == count == 2
+
+
+def test_null_keys_are_a_group_of_their_own(spark):
+    base = dt.datetime(2024, 1, 10)
+    rows = [(None, base), (None, base + dt.timedelta(seconds=30)), ("a", base + dt.timedelta(seconds=40)), (None, base + dt.timedelta(hours=2))]
+    df = spark.createDataFrame(rows, "u string, t timestamp_ntz")
+    found = {(r["u"], r["t"]): r["is_new_session"] for r in S.gap_flags(df, ["u"], "t").collect()}
+    assert [found[r] for r in rows] == [1, 0, 1, 1]
