@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sessionloom.llm.common import all_columns, ascii_lower, col, free_names, utf8, whole_text
+from sessionloom.operators.skew import fits_broadcast
 from sessionloom.session import Staging
 
 #: Counters of a summary; bounds what is broadcast to twice as many digests.
@@ -86,13 +87,15 @@ def groups(docs: DataFrame, stage: Staging, counters: int = COUNTERS, doc_id: st
 def dedup(docs: DataFrame, stage: Staging, counters: int = COUNTERS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Losers are removed by an anti-join on their narrow keys; the planner broadcasts those
-    only if their staged table is below its own limit. A document listed twice keeps one row.
+    Losers are removed by an anti-join on their narrow keys: broadcast if ``fits_broadcast``
+    has counted them, else shuffled. A document listed twice keeps one row.
     """
     found = stage.put("groups", groups(docs, stage, counters, doc_id, text))
     key, id_ = free_names(docs, "__digest", "__id")
     keyed = docs.withColumns({key: digest(text), id_: col(doc_id).cast("long")})
     losers = stage.put("losers", found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest").distinct())
+    if fits_broadcast(losers):
+        losers = F.broadcast(losers)
     same = (F.col(key) == losers["digest"]) & F.col(id_).eqNullSafe(losers["doc_id"])
     left = keyed.join(losers, same, "left_anti")
     twice = stage.put("twice", found.filter(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id")))

@@ -304,6 +304,8 @@ def groups(docs: DataFrame, stage: Staging, shingle_words: int = 5, percent: int
 def dedup(docs: DataFrame, stage: Staging, shingle_words: int = 5, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose id is its component's smallest, with all their columns."""
     dropped = stage.put("dropped", groups(docs, stage, shingle_words, percent).filter("not kept").select("doc_id").distinct())
+    if fits_broadcast(dropped):
+        dropped = F.broadcast(dropped)
     (id_,) = free_names(docs, "__id")
     rows = docs.withColumn(id_, col("doc_id").cast("long"))
     return rows.join(dropped, rows[id_] == dropped["doc_id"], "left_anti").select(*all_columns(docs))
