@@ -29,8 +29,8 @@ from sessionloom.llm.common import free_names, map_text
 
 # Fixed value: the pattern that splits text into pre-tokens before byte-level merges.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries each memory holds before it starts anew, and the longest key worth remembering.
-REMEMBERED, LONGEST_KEY = 400_000, 48
+#: Pre-tokens and fragments remembered before their memory starts anew, and the longest key worth it.
+REMEMBERED, FRAGMENTS, LONGEST_KEY = 200_000, 50_000, 48
 #: From this many bytes on, a fragment is merged with a heap.
 HEAP_FROM = 48
 #: Above every rank: the pair is not merged.
@@ -48,14 +48,14 @@ def byte_characters() -> list[str]:
 class Memory(dict):
     """Results by key; forgets everything when full, so that its size is bounded."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, most: int):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most = compute, most
 
     def __missing__(self, key):
         value = self.compute(key)
         if len(key) <= LONGEST_KEY:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = value
         return value
@@ -86,8 +86,8 @@ class ByteBpe:
                 self.inside[a << 8 | b] = 1
         self.pre_tokens = regex.compile(PRE_TOKEN).findall
         self.added_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.by_fragment = Memory(self._merge)
-        self.by_pre_token = Memory(self._pre_token)
+        self.by_fragment = Memory(self._merge, FRAGMENTS)
+        self.by_pre_token = Memory(self._pre_token, REMEMBERED)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -52,7 +52,7 @@ VALUES = 2 * PERMUTATIONS
 AGREE = VALUES // 2
 #: Shingles permuted at once; bounds the memory that a very long text needs.
 CHUNK = 4096
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 PERCENT = 80
 #: Buckets up to this size are tried in full.
 SMALL = 8
