@@ -33,6 +33,8 @@ from sessionloom.operators.skew import fits_broadcast, salted_left_join
 from sessionloom.session import Staging
 
 BLOCK_TOKENS, SHARD_TOKENS, MOST, SEED = 32, 2_000_000, 3, "mix-1"
+#: Fractions of a document are whole numbers of this many bits.
+WHOLE_BITS = 30
 
 
 def seeded(text: Column, seed: str) -> Column:
@@ -118,6 +120,20 @@ class Mix:
 
     def taken(self, rows: DataFrame) -> DataFrame:
         """Add ``taken`` to rows with ``doc_id, source, size`` and whatever else."""
+        return self._taken(rows).drop("src", "shard", "spot")
+
+    def whole(self, rows: DataFrame) -> DataFrame:
+        """Add ``copies``, how often a document comes whole, to rows with ``doc_id, source, size`` above 0."""
+        order = Window.partitionBy("src", "shard").orderBy("size", "spot", "doc_id", "taken")
+        part = F.floor((F.col("taken") % F.col("size")) * (1 << WHOLE_BITS) / F.col("size"))
+        phase = seeded(F.concat("src", F.lit("/"), F.col("shard").cast("string")), f"{self.seed}/whole") % (1 << WHOLE_BITS)
+        dealt = self._taken(rows).withColumns({"part": part, "phase": phase})
+        end = F.sum("part").over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.col("phase")
+        more = F.shiftright("end", WHOLE_BITS) - F.shiftright(F.col("end") - F.col("part"), WHOLE_BITS)
+        made = dealt.withColumn("end", end).withColumn("copies", F.floor(F.col("taken") / F.col("size")) + more)
+        return made.drop("src", "shard", "spot", "part", "phase", "end")
+
+    def _taken(self, rows: DataFrame) -> DataFrame:
         placed = self.placed(rows).join(self.quotas, ["src", "shard"], "left")
         order = Window.partitionBy("src", "shard").orderBy("spot", "doc_id", "size")
         end = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -133,7 +149,7 @@ class Mix:
 
         once_more = before(F.col("end")) - before(F.col("end") - F.col("size"))
         taken = F.floor(F.col("quota") / blocks) * F.col("size") + once_more
-        return placed.withColumn("taken", F.coalesce(taken, F.lit(0))).drop("src", "shard", "spot", "blocks", "quota", "phase", "end")
+        return placed.withColumn("taken", F.coalesce(taken, F.lit(0))).drop("blocks", "quota", "phase", "end")
 
     def with_targets(self, rows: DataFrame) -> DataFrame:
         """Add ``source_size`` and ``target`` to rows with ``source``."""
@@ -147,15 +163,18 @@ class Mix:
 def mixed(docs: DataFrame, size: Column, stage: Staging, **options) -> DataFrame:
     """The documents of the mix, with all their columns.
 
-    A document comes ``taken / size`` times, rounded half up; one that gives less than half
-    of its tokens does not come.
+    A document comes floor(taken / size) times, and once more with the remaining fraction as
+    its chance: the fractions of a shard's documents, in the order of size, are one running
+    sum from a seeded phase on, and a document comes once more where the sum passes a whole
+    number. So every document has its expected copies, and the words of a shard differ from
+    what the mix takes by less than its longest document. Places in the order decide, not
+    ids: null and repeated ids are spread like others.
     """
     doc_id, source, size_, copies = free_names(docs, "__id", "__source", "__size", "__copies")
     given = docs.withColumns({doc_id: col("doc_id").cast("string"), source: col("source").cast("string"), size_: size})
     sized = stage.put("sized", given.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(size_).alias("size")))
     plan = Mix(sized, stage, **options)
-    rows = given.select(
+    rows = given.filter(F.col(size_) > 0).select(
         F.struct(*all_columns(docs)).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(size_).alias("size"))
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    out = plan.taken(rows).filter("size > 0").withColumn(copies, times).filter(F.col(copies) > 0)
+    out = plan.whole(rows).withColumn(copies, F.col("copies").cast("int")).filter(F.col(copies) > 0)
     return out.select(F.explode(F.array_repeat("row", F.col(copies))).alias("row")).select("row.*")

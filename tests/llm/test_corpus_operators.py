@@ -193,6 +193,26 @@ def test_mix_reaches_its_targets_and_handles_odd_rows(spark):
     assert empty.count() == 0
 
 
+def test_whole_documents_reach_the_targets_of_every_source(spark):
+    rng = random.Random(11)
+    length = lambda: rng.choice([rng.randint(1, 40), rng.randint(300, 900), rng.randint(2000, 4000)])
+    rows = [(i, "w " * length(), "hot" if i % 2 else f"s{i % 14}") for i in range(700)]
+    rows += [(i, "w " * length(), "more") for i in [None] * 60 + [9000] * 60] + [(i, "w " * 1500, "one size") for i in range(9001, 9121)]
+    docs, words = docs_of(spark, rows), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    goal = {r["source"]: r for r in mixing.targets(docs.select("source", words.alias("size"))).collect()}
+    assert goal["hot"]["target"] < 0.4 * goal["hot"]["source_size"]
+    longest = collections.Counter()
+    for _, t, s in rows:
+        longest[s] = max(longest[s], t.count("w"))
+    stage = Staging(spark, "t")
+    out = stage.put("out", mixing.mixed(docs, words, stage))
+    said = {r["source"]: r["words"] for r in out.groupBy("source").agg(F.sum(words).alias("words")).collect()}
+    for s, r in goal.items():
+        assert abs(said.get(s, 0) - r["target"]) <= longest[s] + 4 * mixing.BLOCK_TOKENS, s
+    again = mixing.mixed(docs.repartition(5), words, Staging(spark, "t"))
+    assert sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
+
+
 # fingerprints
 
 def bag(text):
