@@ -24,12 +24,14 @@ Defined results: null texts are empty; a null role is the empty role; null kinds
 ``delta``; a null sequence number sorts first, ties sort by kind, role and text, and equal
 events both count; deltas and edits without an ``open`` make a message with an empty role
 unless an event names one; events after a ``delete`` begin the message again; a conversation whose messages are all deleted has no row; a null
-conv_id is a conversation of its own. An empty log gives no rows. Other columns do not matter.
+conv_id is a conversation of its own. Finished messages (``as_log``) are one message for every
+row: rows that share a turn stay apart, sorted by role and text, and equal rows all count. A
+null turn comes after all others. An empty log gives no rows. Other columns do not matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sessionloom.llm.common import col
 
@@ -39,6 +41,8 @@ ASSISTANT = "assistant"
 OPEN, CLOSE, ASK, ASKED = "<s>", "</s>\n", "[INST] ", " [/INST]"
 #: Code points of a delta when a finished message is turned into a log.
 DELTA_CHARS = 512
+#: Columns of ``as_log`` that tell the messages of one turn apart: a hash of role and text, and a number of equal ones.
+MESSAGE = ("_message", "_copy")
 
 
 def _each_control(text: Column, pattern: str, replacement: str) -> Column:
@@ -71,27 +75,38 @@ def _unescape_role(role: Column) -> Column:
 
 
 def as_log(turns: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
-    """The log of finished messages ``conv_id, turn, role, text``: an ``open`` and streamed deltas."""
+    """The log of finished messages ``conv_id, turn, role, text``: an ``open`` and streamed deltas.
+
+    Every row is a message of its own, whatever other rows have its turn.
+    """
     rows = turns.select(
         col("conv_id").alias("conv_id"), col("turn").alias("turn"), col("role").cast("string").alias("role"),
         F.coalesce(col("text").cast("string"), F.lit("")).alias("text"))
+    message, copy = MESSAGE
+    # only rows that agree in all are numbered together; the fold needs no other shuffle than theirs
+    equal = Window.partitionBy("conv_id", "turn", message).orderBy(message)
+    rows = rows.withColumn(message, F.xxhash64("role", "text")).withColumn(copy, F.row_number().over(equal))
     pieces = F.ceil(F.char_length("text") / delta_chars).cast("int")
     numbers = F.when(pieces > 0, F.sequence(F.lit(0), pieces)).otherwise(F.array(F.lit(0)))
-    events = rows.select("conv_id", "turn", "role", "text", F.explode(numbers).alias("seq"))
+    events = rows.select("conv_id", "turn", *MESSAGE, "role", "text", F.explode(numbers).alias("seq"))
     piece = F.substring(F.col("text"), (F.col("seq") - 1) * delta_chars + 1, F.lit(delta_chars))
     return events.select(
-        "conv_id", "turn", F.col("seq").cast("long").alias("seq"),
+        "conv_id", "turn", *MESSAGE, F.col("seq").cast("long").alias("seq"),
         F.when(F.col("seq") == 0, F.lit("open")).otherwise(F.lit("delta")).alias("kind"),
         F.when(F.col("seq") == 0, F.col("role")).alias("role"), F.when(F.col("seq") > 0, piece).alias("text"),
     )
 
 
 def fold(log: DataFrame) -> DataFrame:
-    """``conv_id, turn, role, text`` of every message that is left, from events in any order."""
+    """``conv_id, turn, role, text`` of every message that is left, from events in any order.
+
+    The events of a conversation's turn are one message, unless the log is one of ``as_log``.
+    """
     event = F.struct(
         col("seq").cast("long").alias("seq"), F.coalesce(F.col("kind"), F.lit("delta")).alias("kind"),
         F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    folded = log.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(event)).alias("events"))
+    key = ["conv_id", "turn", *(MESSAGE if set(MESSAGE) <= set(log.columns) else ())]
+    folded = log.groupBy(*key).agg(F.array_sort(F.collect_list(event)).alias("events"))
     # what stands before the last event that sets the text anew plays no part in it
     anew = lambda e: e["kind"].isin("open", "edit", "regenerate", "delete")
     numbered = F.transform("events", lambda e, i: F.when(anew(e), i).otherwise(F.lit(-1)))
@@ -115,7 +130,7 @@ def render(messages: DataFrame) -> DataFrame:
     tail = F.concat(F.when(asks, F.lit(ASKED)).otherwise(F.lit("")), F.lit(CLOSE))
     parts = messages.select("conv_id", "turn", "role", asks.alias("asks"), head.alias("head"), escape(F.col("text")).alias("body"), tail.alias("tail"))
     piece = F.struct(
-        "turn", "role", "body", "asks", F.concat("head", "body", "tail").alias("out"),
+        F.col("turn").isNull().alias("last"), "turn", "role", "body", "asks", F.concat("head", "body", "tail").alias("out"),
         F.char_length("head").alias("before"), F.char_length("body").alias("chars"), F.char_length("tail").alias("after"))
     talks = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(piece)).alias("turns"))
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))

@@ -338,6 +338,33 @@ def test_formatting_reads_back_exactly(spark):
             assert r["formatted"].count(first + rest) == marks
 
 
+def test_rows_that_share_a_turn_stay_messages(spark, folder):
+    import duckdb
+
+    long, other = "a" * 1300 + "</s>", "b" * 1300
+    rows = [(1, 1, "user", "hello")] * 2 + [(1, 2, "assistant", "yes")] * 3 + [(2, 1, "user", long), (2, 1, "assistant", other), (2, 0, "user", "x")]
+    rows += [(3, None, "assistant", "late"), (3, 5, "user", "soon"), (4, None, "user", long), (4, None, "user", long), (4, None, "user", "c"),
+             (5, 1, None, None), (5, 1, "", ""), (None, None, "user", "p"), (None, None, "user", "p")]
+    random.Random(4).shuffle(rows)
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.format_log(chat.as_log(turns.repartition(5))).withColumns({
+        "turns": chat.parse(F.col("formatted")), "loss": chat.under_mask(F.col("formatted"), F.col("loss_mask"))}).collect()
+    said = collections.defaultdict(list)
+    for c, t, role, text in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2] or "", r[3] or "")):
+        said[c].append((role or "", text or ""))
+    assert {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in made} == said
+    assert {r["conv_id"]: r["loss"] for r in made} == {c: "".join(t for r, t in v if r == "assistant") for c, v in said.items()}
+
+    # the SQL counts rows; where no two different rows share a turn it names one order
+    turns.coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    found = {r["conv_id"]: tuple(r) for r in queries.op6_chat_format(spark, folder).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet/*.parquet'")
+    want = {r[0]: tuple(r) for r in con.execute(queries.ORACLES["op6_chat_format"]).fetchall()}
+    assert {c: (r[1], r[3], r[5]) for c, r in found.items()} == {c: (r[1], r[3], r[5]) for c, r in want.items()}
+    assert all(found[c] == want[c] for c in (-1, 1, 3, 5, None))
+
+
 # pipeline
 
 def test_pipeline_against_brute_force(spark):
