@@ -28,8 +28,8 @@ band (bands of minima and of maxima are separate): a pair at similarity 0.8 shar
 
 Defined results: a text without words (null, empty, blank) has the empty set and is linked
 with nothing; fewer words than a shingle make one shingle of all of them. Rows that share a
-doc_id are one node of the graph, linked by any of their texts; equal rows have equal
-results. A null doc_id is linked with nothing, its component is null and it is kept. An
+doc_id are one node of the graph, linked by any of their texts, and stay or go together; equal
+rows have equal results. A null doc_id is linked with nothing, its component is null and it is kept. An
 empty table gives no rows. Columns other than doc_id and text do not matter.
 """
 
@@ -189,7 +189,7 @@ class NearDuplicates:
         self.sets = self._sets(self.stage.put("ids", ids.distinct()))
         stars = self._measured(stars)
         links = self.stage.put("links", self._confirmed(direct).unionByName(
-            stars.filter("linked").select(F.col("hub").alias("u"), F.col("rid").alias("v"))))
+            stars.filter("linked").select(F.col("hub").alias("u"), F.col("rid").alias("v"))).unionByName(self._same_id()))
         labels = components(links, self.stage, "first")
         more = self.stage.put("more", self._confirmed(self._likely("open", self._undecided(stars, labels))))
         if not more.isEmpty():
@@ -203,6 +203,14 @@ class NearDuplicates:
             F.coalesce(F.col("doc_id") == root, F.lit(True)).alias("kept"),
         )
 
+    def _same_id(self) -> DataFrame:
+        """Edges ``u, v`` from a doc_id whose rows are in several classes to the classes' representatives."""
+        several = self.classed.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("r"), F.max("rep").alias("s"))
+        several = self.stage.put("several", several.filter("r < s").select("doc_id"))
+        wanted = F.broadcast(several) if fits_broadcast(several) else several
+        found = self.classed.filter("rep <> doc_id").select("doc_id", "rep").join(wanted, "doc_id", "left_semi")
+        return found.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct()
+
     def _crowded(self) -> DataFrame:
         """``key, rid, members`` of the buckets with two or more representatives."""
         banded = self.reps.select("rid", F.explode("bands").alias("key"))

@@ -100,6 +100,21 @@ def test_near_duplicates_at_the_limit_and_odd_rows(spark):
     assert near_dedup.groups(docs_of(spark, rows).limit(0), Staging(spark, "t")).count() == 0
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10 ** 6)}" for _ in range(80)) for x in "abcd")
+    near = a.replace(a.split()[40], "changed")
+    # 5 copies 3 and has B; 6 copies 1 and 2, so they are one; 9 is near to 3 and has D; 20 copies 4 and is empty once
+    rows = [(3, a), (5, a), (5, b), (8, b), (1, c), (2, "alone here"), (6, c), (6, "Alone here"), (9, near), (9, d), (10, d), (4, "x y z"),
+            (20, "X y z"), (20, ""), (30, "of its own")]
+    docs = docs_of(spark, [(i, t, "s") for i, t in rows])
+    found = near_dedup.groups(docs.repartition(3), Staging(spark, "t")).collect()
+    want = {3: 3, 5: 3, 8: 3, 9: 3, 10: 3, 1: 1, 2: 1, 6: 1, 4: 4, 20: 4, 30: 30}
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found) == sorted((i, want[i], want[i] == i) for i, _ in rows)
+    kept = near_dedup.dedup(docs, Staging(spark, "t"))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted((i, t) for i, t in rows if want[i] == i)
+
+
 def test_minima_and_maxima_estimate_the_similarity():
     rng = np.random.default_rng(3)
     errors = []
