@@ -15,7 +15,8 @@ network is linear behind the mean, predicting needs one table of buckets x langu
 is broadcast: 128 KB per language. Every text is predicted whole, in its own task.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0 and rejected;
-without any labelled row every text is; with one language every text with letters is it. A
+without any labelled row every text is, but ``accepted`` keeps those with letters, and also
+those whose label is none of the learned ones; with one language every text with letters is it. A
 null label or doc_id is not learned from. Equal texts have equal results. An empty table
 gives no rows. Other columns pass through, whatever their names.
 """
@@ -207,7 +208,16 @@ def learned(docs: DataFrame, **options) -> Model:
     return train(sample(docs, F.crc32(F.col("id").cast("binary")) % 3 != 1, **options))
 
 
-def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows whose language the model does not reject, with all their columns."""
+def accepted(docs: DataFrame, model: Model, label: str = "lang") -> DataFrame:
+    """The rows with letters whose language the model does not reject, with all their columns.
+
+    A row whose label the model has not learned is not judged by its score, nor is any row
+    by a model that has learned nothing.
+    """
     names = free_names(docs, "__lang", "__score", "__rejected")
-    return predict(docs, model, names=tuple(names)).filter(~F.col(names[2])).select(*all_columns(docs))
+    if not model.languages:
+        spoken = map_text(docs, [T.StructField(names[0], T.BooleanType())], lambda: lambda texts: [[any(map(str.isalpha, t)) for t in texts]])
+        return spoken.filter(F.col(names[0])).select(*all_columns(docs))
+    # a score is 0 only without letters
+    foreign = ~F.coalesce(col(label).cast("string").isin(model.languages), F.lit(True)) & (F.col(names[1]) > 0)
+    return predict(docs, model, names=tuple(names)).filter(~F.col(names[2]) | foreign).select(*all_columns(docs))

@@ -254,6 +254,18 @@ def test_language_edge_cases(spark):
     assert language.predict(rows.limit(0), model).count() == 0
 
 
+def test_texts_without_a_learned_label_are_kept(spark):
+    rows = odd_rows(spark)
+    spoken = sorted(t for t in ODD if any(c.isalpha() for c in t or ""))
+    nothing = language.accepted(rows, language.learned(rows))
+    assert nothing.columns == rows.columns and sorted(r["text"] for r in nothing.collect()) == spoken
+    model = language.train([("the cat sat on the mat", "en"), ("die katze auf dem tisch", "de")] * 40)
+    model.threshold = 1.1  # rejects all that it judges
+    texts = [("minun kissani nukkuu", "fi"), ("the cat", "en"), ("the dog", None), ("12 34", "fi"), (None, "fi")]
+    docs = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in language.accepted(docs, model).collect()] == [0]
+
+
 def test_helpers(spark):
     df = spark.createDataFrame([("ÀBCé",)], "`X` string")
     assert free_names(df, "x", "y") == ["x_", "y"]
