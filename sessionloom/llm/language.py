@@ -7,8 +7,8 @@ stochastic gradient descent in numpy. Scores are calibrated by a temperature fit
 of the sample that training does not see, and a text is rejected if its calibrated score
 is below what all but ``false_rejects`` of that part's right answers reach.
 
-Training reads a bounded sample: of each language about ``per_language`` labelled rows, drawn
-by a hash of the row's id, and of each row at most ``windows`` windows of ``window_chars``
+Training reads a bounded sample: of each language at most ``per_language`` labelled rows, those
+first by a hash of id and text, equal rows once, and of each row at most ``windows`` windows of ``window_chars``
 characters spread over the whole text. At most ``most_languages`` languages are learned, the
 most frequent ones. Nothing else comes to the driver but one count per language. Since the
 network is linear behind the mean, predicting needs one table of buckets x languages, which
@@ -26,7 +26,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sessionloom.llm.common import all_columns, col, free_names, map_text, whole_text
 
@@ -37,6 +37,8 @@ PER_LANGUAGE, WINDOWS, WINDOW_CHARS, MOST_LANGUAGES = 800, 6, 256, 256
 EPOCHS, BATCH, RATE, SEED = 6, 16, 2.0, 7
 FALSE_REJECTS, STRICTEST = 0.001, 0.5
 CHUNK = 1 << 20
+#: Rows of a language that are ranked, as a multiple of those that are wanted.
+DRAWN = 1.5
 
 _PRIMES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
 _SPACE = 32
@@ -161,21 +163,26 @@ def sample(docs: DataFrame, may_learn: Column, per_language: int = PER_LANGUAGE,
            window_chars: int = WINDOW_CHARS, most_languages: int = MOST_LANGUAGES, doc_id: str = "doc_id",
            text: str = "text", label: str = "lang") -> list[tuple[str, str]]:
     """Windows of text with their language, in a fixed order; bounded by the parameters."""
+    chars = F.char_length("text")
     rows = docs.select(
         col(doc_id).cast("string").alias("id"), whole_text(text).alias("text"), col(label).cast("string").alias("lang"),
-    ).filter(may_learn & F.col("lang").isNotNull() & F.col("id").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    ).filter(may_learn & F.col("lang").isNotNull() & F.col("id").isNotNull() & (chars > 0))
+    rows = rows.withColumn("spot", F.shiftrightunsigned(F.xxhash64("id", "text"), 1))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("spot").alias("spots"))
+    counts = counts.orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     if not counts:
         return []
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
-    spot = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    drawn = rows.withColumn("spot", spot).filter(F.col("spot") < F.try_element_at(share, F.col("lang")) * float(1 << 30))
-    chars = F.char_length("text")
+    # somewhat more than wanted by a limit on the hash, then exactly so many by rank, on the hash alone
+    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, DRAWN * per_language / max(1, r["spots"]))))])
+    drawn = rows.filter(F.col("spot") <= F.try_element_at(share, F.col("lang")) * float(1 << 63))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("spot"))
+    spots = drawn.select("lang", "spot").distinct().withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
     pieces = F.least(F.lit(windows), F.ceil(chars / window_chars)).cast("int")
     gap = F.when(pieces > 1, (chars - window_chars) / (pieces - 1)).otherwise(0)
     cut = F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: F.substring(
         F.col("text"), F.floor(i * gap).cast("int") + 1, F.lit(window_chars)))
-    found = drawn.filter(chars > 0).select("spot", "id", "lang", cut.alias("cut")).collect()
+    found = drawn.join(F.broadcast(spots), ["lang", "spot"], "left_semi").select("spot", "id", "lang", cut.alias("cut"))
+    found = found.groupBy("lang", "spot").agg(F.min(F.struct("id", "cut")).alias("row")).select("spot", "row.id", "lang", "row.cut").collect()
     examples = []
     for r in sorted(found, key=lambda r: (r["spot"], r["id"], r["lang"], r["cut"])):
         examples += [(w, r["lang"]) for w in r["cut"]]

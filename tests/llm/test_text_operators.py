@@ -254,6 +254,17 @@ def test_language_edge_cases(spark):
     assert language.predict(rows.limit(0), model).count() == 0
 
 
+def test_the_sample_is_bounded_whatever_the_ids(spark):
+    rows = [(7, f"one id and text {i}", "en") for i in range(900)] + [(8, "the same row", "de")] * 500 + [(i, f"eigener {i}", "de") for i in range(200)]
+    docs = spark.createDataFrame(rows + [(9, "", "de"), (9, None, "fr")], "doc_id long, text string, lang string")
+    drawn = language.sample(docs.repartition(5), F.lit(True), per_language=50)
+    long = [e for e in drawn if len(e[0].split()) > 1 or e[1] == "de"]
+    texts = {e for e in long if e[0] in {t for _, t, _ in rows}}
+    assert {k: sum(e[1] == k for e in texts) for k in ("en", "de")} == {"en": 50, "de": 50}
+    assert len(drawn) == 2 * 2 * 50  # a window and a short piece of each
+    assert drawn == language.sample(docs.repartition(3), F.lit(True), per_language=50)
+
+
 def test_texts_without_a_learned_label_are_kept(spark):
     rows = odd_rows(spark)
     spoken = sorted(t for t in ODD if any(c.isalpha() for c in t or ""))
