@@ -6,7 +6,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sessionloom.llm import bpe, chat, dedup_exact, fingerprints, language, mixing, near_dedup, pii, token_counts, warc
+from sessionloom.llm import (
+    bpe, centroids, chat, dedup_exact, fingerprints, language, mixing, near_dedup, pii, simhash, token_counts, warc,
+)
 from sessionloom.llm.common import WORD, read, utf8, whole_text
 from sessionloom.session import Staging
 
@@ -87,6 +89,14 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(read(spark, sf_dir, "documents"))
 
 
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(read(spark, sf_dir, "documents"), Staging(spark, "op12"))
+
+
+def op13_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings"), Staging(spark, "op13"))
+
+
 QUERIES = {
     "op1_pii_spans": op1_pii_spans,
     "op2_bpe_transcode": op2_bpe_transcode,
@@ -98,6 +108,8 @@ QUERIES = {
     "op8_minmax_near_dedup": op8_minmax_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_weighted_fingerprints": op10_weighted_fingerprints,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_ptolemaic_clusters": op13_ptolemaic_clusters,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -110,6 +122,28 @@ _DIGEST = "sha1(coalesce(html, ''))"
 _BASE32 = f"""array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
     (('0x' || substr({_DIGEST}, 1 + 10 * (k // 8)::INT, 10))::BIGINT >> (35 - 5 * (k % 8))::INT) & 31)::INT, 1)), '')"""
 
+_SQUARED = "list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))::BIGINT"
+
+
+def _nearest(centroids: str) -> str:
+    """The nearest centroid of every kept vector, ties to the smaller number."""
+    return f"""
+            SELECT row, vec_id, v, c AS cluster, d AS distance FROM (
+                SELECT k.row, k.vec_id, k.v, c.c, {_SQUARED} AS d FROM k CROSS JOIN {centroids} c)
+            QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1"""
+
+
+def _lloyd(before: str, after: str) -> str:
+    return f"""
+        {after}_n AS ({_nearest(before)}),
+        {after}_m AS (
+            SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+                SELECT cluster, i, sum(v[i])::HUGEINT AS s, count(*) AS n
+                FROM (SELECT cluster, v, unnest(range(1, 65)) AS i FROM {after}_n) GROUP BY cluster, i)
+            GROUP BY cluster),
+        {after} AS (SELECT c.c, coalesce(m.v, c.v::HUGEINT[]) AS v FROM {before} c LEFT JOIN {after}_m m ON m.cluster = c.c),"""
+
+
 ORACLES = {
     "op3_warc_archive": f"""
         WITH p AS (
@@ -200,4 +234,17 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY t)""",
+    "op13_ptolemaic_clusters": f"""
+        WITH k AS (
+            SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM k
+            QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), v) <= 16),
+        {_lloyd("c0", "c1")}{_lloyd("c1", "c2")}{_lloyd("c2", "c3")}
+        a AS ({_nearest("c3")})
+        SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+        FROM a JOIN c3 ON c3.c = a.cluster""",
 }
