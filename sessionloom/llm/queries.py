@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sessionloom.llm import (
-    bpe, centroids, chat, dedup_exact, fingerprints, language, mixing, near_dedup, pii, simhash, token_counts, warc,
+    bpe, centroids, chat, collocations, dedup_exact, fingerprints, language, mixing, near_dedup, pii, simhash, token_counts, warc,
 )
 from sessionloom.llm.common import WORD, read, utf8, whole_text
 from sessionloom.session import Staging
@@ -89,6 +89,10 @@ def op10_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"), Staging(spark, "op11"))
+
+
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read(spark, sf_dir, "documents"), Staging(spark, "op12"))
 
@@ -108,6 +112,7 @@ QUERIES = {
     "op8_minmax_near_dedup": op8_minmax_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_weighted_fingerprints": op10_weighted_fingerprints,
+    "op11_collocations": op11_collocations,
     "op12_simhash_near_dedup": op12_simhash_near_dedup,
     "op13_ptolemaic_clusters": op13_ptolemaic_clusters,
 }
@@ -234,6 +239,30 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY t)""",
+    "op11_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM (
+                SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words CROSS JOIN (SELECT unnest(range(1, 5)) AS size))),
+        total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+        f AS (SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+        cand AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+        cuts AS (SELECT *, unnest(range(1, size)) AS k FROM cand),
+        scores AS (
+            SELECT c.lang, c.phrase, c.size, c.a, c.k, x.f AS l, y.f AS r, (2000000 * c.a::HUGEINT // (x.f + y.f))::BIGINT AS score
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+        best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        spans AS (
+            SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, a FROM (
+                SELECT *, unnest(range(1, size - n + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS n FROM cand))),
+        longer AS (SELECT lang, phrase, max(a) AS longer FROM spans GROUP BY ALL),
+        ranked AS (
+            SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, score
+            FROM best b LEFT JOIN longer USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
     "op13_ptolemaic_clusters": f"""
         WITH k AS (
             SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS v
