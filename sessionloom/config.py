@@ -31,9 +31,28 @@ class Source:
     name_option: str | None = None
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Where target tables lie below a run's target.
+
+    By default a table is one dataset, partitioned by tenant first. With ``tenant_first`` every
+    tenant has a dataset of its own per table, ``<target>/<tenant>/<table>``, and an audit of its
+    own, so that runs for different tenants can write at the same time.
+    """
+
+    tenant_first: bool = False
+
+    def root(self, target: str, table: str, tenant: str) -> str:
+        return f"{target}/{tenant}/{table}" if self.tenant_first else f"{target}/{table}"
+
+
 @dataclass(frozen=True)
 class TableSpec:
-    """How one raw table maps to one target table."""
+    """How one raw table maps to one target table.
+
+    ``iso_text`` says that a text time column holds ISO-8601 dates, so that the time window can
+    be pushed to the scan as a range of text; rows whose text lies outside are not read at all.
+    """
 
     suffix: str
     target: str
@@ -43,6 +62,7 @@ class TableSpec:
     coerce_times: tuple[str, ...] = ()
     force_string: tuple[str, ...] = ()
     time_encoding: str = "time"
+    iso_text: bool = False
     is_session: bool = False
     is_activity: bool = False
     check_agents: bool = False

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sessionloom.functions.times import exact_seconds
+from sessionloom.functions.times import exact_seconds, local_time
 from sessionloom.operators.shape import ensure_columns
 
 COUNTS = ("scroll_count", "click_count", "unique_pages")
@@ -39,15 +39,20 @@ def is_engaged() -> Column:
     return ~is_bounce() & (F.col("session_duration") >= SHORT_SESSION) & active
 
 
-def session_master(facts: DataFrame, activity: DataFrame | None = None, on: list[str] | None = None) -> DataFrame:
+def session_master(
+    facts: DataFrame, activity: DataFrame | None = None, on: list[str] | None = None, zone: str | None = None
+) -> DataFrame:
     """One row per session with duration, activity counts and both flags.
 
     ``facts`` is a ``block_facts`` or ``session_rollup`` result; ``activity`` holds rows
-    that carry a session id. Without it all counts are 0.
+    that carry a session id. Without it all counts are 0. With a ``zone`` the facts' times are UTC;
+    the duration is real time, and the times come out as the wall clock of the zone.
     """
     on = on or ["session_id"]
     length = exact_seconds(F.col("session_end_ts")) - exact_seconds(F.col("session_start_ts"))
     master = facts.drop("session_last_ts").withColumn("session_duration", F.round(length, 4))
+    if zone:
+        master = master.withColumns({c: local_time(F.col(c), zone) for c in ("session_start_ts", "session_end_ts")})
     if activity is None:
         master = master.withColumns({c: F.lit(0).cast("bigint") for c in COUNTS})
     else:

@@ -88,3 +88,17 @@ def audit_counts(tagged: DataFrame, by: str = "tenant", reason: str = "drop_reas
         counter(r == LEAK).alias("mongo_filter_leak_dropped"),
         counter(r.isNull()).alias("rows_kept"),
     )
+
+
+def reason_metrics(reason: str = "drop_reason") -> list[Column]:
+    """The counters of ``audit_counts`` as metrics of an ``Observation`` on one tenant's tagged rows."""
+    r = F.col(reason)
+    return [
+        F.count(F.lit(1)).alias("rows_read_raw"),
+        F.count_if(r == NULL_AGENT).alias("null_user_agent_dropped"),
+        F.count_if(r == BOT).alias("bots_dropped"),
+        F.count_if(r == BAD_IDENTITY).alias("invalid_identity_dropped"),
+        F.count_if(r == NULL_TIME).alias("null_timestamp_dropped"),
+        F.count_if(r == LEAK).alias("mongo_filter_leak_dropped"),
+        F.count_if(r.isNull()).alias("rows_kept"),
+    ]

@@ -15,7 +15,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sessionloom.functions.times import shift_seconds, utc_time, whole_seconds
+from sessionloom.functions.times import local_time, shift_seconds, utc_time, whole_seconds
 from sessionloom.operators.skew import SALT, left_join, salt_marks, spread, with_salt
 
 BLOCK = "_block"
@@ -106,10 +106,8 @@ def _attach(
         F.col("session_end").alias("_end"),
     )
     rows = with_salt(_with_block(df, t, gap), salt_by or [t])
-    # Every copy in ``found`` stands for at least one row with the same key, so a hashed
-    # partition never holds more of it than of the rows, and the rows need no sort.
-    hint = "broadcast" if small else "shuffle_hash"
-    joined = left_join(rows, found, [*keys, BLOCK, SALT], hint=hint)
+    # Not broadcast, the join sorts and can spill, or hashes if AQE finds all partitions small (``session.RUN_SETTINGS``).
+    joined = left_join(rows, found, [*keys, BLOCK, SALT], hint="broadcast" if small else None)
     # Blocks come from the same rows, so only a null key or time may be without one.
     whole = reduce(and_, [F.col(c).isNotNull() for c in [*keys, BLOCK]])
     lost = F.col("_seq").isNull() & whole
@@ -142,7 +140,7 @@ def session_names(df: DataFrame, user: str, id_style: str, start: str, seq: str)
 def sessionize(
     df: DataFrame, keys: list[str], t: str, gap: int = 1800, cut_by: str | None = "date", id_style: str = "hash",
     raw_end: str | None = None, salt_by: list[str] | None = None, blocks: DataFrame | None = None,
-    small: bool = False,
+    small: bool = False, zone: str | None = None,
 ) -> DataFrame:
     """Give every row its session.
 
@@ -150,21 +148,28 @@ def sessionize(
     at midnight; ``None`` lets sessions run on. Hashed ids come with ``session_label``,
     ``session_end`` and ``is_session_assigned``. Pass ``blocks`` to reuse a materialised
     ``session_blocks`` of the same rows; ``small`` says that ``skew.fits_broadcast`` holds
-    for them and their ``copies_made``.
+    for them and their ``copies_made``. With a ``zone``, ``t`` and ``raw_end`` are UTC, so that gaps
+    are real time across a clock change, and ids, labels and ends show the wall clock of the zone.
     """
     by = [*keys, cut_by] if cut_by else list(keys)
     if blocks is None:
         blocks = session_blocks(df, by, t, gap, raw_end, salt_by)
-    rows = session_names(_attach(df, blocks, by, t, gap, salt_by, small), keys[-1], id_style, "_start", "_seq")
+    rows = _attach(df, blocks, by, t, gap, salt_by, small)
+    if zone:
+        rows = rows.withColumns({c: local_time(F.col(c), zone) for c in ("_start", "_end")})
+    rows = session_names(rows, keys[-1], id_style, "_start", "_seq")
     if id_style == "hash":
         rows = rows.withColumn("session_end", F.col("_end")).withColumn("is_session_assigned", F.lit(True))
     return rows.drop("_seq", "_start", "_end")
 
 
 def block_facts(
-    blocks: DataFrame, keys: list[str], cut_by: str | None = "date", id_style: str = "hash"
+    blocks: DataFrame, keys: list[str], cut_by: str | None = "date", id_style: str = "hash", zone: str | None = None
 ) -> DataFrame:
-    """One row per session straight from its blocks; the rows are not read again."""
+    """One row per session straight from its blocks; the rows are not read again.
+
+    With a ``zone`` the blocks' times are UTC and stay so, and ids show the wall clock of the zone.
+    """
     by = [*keys, cut_by] if cut_by else list(keys)
     facts = blocks.groupBy(*by, "session_seq").agg(
         F.min("block_first").alias("session_start_ts"),
@@ -172,7 +177,8 @@ def block_facts(
         F.max(F.greatest("block_last", "block_end")).alias("session_end_ts"),
         F.sum("block_rows").alias("event_count"),
     )
-    return session_names(facts, keys[-1], id_style, "session_start_ts", "session_seq").drop("session_seq")
+    start = local_time(F.col("session_start_ts"), zone) if zone else F.col("session_start_ts")
+    return session_names(facts.withColumn("_start", start), keys[-1], id_style, "_start", "session_seq").drop("session_seq", "_start")
 
 
 def session_rollup(rows: DataFrame, by: list[str], t: str = "event_timestamp", end: str | None = "session_end") -> DataFrame:

@@ -7,12 +7,13 @@ operators have to handle. All queries run over the whole table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sessionloom import sinks
 from sessionloom.config import (
-    RENAMES, SEQUENCE_RENAMES, SEQUENCE_SPECS, SPECS, Rules, RunWindow, Source, TableSpec, Tenant,
+    RENAMES, SEQUENCE_RENAMES, SEQUENCE_SPECS, SPECS, Layout, Rules, RunWindow, Source, TableSpec, Tenant,
 )
 from sessionloom.functions.identity import BOT_WORDS
 from sessionloom.functions.times import local_day_bounds, shift_seconds
@@ -25,8 +26,8 @@ from sessionloom.operators.sessions import (
     session_rollup, session_sequence, sessionize,
 )
 from sessionloom.plans.audit import AUDIT_SCHEMA, COUNTERS
-from sessionloom.plans.pipeline import RunResult, run
-from sessionloom.session import Staging, require_utc
+from sessionloom.plans.pipeline import AUDIT_TABLE, RunResult, run
+from sessionloom.session import Staging, require_utc, settings
 from sessionloom.sources.reader import date_range, read_table, time_window
 
 ZONE = "Asia/Kolkata"
@@ -400,10 +401,12 @@ def full_refresh(spark, sf_dir):
 
 
 def bounded_files(spark, sf_dir):
-    """At most so many files per partition as asked for."""
-    path = Staging(spark, "sink").folder("few")
+    """At most so many files per partition as asked for, where AQE and the writer would make many."""
+    path, by = Staging(spark, "sink").folder("few"), ["year", "month", "day"]
     rows = _day_rows(spark, sf_dir)
-    sinks.write_partitions(rows.repartition(16), path, ["year", "month", "day"], max_files=4)
+    slots = sinks.partition_slots(rows, by, 4, rows_per_file=50)
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.files.maxRecordsPerFile": "10"}):
+        sinks.write_partitions(rows.repartition(16), path, by, max_files=4, slots=slots)
     stored = spark.read.schema(rows.schema).parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
     return stored.groupBy("year", "month", "day").agg(
         F.count(F.lit(1)).alias("rows"), (F.count_distinct("file") <= 4).alias("bounded"))
@@ -435,9 +438,9 @@ def append_audit(spark, sf_dir):
 # -- whole runs -------------------------------------------------------------
 
 
-def _raw_tables(spark, sf_dir) -> Source:
-    """Write the five raw tables of three tenants, all derived from ``raw_clicks``."""
-    clicks = raw_clicks(spark, sf_dir).withColumnsRenamed(
+def _raw_tables(spark, sf_dir, moved: Callable[[Column], Column] = lambda t: t) -> Source:
+    """Write the five raw tables of three tenants, all derived from ``raw_clicks``, their times ``moved``."""
+    clicks = raw_clicks(spark, sf_dir).withColumn("created_at", moved(F.col("created_at"))).withColumnsRenamed(
         {"created_at": "createdAt", "session_end_raw": "sessionEnd", "user_agent": "userAgent"}
     )
     common = [(F.col("uid") % 3).cast("string").alias("prefix"), "fingerprint", "user_id", "createdAt"]
@@ -553,6 +556,61 @@ def bad_times_run(spark, sf_dir):
     return _audit_view(_session_run(spark, sf_dir, source, rules=Rules.daily(build_master=False)))
 
 
+def sequence_run_sessions(spark, sf_dir):
+    """The stored session rows of the first-generation mode, on the raw table's own start column."""
+    start = F.col("createdAt") - F.make_dt_interval(mins=(F.col("_id").cast("long") % 7).cast("int"))
+    source = _session_table(spark, sf_dir, lambda t: t.withColumn("sessionStart", start))
+    specs = tuple(s for s in SEQUENCE_SPECS if s.is_session)
+    target = Staging(spark, "target").folder("out")
+    result = run(spark, source, TENANTS, target, everything(spark, sf_dir), specs=specs, rules=Rules.sequence(), renames=SEQUENCE_RENAMES)
+    return result.tables["user_sessions_v2"].select(
+        "tenant", "mongo_id", "session_start", "session_id", "session_end_ts", "session_duration", "date")
+
+
+def empty_tenant_run(spark, sf_dir):
+    """Tables whose rows all lie outside the window: every tenant is EMPTY, and the tables keep their columns."""
+    source = _raw_tables(spark, sf_dir, lambda t: (t + F.expr("interval 400 days")).cast("string"))
+    specs = tuple(s for s in SPECS if s.is_session or s.is_activity)
+    target = Staging(spark, "target").folder("out")
+    result = run(spark, source, TENANTS, target, everything(spark, sf_dir), specs=specs, max_files=2)
+    names = spark.createDataFrame([(k, ",".join(sorted(v.columns)), v.count()) for k, v in result.tables.items()],
+                                  "source_table string, columns string, stored long")
+    return _audit_view(result).drop("run_date", "is_full_load").join(names, "source_table")
+
+
+def concurrent_tenant_runs(spark, sf_dir):
+    """One run per tenant, all at the same time and into one target, each tenant with its own datasets; their stored audits."""
+    source, window, layout = _raw_tables(spark, sf_dir), everything(spark, sf_dir), Layout(tenant_first=True)
+    target = Staging(spark, "target").folder("out")
+    with ThreadPoolExecutor(len(TENANTS)) as pool:
+        list(pool.map(lambda t: run(spark, source, TENANTS, target, window, only=t.name, layout=layout, max_files=4), TENANTS))
+    stored = [spark.read.parquet(layout.root(target, AUDIT_TABLE, t.name)) for t in TENANTS]
+    audit = shape.union_tenants(stored).select("client_name", "source_table", "status", "run_date", "is_full_load", *COUNTERS)
+    written = [spark.read.schema("session_id string").parquet(layout.root(target, "activity_logs_v2", t.name))
+               .agg(F.count(F.lit(1)).alias("activity_rows")).withColumn("client_name", F.lit(t.name)) for t in TENANTS]
+    return audit.join(F.broadcast(shape.union_tenants(written)), "client_name")
+
+
+def iso_text_window(spark, sf_dir):
+    """ISO-8601 text times in a window of ten local days, filtered as text at the scan and then exactly."""
+    folder = Staging(spark, "raw").folder("text")
+    form = F.when(_mod(3) == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).when(_mod(3) == 1, F.col("ts").cast("string")).otherwise(
+        F.date_format(F.col("ts") + F.expr("interval 9 hours"), "yyyy-MM-dd'T'HH:mm:ss.SSS'+09:00'"))
+    events(spark, sf_dir).select("event_id", form.alias("text")).write.parquet(folder)
+    lo, hi = local_day_bounds("2024-01-10", "2024-01-20", ZONE)
+    found = time_window(spark.read.parquet(folder), "text", lo, hi, iso_text=True)
+    found = shape.event_time(found, "text", ZONE)
+    return found.filter(quality.time_reason(F.col("event_timestamp_utc"), lo, hi).isNull()).select("event_id", "date")
+
+
+def clock_change_sessions(spark, sf_dir):
+    """Sessions of events moved to the weeks around a clock change: gaps are real time, days and names the wall clock."""
+    moved = events(spark, sf_dir).withColumn("ts", F.col("ts") + F.expr("interval 76 days"))
+    rows = shape.event_time(moved, "ts", "Europe/Berlin")
+    found = sessionize(rows, ["user_id"], "event_timestamp_utc", 6 * GAP, "date", zone="Europe/Berlin")
+    return found.select("event_id", "date", "session_id", "session_label", "session_end")
+
+
 def faulty_tenant_run(spark, sf_dir):
     """Beside the three tenants one without a table, one without its time column, one without rows and columns."""
     source = _session_table(spark, sf_dir, lambda t: t)
@@ -641,5 +699,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_run": duplicate_run,
     "bad_times_run": bad_times_run,
     "faulty_tenant_run": faulty_tenant_run,
+    "sequence_run_sessions": sequence_run_sessions,
+    "empty_tenant_run": empty_tenant_run,
+    "concurrent_tenant_runs": concurrent_tenant_runs,
+    "iso_text_window": iso_text_window,
+    "clock_change_sessions": clock_change_sessions,
     "master_by_fingerprint": master_by_fingerprint,
 }

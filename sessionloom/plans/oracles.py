@@ -305,4 +305,46 @@ SELECT 'tenant_' || CAST(uid % 3 AS VARCHAR) AS tenant, CAST(created_at AS DATE)
        count(b.session_id) AS with_session, count(DISTINCT b.session_id) AS sessions
 FROM raw LEFT JOIN b ON raw.fingerprint = b.fingerprint AND raw.uid % 3 = b.k AND raw.created_at BETWEEN b.st AND b.en
 GROUP BY uid % 3, CAST(created_at AS DATE)""",
+    "sequence_run_sessions": f"""WITH {RAW},
+k AS (SELECT *, created_at - (event_id % 7) * INTERVAL '1' MINUTE AS st FROM raw),
+g AS (
+  SELECT *, CASE WHEN lag(st) OVER w IS NULL OR floor(epoch(st)) - floor(epoch(lag(st) OVER w)) > 1800 THEN 1 ELSE 0 END AS opens
+  FROM k WINDOW w AS (PARTITION BY uid % 3, fingerprint ORDER BY st, event_id)),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY uid % 3, fingerprint ORDER BY st RANGE UNBOUNDED PRECEDING) AS seq FROM g)
+SELECT 'tenant_' || CAST(uid % 3 AS VARCHAR) AS tenant, _id AS mongo_id, st AS session_start,
+       fingerprint || '_' || CAST(seq AS VARCHAR) AS session_id, session_end_raw AS session_end_ts,
+       CAST(floor(epoch(session_end_raw)) - floor(epoch(st)) AS BIGINT) AS session_duration, CAST(st AS DATE) AS date
+FROM s""",
+    "empty_tenant_run": f"""WITH {CLICKS},
+t AS (
+  SELECT tenant AS client_name, count(*) AS n, count(*) FILTER (reason = 'null_user_agent') AS no_agent,
+         count(*) FILTER (reason = 'bot') AS bots, count(*) FILTER (reason = 'invalid_identity') AS bad,
+         count(*) FILTER (x IS NULL OR lower(trim(x)) IN ('unknown', 'null', '')) AS nobody
+  FROM tagged GROUP BY tenant),
+z AS (SELECT CAST(0 AS BIGINT) AS null_timestamp_dropped, CAST(0 AS BIGINT) AS orphans_dropped, CAST(0 AS BIGINT) AS final_rows_written,
+        CAST(0 AS BIGINT) AS duplicate_mongo_id_dropped, CAST(0 AS BIGINT) AS stored)
+SELECT 'user_sessions_v2' AS source_table, client_name, 'EMPTY' AS status, n AS rows_read_raw, no_agent AS null_user_agent_dropped,
+       bots AS bots_dropped, bad AS invalid_identity_dropped, n - no_agent - bots - bad AS mongo_filter_leak_dropped, z.*,
+       'created_at,date,day,event_timestamp,fingerprint,is_session_assigned,mongo_id,month,resolved_user_id,session_end,session_end_raw,session_id,session_label,tenant,user_agent,user_id,year' AS columns
+FROM t, z
+UNION ALL BY NAME
+SELECT 'activity_logs_v2' AS source_table, client_name, 'EMPTY' AS status, n AS rows_read_raw, CAST(0 AS BIGINT) AS null_user_agent_dropped,
+       CAST(0 AS BIGINT) AS bots_dropped, nobody AS invalid_identity_dropped, n - nobody AS mongo_filter_leak_dropped, z.*,
+       'activity,created_at,date,day,details,event_timestamp,fingerprint,is_session_assigned,mongo_id,month,page,resolved_user_id,session_id,tenant,time,user_id,year' AS columns
+FROM t, z""",
+    "concurrent_tenant_runs": f"""WITH {AUDIT},
+n AS (SELECT tenant, count(*) AS activity_rows FROM child WHERE hit IS NOT NULL GROUP BY tenant)
+SELECT {AUDIT_COLUMNS}, activity_rows FROM audit JOIN n USING (tenant)""",
+    "iso_text_window": f"""WITH {LOCAL}
+SELECT event_id, date FROM ev WHERE date >= DATE '2024-01-10' AND date < DATE '2024-01-20'""",
+    "clock_change_sessions": """
+WITH m AS (SELECT event_id, user_id, ts + INTERVAL 76 DAY AS u FROM events),
+l AS (SELECT *, u + CASE WHEN u >= TIMESTAMP '2024-03-31 01:00:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS t FROM m),
+g AS (
+  SELECT *, CAST(t AS DATE) AS date, CASE WHEN lag(u) OVER w IS NULL OR floor(epoch(u)) - floor(epoch(lag(u) OVER w)) > 10800 THEN 1 ELSE 0 END AS opens
+  FROM l WINDOW w AS (PARTITION BY user_id, CAST(t AS DATE) ORDER BY u, event_id)),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, date ORDER BY u, event_id) AS seq FROM g),
+f AS (SELECT *, CAST(user_id AS VARCHAR) AS x, min(t) OVER p AS st, max(t) OVER p AS en FROM s WINDOW p AS (PARTITION BY user_id, date, seq))
+SELECT event_id, date, sha256(x || '||' || CAST(st AS VARCHAR)) AS session_id, x || '__' || CAST(st AS VARCHAR) AS session_label, en AS session_end
+FROM f""",
 }

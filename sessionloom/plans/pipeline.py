@@ -1,13 +1,14 @@
 """The tenant run: raw tables in, sessions, enriched tables, session facts and audit out.
 
 Each table is one plan over all tenants, with the tenant as a key. Raw data is read
-once, tagged row by row and staged; everything after that reads staged or target
-Parquet with pruned columns.
+once and tagged row by row; the write that stages the rows to keep counts the dropped ones
+by reason. Everything after that reads staged or target Parquet with pruned columns.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
@@ -15,8 +16,8 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sessionloom import sinks
-from sessionloom.config import CASTS, RENAMES, SPECS, Rules, RunWindow, Source, TableSpec, Tenant
-from sessionloom.functions.times import local_day_bounds, local_time
+from sessionloom.config import CASTS, RENAMES, SPECS, Layout, Rules, RunWindow, Source, TableSpec, Tenant
+from sessionloom.functions.times import local_day_bounds
 from sessionloom.operators import dedup as copies, quality, shape
 from sessionloom.operators.facts import session_master
 from sessionloom.operators.intervals import assign_sessions, bucket_copies, unassigned
@@ -25,7 +26,7 @@ from sessionloom.operators.sessions import (
 )
 from sessionloom.operators.skew import copies_made, fits_broadcast
 from sessionloom.plans.audit import Audit
-from sessionloom.session import Staging, require_utc
+from sessionloom.session import RUN_SETTINGS, Staging, settings
 from sessionloom.sources.reader import Unreadable, read_table, time_window
 
 log = logging.getLogger(__name__)
@@ -36,7 +37,8 @@ ENRICH = "_enrich"
 SPREAD = "_spread"
 CONTENT = "_content"
 ORPHAN = "_orphan"
-TIME = "event_timestamp_local"
+#: Gaps, intervals and orders are real time; the wall clock only names days and sessions.
+TIME = "event_timestamp_utc"
 ID = "mongo_id"
 EXTRA_TIMES = ("created_at", "session_start", "session_end_raw")
 MASTER = "session_master"
@@ -62,7 +64,7 @@ def shape_table(
 ) -> DataFrame:
     """Row-local part of a table: filter, flatten, rename, identity, times and ``drop_reason``."""
     if bounds is not None and spec.time_col in df.columns:
-        df = time_window(df, spec.time_col, *bounds, encoding=spec.time_encoding)
+        df = time_window(df, spec.time_col, *bounds, encoding=spec.time_encoding, iso_text=spec.iso_text)
     df = shape.stringify(shape.flatten_struct(df, "body"), spec.nested)
     df = shape.rename(df, renames)
     time_col = renames.get(spec.time_col, spec.time_col)
@@ -95,6 +97,7 @@ def run(
     spark: SparkSession, source: Source, tenants: list[Tenant], target: str, window: RunWindow | None = None,
     specs: tuple[TableSpec, ...] = SPECS, rules: Rules = Rules(), only: str | None = None, dry_run: bool = False,
     renames: dict[str, str] = RENAMES, max_files: int | None = None, run_id: str | None = None, refresh: str = "touched",
+    layout: Layout = Layout(),
 ) -> RunResult:
     """Process every spec for every tenant and append one audit row per pair.
 
@@ -102,11 +105,18 @@ def run(
     ``only`` isolates one tenant; partitions of the others stay as they are. A tenant or
     table that fails is recorded in the audit and does not stop the rest. A dry run
     computes and counts everything and writes nothing to ``target``. ``refresh="all"``
-    replaces each table as a whole instead of the touched partitions, for all tenants only.
+    replaces each table as a whole instead of the touched partitions; where all tenants share
+    a dataset, for all tenants only. ``max_files`` bounds the files of every partition. With
+    ``Layout(tenant_first=True)`` runs for different tenants may go on at the same time. The
+    caller's session settings are as before when the run ends.
     """
-    if refresh == "all" and only is not None:
+    if refresh == "all" and only is not None and not layout.tenant_first:
         raise ValueError("a full refresh replaces the rows of all tenants")
-    require_utc(spark)
+    with settings(spark, RUN_SETTINGS):
+        return _run(spark, source, tenants, target, window, specs, rules, only, dry_run, renames, max_files, run_id, refresh, layout)
+
+
+def _run(spark, source, tenants, target, window, specs, rules, only, dry_run, renames, max_files, run_id, refresh, layout) -> RunResult:
     window = window or RunWindow.yesterday(rules.zone)
     chosen = [t for t in tenants if only is None or t.name.lower() == only.lower()]
     if not chosen:
@@ -114,7 +124,7 @@ def run(
     run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     audit = Audit(run_id, date.fromisoformat(window.day))
     with Staging(spark, run_id) as staging:
-        job = _Job(spark, source, chosen, target.rstrip("/"), window, rules, dry_run, renames, max_files, audit, staging, refresh)
+        job = _Job(spark, source, chosen, target.rstrip("/"), window, rules, dry_run, renames, max_files, audit, staging, refresh, layout)
         for spec in (s for s in specs if s.is_session):
             job.table(spec)
         others = sorted((s for s in specs if not s.is_session), key=lambda s: not s.is_activity)
@@ -122,7 +132,7 @@ def run(
             list(pool.map(job.table, others))
         job.master()
         if not dry_run:
-            sinks.append_audit(audit.frame(spark), f"{job.target}/{AUDIT_TABLE}")
+            job.append_audit()
     return RunResult(run_id, audit.frame(spark), job.written)
 
 
@@ -140,6 +150,7 @@ class _Job:
     audit: Audit
     staging: Staging
     refresh: str = "touched"
+    layout: Layout = Layout()
     written: dict[str, DataFrame] = field(default_factory=dict)
     sessions: DataFrame | None = None
     blocks: DataFrame | None = None
@@ -155,7 +166,6 @@ class _Job:
             last += timedelta(days=1)
         self.days = RunWindow(self.window.day, last.isoformat()).days()
         self.bounds = local_day_bounds(self.window.day, last.isoformat(), self.rules.zone)
-        self.local_bounds = tuple(local_time(b, self.rules.zone) for b in self.bounds)
         self.by = [TENANT, *self.rules.partition_by]
         self.keys = [TENANT, USER]
         self.cut = "date" if self.rules.cut_by_day else None
@@ -165,24 +175,24 @@ class _Job:
     def table(self, spec: TableSpec) -> None:
         for t in self.tenants:
             self.audit.open(t.name, spec.target, spec.full_load)
-        tagged, ready = self._tagged(spec)
-        if tagged is None:
+        rows, kept_counts = self._staged(spec)
+        if rows is None:
             return
-        stage = "CLEANSING"
+        ready, stage = list(kept_counts), "CLEANSING"
         try:
-            kept_counts = self._count_tagged(tagged, spec, ready)
-            kept, repeats = self._unique(tagged.filter(F.col("drop_reason").isNull()), spec)
+            slots = self._slots(rows)
+            kept, repeats = self._unique(rows, spec)
             stage = "SESSION_BOUNDARY" if spec.is_session else "SESSION_ENRICHMENT"
             rows = self._sessions(kept) if spec.is_session else self._enriched(kept, spec)
             stage = "WRITE"
             final = self._final(rows)
-            counts, orphans = self._store(final, spec.target, ready, spec.full_load)
+            counts, orphans = self._store(final, spec.target, ready, spec.full_load, slots)
         except Exception as e:  # a failing table must not stop the run
             for name in ready:
                 self.audit.fail(name, spec.target, stage, e)
             return
         for name in ready:
-            kept_n, repeat_n, out_n = kept_counts.get(name, 0), repeats.get(name, 0), counts.get(name, 0)
+            kept_n, repeat_n, out_n = kept_counts[name], repeats.get(name, 0), counts.get(name, 0)
             orphan_n = orphans.get(name, 0)
             self.audit.count(
                 name, spec.target, duplicate_mongo_id_dropped=repeat_n, orphans_dropped=orphan_n, final_rows_written=out_n
@@ -191,22 +201,23 @@ class _Job:
                 lost = kept_n - repeat_n - orphan_n - out_n
                 self.audit.fail(name, spec.target, "WRITE", f"{lost} of {kept_n} kept rows are neither written nor dropped")
             self.audit.close(name, spec.target, kept_n)
-        result = self.written.get(spec.target, final.filter(~F.col(ORPHAN)).drop(ORPHAN) if ORPHAN in final.columns else final)
+        unwritten = final.filter(~F.col(ORPHAN)) if ORPHAN in final.columns else final
+        result = self.written.get(spec.target, unwritten.drop(ORPHAN, SPREAD))
         if spec.is_session:
             self.sessions, self.session_ready = result, ready
         elif spec.is_activity:
             self.activity = result
 
-    def _tagged(self, spec: TableSpec) -> tuple[DataFrame | None, list[str]]:
-        """Scan, shape and stage all tenants in one plan; a tenant that fails drops out."""
+    def _staged(self, spec: TableSpec) -> tuple[DataFrame | None, dict[str, int]]:
+        """Scan, shape and stage the rows to keep of all tenants in one plan; and their number per tenant.
+
+        A tenant that fails drops out.
+        """
         frames: dict[str, DataFrame] = {}
         for t in self.tenants:
             try:
                 raw = read_table(self.spark, self.source, t, spec)
-                shaped = shape_table(raw, spec, self.rules, None if spec.full_load else self.bounds, self.renames)
-                # Written to the staged table and read from there on, so every later use sees the same number.
-                numbered = shaped.withColumns({CONTENT: copies.content_hash(shaped), SPREAD: F.monotonically_increasing_id()})
-                frames[t.name] = numbered.withColumn(TENANT, F.lit(t.name))
+                frames[t.name] = shape_table(raw, spec, self.rules, None if spec.full_load else self.bounds, self.renames)
             except Unreadable as e:
                 self.audit.fail(t.name, spec.target, "READ", e)
             except shape.MissingColumns as e:
@@ -216,31 +227,47 @@ class _Job:
             except Exception as e:  # schema surprises of one tenant
                 self.audit.fail(t.name, spec.target, "CLEANSING", e)
         if not frames:
-            return None, []
+            return None, {}
         try:
-            united = shape.fix_void(shape.union_tenants(list(frames.values())))
-            return self.staging.put(f"{spec.target}-tagged", united), list(frames)
-        except Exception:
-            return self._tagged_one_by_one(spec, frames)
-
-    def _tagged_one_by_one(self, spec: TableSpec, frames: dict[str, DataFrame]) -> tuple[DataFrame | None, list[str]]:
-        """After a failed scan, find the tenants that can be read."""
-        good: dict[str, DataFrame] = {}
-        for i, (name, df) in enumerate(frames.items()):
-            try:
-                good[name] = self.staging.put(f"{spec.target}-tagged-{i}", shape.fix_void(df))
-            except Exception as e:
-                self.audit.fail(name, spec.target, "READ", e)
-        return (shape.union_tenants(list(good.values())) if good else None), list(good)
-
-    def _count_tagged(self, tagged: DataFrame, spec: TableSpec, ready: list[str]) -> dict[str, int]:
-        kept = {}
-        for row in quality.audit_counts(tagged, TENANT).collect():  # one row per tenant
-            counters = row.asDict()
-            name = counters.pop(TENANT)
-            kept[name] = counters.pop("rows_kept")
-            self.audit.count(name, spec.target, **counters)
-        return kept
+            return self._put(f"{spec.target}-kept", frames, spec)
+        except Exception:  # one of the scans failed; find the tenants that can be read
+            parts, kept = [], {}
+            for i, (name, df) in enumerate(frames.items()):
+                try:
+                    part, counts = self._put(f"{spec.target}-kept-{i}", {name: df}, spec)
+                    parts.append(part)
+                    kept |= counts
+                except Exception as e:
+                    self.audit.fail(name, spec.target, "READ", e)
+            return (shape.union_tenants(parts) if parts else None), kept
+
+    def _put(self, name: str, frames: dict[str, DataFrame], spec: TableSpec) -> tuple[DataFrame, dict[str, int]]:
+        """Stage the rows without a reason to drop them; the tasks that write them count the others by reason.
+
+        The write has no shuffle, so every row passes through one writing task, and Spark counts
+        each of those once.
+        """
+        seen, rows = {t: Observation() for t in frames}, []
+        for tenant, df in frames.items():
+            kept = df.observe(seen[tenant], *quality.reason_metrics()).filter(F.col("drop_reason").isNull()).drop("drop_reason")
+            # Written to the staged table and read from there on, so every later use sees the same number.
+            numbered = kept.withColumns({CONTENT: copies.content_hash(kept), SPREAD: F.monotonically_increasing_id()})
+            rows.append(numbered.withColumn(TENANT, F.lit(tenant)))
+        staged = self.staging.put(name, shape.fix_void(shape.union_tenants(rows)))
+        counts = {}
+        for tenant, metrics in seen.items():
+            counters = dict(metrics.get)
+            counts[tenant] = counters.pop("rows_kept")
+            self.audit.count(tenant, spec.target, **counters)
+        return staged, counts
+
+    def _slots(self, rows: DataFrame) -> DataFrame | None:
+        """Files per target partition, from the staged rows; some of those are not written, which does no harm."""
+        if not self.max_files:
+            return None
+        dated = rows.select(TENANT, "date")
+        dated = shape.add_ymd(dated) if "year" in self.by else dated
+        return self.staging.put(f"slots-{uuid.uuid4().hex}", sinks.partition_slots(dated, self.by, self.max_files))
 
     def _unique(self, kept: DataFrame, spec: TableSpec) -> tuple[DataFrame, dict[str, int]]:
         """Deduplicate by record id: the losers' row numbers are found on narrow columns and staged.
@@ -267,19 +294,19 @@ class _Job:
     def _sessions(self, kept: DataFrame) -> DataFrame:
         rules = self.rules
         by = [*self.keys, self.cut] if self.cut else self.keys
-        end = "session_end_raw_local" if "session_end_raw_local" in kept.columns else None
+        end = "session_end_raw_utc" if "session_end_raw_utc" in kept.columns else None
         blocks = session_blocks(kept, by, TIME, rules.gap_seconds, end, [SPREAD])
         self.blocks = self.staging.put("blocks", blocks)
-        facts = block_facts(self.blocks, self.keys, self.cut, rules.id_style)
+        facts = block_facts(self.blocks, self.keys, self.cut, rules.id_style, rules.zone)
         grace = None if rules.tail_seconds is not None else rules.grace_seconds
         known = facts.filter(F.col(USER).isNotNull())
         self.lookup = self.staging.put("lookup", session_bounds(known, self.keys, USER, grace, rules.tail_seconds))
-        per_bucket = bucket_copies("sess_start", "sess_end", self.local_bounds)
+        per_bucket = bucket_copies("sess_start", "sess_end", self.bounds)
         self.lookup_small = fits_broadcast(self.lookup, per_bucket, rules.broadcast_rows)
         self.session_tenants = [r[0] for r in self.lookup.select(TENANT).distinct().collect()]  # tenants only
         rows = sessionize(
             kept, self.keys, TIME, rules.gap_seconds, self.cut, rules.id_style, end, [SPREAD], blocks=self.blocks,
-            small=fits_broadcast(self.blocks, copies_made(), rules.broadcast_rows),
+            small=fits_broadcast(self.blocks, copies_made(), rules.broadcast_rows), zone=rules.zone,
         )
         if rules.default_duration is not None:
             rows = row_duration(rows, TIME, default_tail=rules.default_duration)
@@ -291,7 +318,7 @@ class _Job:
             return unassigned(kept)
         rows = assign_sessions(
             kept, self.lookup, USER, TIME, tenant=TENANT, label_unassigned=self.rules.label_unassigned,
-            pick=self.rules.pick, within=self.local_bounds, salt_by=[SPREAD], small=self.lookup_small,
+            pick=self.rules.pick, within=self.bounds, salt_by=[SPREAD], small=self.lookup_small,
         )
         joined = F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants)
         rows = rows.withColumn("session_id", F.when(joined, F.col("session_id")))
@@ -302,21 +329,31 @@ class _Job:
     # -- sinks -------------------------------------------------------------
 
     def _final(self, rows: DataFrame) -> DataFrame:
-        final = shape.finalize_times(rows.drop(USER, ENRICH, SPREAD, CONTENT, "drop_reason"), EXTRA_TIMES)
+        final = shape.finalize_times(rows.drop(USER, ENRICH, CONTENT, *([] if self.max_files else [SPREAD])), EXTRA_TIMES)
         final = shape.fix_void(shape.enforce_schema(final, CASTS) if self.rules.enforce_types else final)
         return shape.add_ymd(final) if "year" in self.by else final
 
+    def _stored(self, schema: T.StructType, name: str) -> DataFrame:
+        """All written rows of this run's tenants."""
+        if not self.layout.tenant_first:
+            stored = self.spark.read.schema(schema).parquet(f"{self.target}/{name}")
+            return stored.filter(F.col(TENANT).isin([t.name for t in self.tenants]))
+        own = T.StructType([f for f in schema.fields if f.name != TENANT])
+        parts = [
+            self.spark.read.schema(own).parquet(self.layout.root(self.target, name, t.name)).withColumn(TENANT, F.lit(t.name))
+            for t in self.tenants
+        ]
+        return shape.union_tenants(parts).select(*schema.fieldNames())
+
     def _read_back(self, schema: T.StructType, name: str) -> DataFrame:
         """The written rows of this run's tenants and days, by partition pruning."""
         day = F.col("date") if "date" in self.by else F.make_date(
             F.col("year"), F.col("month").try_cast("int"), F.col("day").try_cast("int")
         )
-        stored = self.spark.read.schema(schema).parquet(f"{self.target}/{name}")
-        mine = F.col(TENANT).isin([t.name for t in self.tenants])
-        return stored.filter(mine & day.between(F.lit(self.days[0]), F.lit(self.days[-1])))
+        return self._stored(schema, name).filter(day.between(F.lit(self.days[0]), F.lit(self.days[-1])))
 
     def _store(
-        self, final: DataFrame, name: str, ready: list[str], full_load: bool = False
+        self, final: DataFrame, name: str, ready: list[str], full_load: bool = False, slots: DataFrame | None = None,
     ) -> tuple[dict[str, int], dict[str, int]]:
         """Write ``final`` but for its orphans; the rows written and the orphans, per tenant.
 
@@ -325,47 +362,69 @@ class _Job:
         orphan = F.col(ORPHAN) if ORPHAN in final.columns else F.lit(False)
         if self.dry_run:
             return self._per_tenant(final.filter(~orphan)), self._per_tenant(final.filter(orphan))
-        seen = Observation()
-        of = {f"orphans_{i}": t.name for i, t in enumerate(self.tenants)}  # one figure per tenant
-        marked = final.observe(
-            seen, F.collect_set(F.when(~orphan, F.struct(*self.by))).alias("partitions"),
-            *[F.count_if(orphan & (F.col(TENANT) == t)).alias(c) for c, t in of.items()],
-        )
-        final = final.drop(ORPHAN)
-        sinks.write_partitions(marked.filter(~orphan).drop(ORPHAN), f"{self.target}/{name}", self.by, self.refresh, self.max_files)
+        touched, orphans = self._write(final, name, slots)
+        schema = final.drop(ORPHAN, SPREAD).schema
         if full_load:
-            self.written[name] = self.spark.read.schema(final.schema).parquet(f"{self.target}/{name}")
-            return self._per_tenant(self.written[name].filter(F.col(TENANT).isin([t.name for t in self.tenants]))), {}
-        touched = self._touched(seen, final)
-        orphans = {t: seen.get[c] for c, t in of.items()} if touched is not None else {}
-        touched = touched or set()
-        stored = self._read_back(final.schema, name)
+            self.written[name] = self._stored(schema, name)
+            return self._per_tenant(self.written[name]), {}
         counts: dict[str, int] = {}
-        emptied: list[dict[str, str]] = []
-        for row in stored.groupBy(*self.by).count().collect():  # one row per tenant and day
+        emptied: dict[str, list[dict[str, str]]] = {}
+        for row in self._read_back(schema, name).groupBy(*self.by).count().collect():  # one row per tenant and day
             part = tuple(row[c] for c in self.by)
             if part in touched:
                 counts[part[0]] = counts.get(part[0], 0) + row["count"]
             elif part[0] in ready:
-                emptied.append({c: str(v) for c, v in zip(self.by, part)})
-        sinks.clear_partitions(self.spark, f"{self.target}/{name}", emptied)
-        self.written[name] = self._read_back(final.schema, name)
+                emptied.setdefault(part[0], []).append({c: str(v) for c, v in zip(self.by, part)})
+        for tenant, parts in emptied.items():
+            if self.layout.tenant_first:
+                parts = [{c: v for c, v in p.items() if c != TENANT} for p in parts]
+            sinks.clear_partitions(self.spark, self.layout.root(self.target, name, tenant), parts)
+        self.written[name] = self._read_back(schema, name)
         return counts, orphans
 
-    @staticmethod
-    def _touched(seen: Observation, final: DataFrame) -> set[tuple] | None:
-        """Partitions a finished write had rows for, at most one per tenant and day; None without any row."""
-        try:
-            return {tuple(p) for p in seen.get["partitions"]}
-        except Exception:  # an empty plan is optimised away together with its metric
-            if final.isEmpty():
-                return None
-            raise
+    def _write(self, final: DataFrame, name: str, slots: DataFrame | None) -> tuple[set[tuple], dict[str, int]]:
+        """Write all tenants; the partitions that got rows, at most one per tenant and day, and the orphans per tenant."""
+        if not self.layout.tenant_first:
+            return self._write_part(final, f"{self.target}/{name}", self.by, slots)
+        if len(self.tenants) > 1:  # worked out once, then written tenant by tenant
+            final = self.staging.put(f"{name}-final", final)
+        touched, orphans = set(), {}
+        for t in self.tenants:
+            mine = None if slots is None else slots.filter(F.col(TENANT) == t.name).drop(TENANT)
+            root = self.layout.root(self.target, name, t.name)
+            parts, lost = self._write_part(final.filter(F.col(TENANT) == t.name).drop(TENANT), root, self.by[1:], mine, t.name)
+            touched |= {(t.name, *p) for p in parts}
+            orphans |= lost
+        return touched, orphans
+
+    def _write_part(
+        self, rows: DataFrame, path: str, by: list[str], slots: DataFrame | None, tenant: str | None = None
+    ) -> tuple[set[tuple], dict[str, int]]:
+        """Write one dataset: of one ``tenant``, or of all as its first partition column."""
+        orphan = F.col(ORPHAN) if ORPHAN in rows.columns else F.lit(False)
+        seen = Observation()
+        of = {f"orphans_{i}": t.name for i, t in enumerate(self.tenants) if tenant in (None, t.name)}  # one figure per tenant
+        mine = (lambda t: F.lit(True)) if tenant else (lambda t: F.col(TENANT) == t)
+        metrics = [F.collect_set(F.when(~orphan, F.struct(*by))).alias("partitions"),
+                   *[F.count_if(orphan & mine(t)).alias(c) for c, t in of.items()]]
+        with_orphans = ORPHAN in rows.columns
+        sinks.write_partitions(
+            rows, path, by, self.refresh, self.max_files, slots, [SPREAD] if self.max_files and SPREAD in rows.columns else None,
+            (seen, metrics), ~orphan if with_orphans else None, (ORPHAN,) if with_orphans else ())
+        found = seen.get
+        return {tuple(p) for p in found["partitions"]}, {t: found[c] for c, t in of.items()}
 
     @staticmethod
     def _per_tenant(df: DataFrame) -> dict[str, int]:
         return {r[TENANT]: r["count"] for r in df.groupBy(TENANT).count().collect()}
 
+    def append_audit(self) -> None:
+        rows = self.audit.frame(self.spark)
+        if not self.layout.tenant_first:
+            return sinks.append_audit(rows, f"{self.target}/{AUDIT_TABLE}")
+        for t in self.tenants:
+            sinks.append_audit(rows.filter(F.col("client_name") == t.name), self.layout.root(self.target, AUDIT_TABLE, t.name))
+
     def master(self) -> None:
         """Session facts with activity counts, from the staged blocks."""
         if not self.rules.build_master or self.blocks is None or self.sessions is None:
@@ -373,11 +432,13 @@ class _Job:
         name = self.rules.master_user
         try:
             if name == "resolved_user_id":
-                facts = block_facts(self.blocks, self.keys, self.cut, self.rules.id_style).withColumnRenamed(USER, name)
-            else:
+                zone = self.rules.zone
+                facts = block_facts(self.blocks, self.keys, self.cut, self.rules.id_style, zone).withColumnRenamed(USER, name)
+            else:  # from the written rows, whose times are the wall clock
+                zone = None
                 facts = session_rollup(self.sessions, [TENANT, "session_id", "session_label", name, "date"])
-            final = shape.enforce_schema(session_master(facts, self.activity, [TENANT, "session_id"]), CASTS)
-            self._store(shape.add_ymd(final), MASTER, self.session_ready)
+            final = shape.enforce_schema(session_master(facts, self.activity, [TENANT, "session_id"], zone), CASTS)
+            self._store(shape.add_ymd(final) if "year" in self.by else final, MASTER, self.session_ready)
         except Exception as e:  # the other tables go on, and the audit names the missing facts
             log.exception("session master failed")
             for t in self.tenants:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +18,43 @@ def require_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Settings under which a run plans its joins. A hash join takes the place of a sort-merge join
+#: where AQE has measured that every partition of the hashed side is small; a larger one is sorted, and can spill.
+RUN_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
+
+
+_held: dict[str, list] = {}
+_holding = threading.Lock()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Change session settings for a while; afterwards the caller's are back.
+
+    Several threads may hold settings of one session at a time: the first remembers the
+    caller's values and the last one restores them.
+    """
+    names = {k: f"{spark._jsparkSession.sessionUUID()}/{k}" for k in values}
+    with _holding:
+        for k, v in values.items():
+            held = _held.setdefault(names[k], [0, spark.conf.get(k, None)])
+            held[0] += 1
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _holding:
+            for k in values:
+                held = _held[names[k]]
+                held[0] -= 1
+                if not held[0]:
+                    del _held[names[k]]
+                    spark.conf.unset(k) if held[1] is None else spark.conf.set(k, held[1])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -24,9 +64,9 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_root()
+    if spark.sparkContext.master.startswith("local"):
+        return _local_root()
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 @lru_cache(maxsize=1)

@@ -29,11 +29,13 @@ def read_table(spark: SparkSession, source: Source, tenant: Tenant, spec: TableS
     return stringify(df, [c for c in spec.force_string if c in columns])
 
 
-def time_window(df: DataFrame, c: str, lo: Column, hi: Column, encoding: str = "time") -> DataFrame:
+def time_window(df: DataFrame, c: str, lo: Column, hi: Column, encoding: str = "time", iso_text: bool = False) -> DataFrame:
     """Half-open time filter on the raw column, ``lo`` and ``hi`` being UTC literals.
 
     The column is compared in its own type, so the predicate is pushed to the scan.
-    Text columns are left to the check after parsing.
+    Text columns are left to the check after parsing; with ``iso_text`` they are compared as
+    text first, with dates a day wider on each side (offsets reach 18 hours), which keeps
+    every ISO-8601 text that can lie in the window.
     """
     dtype = df.schema[c].dataType
     if encoding == "epoch_ms":
@@ -42,6 +44,9 @@ def time_window(df: DataFrame, c: str, lo: Column, hi: Column, encoding: str = "
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         value = F.col(c)
         lo, hi = lo.cast(dtype), hi.cast(dtype)
+    elif iso_text and isinstance(dtype, T.StringType):
+        value = F.col(c)
+        lo, hi = (F.date_add(b.cast("date"), n).cast("string") for b, n in ((lo, -1), (hi, 2)))
     else:
         return df
     return df.filter((value >= lo) & (value < hi))

@@ -44,7 +44,7 @@ def test_touched_partitions_only(spark, folder):
     assert read(spark, path, first).groupBy("day").count().orderBy("day").collect() == [("10", 1), ("11", 2)]
     sinks.write_partitions(first.limit(0), path, by)
     assert read(spark, path, first).count() == 3
-    sinks.clear_partition(spark, path, first.schema, {"year": "2024", "month": "01", "day": "10"})
+    sinks.clear_partitions(spark, path, [{"year": "2024", "month": "01", "day": "10"}])
     assert [r["day"] for r in read(spark, path, first).collect()] == ["11", "11"]
     sinks.write_partitions(days(spark, "2024-02-01"), path, by, refresh="all")
     assert read(spark, path, first).count() == 1
@@ -52,12 +52,57 @@ def test_touched_partitions_only(spark, folder):
         sinks.write_partitions(first, path, by, refresh="some")
 
 
+def files_of(path, *partition):
+    return [f for f in os.listdir("/".join([path, *partition])) if f.endswith(".parquet")]
+
+
 def test_one_file_per_small_partition(spark, folder):
     many = days(spark, *["2024-01-10"] * 50, *["2024-01-11"] * 50).repartition(8)
     sinks.write_partitions(many, folder + "/t", ["year", "month", "day"], max_files=4)
     for day in ("10", "11"):
-        files = os.listdir(f"{folder}/t/year=2024/month=01/day={day}")
-        assert len([f for f in files if f.endswith(".parquet")]) == 1
+        assert len(files_of(folder + "/t", "year=2024", "month=01", f"day={day}")) == 1
+
+
+@pytest.fixture()
+def splitting(spark):
+    """Settings under which AQE and the writer split whatever they may."""
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+            "spark.sql.files.maxRecordsPerFile": "1000"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_max_files_is_a_bound(spark, folder, splitting, broadcast, monkeypatch):
+    """One partition with nearly all rows, small ones and a null one, rebalanced into many tasks if nothing held them together."""
+    if not broadcast:
+        monkeypatch.setattr(sinks, "fits_broadcast", lambda df: False)
+    day = F.when(F.col("id") % 1000 == 0, F.lit("a")).when(F.col("id") % 1000 == 1, F.lit(None)).otherwise("hot")
+    rows = spark.range(400_000, numPartitions=16).select("id", day.alias("part"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    slots = sinks.partition_slots(rows, ["part"], 2, 10_000)
+    sinks.write_partitions(rows, folder + "/bound", ["part"], max_files=2, slots=slots)
+    counts = {p: len(files_of(folder + "/bound", p)) for p in os.listdir(folder + "/bound") if p.startswith("part=")}
+    assert counts == {"part=hot": 2, "part=a": 1, "part=__HIVE_DEFAULT_PARTITION__": 1}
+    assert spark.read.parquet(folder + "/bound").agg(F.count("id"), F.count_distinct("id")).first() == (400_000, 400_000)
+    sinks.write_partitions(rows, folder + "/numbered", ["part"], max_files=3, slots=sinks.partition_slots(rows, ["part"], 3, 1000), pick_by=["id"])
+    assert len(files_of(folder + "/numbered", "part=hot")) == 3 and len(files_of(folder + "/numbered", "part=a")) <= 3
+    assert spark.read.parquet(folder + "/numbered").columns == ["text", "part"]
+    sinks.write_partitions(rows, folder + "/free", ["part"])
+    assert len(files_of(folder + "/free", "part=hot")) > 3
+    with pytest.raises(ValueError):
+        sinks.write_partitions(rows, folder + "/none", ["part"], max_files=0)
+
+
+def test_slots_of_equal_rows_and_empty_tables(spark, folder):
+    rows = spark.range(100).select(F.lit(1).alias("n"), F.lit("x").alias("part"))
+    sinks.write_partitions(rows, folder + "/t", ["part"], max_files=4, slots=sinks.partition_slots(rows, ["part"], 4, 10))
+    assert len(files_of(folder + "/t", "part=x")) == 1 and spark.read.parquet(folder + "/t").count() == 100
+    sinks.write_partitions(rows.limit(0), folder + "/t", ["part"], max_files=4)
+    assert spark.read.parquet(folder + "/t").count() == 100
 
 
 def test_read_table(spark, folder):
