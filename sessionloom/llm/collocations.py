@@ -183,9 +183,12 @@ def _pieces(words: list[bytes], rows: np.ndarray, counts: np.ndarray, bounds: li
     while at < len(rows):
         which = bisect_right(bounds, window(at))
         to = bisect_left(range(len(rows)), bounds[which], lo=at, key=window) if which < len(bounds) else len(rows)
-        used, own = np.unique(rows[at:to], return_inverse=True)
-        own = own.reshape(to - at, -1) + (used[0] > 0)  # 0 pads
-        yield which, CountTransducer.build([words[x - 1] for x in used.tolist() if x], own.astype(np.int32), counts[at:to])
+        used = np.zeros(len(words) + 1, bool)
+        used[rows[at:to]] = True
+        used[0] = False  # pads
+        label = np.cumsum(used, dtype=np.int32)
+        label[0] = 0
+        yield which, CountTransducer.build([words[x - 1] for x in np.flatnonzero(used).tolist()], label[rows[at:to]], counts[at:to])
         at = to
 
 
@@ -193,7 +196,7 @@ def _batch(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(schema), schema.values())], names=list(schema))
 
 
-_STORED = {"range": pa.int32(), "words": pa.list_(pa.binary()), "arrays": pa.list_(pa.binary())}
+_STORED = {"range": pa.int32(), "part": pa.binary()}
 _COUNTED = {"lang": pa.string(), "phrase": pa.string(), "size": pa.int32(), "f": pa.int64()}
 
 
@@ -207,7 +210,7 @@ def counted(rows: DataFrame, bounds: list[Phrase], stage: Staging, least: int =
 
         def flush(until: int) -> Iterator[pa.RecordBatch]:
             for which, part in _pieces(*shard.windows(until), sent.value):
-                yield _batch(_STORED, [(which, *part.dump())])
+                yield _batch(_STORED, [(which, part.dump())])
 
         for batch in batches:
             for lang, text in _texts(batch):
@@ -225,11 +228,11 @@ def counted(rows: DataFrame, bounds: list[Phrase], stage: Staging, least: int =
         which, bounds = key[0].as_py(), sent.value
         ends = bounds[max(0, which - 1) : which + 1]  # what a range shares with its neighbours begins like one of them
         shared = {b[:k] for b in ends for k in range(2, LONGEST + 1)}
-        united = CountTransducer.union(zip(table.column("words").to_pylist(), table.column("arrays").to_pylist()), LONGEST + 1)
+        united = CountTransducer.union(table.column("part").to_pylist(), LONGEST + 1)
         rows = [(p[0].decode(), b" ".join(p[1:]).decode(), len(p) - 1, f) for p, f in united.prefixes(least, shared)]
         return pa.Table.from_batches([_batch(_COUNTED, rows)])
 
-    parts = rows.mapInArrow(build, "range int, words array<binary>, arrays array<binary>")
+    parts = rows.mapInArrow(build, "range int, part binary")
     found = parts.groupBy("range").applyInArrow(unite, "lang string, phrase string, size int, f long")
     total = found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
     return stage.put("counted", total.filter((F.col("f") >= least) | (F.col("size") == 0)))
@@ -322,7 +325,10 @@ def mine(docs: DataFrame, stage: Staging, least: int = LEAST, top: int = TOP, pe
     counts = counted(rows, bounds, stage, least, shard_words)
     found = scored(counts, part_counts(counts, bounds, stage, questions)).join(inside_longer(counts), ["lang", "phrase"], "left")
     found = found.filter(F.col("longer").isNull() | (_exact("longer") * 100 < _exact("a") * percent))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    # first the best of 64 parts of a language, so that no task orders a whole one
+    best, order = found.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(64))), (F.desc("score"), F.desc("a"), F.col("phrase"))
+    for by in (["lang", "part"], ["lang"]):
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
+    ranked = best
     sizes = counts.filter("size = 0").select(F.col("lang").alias("of"), F.col("f").alias("n"))
     return ranked.join(sizes, F.col("lang") == F.col("of")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

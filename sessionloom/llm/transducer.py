@@ -1,8 +1,8 @@
 """Weighted acyclic automata that map word sequences to counts.
 
 A sequence is spelled by arcs from the root, one word each; the state it leads to holds how
-often exactly that sequence was added. States of one depth that have the same count and the
-same arcs (label and target) are one state, so shared tails are stored once. Arcs are numpy
+often exactly that sequence was added. Of the two deepest levels, states that have the same
+count and at most one arc, the same, are one state, so shared tails are stored once. Arcs are numpy
 arrays per depth, in the order of their states and, within a state, of their labels; a label
 is the rank of its word in the automaton's own sorted vocabulary, from 1.
 """
@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
+import zstandard
 
 
 def sort_keys(rows: np.ndarray, words: int) -> list[np.ndarray]:
@@ -57,8 +58,8 @@ class CountTransducer:
     ends: list[np.ndarray]  # by depth: how often the sequences of a state were added
 
     @staticmethod
-    def build(words: list[bytes], rows: np.ndarray, counts: np.ndarray) -> "CountTransducer":
-        """From sorted distinct rows of labels, padded with 0, and their counts."""
+    def build(words: list[bytes], rows: np.ndarray, counts: np.ndarray, share: bool = True) -> "CountTransducer":
+        """From sorted distinct rows of labels, padded with 0, and their counts; ``share`` makes equal tails one."""
         depth = rows.shape[1]
         labels, fans, ends = [], [], [np.zeros(1, np.int64)]
         state = np.zeros(len(rows), np.int64)  # of every row, as deep as it has come
@@ -75,7 +76,7 @@ class CountTransducer:
             np.add.at(end, state[last], counts[last])
             ends.append(end)
         out = CountTransducer(words, labels, [np.arange(len(x)) for x in labels], [*fans, np.zeros(len(ends[-1]), np.int64)], ends)
-        for d in range(depth, 0, -1):
+        for d in (depth, depth - 1) if share else ():
             out._share(d)
         return out
 
@@ -129,19 +130,21 @@ class CountTransducer:
         return np.concatenate([p for p, _ in out]), np.concatenate([c for _, c in out])
 
     @staticmethod
-    def union(parts: Iterable[tuple[list[bytes], list[bytes]]], depth: int) -> "CountTransducer":
+    def union(parts: list[bytes], depth: int) -> "CountTransducer":
         """The automaton of all sequences of the dumped parts, their counts added up; one part is open at a time."""
-        parts = list(parts)
-        words = sorted(set().union(*(w for w, _ in parts)))
-        label = {w: i for i, w in enumerate(words, 1)}
+        number: dict[bytes, int] = {}
         rows, counts = [np.empty((0, depth), np.int32)], [np.empty(0, np.int64)]
-        for own, arrays in parts:
-            named = np.zeros(len(own) + 1, np.int32)
-            named[1:] = np.fromiter(map(label.__getitem__, own), np.int32, len(own))
-            found, count = CountTransducer.load(own, arrays).rows()
+        for part in parts:
+            own = CountTransducer.load(part)
+            named = np.zeros(len(own.words) + 1, np.int32)
+            named[1:] = [number.setdefault(w, len(number) + 1) for w in own.words]
+            found, count = own.rows()
             rows.append(named[found])
             counts.append(count)
-        return CountTransducer.build(words, *summed(np.concatenate(rows), np.concatenate(counts), len(words)))
+        words = sorted(number)
+        label = np.zeros(len(words) + 1, np.int32)
+        label[[number[w] for w in words]] = np.arange(1, len(words) + 1)
+        return CountTransducer.build(words, *summed(label[np.concatenate(rows)], np.concatenate(counts), len(words)), share=False)
 
     @staticmethod
     def of(phrases: list[tuple[bytes, ...]], counts: list[int], depth: int) -> "CountTransducer":
@@ -212,18 +215,27 @@ class CountTransducer:
             return path[:0], np.empty(0, np.int64), np.empty(0, np.int64)
         return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
 
-    def dump(self) -> tuple[list[bytes], list[bytes]]:
-        """Words and arrays to store; every array starts with the size of its numbers."""
-        arrays = []
-        for group in (self.labels, self.targets, self.fans, self.ends):
-            for x in group:
-                size = next(s for s in (1, 2, 4, 8) if not len(x) or s == 8 or x.max() < 1 << 8 * s)
-                arrays.append(bytes([size]) + x.astype(f"<u{size}").tobytes())
-        return self.words, arrays
+    def dump(self) -> bytes:
+        """The words and arrays, compressed; every array is stored in the narrowest numbers that hold it."""
+        arrays = [(1, b"".join(self.words))]
+        for x in (np.array([len(w) for w in self.words], np.int64), *self.labels, *self.targets, *self.fans, *self.ends):
+            size = next(s for s in (1, 2, 4, 8) if not len(x) or s == 8 or x.max() < 1 << 8 * s)
+            arrays.append((size, x.astype(f"<u{size}").tobytes()))
+        head = np.array([[size, len(x)] for size, x in arrays], "<u8")
+        return zstandard.compress(np.uint64(len(arrays)).tobytes() + head.tobytes() + b"".join(x for _, x in arrays), 3)
 
     @staticmethod
-    def load(words: list[bytes], arrays: list[bytes]) -> "CountTransducer":
-        read = [np.frombuffer(a, f"<u{a[0]}", offset=1).astype(np.int64) for a in arrays]
-        depth = (len(read) - 2) // 4
-        cuts = np.cumsum([depth, depth, depth + 1])
-        return CountTransducer(list(words), read[: cuts[0]], read[cuts[0] : cuts[1]], read[cuts[1] : cuts[2]], read[cuts[2] :])
+    def load(data: bytes) -> "CountTransducer":
+        data = zstandard.decompress(data)
+        n = int(np.frombuffer(data, "<u8", 1)[0])
+        head = np.frombuffer(data, "<u8", 2 * n, 8).reshape(n, 2).tolist()
+        at, read = 8 + 16 * n, []
+        for size, length in head:
+            read.append(np.frombuffer(data, f"<u{size}", length // size, at))
+            at += length
+        text, cuts = read[0].tobytes(), [0, *np.cumsum(read[1], dtype=np.int64).tolist()]
+        arrays = [x.astype(np.int64) for x in read[2:]]
+        depth = (len(arrays) - 2) // 4
+        groups = np.cumsum([depth, depth, depth + 1])
+        return CountTransducer([text[a:b] for a, b in zip(cuts, cuts[1:])], *(
+            arrays[a:b] for a, b in zip([0, *groups], [*groups, len(arrays)])))
