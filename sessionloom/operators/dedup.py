@@ -7,17 +7,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from sessionloom.operators.skew import salted_left_join
 
 
-def _holds_map(dtype: T.DataType) -> bool:
+def holds_map(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
-        return any(_holds_map(f.dataType) for f in dtype.fields)
+        return any(holds_map(f.dataType) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
-        return _holds_map(dtype.elementType)
+        return holds_map(dtype.elementType)
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def content_hash(df: DataFrame, ignore: tuple[str, ...] = ()) -> Column:
     """Order among rows that tie on everything else; equal hashes mean equal rows."""
-    return F.xxhash64(*[f.name for f in df.schema.fields if f.name not in ignore and not _holds_map(f.dataType)])
+    return F.xxhash64(*[f.name for f in df.schema.fields if f.name not in ignore and not holds_map(f.dataType)])
 
 
 def _first_per_id(df: DataFrame, by: list[str], order_by: list[str], ignore: tuple[str, ...]) -> DataFrame:
