@@ -8,17 +8,19 @@ of the sample that training does not see, and a text is rejected if its calibrat
 is below what all but ``false_rejects`` of that part's right answers reach.
 
 Training reads a bounded sample: of each language at most ``per_language`` labelled rows, those
-first by a hash of id and text, equal rows once, and of each row at most ``windows`` windows of ``window_chars``
-characters spread over the whole text. At most ``most_languages`` languages are learned, the
-most frequent ones. Nothing else comes to the driver but one count per language. Since the
-network is linear behind the mean, predicting needs one table of buckets x languages, which
-is broadcast: 128 KB per language. Every text is predicted whole, in its own task.
+first by a hash of id and text, equal rows once, of all languages together at most
+``sample_rows``, the first row of every language before any second one; and of each row at most
+``windows`` windows of ``window_chars`` characters spread over the whole text. So every label is
+learned, however rare, as long as there are no more labels than ``sample_rows``. Nothing else
+comes to the driver. The model that is broadcast takes 2 MB and 64 bytes per language
+(or, with up to 16 languages, one table of buckets x languages, 128 KB per language: the
+network is linear behind the mean). Every text is predicted whole, in its own task.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0 and rejected;
-without any labelled row every text is, but ``accepted`` keeps those with letters, and also
-those whose label is none of the learned ones; with one language every text with letters is it. A
-null label or doc_id is not learned from. Equal texts have equal results. An empty table
-gives no rows. Other columns pass through, whatever their names.
+without any labelled row every text is, but ``accepted`` keeps those with letters; with one
+language every text with letters is it. A null label or doc_id is not learned from. Equal
+texts have equal results. An empty table gives no rows. Other columns pass through, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -26,14 +28,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from sessionloom.llm.common import all_columns, col, free_names, map_text, whole_text
+from sessionloom.llm.common import col, free_names, map_text, whole_text
+from sessionloom.operators.skew import fits_broadcast, left_join
 
 UNKNOWN = "und"
 SHORTEST, LONGEST = 2, 4
 BUCKET_BITS, DIMENSIONS = 15, 16
-PER_LANGUAGE, WINDOWS, WINDOW_CHARS, MOST_LANGUAGES = 800, 6, 256, 256
+PER_LANGUAGE, WINDOWS, WINDOW_CHARS, SAMPLE_ROWS = 800, 6, 256, 204_800
 EPOCHS, BATCH, RATE, SEED = 6, 16, 2.0, 7
 FALSE_REJECTS, STRICTEST = 0.001, 0.5
 CHUNK = 1 << 20
@@ -80,14 +84,18 @@ def buckets(text: str) -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # buckets x languages: what an n-gram adds to the mean of each
+    table: np.ndarray  # buckets x languages, what an n-gram adds to the mean of each; or the embeddings
     bias: np.ndarray
+    weights: np.ndarray | None = None  # embeddings to languages, where the table holds embeddings
     temperature: float = 1.0
     threshold: float = 0.0
 
     def logits(self, text: str) -> np.ndarray | None:
         found = buckets(text)
-        return self.table[found].mean(axis=0, dtype=np.float64) + self.bias if len(found) else None
+        if not len(found):
+            return None
+        mean = self.table[found].mean(axis=0, dtype=np.float64)
+        return (mean if self.weights is None else mean @ self.weights) + self.bias
 
     def predict(self, text: str) -> tuple[str, float, bool]:
         """Language, calibrated score, and whether the text is rejected."""
@@ -108,7 +116,8 @@ def train(examples: list[tuple[str, str]], seed: int = SEED) -> Model:
     """Fit on (text, language) by stochastic gradient descent; one part in five calibrates."""
     languages = sorted({lang for _, lang in examples})
     grams = [buckets(text) for text, _ in examples]
-    label = np.array([languages.index(lang) for _, lang in examples], np.int64)
+    number = {lang: i for i, lang in enumerate(languages)}
+    label = np.array([number[lang] for _, lang in examples], np.int64)
     usable = np.array([i for i, g in enumerate(grams) if len(g)], np.int64)
     k, rng = len(languages), np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
@@ -137,7 +146,10 @@ def train(examples: list[tuple[str, str]], seed: int = SEED) -> Model:
             weights -= rate * (mean.T @ p).astype(np.float32)
             bias -= rate * p.sum(axis=0).astype(np.float32)
             np.add.at(embedding, index, np.repeat((-rate * back).astype(np.float32), sizes, axis=0))
-    model = Model(languages, embedding @ weights, bias.astype(np.float64))
+    if k <= DIMENSIONS:  # the smaller form of the same network
+        model = Model(languages, embedding @ weights, bias.astype(np.float64))
+    else:
+        model = Model(languages, embedding, bias.astype(np.float64), weights=weights.astype(np.float64))
     _calibrate(model, [examples[i][0] for i in (held if len(held) else fit)], label[held if len(held) else fit])
     return model
 
@@ -160,7 +172,7 @@ def _calibrate(model: Model, texts: list[str], label: np.ndarray) -> None:
 
 
 def sample(docs: DataFrame, may_learn: Column, per_language: int = PER_LANGUAGE, windows: int = WINDOWS,
-           window_chars: int = WINDOW_CHARS, most_languages: int = MOST_LANGUAGES, doc_id: str = "doc_id",
+           window_chars: int = WINDOW_CHARS, sample_rows: int = SAMPLE_ROWS, doc_id: str = "doc_id",
            text: str = "text", label: str = "lang") -> list[tuple[str, str]]:
     """Windows of text with their language, in a fixed order; bounded by the parameters."""
     chars = F.char_length("text")
@@ -168,20 +180,20 @@ def sample(docs: DataFrame, may_learn: Column, per_language: int = PER_LANGUAGE,
         col(doc_id).cast("string").alias("id"), whole_text(text).alias("text"), col(label).cast("string").alias("lang"),
     ).filter(may_learn & F.col("lang").isNotNull() & F.col("id").isNotNull() & (chars > 0))
     rows = rows.withColumn("spot", F.shiftrightunsigned(F.xxhash64("id", "text"), 1))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("spot").alias("spots"))
-    counts = counts.orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    if not counts:
-        return []
     # somewhat more than wanted by a limit on the hash, then exactly so many by rank, on the hash alone
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, DRAWN * per_language / max(1, r["spots"]))))])
-    drawn = rows.filter(F.col("spot") <= F.try_element_at(share, F.col("lang")) * float(1 << 63))
+    spots = rows.groupBy("lang").agg(F.approx_count_distinct("spot").alias("spots"))
+    limits = spots.select("lang", (F.least(F.lit(1.0), DRAWN * per_language / F.greatest("spots", F.lit(1))) * float(1 << 63)).alias("limit"))
+    narrow = rows.select("lang", "spot")
+    drawn = narrow.join(F.broadcast(limits), "lang") if fits_broadcast(limits) else left_join(narrow, limits, ["lang"])
+    drawn = drawn.filter(F.col("spot") <= F.col("limit")).select("lang", "spot").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("spot"))
-    spots = drawn.select("lang", "spot").distinct().withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
+    chosen = drawn.withColumn("rank", rank).filter(F.col("rank") <= per_language).orderBy("rank", "spot", "lang").limit(sample_rows)
+    chosen = F.broadcast(chosen.select("lang", "spot"))  # at most sample_rows
     pieces = F.least(F.lit(windows), F.ceil(chars / window_chars)).cast("int")
     gap = F.when(pieces > 1, (chars - window_chars) / (pieces - 1)).otherwise(0)
     cut = F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: F.substring(
         F.col("text"), F.floor(i * gap).cast("int") + 1, F.lit(window_chars)))
-    found = drawn.join(F.broadcast(spots), ["lang", "spot"], "left_semi").select("spot", "id", "lang", cut.alias("cut"))
+    found = rows.join(chosen, ["lang", "spot"], "left_semi").select("spot", "id", "lang", cut.alias("cut"))
     found = found.groupBy("lang", "spot").agg(F.min(F.struct("id", "cut")).alias("row")).select("spot", "row.id", "lang", "row.cut").collect()
     examples = []
     for r in sorted(found, key=lambda r: (r["spot"], r["id"], r["lang"], r["cut"])):
@@ -215,16 +227,24 @@ def learned(docs: DataFrame, **options) -> Model:
     return train(sample(docs, F.crc32(F.col("id").cast("binary")) % 3 != 1, **options))
 
 
-def accepted(docs: DataFrame, model: Model, label: str = "lang") -> DataFrame:
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows with letters whose language the model does not reject, with all their columns.
 
-    A row whose label the model has not learned is not judged by its score, nor is any row
-    by a model that has learned nothing.
+    A model that has learned nothing rejects only what has no letters. Python is given the
+    texts and gives back the verdicts; the rows themselves stay where they are.
     """
-    names = free_names(docs, "__lang", "__score", "__rejected")
-    if not model.languages:
-        spoken = map_text(docs, [T.StructField(names[0], T.BooleanType())], lambda: lambda texts: [[any(map(str.isalpha, t)) for t in texts]])
-        return spoken.filter(F.col(names[0])).select(*all_columns(docs))
-    # a score is 0 only without letters
-    foreign = ~F.coalesce(col(label).cast("string").isin(model.languages), F.lit(True)) & (F.col(names[1]) > 0)
-    return predict(docs, model, names=tuple(names)).filter(~F.col(names[2]) | foreign).select(*all_columns(docs))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def keep(texts: pa.Array) -> pa.Array:
+        model = sent.value
+        if not model.languages:
+            return pa.array([any(map(str.isalpha, t)) for t in _each(texts)], pa.bool_())
+        return pa.array([not model.predict(t)[2] for t in _each(texts)], pa.bool_())
+
+    return docs.filter(keep(whole_text(text)))
+
+
+def _each(texts: pa.Array):
+    """One text at a time, so that a task never holds a batch of them as Python strings."""
+    return (t.as_py() for t in texts)
