@@ -16,7 +16,9 @@ staged once, narrow; everything after reads that table.
 
 Defined results: null counts as the empty text, and all such rows are one group. The row
 with the largest doc_id stays; a null doc_id is below every other. Rows that agree in text
-and doc_id are one document listed twice: exactly one of them stays. An empty table gives no
+and doc_id are one document listed twice: of them the row with the largest hash over all its
+columns stays (then the largest by its columns, in order), so the survivor does not depend on
+the order or the partitions of the input; columns that hold maps are not compared. An empty table gives no
 rows. Other columns of the input do not matter and may have any name.
 """
 
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sessionloom.llm.common import all_columns, ascii_lower, col, free_names, utf8, whole_text
+from sessionloom.operators.dedup import holds_map
 from sessionloom.operators.skew import fits_broadcast
 from sessionloom.session import Staging
 
@@ -103,5 +106,9 @@ def dedup(docs: DataFrame, stage: Staging, counters: int = COUNTERS, doc_id: str
     if twice.isEmpty():
         return left.select(*all_columns(docs))
     listed_twice = F.col(key) == twice["d"]
-    once = left.join(twice, listed_twice, "left_semi").dropDuplicates([key])
+    copies = left.join(twice, listed_twice, "left_semi")
+    plain = [f.name for f in docs.schema.fields if not holds_map(f.dataType)]
+    place = F.struct(F.xxhash64(*[col(c) for c in plain]), *[col(c) for c in plain])
+    (whole,) = free_names(copies, "__whole")
+    once = copies.groupBy(key).agg(F.max_by(F.struct(*all_columns(copies)), place).alias(whole)).select(f"{whole}.*")
     return left.join(twice, listed_twice, "left_anti").unionByName(once).select(*all_columns(docs))
