@@ -13,7 +13,10 @@ the pages themselves move at most once, by (digest, page).
 Tasks write archives of about ``archive_bytes`` below the shared folder, each under a name of
 its own, and return one manifest row per archive. The manifest is a committed table: files
 of a lost or repeated attempt are not in it and are never read. Files are written through
-Arrow's file systems (file, hdfs, s3, gs). A task holds one archive's records at a time.
+Arrow's file systems (file, hdfs, s3, gs, abfs), into the folder as Hadoop qualifies it on the driver, so
+that a bare path means the same place to Spark and to the tasks; a local folder is refused unless
+the master is local. A task holds one archive's records at a time, and a record whole: what
+bounds a single payload is the memory of a task.
 
 Defined results: a null html is the empty payload; equal rows (same page_id, same payload)
 get equal records; a null page_id is never the smallest, and payloads that only rows without
@@ -34,7 +37,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sessionloom.llm.common import col
 from sessionloom.operators.skew import salted_left_join
@@ -47,6 +50,8 @@ PAGE_URN = "urn:x-page:"
 
 ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES, LEVEL = 16 << 20, 32 << 10, 2 << 20, 3
 READ_BYTES = 1 << 20
+#: Tasks that read archives, at most.
+READERS = 10_000
 DATE = "1970-01-01T00:00:00Z"
 
 RECORD = (
@@ -167,7 +172,7 @@ def _located(pages: DataFrame, stage: Staging, min_bytes: int) -> DataFrame:
 
 def write(pages: DataFrame, stage: Staging, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: str = DATE) -> DataFrame:
     """Write ``page_id, url, html`` to archives; the committed manifest ``path, records, raw_bytes, stored_bytes``."""
-    folder = stage.folder("warc")
+    folder = qualified(pages.sparkSession, stage.folder("warc"))
 
     def put(records: list[bytes]) -> dict[str, list]:
         files, root = _file_system(folder)
@@ -198,8 +203,8 @@ def write(pages: DataFrame, stage: Staging, min_bytes: int = 0, archive_bytes: i
 
 
 def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of a manifest's archives, one task per archive; payloads are checked against their digests."""
-    archives = max(1, manifest.count())
+    """The records of a manifest's archives, in up to ``READERS`` tasks of as many archives each; payloads are checked against their digests."""
+    readers = min(READERS, max(1, manifest.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,11 +224,38 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                     if held:
                         yield pa.RecordBatch.from_pylist(held, RECORD_ARROW)
 
-    return manifest.select("path").repartition(archives, "path").mapInArrow(run, RECORD)
+    # ranges of a hash are even, where a hash of it would put several archives into one task and none into another
+    return manifest.select("path").repartitionByRange(readers, F.xxhash64("path")).mapInArrow(run, RECORD)
 
 
-def _file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
-    """Arrow's file system for a URI or a local path; ``file:/x`` is ``file:///x``."""
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and authority that Spark itself would take for it."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return checked(full, sc.master)
+
+
+def checked(folder: str, master: str) -> str:
+    """The folder, unless it is on one machine and the master is not."""
+    if folder.startswith("file:") and not master.startswith("local"):
+        raise ValueError(f"{folder} is local: set spark.checkpoint.dir to a folder that all executors share")
+    return folder
+
+
+# Hadoop's names of file systems and Arrow's.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(path: str) -> str:
+    """The path as Arrow names it: ``file:/x`` is a plain path, ``s3a`` is ``s3``."""
     if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    return pa.fs.FileSystem.from_uri(path) if "://" in path else (pa.fs.LocalFileSystem(), path)
+        return "/" + path.removeprefix("file:").lstrip("/")
+    scheme, mark, rest = path.partition("://")
+    return ARROW_SCHEMES.get(scheme, scheme) + mark + rest
+
+
+def _file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """Arrow's file system for a URI or a local path."""
+    uri = arrow_uri(path)
+    return pa.fs.FileSystem.from_uri(uri) if "://" in uri else (pa.fs.LocalFileSystem(), uri)
