@@ -1,6 +1,7 @@
 """Connected components of an undirected graph by alternating large and small stars.
 
-Every round is two map-side-combined minima with a join back; rounds are written tables, so
+Every round is two map-side-combined minima with a salted join back, so that a node with a third
+of all edges is spread over many tasks; rounds are written tables, so
 a lost executor costs a few tasks and lineage stays short. Nothing is collected but one row
 with the count and a checksum of the edges, which stop changing when every component is a
 star around its smallest node.
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from sessionloom.operators.skew import salted_left_join
 from sessionloom.session import Staging
 
 
@@ -21,13 +23,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
     around = _both_ways(edges)
     least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return salted_left_join(around.filter("v > u"), least, ["u"], ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    below = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    below = salted_left_join(edges, least, ["u"], ["v"]).filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return below.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

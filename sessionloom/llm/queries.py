@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sessionloom.llm import (
@@ -12,8 +11,8 @@ from sessionloom.llm import (
 from sessionloom.llm.common import WORD, read, utf8, whole_text
 from sessionloom.session import Staging
 
-#: Where the public tokenizer files are; only read, never copied.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+#: Public tokenizer files; only read, never copied.
+BYTE_BPE, PIECES = (str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 
 
 def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +20,14 @@ def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     counts = [F.size(pii.of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
     base = pii.listed(pii.of_kind(spans, *pii.BASE_KINDS))
-    return found.select("doc_id", *counts, F.sha2(utf8(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"))
+    private = F.size(pii.of_kind(spans, *(k for k in pii.KINDS if k != "url"))).cast("long")
+    return found.select("doc_id", *counts, F.sha2(utf8(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"),
+                        F.size(pii.of_kind(spans, "secret")).cast("long").alias("n_secret"), private.alias("n_private"))
 
 
 def op2_bpe_transcode(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
-    made = bpe.encode(docs, f"{TOKENIZERS}/byte_bpe_50k.json", decoded="decoded")
+    made = bpe.encode(docs, BYTE_BPE, decoded="decoded")
     return made.select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(utf8(F.col("decoded")), 256).alias("decoded_sha256"),
@@ -73,7 +74,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
-    return token_counts.count_tokens(docs, f"{TOKENIZERS}/piece_bpe_32k.model").drop("text")
+    return token_counts.count_tokens(docs, PIECES).drop("text")
 
 
 def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

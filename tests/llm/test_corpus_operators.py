@@ -159,6 +159,20 @@ def test_exact_groups_equal_brute_force(spark, counters):
     assert dedup_exact.dedup(docs_of(spark, rows).limit(0), Staging(spark, "t")).count() == 0
 
 
+def test_one_survivor_for_every_input_order(spark):
+    """Rows that agree in id and text but not elsewhere: the same one stays, whatever the partitions."""
+    rows = [(i % 3, "Same TEXT" if i % 2 else "same text", f"src{i}") for i in range(60)] + [(None, "same", f"src{i}") for i in range(20)]
+    rows += [(9, "hot", "s")] * 30
+    kept = []
+    for parts in (3, 5, 8):
+        random.Random(parts).shuffle(rows)
+        kept.append(sorted(map(tuple, dedup_exact.dedup(docs_of(spark, rows).repartition(parts), Staging(spark, "t")).collect()), key=str))
+    assert kept[0] == kept[1] == kept[2]
+    assert [(r[0], r[1].lower()) for r in kept[0]] == [(2, "same text"), (9, "hot"), (None, "same")]
+    nested = docs_of(spark, rows).withColumn("m", F.create_map(F.lit("k"), F.col("source")))
+    assert dedup_exact.dedup(nested, Staging(spark, "t")).count() == 3
+
+
 def test_misra_gries_finds_every_frequent_value(spark):
     rng = random.Random(9)
     values = [b"a"] * 300 + [b"b"] * 200 + [str(rng.random()).encode() for _ in range(1000)]
@@ -416,5 +430,31 @@ def test_pipeline_stages_take_odd_documents(spark):
         assert "n_tokens" in now.columns
 
 
-def test_every_registered_query_runs(spark):
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_every_operator_has_one_query():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
+
+
+# archives on a cluster
+
+def test_archive_paths():
+    assert warc.arrow_uri("file:/x/y") == warc.arrow_uri("file:///x/y") == warc.arrow_uri("/x/y") == "/x/y"
+    assert warc.arrow_uri("s3a://bucket/x") == warc.arrow_uri("s3n://bucket/x") == "s3://bucket/x"
+    assert warc.arrow_uri("hdfs://host:1/x") == "hdfs://host:1/x"
+    assert warc.checked("file:/x", "local[2]") == "file:/x" and warc.checked("hdfs://h/x", "yarn") == "hdfs://h/x"
+    for master in ("yarn", "spark://host:7077", "k8s://https://host"):
+        with pytest.raises(ValueError):
+            warc.checked("file:/x", master)
+
+
+def test_archives_of_a_bare_path_and_their_readers(spark, folder, monkeypatch):
+    assert warc.qualified(spark, folder) == f"file:{folder}"
+    rows = [(i, f"http://e/{i}", "one payload of a third of all pages" if i % 3 == 0 else f"page {i} " * 20) for i in range(900)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    manifest = warc.write(pages, Staging(spark, "t"), archive_bytes=4_000)
+    archives = manifest.count()
+    assert archives > 20 and all(r["path"].startswith("file:/") for r in manifest.collect())
+    monkeypatch.setattr(warc, "READERS", 7)
+    found = warc.read(manifest)
+    assert found.rdd.getNumPartitions() <= 7
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in found.collect()}
+    assert got == {i: ("revisit", 0) if i % 3 == 0 and i else ("response", None) for i in range(900)}
