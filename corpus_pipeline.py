@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sessionloom.llm import bpe, dedup_exact, language, mixing, near_dedup
 from sessionloom.llm.common import WORD, free_names, whole_text
-from sessionloom.llm.queries import TOKENIZERS
+from sessionloom.llm.queries import BYTE_BPE
 from sessionloom.session import Staging
 
 
@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (ids,) = free_names(docs, "ids")
-    made = bpe.encode(docs, f"{TOKENIZERS}/byte_bpe_50k.json", ids=ids)
+    made = bpe.encode(docs, BYTE_BPE, ids=ids)
     return made.select("doc_id", "source", F.expr(f"octet_length({ids}) div 4").alias("n_tokens"), F.col(ids).alias("ids"))
 
 
