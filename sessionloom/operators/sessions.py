@@ -13,36 +13,73 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sessionloom.functions.times import local_time, shift_seconds, utc_time, whole_seconds
 from sessionloom.operators.skew import SALT, left_join, salt_marks, spread, with_salt
 
 BLOCK = "_block"
 SLICE = "_slice"
+#: Rows of one key that one window of ``previous_time`` orders.
+ROWS_PER_SLICE = 500_000
+
+
+def slice_width(df: DataFrame, keys: list[str], t: str, rows_per_slice: int = ROWS_PER_SLICE) -> Column:
+    """Seconds such that no key has many more than ``rows_per_slice`` rows in as much time, a month at most.
+
+    Rows are counted per hour and per hash bucket of the keys, so that the count stays small
+    however many keys there are. A bucket has at least the rows of each of its keys.
+    """
+    hour, bucket = F.floor(whole_seconds(F.col(t)) / 3600), F.pmod(F.xxhash64(*keys), F.lit(4096))
+    counts = df.groupBy(hour.alias("_hour"), bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    width = F.floor(3600 * rows_per_slice / F.max("_rows"))
+    return counts.agg(F.greatest(F.lit(1), F.least(F.lit(30 * 86_400), width)).alias("width")).scalar()
+
+
+def _never_null(df: DataFrame, keys: list[str]) -> dict[str, Column]:
+    """Columns that are equal just where ``keys`` are equal or both null, and never null themselves.
+
+    A null-safe join would compare expressions that a window on the keys is not partitioned by, and
+    shuffle and sort its rows a second time.
+    """
+    out, nulls = {}, F.lit(0)
+    for i, k in enumerate(keys):
+        dtype = df.schema[k].dataType
+        if isinstance(dtype, (T.NumericType, T.BooleanType)):
+            instead = F.lit(0).cast(dtype)
+        elif isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            instead = F.lit("1970-01-01").cast(dtype)
+        else:
+            instead = None
+        out[f"_k{i}"] = F.struct(F.col(k)) if instead is None else F.coalesce(F.col(k), instead)
+        nulls = nulls * 2 + F.col(k).isNull().cast("int")
+    return {**out, "_nulls": nulls}
 
 
 def previous_time(
-    df: DataFrame, keys: list[str], t: str, tie: list[str] | None = None, out: str = "prev_ts", slice_seconds: int = 10
+    df: DataFrame, keys: list[str], t: str, tie: list[str] | None = None, out: str = "prev_ts", slice_seconds: int | None = None
 ) -> DataFrame:
     """Add the previous event time within ``keys``, ordered by ``t`` then ``tie``.
 
-    The lag runs inside short time slices, so that a hot user's rows are spread
-    over many tasks; the first row of a slice takes the last time of the slice
-    before it, found on one summary row per slice. Null keys form a group of their own;
-    times must not be null.
+    The lag runs inside time slices, whose width follows from the rows (``slice_width``) unless it
+    is given: a slice of a hot key is one task's work, and a key with few rows has few slices.
+    The first row of a slice takes the last time of the slice before it, found on one narrow
+    row per slice. Rows are shuffled and sorted once, for the lag; the join with the carried
+    times uses that order. Null keys form a group of their own; times must not be null.
     """
-    sliced = df.withColumn(SLICE, F.floor(whole_seconds(F.col(t)) / slice_seconds))
-    inside = Window.partitionBy(*keys, SLICE).orderBy(t, *(tie or []))
-    across = Window.partitionBy(*keys).orderBy(SLICE)
+    width = F.lit(slice_seconds) if slice_seconds else slice_width(df, keys, t)
+    same = _never_null(df, keys)
+    sliced = df.withColumns({**same, SLICE: F.floor(whole_seconds(F.col(t)) / width)})
+    by = [*same, SLICE]
+    inside = Window.partitionBy(*by).orderBy(t, *(tie or []))
+    across = Window.partitionBy(*same).orderBy(SLICE)
     carry = (
-        sliced.groupBy(*keys, SLICE)
-        .agg(F.max(t).alias("_last"))
-        .select(*keys, SLICE, F.lag("_last").over(across).alias("_carry"))
+        sliced.groupBy(*by).agg(F.max(t).alias("_last"))
+        .select(*by, F.lag("_last").over(across).alias("_carry"))
+        .filter(F.col("_carry").isNotNull())
     )
-    local = sliced.withColumn("_local", F.lag(t).over(inside))
-    joined = left_join(local, carry, [*keys, SLICE], null_safe=True)
-    return joined.withColumn(out, F.coalesce("_local", "_carry")).drop("_local", "_carry", SLICE)
+    joined = left_join(sliced.withColumn("_local", F.lag(t).over(inside)), carry, by)
+    return joined.withColumn(out, F.coalesce("_local", "_carry")).drop("_local", "_carry", *by)
 
 
 def gap_flags(

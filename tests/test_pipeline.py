@@ -2,18 +2,20 @@
 
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from sessionloom import sinks
-from sessionloom.config import SEQUENCE_RENAMES, SEQUENCE_SPECS, SPECS, Rules, RunWindow, Source, TableSpec, Tenant
+from sessionloom.config import SEQUENCE_RENAMES, SEQUENCE_SPECS, SPECS, Layout, Rules, RunWindow, Source, TableSpec, Tenant
 from sessionloom.operators.dedup import duplicate_ids, losers
 from sessionloom.operators.sessions import session_blocks, sessionize
 from sessionloom.operators.shape import add_ymd
 from sessionloom.plans import pipeline
 from sessionloom.plans.pipeline import run
-from sessionloom.session import Staging, scratch_root
+from sessionloom.functions.times import local_day_bounds
+from sessionloom.session import Staging, scratch_root, settings
 from sessionloom.sources.reader import Unreadable, read_table, time_window
 
 DAY = RunWindow("2024-01-10", "2024-01-11")
@@ -121,6 +123,33 @@ def test_text_times_are_left_to_the_later_check(spark):
     assert time_window(df, "t", F.lit(0), F.lit(0)) is df
 
 
+def test_iso_text_is_filtered_at_the_scan(spark, folder):
+    texts = ["2024-01-09T18:30:00Z", "2024-01-09T18:29:59.999Z", "2024-01-10 18:29:59", "2024-01-10T18:30:00Z", "2024-01-08T23:59:59Z",
+             "2024-01-11T08:00:00+14:00", "2024-01-09T04:30:00-14:00", "2024-01-12T00:00:00Z", "some day", None, "2024-01-10"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").write.parquet(folder + "/t")
+    lo, hi = local_day_bounds("2024-01-10", "2024-01-11", "Asia/Kolkata")
+    raw = spark.read.parquet(folder + "/t")
+    found = time_window(raw, "t", lo, hi, iso_text=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(t,2024-01-08)" in plan and "LessThan(t,2024-01-12)" in plan
+    exact = found.withColumn("u", F.try_to_timestamp("t").cast("timestamp_ntz")).filter((F.col("u") >= lo) & (F.col("u") < hi))
+    assert sorted(r["id"] for r in exact.collect()) == [0, 2, 5, 6, 10]
+    assert time_window(raw, "t", lo, hi) is raw
+
+
+def test_settings_come_back_after_the_last_holder(spark):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    with settings(spark, {key: "Asia/Tokyo"}):
+        with settings(spark, {key: "UTC"}):
+            assert spark.conf.get(key) == "UTC"
+        assert spark.conf.get(key) == "UTC"  # still held
+    assert spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError), settings(spark, {"spark.sql.join.preferSortMergeJoin": "false"}):
+        1 / 0
+    assert spark.conf.get("spark.sql.join.preferSortMergeJoin") == "true"
+
+
 def test_staging(spark):
     with Staging(spark, "test") as st:
         assert st.path.startswith(scratch_root(spark))
@@ -420,3 +449,96 @@ def test_a_failing_master_is_audited(spark, folder, source, monkeypatch):
     row = audit["south", "session_master"]
     assert (row["status"], row["stage_failed"], row["error_message"]) == ("FAILED", "SESSION_MASTER", "no facts today")
     assert audit["south", "user_sessions_v2"]["status"] == "SUCCESS"
+
+
+# -- layout, counters, bounds ------------------------------------------------
+
+
+def test_only_kept_rows_are_staged_and_counters_stay(spark, folder, source, monkeypatch):
+    staged = {}
+    plain = Staging.put
+
+    def put(self, name, df):
+        out = plain(self, name, df)
+        staged[name] = (out.columns, out.count())
+        return out
+
+    monkeypatch.setattr(Staging, "put", put)
+    audit = audit_of(run(spark, source, TENANTS, folder + "/out", DAY, specs=CORE))
+    columns, rows = staged["user_sessions_v2-kept"]
+    assert rows == 6 + 1 and "drop_reason" not in columns  # north keeps six of nine, south its one
+    north = audit["north", "user_sessions_v2"]
+    assert [north[c] for c in ("rows_read_raw", "null_user_agent_dropped", "bots_dropped", "invalid_identity_dropped")] == [9, 1, 1, 1]
+    assert audit["south", "user_sessions_v2"]["rows_read_raw"] == 1
+
+
+def test_runs_of_two_tenants_at_the_same_time(spark, folder, source):
+    """Each tenant has datasets of its own: both runs complete, and a later run of one leaves the other as it is."""
+    out, layout = folder + "/out", Layout(tenant_first=True)
+    one = lambda t: run(spark, source, TENANTS, out, DAY, specs=CORE, only=t.name, layout=layout, run_id="same")
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(one, TENANTS))
+    together = run(spark, source, TENANTS, folder + "/flat", DAY, specs=CORE)
+    for name, df in together.tables.items():
+        split = [r.tables[name] for r in results]
+        assert split[0].columns == split[1].columns and set(split[0].columns) == set(df.columns)
+        assert sorted(map(str, split[0].unionByName(split[1]).select(*df.columns).collect())) == sorted(map(str, df.collect()))
+    stored = {t.name: spark.read.parquet(f"{out}/{t.name}/etl_quality_audit") for t in TENANTS}
+    assert {n: df.count() for n, df in stored.items()} == {"north": 2, "south": 2}
+    assert {r["status"] for df in stored.values() for r in df.collect()} == {"SUCCESS"}
+    assert os.path.isdir(f"{out}/north/user_sessions_v2/year=2024/month=01/day=10")
+    put(spark, folder, "n", "user_sessions_v2", [], SESSION)
+    put(spark, folder, "n", "activity_logs_v2", [], ACTIVITY)
+    one(TENANTS[0])
+    count = lambda t: spark.read.parquet(f"{out}/{t}/user_sessions_v2").count() if any(
+        f.endswith(".parquet") for _, _, names in os.walk(f"{out}/{t}/user_sessions_v2") for f in names) else 0
+    assert (count("north"), count("south")) == (0, 1)
+    both = run(spark, source, TENANTS, out, DAY, specs=CORE, layout=layout, max_files=1, refresh="all")
+    assert {r["tenant"] for r in both.tables["user_sessions_v2"].collect()} == {"south"}
+
+
+def test_a_run_without_any_row_to_keep(spark, folder, source):
+    """Every row is dropped for a reason: nothing is written, all is counted, and the tables keep their columns."""
+    out = folder + "/out"
+    full = run(spark, source, TENANTS, out, DAY, specs=CORE)
+    columns = {k: sorted(v.columns) for k, v in full.tables.items()}
+    for prefix in "ns":
+        put(spark, folder, prefix, "user_sessions_v2", [r for r in session_rows() if r[0] in ("6", "7", "8")], SESSION)
+        put(spark, folder, prefix, "activity_logs_v2", [("z", " null ", "unknown", at(1), "click", "/x", (None,))], ACTIVITY)
+    for options in ({}, {"max_files": 2}, {"layout": Layout(tenant_first=True)}):
+        target = out if not options else folder + "/" + next(iter(options))
+        result = run(spark, source, TENANTS, target, DAY, specs=CORE, **options)
+        audit = audit_of(result)
+        assert {r["status"] for r in audit.values()} == {"EMPTY"} and len(audit) == 4
+        assert {r["rows_read_raw"] for k, r in audit.items() if k[1] == "user_sessions_v2"} == {3}
+        assert {k: v.count() for k, v in result.tables.items()} == dict.fromkeys(result.tables, 0)
+        assert {k: sorted(v.columns) for k, v in result.tables.items()} == columns
+
+
+def test_all_orphans(spark, folder, source):
+    """A child table of which no row has a session: nothing to write, and every row counted."""
+    put(spark, folder, "n", "activity_logs_v2", [(str(i), "f9", "zoe", at(i), "click", "/y", (None,)) for i in range(7)], ACTIVITY)
+    audit = audit_of(run(spark, source, TENANTS[:1], folder + "/out", DAY, specs=CORE))
+    row = audit["north", "activity_logs_v2"]
+    assert (row["status"], row["orphans_dropped"], row["final_rows_written"]) == ("SUCCESS", 7, 0)
+
+
+def test_the_callers_settings_are_as_before(spark, folder, source):
+    key, threshold = "spark.sql.session.timeZone", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    spark.conf.set(key, "Asia/Tokyo")
+    try:
+        before = spark.conf.get(threshold)
+        result = run(spark, source, TENANTS[:1], folder + "/out", DAY, specs=CORE)
+        assert spark.conf.get(key) == "Asia/Tokyo" and spark.conf.get(threshold) == before
+        assert audit_of(result)["north", "user_sessions_v2"]["final_rows_written"] == 5
+        assert {r["session_label"] for r in result.tables["user_sessions_v2"].filter("resolved_user_id = 'ann'").collect()} == {"ann__2024-01-10 12:00:00"}
+    finally:
+        spark.conf.set(key, "UTC")
+
+
+def test_bounded_files_of_a_run(spark, folder, source, splitting):
+    result = run(spark, source, TENANTS, folder + "/out", DAY, specs=CORE, max_files=1)
+    assert audit_of(result)["north", "user_sessions_v2"]["final_rows_written"] == 5
+    for table in ("user_sessions_v2", "activity_logs_v2", "session_master"):
+        assert len(files_of(f"{folder}/out/{table}", "tenant=north", "year=2024", "month=01", "day=10")) == 1
+        assert "_spread" not in result.tables[table].columns

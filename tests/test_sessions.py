@@ -116,6 +116,71 @@ def test_matches_plain_windows_with_a_hot_user(spark, keys, gap):
     assert as_dict(rows, "session_id") == as_dict(want_ids, "session_id")
 
 
+@pytest.mark.parametrize("width", [1, 40, 5_000, None])
+def test_previous_time_in_slices_of_any_width(spark, width, monkeypatch):
+    monkeypatch.setattr(S.slice_width, "__defaults__", (100,))
+    rows = random_rows(1500, seed=width or 2)
+    rows += [(f"n{i}", None, at(i * 7)) for i in range(200)] + [(f"s{i}", "hot", at(3)) for i in range(50)]  # null keys, one moment
+    df = frame(spark, rows).withColumns({"n": F.when(F.col("user") != "hot", F.length("user")), "b": F.col("user").cast("binary")})
+    for keys in (["user"], ["user", "date"], ["n", "date"], ["b", "n"]):
+        want = df.withColumn("prev", F.lag("t").over(Window.partitionBy(*keys).orderBy("t", "id")))
+        found = S.previous_time(df, keys, "t", ["id"], slice_seconds=width)
+        assert found.columns == [*df.columns, "prev_ts"]
+        assert as_dict(found, "prev_ts") == as_dict(want, "prev")
+    empty = S.previous_time(df.limit(0), ["user"], "t", slice_seconds=width)
+    assert empty.count() == 0
+
+
+def test_slices_follow_the_hottest_key(spark):
+    hot = [(str(i), "hot", at(i % 3600)) for i in range(2000)]
+    width = lambda rows, limit: spark.range(1).select(S.slice_width(frame(spark, rows), ["user"], "t", limit)).first()[0]
+    assert width(hot, 100) == 180 and width(hot, 4000) == 7200 and width(hot, 10 ** 9) == 30 * 86_400
+    assert width([("a", "u", at(0))] * 5000, 1) == 1 and width(hot[:0], 100) == 30 * 86_400
+
+
+def test_previous_time_moves_its_rows_once(spark):
+    """The join with the carried times uses the shuffle and the order that the lag needs."""
+    df = frame(spark, random_rows(300)).withColumn("wide", F.repeat("id", 20))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = S.previous_time(df, ["user", "date"], "t", ["id"], slice_seconds=60)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above, below = plan.split("SortMergeJoin")
+    rows, carried = below.split("+- Sort [_r__k0")
+    assert rows.count("Exchange hashpartitioning") == rows.count("Sort [") == 1 and "wide" in rows
+    assert "Exchange" not in above and "wide" not in carried
+
+
+def test_gaps_across_a_clock_change(spark):
+    """Real gaps decide, the wall clock names: 01:30 UTC is 02:30 once before and once after clocks go back."""
+    zone, night = "Europe/Berlin", dt.datetime(2024, 10, 27)
+    minutes = [-30, -5, 0, 25, 50, 60, 75, 110, 200, 1400, 1439]
+    spring = dt.datetime(2024, 3, 31)
+    rows = [(f"a{m}", "u", night + dt.timedelta(minutes=m)) for m in minutes] + [(f"s{m}", "u", spring + dt.timedelta(minutes=m)) for m in minutes]
+    df = event_time(spark.createDataFrame(rows, "id string, user string, t timestamp_ntz"), "t", zone)
+    found = S.sessionize(df, ["user"], "event_timestamp_utc", 1800, "date", zone=zone)
+    offset = lambda t: dt.timedelta(hours=2 if dt.datetime(2024, 3, 31, 1) <= t < dt.datetime(2024, 10, 27, 1) else 1)
+    days = {}
+    for i, _, t in rows:
+        days.setdefault((t + offset(t)).date(), []).append((t, i))
+    want = {}
+    for day in days.values():
+        start = last = None
+        for t, i in sorted(day):
+            if last is None or (t - last).total_seconds() > 1800:
+                start, members = t, []
+            last = t
+            members.append(i)
+            for m in members:
+                want[m] = (f"u__{start + offset(start)}", last + offset(last))
+    got = {r["id"]: (r["session_label"], r["session_end"]) for r in found.collect()}
+    assert got == want
+    local = {r["id"]: r["session_label"] for r in S.sessionize(df, ["user"], "event_timestamp_local", 1800).collect()}
+    assert local != {i: v[0] for i, v in want.items()}  # the wall clock alone would cut elsewhere
+
+
 def test_raw_end_matches_plain_windows(spark):
     df = frame(spark, random_rows(seed=3)).withColumn(
         "e", F.when(F.xxhash64("id") % 3 != 0, F.col("t") + F.expr("make_dt_interval(0, 0, int(pmod(xxhash64(id), 90)))"))
