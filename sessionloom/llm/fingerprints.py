@@ -101,17 +101,26 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.char_length(text) - half), F.substring(following, F.lit(1), half))
 
 
+def _digits(samples: list[Column]) -> Column:
+    """The fingerprint of the least sample keys; zeros where there is no term."""
+    names = [F.coalesce(s.bitwiseAND(F.lit((1 << ID_BITS) - 1)), F.lit(0)) for s in samples]
+    return F.concat(*[F.lpad(F.lower(F.hex(n)), DIGITS, "0") for n in names])
+
+
+def _terms(words: Column) -> Column:
+    return F.when(words != "", F.xxhash64(words))
+
+
 def sampled(rows: DataFrame, key: list[str], samples: int = SAMPLES) -> DataFrame:
     """``key`` and the ``fingerprint`` of each row's ``text``. No shuffle if the rows are partitioned by part of ``key``."""
     terms = rows.select(*key, F.explode(F.split(ascii_lower(F.col("text")), BREAK)).alias("word"))
-    terms = terms.select(*key, F.when(F.col("word") != "", F.xxhash64("word")).alias("term"))
+    terms = terms.select(*key, _terms(F.col("word")).alias("term"))
     weighted = terms.groupBy(*key, "term").agg(F.count("*").alias("weight"))
     weighted = weighted.select(*key, "term", F.log(F.col("weight").cast("double")).alias("log_weight"))
     term = F.col("term")
     least = [F.min(F.when(term.isNotNull(), sample_key(term, F.col("log_weight"), k))).alias(f"s{k}") for k in range(samples)]
     found = weighted.groupBy(*key).agg(*least)
-    digits = [F.lpad(F.lower(F.hex(F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit((1 << ID_BITS) - 1)), F.lit(0)))), DIGITS, "0") for k in range(samples)]
-    return found.select(*key, F.concat(*digits).alias("fingerprint"))
+    return found.select(*key, _digits([F.col(f"s{k}") for k in range(samples)]).alias("fingerprint"))
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -120,20 +129,77 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     return sampled(rows.withColumn("row", F.monotonically_increasing_id()), ["row", "doc_id"], samples).drop("row")
 
 
+#: Which of the two texts a term row counts for; 0 marks a row that holds a fact of the document.
+TEXT, CHANGED, FACT = 1, 2, 0
+_DIGEST = [f"d{i}" for i in range(4)]
+_FACTS = ["doc_id", "n_chars", "lent", *_DIGEST]
+
+
+def _words_of_both(rows: DataFrame) -> DataFrame:
+    """``range, place, side, kind, term`` of the words of a text and of its edited text.
+
+    The words before the cut are listed once for both; the word that is cut goes with what
+    follows on either side. The facts of a document, all numbers, take a row each, in which
+    ``kind`` (0 at words) numbers the fact and ``term`` is its value: no word row carries them.
+    """
+    text, half = F.col("text"), F.floor(F.char_length("text") / 2).cast("int")
+    whole = F.char_length("text") - half
+    following = F.coalesce("next_text", F.lit(""))
+    sha = F.sha2(utf8(edited(text, following)), 256)
+    rows = rows.select(
+        "range", "place", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.col("copy").cast("long").alias("lent"),
+        *[F.conv(F.substring(sha, 1 + 16 * i, 16), 16, -10).cast("long").alias(d) for i, d in enumerate(_DIGEST)],
+        F.split(ascii_lower(F.substring(text, F.lit(1), whole)), BREAK).alias("head"),
+        ascii_lower(F.substring(text, whole + 1, half)).alias("tail"),
+        ascii_lower(F.substring(following, F.lit(1), half)).alias("other"),
+    )
+    cut = F.element_at("head", -1)
+    rows = rows.select("range", "place", *_FACTS, F.slice("head", F.lit(1), F.size("head") - 1).alias("both"),
+                       F.split(F.concat(cut, F.col("tail")), BREAK).alias("own"), F.split(F.concat(cut, F.col("other")), BREAK).alias("new"))
+    rows = rows.withColumns({"b": F.size("both") + len(_FACTS), "o": F.size("own")})
+    facts = F.array(*[F.lit("")] * len(_FACTS))
+    words = rows.select("range", "place", *_FACTS, "b", "o", F.posexplode(F.concat(facts, "both", "own", "new")).alias("i", "word"))
+    i = F.col("i")
+    side = F.when(i < len(_FACTS), FACT).when(i < F.col("b"), TEXT + CHANGED).when(i < F.col("b") + F.col("o"), TEXT).otherwise(CHANGED)
+    term = F.when(i >= len(_FACTS), _terms(F.col("word")))
+    for n, c in enumerate(_FACTS):
+        term = term.when(i == n, F.col(c))
+    return words.select("range", "place", side.alias("side"), F.when(i < len(_FACTS), i + 1).otherwise(0).alias("kind"), term.alias("term"))
+
+
 def compared(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """Each document's fingerprint against that of its edited text and of the next document."""
+    """Each document's fingerprint against that of its edited text and of the next document.
+
+    A term has one row with its weights in both texts; where they are equal, as most are, its
+    samples are drawn once for both.
+    """
     rows = with_next(docs.select(col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")))
-    changed = edited(F.col("text"), F.coalesce("next_text", F.lit("")))
-    both = rows.select("range", "place", "copy", "doc_id", F.char_length("text").cast("long").alias("n_chars"), "text", changed.alias("changed"))
-    both = both.withColumn("sha", F.unhex(F.sha2(utf8(F.col("changed")), 256)))
-    key = ["range", "place", "copy", "doc_id", "n_chars", "sha"]
-    sides = both.select(*key, F.posexplode(F.array("text", "changed")).alias("side", "text"))
-    drawn = sampled(sides, [*key, "side"], samples)
-    side = lambda i: F.max(F.when(F.col("side") == i, F.col("fingerprint")))
-    wide = drawn.groupBy(*key).agg(side(0).alias("fingerprint"), side(1).alias("edited_fingerprint"))
+    words = _words_of_both(rows)
+    weight = lambda side: F.count_if(F.col("side").bitwiseAND(F.lit(side)) > 0)
+    terms = words.groupBy("range", "place", "kind", "term").agg(weight(TEXT).alias("w"), weight(CHANGED).alias("v"))
+    sides = (
+        F.when(F.col("w") == F.col("v"), F.array(F.lit(TEXT + CHANGED))).when(F.col("v") == 0, F.array(F.lit(TEXT)))
+        .when(F.col("w") == 0, F.array(F.lit(CHANGED))).otherwise(F.array(F.lit(TEXT), F.lit(CHANGED)))
+    )
+    terms = terms.select("range", "place", "kind", "term", "w", "v", F.explode(sides).alias("side"))
+    count = F.when(F.col("side") == CHANGED, F.col("v")).otherwise(F.col("w"))
+    terms = terms.withColumn("log_weight", F.log(F.greatest(count, F.lit(1)).cast("double")))
+    real = (F.col("kind") == 0) & F.col("term").isNotNull()
+    drawn = terms.groupBy("range", "place", "side").agg(
+        *[F.max(F.when(F.col("kind") == n, F.col("term"))).alias(c) for n, c in enumerate(_FACTS, 1)],
+        *[F.min(F.when(real, sample_key(F.col("term"), F.col("log_weight"), k))).alias(f"s{k}") for k in range(samples)])
+    of = lambda side, k: F.min(F.when(F.col("side").bitwiseAND(F.lit(side)) > 0, F.col(f"s{k}")))
+    found = drawn.groupBy("range", "place").agg(
+        *[F.max(c).alias(c) for c in _FACTS],
+        *[of(side, k).alias(f"{name}{k}") for k in range(samples) for name, side in (("s", TEXT), ("e", CHANGED))])
+    sha = F.concat(*[F.lpad(F.lower(F.hex(d)), 16, "0") for d in _DIGEST])
+    found = found.select(
+        "range", "place", "doc_id", "n_chars", "lent", sha.alias("edited_sha256"),
+        _digits([F.col(f"s{k}") for k in range(samples)]).alias("fingerprint"),
+        _digits([F.col(f"e{k}") for k in range(samples)]).alias("edited_fingerprint"))
     following = F.lead("fingerprint").over(Window.partitionBy("range").orderBy("place"))
-    return wide.withColumn("next_fingerprint", following).filter(~F.col("copy")).select(
-        "doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+    return found.withColumn("next_fingerprint", following).filter("lent = 0").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"),
     )

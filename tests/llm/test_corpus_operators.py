@@ -82,6 +82,39 @@ def test_near_duplicates_equal_brute_force_in_dense_clusters(spark, seed):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_members_of_many_sizes_under_one_hub(spark, seed):
+    """Cuts and extensions of one text, all of different sizes, and a variant that shares its extras but is far from the hub."""
+    rng = random.Random(seed)
+    base = [f"b{rng.randrange(10 ** 6)}" for _ in range(240)]
+    extra = [f"e{rng.randrange(10 ** 6)}" for _ in range(200)]
+    rows = [base[: 120 + i % 120] + [f"x{seed}_{i}_{j}" for j in range(i % 37)] for i in range(130)]
+    rows += [base[:150] + edited(rng, extra[: 60 + i], rng.randint(0, 3)) for i in range(80)]  # a variant
+    rows += [base[i:] for i in range(0, 100, 3)] + [base[:90] + base[150 + i :] for i in range(30)]
+    rng.shuffle(rows)
+    rows = [(i, " ".join(w), "s") for i, w in enumerate(rows)]
+    found = near_dedup.groups(docs_of(spark, rows).repartition(4), Staging(spark, "t")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_groups(rows)
+
+
+def test_a_variant_of_a_hub_is_not_listed_in_pairs(spark, monkeypatch):
+    """2,000 members of many sizes, most of them variants that share their extras: few pairs are tried per member."""
+    base, variant = [f"b{i}" for i in range(300)], [f"v{i}" for i in range(200)]
+    texts = [base[: 200 + i % 100] + [f"p{i}"] for i in range(600)] + [base[:200] + variant[: 100 + i % 100] + [f"o{i}"] for i in range(1400)]
+    rows = [(i, " ".join(t), "s") for i, t in enumerate(texts)]
+    tried, plain = {}, near_dedup.NearDuplicates._likely
+
+    def counted(self, name, pairs):
+        pairs = self.stage.put(f"{name}_tried", pairs)
+        tried[name] = pairs.count()
+        return plain(self, name, pairs)
+
+    monkeypatch.setattr(near_dedup.NearDuplicates, "_likely", counted)
+    found = near_dedup.groups(docs_of(spark, rows).repartition(4), Staging(spark, "t")).collect()
+    assert len({r["component_id"] for r in found}) <= 2
+    assert sum(tried.values()) < 60 * len(rows)
+
+
 def test_near_duplicates_at_the_limit_and_odd_rows(spark):
     words = [f"w{i}" for i in range(49)]  # 45 shingles of five words
     nine = " ".join(words[:-5] + ["p", "q", "r", "s", "t"])  # 40 in common of 50
@@ -189,6 +222,8 @@ def test_seats_equal_highest_quotients(spark):
     parts = [("g", f"p{i}", float(rng.choice([1, 5, 40, 400]) * rng.random()), 300) for i in range(30)]
     frame = spark.createDataFrame([(g, n, v, 300, 10 ** 6) for g, n, v, _ in parts], "g string, name string, votes double, seats long, room long")
     found = {r["name"]: r["quota"] for r in mixing.apportioned(frame, ["g"], ["name"]).collect()}
+    whole = mixing.apportioned_over_all(frame.drop("g").repartition(5), "name", Staging(spark, "t"))
+    assert {r["name"]: r["quota"] for r in whole.collect()} == found
     quotients = sorted(((-v / (2 * j - 1), n) for _, n, v, _ in parts for j in range(1, 301)))[:300]
     want = collections.Counter(n for _, n in quotients)
     assert {n: q for n, q in found.items() if q} == dict(want)
@@ -222,6 +257,37 @@ def test_mix_reaches_its_targets_and_handles_odd_rows(spark):
     assert empty.count() == 0
 
 
+def test_a_source_value_per_document(spark):
+    """3,000 sources, most of one document and many without words: targets by the plain rule, no window over all of them."""
+    rng = random.Random(13)
+    rows = [(i, "w " * rng.choice([0, 0, 1, 5, 60]), f"s{i}") for i in range(3000)] + [(5000 + i, "w " * 40, "hot") for i in range(1500)]
+    rows += [(9000 + i, None, "hot") for i in range(500)] + [(9900, "w " * 7, None)]
+    docs = docs_of(spark, rows).repartition(6)
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    sized = Staging(spark, "t").put("s", docs.select(F.col("doc_id").cast("string").alias("doc_id"), "source", words.alias("size")))
+    plan = mixing.Mix(sized, Staging(spark, "t"))
+    found = plan.with_targets(plan.taken(sized)).collect()
+    size = collections.Counter()
+    for _, t, s in rows:
+        size[s] += (t or "").count("w")
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    open_, left, want = set(order), sum(size.values()), {}
+    while True:
+        share = left / max(1, sum(weight[s] for s in open_))
+        full = [s for s in open_ if 3 * size[s] < share * weight[s]]
+        if not full:
+            break
+        for s in full:
+            want[s], left = 3.0 * size[s], left - 3 * size[s]
+            open_.discard(s)
+    want |= {s: min(3.0 * size[s], share * weight[s]) for s in open_}
+    assert len(found) == len(rows) and all(abs(r["target"] - want[r["source"]]) < 1e-6 for r in found)
+    assert all(r["taken"] == 0 for r in found if r["size"] == 0)
+    hot = sum(r["taken"] for r in found if r["source"] == "hot")
+    assert abs(hot - want["hot"]) <= 4 * mixing.BLOCK_TOKENS
+
+
 def test_whole_documents_reach_the_targets_of_every_source(spark):
     rng = random.Random(11)
     length = lambda: rng.choice([rng.randint(1, 40), rng.randint(300, 900), rng.randint(2000, 4000)])
@@ -248,42 +314,64 @@ def bag(text):
     return collections.Counter((text or "").encode().lower().split())
 
 
+def same_samples(x, y):
+    return sum(a == b for a, b in zip(*(map("".join, zip(*[iter(c)] * fingerprints.DIGITS)) for c in (x, y)))) / fingerprints.SAMPLES
+
+
 def test_fingerprints_against_generalised_jaccard(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy(F.desc("doc_id")).limit(300).collect()
-    frame = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")
-    found = {r["doc_id"]: r for r in fingerprints.compared(frame).collect()}
-    off = []
+    """The whole table: edited texts exactly, both likenesses against the exact similarity of whole word counts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.orderBy(F.desc("doc_id")).collect()
+    found = {r["doc_id"]: r for r in queries.op10_weighted_fingerprints(spark, SF).collect()}
+    plain = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()}
+    assert len(found) == len(rows)
+    off = {"near_edited": [], "near_next": []}
     for i, r in enumerate(rows):
-        text, other = r["text"] or "", rows[(i + 1) % len(rows)]["text"] or ""
+        text, following = r["text"] or "", rows[(i + 1) % len(rows)]
+        other = following["text"] or ""
         half = len(text) // 2
         changed = text[: len(text) - half] + other[:half]
         got = found[r["doc_id"]]
         assert got["n_chars"] == len(text) and got["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
-        x, y = bag(text), bag(changed)
-        off.append(got["near_edited"] - (sum((x & y).values()) / max(1, sum((x | y).values()))))
-        agree = sum(a == b for a, b in zip(*(map("".join, zip(*[iter(got[c])] * 6)) for c in ("fingerprint", "edited_fingerprint"))))
-        assert got["near_edited"] == agree / fingerprints.SAMPLES
-    assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.12
+        assert got["fingerprint"] == plain[r["doc_id"]]
+        assert got["near_edited"] == same_samples(got["fingerprint"], got["edited_fingerprint"])
+        assert got["near_next"] == same_samples(got["fingerprint"], found[following["doc_id"]]["fingerprint"])
+        for name, against in (("near_edited", changed), ("near_next", other)):
+            x, y = bag(text), bag(against)
+            off[name].append(got[name] - sum((x & y).values()) / max(1, sum((x | y).values())))
+    for errors in off.values():
+        assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.12
+
+
+def test_edited_texts_have_the_fingerprints_of_texts(spark):
+    """What is listed once for a text and its edited text gives the same samples as either on its own."""
+    rng = random.Random(12)
+    bits = ["the", "The", "of", "é\U0001f600", "x" * 40, " ", "  ", "\n", "\t ", "a b", "."]
+    rows = [(i, rng.choice(["", " "]).join(rng.choices(bits, k=rng.randint(0, 40)))) for i in range(150)] + [(200, None), (201, ""), (202, " \n "), (203, "one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted(rows, reverse=True)
+    changed = []
+    for i, (doc_id, text) in enumerate(order):
+        text, other = text or "", order[(i + 1) % len(order)][1] or ""
+        changed.append((doc_id, text[: len(text) - len(text) // 2] + other[: len(text) // 2]))
+    want = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(spark.createDataFrame(changed, "doc_id long, text string")).collect()}
+    assert {r["doc_id"]: r["edited_fingerprint"] for r in fingerprints.compared(docs).collect()} == want
 
 
 @pytest.mark.parametrize("per_range", [1, 3, 2000])
 def test_successors_and_odd_rows(spark, monkeypatch, per_range):
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", per_range)
     rows = [(5, "a b c"), (9, ""), (9, "x"), (2, None), (None, "tail é"), (40_000_000_000, "A b C"), (-7, " \n"), (5, "a b c"), (6, "w " * 9000)]
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    hashes = {r["t"]: r["h"] for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1] or ""], r[1] or ""))  # ties follow the hash of their text
     found = fingerprints.compared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(found) == len(rows)
     prints = {r["doc_id"]: r["fingerprint"] for r in found}
     assert prints[5] == prints[40_000_000_000] and prints[-7] == prints[2] == "0" * 6 * fingerprints.SAMPLES
-    text_of = dict(rows)
     for i, (doc_id, text) in enumerate(order):
-        if doc_id in (9, None):
-            continue  # ties follow the hash of their text
         text, following = text or "", order[(i + 1) % len(order)]
-        if following[0] == 9:
-            continue
         half = len(text) // 2
-        want = hashlib.sha256((text[: len(text) - half] + (text_of[following[0]] or "")[:half]).encode()).hexdigest()
+        want = hashlib.sha256((text[: len(text) - half] + (following[1] or "")[:half]).encode()).hexdigest()
         assert want in [r["edited_sha256"] for r in found if r["doc_id"] == doc_id]
     one = fingerprints.compared(spark.createDataFrame([(1, "alone here")], "doc_id long, text string")).collect()
     assert one[0]["near_next"] == 1.0
