@@ -8,13 +8,18 @@ the interval side is small enough to broadcast.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sessionloom.functions.times import shift_seconds, whole_seconds
-from sessionloom.operators.skew import left_join, salted_left_join
+from sessionloom.operators.skew import fits_broadcast, left_join, salted_left_join
+from sessionloom.session import Staging
 
-BUCKET = "_bucket"
+BUCKET, PART, PARTS = "_bucket", "_part", "_parts"
 _LO, _HI = "_iv_start", "_iv_end"
+#: Intervals that one array of ``pick="latest"`` holds, about; where more crowd, a bucket is parted.
+CROWD = 64
 
 
 def bucket_copies(
@@ -46,28 +51,75 @@ def _clipped(intervals: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _visible(intervals: DataFrame, on: list[str], width: int) -> DataFrame:
-    """Drop carried-in intervals that can never be the latest one.
+    """Drop carried-in intervals that can never be the latest one in their bucket.
 
-    An interval that started before the bucket is hidden for good if a later start,
-    also before the bucket, ends no earlier.
+    An interval that started before the bucket is hidden for good if a later start, also
+    before the bucket, reaches no less far into it. So what is left are the intervals that
+    start in the bucket, those that end in it, and one.
     """
     carried = whole_seconds(F.col(_LO)) < F.col(BUCKET) * width
+    reach = F.least(F.unix_micros(F.col(_HI).cast("timestamp")), (F.col(BUCKET) + 1) * width * 1_000_000)
     later = (
         Window.partitionBy(*on, BUCKET).orderBy(F.desc(_LO), F.desc(_HI), F.desc("_payload"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    hidden_until = F.max(F.when(carried, F.col(_HI))).over(later)
     return (
-        intervals.withColumn("_until", hidden_until)
-        .filter(~carried | F.col("_until").isNull() | (F.col(_HI) > F.col("_until")))
-        .drop("_until")
+        intervals.withColumns({"_reach": reach, "_carried": carried})
+        .withColumn("_until", F.max(F.when(F.col("_carried"), F.col("_reach"))).over(later))
+        .filter(~F.col("_carried") | F.col("_until").isNull() | (F.col("_reach") > F.col("_until")))
+        .drop("_until", "_reach", "_carried")
     )
 
 
+def part_of(t: Column, width: int) -> Column:
+    """The part of its bucket that a time lies in; a bucket has ``_parts`` of them."""
+    return F.floor((whole_seconds(t) - F.col(BUCKET) * width) * F.col(PARTS) / width).cast("int")
+
+
+def _parted(found: DataFrame, on: list[str], width: int, crowd: int, stage: Staging) -> tuple[DataFrame, DataFrame | None]:
+    """The visible intervals by bucket and part; and ``on, _bucket, _parts`` of the buckets with several parts, None without any.
+
+    Crowded buckets are counted here and now, on the intervals alone, and staged. In such a
+    bucket an interval is listed under the parts that it starts and ends in. Of those that
+    cover a part from end to end only the latest start matters: a cover is kept as the
+    latest start per power-of-two run of parts, and every part looks at the runs around it.
+    So an interval has some rows per doubling of the parts, not one per part.
+    """
+    seen = _visible(found, on, width)
+    held = seen.groupBy(*on, BUCKET).agg(F.count(F.lit(1)).alias("_held")).filter(F.col("_held") > crowd)
+    parts = F.least(F.lit(width), F.ceil(F.col("_held") * 2 / crowd)).cast("int")
+    crowded = stage.put(f"crowded-{uuid.uuid4().hex}", held.select(*on, BUCKET, parts.alias(PARTS)))
+    if crowded.isEmpty():
+        return seen.withColumn(PART, F.lit(0)), None
+    columns = [*on, BUCKET, PART, _LO, _HI, "_payload"]
+    seen = salted_left_join(seen, crowded, [*on, BUCKET], [_LO, _HI])
+    rest = seen.filter(F.col(PARTS).isNull()).withColumn(PART, F.lit(0)).select(*columns)
+    first, last = F.greatest(part_of(F.col(_LO), width), F.lit(-1)), F.least(part_of(F.col(_HI), width), F.col(PARTS))
+    ranged = seen.filter(F.col(PARTS).isNotNull()).withColumns({"_first": first, "_last": last}).filter("_first <= _last")
+    ends = F.array_distinct(F.filter(F.array("_first", "_last"), lambda p: (p >= 0) & (p < F.col(PARTS))))
+    own = ranged.withColumn(PART, F.explode(ends)).select(*columns)
+
+    levels, runs = width.bit_length(), []
+    for level in range(levels):  # the runs of 2^level parts that make up what is between the first and the last part
+        size = F.lit(1 << level)
+        a, b = F.ceil((F.col("_first") + 1) / size).cast("int"), F.floor(F.col("_last") / size).cast("int")
+        run = lambda at: F.struct(F.lit(level).alias("level"), at.alias("run"))  # noqa: B023, E731
+        runs += [F.when((a < b) & (a % 2 == 1), run(a)), F.when((a < b) & (b % 2 == 1), run(b - 1))]
+    covers = ranged.withColumn("_run", F.explode(F.filter(F.array(*runs), lambda r: r.isNotNull())))
+    entry = F.struct(_LO, _HI, "_payload")
+    tops = covers.groupBy(*on, BUCKET, F.col("_run.level").alias("_level"), F.col("_run.run").alias("_at")).agg(F.max(entry).alias("_top"))
+    around = crowded.withColumn(PART, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1))).withColumn(
+        "_level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumn("_at", F.expr(f"shiftright({PART}, _level)"))
+    best = around.join(tops, [*on, BUCKET, "_level", "_at"]).groupBy(*on, BUCKET, PART).agg(F.max("_top").alias("_top"))
+    best = best.select(*on, BUCKET, PART, f"_top.{_LO}", f"_top.{_HI}", "_top._payload")
+    return rest.unionByName(own).unionByName(best), crowded
+
+
 def interval_join(
     events: DataFrame, intervals: DataFrame, on: dict[str, str], t: str, start: str, end: str, payload: list[str],
     how: str = "left", pick: str = "all", grace: int = 0, bucket_seconds: int = 21_600,
     within: tuple[Column, Column] | None = None, salt_by: list[str] | None = None, small: bool = False,
+    stage: Staging | None = None,
 ) -> DataFrame:
     """Join events to the intervals of the same key with ``start - grace <= t <= end + grace``.
 
@@ -77,9 +129,10 @@ def interval_join(
     bounds that hold for all events; without it they are taken from the events.
     ``small`` says that ``skew.fits_broadcast`` holds for the intervals and their ``bucket_copies``.
 
-    With ``latest`` the intervals of one key and bucket travel as one array. Sessions of
-    one key start more than a gap apart, so it holds at most ``bucket_seconds / gap + 1``
-    sessions that start in the bucket, plus the visible ones carried in.
+    With ``latest`` the intervals of one key and bucket travel as one array: those that start or
+    end in the bucket, and one. Where more than ``CROWD`` meet, as nested intervals may, the bucket is
+    parted by time until a part holds about as many, down to single seconds; which buckets
+    those are is counted when the join is made.
     """
     if pick not in ("all", "latest") or how not in ("left", "inner"):
         raise ValueError(f"unsupported: pick={pick}, how={how}")
@@ -108,9 +161,15 @@ def interval_join(
     where = None
     if pick == "latest":
         entry = F.struct(_LO, _HI, "_payload")
-        found = _visible(found, list(on), bucket_seconds).groupBy(*keys).agg(
-            F.sort_array(F.collect_list(entry), asc=False).alias("_entries")
-        )
+        found, crowded = _parted(found, list(on), bucket_seconds, CROWD, stage or Staging(events.sparkSession, "intervals"))
+        if crowded is not None:
+            if fits_broadcast(crowded):
+                rows = left_join(rows, F.broadcast(crowded), keys)
+            else:
+                rows = salted_left_join(rows, crowded, keys, salt_by or [t])
+            rows = rows.withColumn(PARTS, F.coalesce(PARTS, F.lit(1))).withColumn(PART, part_of(F.col(t), bucket_seconds)).drop(PARTS)
+            keys = [*keys, PART]
+        found = found.groupBy(*keys).agg(F.sort_array(F.collect_list(entry), asc=False).alias("_entries"))
     else:
         where = (F.col(t) >= F.col(_LO)) & (F.col(t) <= F.col(_HI))
 

@@ -318,7 +318,7 @@ class _Job:
             return unassigned(kept)
         rows = assign_sessions(
             kept, self.lookup, USER, TIME, tenant=TENANT, label_unassigned=self.rules.label_unassigned,
-            pick=self.rules.pick, within=self.bounds, salt_by=[SPREAD], small=self.lookup_small,
+            pick=self.rules.pick, within=self.bounds, salt_by=[SPREAD], small=self.lookup_small, stage=self.staging,
         )
         joined = F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants)
         rows = rows.withColumn("session_id", F.when(joined, F.col("session_id")))

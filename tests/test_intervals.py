@@ -134,7 +134,7 @@ def test_broadcast_check_counts_buckets_not_rows(spark):
     assert fits_broadcast(one.limit(0), copies)
 
 
-@pytest.mark.parametrize("pick, kind", [("latest", "ShuffledHashJoin"), ("all", "SortMergeJoin")])
+@pytest.mark.parametrize("pick, kind", [("latest", "SortMergeJoin"), ("all", "SortMergeJoin")])
 def test_salted_joins_are_equi_joins(spark, pick, kind):
     """Neither a cross nor a nested-loop join, and a form that AQE may split further."""
     _, _, e, s = inputs(spark, 6, 50, 20)
@@ -167,3 +167,41 @@ def test_far_off_ends_make_few_copies(spark):
     events = spark.createDataFrame([("u", start + dt.timedelta(hours=h, minutes=7)) for h in range(0, 8000, 13)], "u string, t timestamp_ntz")
     got = I.interval_join(events, intervals, {"u": "sess_user"}, "t", "sess_start", "sess_end", ["session_id"], pick="latest").collect()
     assert all(r["session_id"] == f"s{int((r['t'] - start).total_seconds() // 18000)}" for r in got) and len(got) == 616
+
+
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("crowd", [1, 3])
+def test_latest_in_parted_buckets(spark, crowd, small, monkeypatch):
+    """Arrays of a few intervals: parts of buckets, down to single seconds, give the same matches."""
+    monkeypatch.setattr(I, "CROWD", crowd)
+    if crowd == 3:
+        monkeypatch.setattr(I, "fits_broadcast", lambda df: False)
+    events, spans, e, s = inputs(spark, 5 + crowd)
+    extra = [(f"x{i}", "hot", at(100), at(100 + i)) for i in range(12)] + [(f"y{i}", "u1", at(40_000 + i / 3), at(90_000 - i / 3)) for i in range(60)]
+    more = [(f"m{i}", "u1", at(40_000 + i * 400 + i / 7)) for i in range(150)] + [(f"k{i}", "hot", at(99 + i / 2)) for i in range(40)]
+    s = s.unionByName(spark.createDataFrame(extra, s.schema))
+    e = e.unionByName(spark.createDataFrame(more, e.schema))
+    want = {i: hits[-1] if hits else None for i, hits in expected(events + more, spans + extra).items()}
+    got = {r["id"]: r for r in join(e, s, pick="latest", small=small).collect()}
+    assert len(got) == len(want)
+    for i, hit in want.items():
+        assert (got[i]["lo"] if hit else got[i]["sid"]) == (hit[0] if hit else None)
+
+
+def test_nested_intervals_do_not_crowd_one_array(spark):
+    """100,000 intervals of one user, each inside the one before: no array grows with their number."""
+    n = 100_000
+    spans = spark.range(n).select(
+        F.concat(F.lit("s"), "id").alias("sid"), F.lit("hot").alias("who"),
+        F.timestamp_seconds(F.lit(1_704_844_800) + F.col("id")).cast("timestamp_ntz").alias("lo"),
+        F.timestamp_seconds(F.lit(1_704_844_800 + 300_000) - F.col("id")).cast("timestamp_ntz").alias("hi"))
+    events = spark.range(0, 300_000, 97).select(
+        F.col("id").cast("string").alias("id"), F.lit("hot").alias("user"), F.timestamp_seconds(F.lit(1_704_844_800) + F.col("id")).cast("timestamp_ntz").alias("t"))
+    found = join(events, spans, pick="latest")
+    rows = {int(r["id"]): r["sid"] for r in found.collect()}
+    assert rows == {t: f"s{min(t, n - 1, 300_000 - t)}" for t in range(0, 300_000, 97)}
+    entries = I._parted(
+        I._by_bucket(I._clipped(spans.select(F.col("who").alias("user"), F.col("lo").alias(I._LO), F.col("hi").alias(I._HI), F.struct("sid").alias("_payload")),
+                                ["user"]), 21_600, (F.lit(0), F.lit(10 ** 6))), ["user"], 21_600, I.CROWD, I.Staging(spark, "t"))
+    longest = entries[0].groupBy("user", I.BUCKET, I.PART).count().agg(F.max("count")).first()[0]
+    assert entries[1].count() > 5 and longest <= 2 * I.CROWD
