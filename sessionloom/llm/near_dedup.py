@@ -15,13 +15,17 @@ band (bands of minima and of maxima are separate): a pair at similarity 0.8 shar
    that shares most buckets with others, and all are tried against the hub: as many pairs as
    rows. Confirmed links give components.
 4. Pairs of a large bucket of which one end is not linked to the hub are still open where
-   their components differ. Against a hub h of size H every member x has the exact number m
-   of h's shingles it lacks and its extras, the shingles h lacks. Two members share at most
-   H - max(m, m') of h, so the sizes alone tell how many extras they must have in common to
-   be linked. Pairs that need one or more are found by an equi-join on (hub, extra) and kept
-   if they have as many in common; pairs that need none follow from the distinct sizes
-   (m, extras) under each hub. Both are tried in full, so no pair that shares a bucket is
-   left undecided unless its ends are connected already. There is no cap.
+   their components differ. Against a hub h of size H every member x of size n has the exact
+   number m of h's shingles it lacks and its extras, the shingles h lacks. Whoever is linked to
+   x has 0.8 n of its shingles in common with it, and at most H - m of those are h's, so x shares
+   0.8 n - (H - m) of its extras at least. Where that is one or more, a pair shares one of the
+   rarest extras of either (the first e - need + 1 of e, in the order of their frequency under
+   the hub). First everyone is tried against one member per (hub, extra), which connects
+   variants that share their extras without listing their pairs; then what is still apart
+   meets by an equi-join on (hub, extra). Pairs that need no extra in common are small against
+   the hub; they follow from the distinct sizes under (hub, size class), as linked sizes differ by a
+   quarter at most. All are tried in full, so no pair that shares a bucket is left undecided
+   unless its ends are connected already. There is no cap.
 5. A pair is tried by its signature bytes (75 of 150 have to agree; a pair at 0.8 has 120 on
    average, with a deviation of 5), then by the whole shingle sets (64-bit hashes), which
    alone decide.
@@ -35,6 +39,7 @@ empty table gives no rows. Columns other than doc_id and text do not matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +57,7 @@ VALUES = 2 * PERMUTATIONS
 AGREE = VALUES // 2
 #: Shingles permuted at once; bounds the memory that a very long text needs.
 CHUNK = 4096
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 PERCENT = 80
 #: Buckets up to this size are tried in full.
 SMALL = 8
@@ -191,10 +196,11 @@ class NearDuplicates:
         links = self.stage.put("links", self._confirmed(direct).unionByName(
             stars.filter("linked").select(F.col("hub").alias("u"), F.col("rid").alias("v"))).unionByName(self._same_id()))
         labels = components(links, self.stage, "first")
-        more = self.stage.put("more", self._confirmed(self._likely("open", self._undecided(stars, labels))))
-        if not more.isEmpty():
-            joined = labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)
-            labels = components(joined, self.stage, "second")
+        members = self._open(stars, labels)
+        if not members.isEmpty():
+            keys = self._keys(members)
+            for name, pairs in (("led", self._led), ("open", self._undecided)):
+                labels = self._joined(name, labels, pairs(keys, members, labels))
         found = salted_left_join(
             self.classed.select("doc_id", "n", "rep"), labels.withColumnRenamed("node", "rep"), ["rep"], ["doc_id"])
         root = F.coalesce("root", "rep")
@@ -215,14 +221,15 @@ class NearDuplicates:
         """``key, rid, members`` of the buckets with two or more representatives."""
         banded = self.reps.select("rid", F.explode("bands").alias("key"))
         sizes = banded.groupBy("key").agg(F.count("*").alias("members"), F.min("rid").alias("r"), F.max("rid").alias("s"))
-        return self.stage.put("crowded", banded.join(sizes.filter("r < s").drop("r", "s"), "key"))
+        shared = salted_left_join(banded, sizes.filter("r < s").drop("r", "s"), ["key"], ["rid"])
+        return self.stage.put("crowded", shared.filter("members is not null"))
 
     def _stars(self, crowded: DataFrame) -> DataFrame:
         """``hub, rid``: every member of a large bucket with the bucket's hub."""
         scores = crowded.groupBy("rid").agg(F.sum("members").alias("score"))
         large = crowded.filter(F.col("members") > SMALL).join(scores, "rid")
         hubs = large.groupBy("key").agg(F.max_by("rid", F.struct(F.col("score"), -F.col("rid"))).alias("hub"))
-        return self.stage.put("stars", large.join(hubs, "key").filter("rid <> hub").select("hub", "rid").distinct())
+        return self.stage.put("stars", salted_left_join(large, hubs, ["key"], ["rid"]).filter("rid <> hub").select("hub", "rid").distinct())
 
     def _sets(self, ids: DataFrame) -> DataFrame:
         """``rid, shingles`` of the documents that are compared; moves texts only if their ids cannot be broadcast."""
@@ -236,49 +243,84 @@ class NearDuplicates:
     def _measured(self, stars: DataFrame) -> DataFrame:
         """Stars with the hub's size, what the member lacks of it, its extras, and whether the two are linked."""
         hubs = self.sets.select(F.col("rid").alias("hub"), F.col("shingles").alias("hub_set"))
-        pairs = stars.join(hubs, "hub").join(self.sets, "rid")
+        pairs = salted_left_join(stars, hubs, ["hub"], ["rid"]).join(self.sets, "rid")
         pairs = pairs.select("hub", "rid", F.size("hub_set").alias("whole"), F.size("shingles").alias("own"),
                              F.array_except("shingles", "hub_set").alias("extras"))
         both = F.col("own") - F.size("extras")
         return self.stage.put("measured", pairs.withColumns({
             "lacks": F.col("whole") - both, "more": F.size("extras"), "linked": self._similar(both, F.col("whole") + F.col("own"))}).drop("own"))
 
-    def _undecided(self, stars: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` under one hub, in different components, that can still be linked."""
+    def _joined(self, name: str, labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The components after these pairs have been tried."""
+        more = self.stage.put(f"{name}_links", self._confirmed(self._likely(name, pairs)))
+        if more.isEmpty():
+            return labels
+        return components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), self.stage, f"{name}_graph")
+
+    @staticmethod
+    def _rooted(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """Add the component of every ``rid``."""
         of = labels.select(F.col("node").alias("rid"), "root")
-        placed = self.stage.put("placed", stars.join(of, "rid", "left").withColumn("root", F.coalesce("root", "rid")))
-        mixed = placed.groupBy("hub").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("hub")
-        members = self.stage.put("members", placed.join(mixed, "hub", "left_semi"))
+        return rows.join(of, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+
+    def _open(self, stars: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of the hubs whose members are in several components, with the extras they share with a linked one at least."""
+        placed = self.stage.put("placed", self._rooted(stars, labels))
+        mixed = placed.groupBy("hub").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("hub", F.lit(True).alias("mixed"))
+        own = F.col("whole") - F.col("lacks") + F.col("more")
+        least = F.ceil(own * self.percent / 100 - 1e-9) - (F.col("whole") - F.col("lacks"))
+        found = salted_left_join(placed.drop("root"), mixed, ["hub"], ["rid"]).filter("mixed").drop("mixed")
+        return self.stage.put("members", found.withColumns({"own": own, "least": least}).filter("least <= more"))
+
+    def _keys(self, members: DataFrame) -> DataFrame:
+        """``hub, extra`` of the rarest extras of every member, as many as it takes to meet all that it can be linked to."""
+        each = members.select("hub", "rid", F.explode("extras").alias("extra"))
+        common = each.groupBy("hub", "extra").agg(F.count("*").alias("times")).filter("times > 1")
+        ranked = salted_left_join(each, common, ["hub", "extra"], ["rid"]).groupBy("hub", "rid").agg(
+            F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(1)).alias("times"), "extra"))).alias("ranked"))
+        head = F.slice("ranked", F.lit(1), (F.col("more") - F.greatest(F.col("least"), F.lit(1)) + 1).cast("int"))
+        rows = members.filter("more > 0").drop("extras").join(ranked, ["hub", "rid"])
+        rows = rows.select("hub", "rid", "linked", "whole", "lacks", "more", F.explode(head).alias("x"))
+        return self.stage.put("keys", rows.filter("x.times > 1").select("*", "x.extra").drop("x"))
+
+    def _led(self, keys: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` of one member per (hub, extra) with the others, where those are in several components."""
+        rows = self._rooted(keys.select("hub", "extra", "rid"), labels)
+        leads = rows.groupBy("hub", "extra").agg(F.min("rid").alias("lead"), F.min("root").alias("r"), F.max("root").alias("s"))
+        found = salted_left_join(rows, leads.filter("r < s").drop("r", "s"), ["hub", "extra"], ["rid"]).filter("rid <> lead")
+        return found.select(F.least("rid", "lead").alias("a"), F.greatest("rid", "lead").alias("b")).distinct()
+
+    def _undecided(self, keys: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` under one hub, in different components, that can still be linked."""
         apart = "x_root <> y_root and (y_linked or x_rid < y_rid)"
         what = ("rid", "root", "linked", "lacks", "more")
 
         def side(p: str, rows: DataFrame, *names: str, also: tuple[str, ...] = ()) -> DataFrame:
             return rows.select("hub", *also, *[F.col(n).alias(f"{p}_{n}") for n in names])
 
-        # What sizes can meet, and how many extras they then share at least.
-        sizes = members.groupBy("hub", "whole", "lacks", "more").agg(F.bool_or(~F.col("linked")).alias("loose"))
-        meets = side("x", sizes.filter("loose"), "lacks", "more", also=("whole",)).join(side("y", sizes, "lacks", "more"), "hub")
-        meets = meets.withColumn("need", self._needed()).filter("need <= least(x_more, y_more)")
-        ends = [meets.select("hub", "need", F.col(f"{p}_lacks").alias("lacks"), F.col(f"{p}_more").alias("more")) for p in "xy"]
-        least = ends[0].unionByName(ends[1]).groupBy("hub", "lacks", "more").agg(F.greatest(F.min("need"), F.lit(1)).alias("least"))
-
-        # Members that share n extras share one of the first e - n + 1 of either, in one order for all.
-        head = F.slice(F.array_sort("extras"), F.lit(1), F.greatest(F.lit(0), F.col("more") - F.col("least") + 1).cast("int"))
-        each = members.join(least, ["hub", "lacks", "more"]).select("hub", "whole", *what, F.explode(head).alias("extra"))
-        x = side("x", each.filter("not linked"), *what, also=("extra", "whole"))
-        y = side("y", each, *what, also=("extra",))
+        # what needs extras in common meets by one of them, under keys that still hold several components
+        rows = self._rooted(keys, labels)
+        several = rows.groupBy("hub", "extra").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("hub", "extra")
+        rows = self.stage.put("apart", rows.join(several, ["hub", "extra"], "left_semi"))
+        x, y = side("x", rows.filter("not linked"), *what, also=("extra", "whole")), side("y", rows, *what, also=("extra",))
         fits = self._needed() <= F.least("x_more", "y_more")
         tried = x.join(y, ["hub", "extra"]).filter(F.expr(apart) & fits).select("hub", "x_rid", "y_rid").distinct()
         given = tried.join(side("x", members, "rid", "extras", "lacks", "more", also=("whole",)), ["hub", "x_rid"])
         given = given.join(side("y", members, "rid", "extras", "lacks", "more"), ["hub", "y_rid"])
         sharing = given.filter(F.size(F.array_intersect("x_extras", "y_extras")) >= self._needed())
 
-        bare = (
-            meets.filter("need <= 0").select("hub", "x_lacks", "x_more", "y_lacks", "y_more")
-            .join(side("x", members.filter("not linked"), "rid", "root", "lacks", "more"), ["hub", "x_lacks", "x_more"])
-            .join(side("y", members, *what), ["hub", "y_lacks", "y_more"]).filter(apart)
+        # what needs none: both ends are small against the hub, and of sizes a quarter apart at most
+        bare = self._rooted(members.filter("least <= 0").drop("extras"), labels).withColumn("class", F.floor(F.log("own") / F.lit(math.log(100 / min(self.percent, 99)))).cast("int"))
+        near = F.explode(F.array(*[F.col("class") + i for i in (-1, 0, 1)]))
+        sizes = bare.groupBy("hub", "class", "whole", "lacks", "more").agg(F.bool_or(~F.col("linked")).alias("loose"))
+        meets = side("x", sizes.filter("loose"), "lacks", "more", also=("class", "whole")).join(
+            side("y", sizes.withColumn("class", near), "lacks", "more", also=("class",)), ["hub", "class"]).filter(self._needed() <= 0)
+        both = (
+            meets.select("hub", "x_lacks", "x_more", "y_lacks", "y_more")
+            .join(side("x", bare.filter("not linked"), "rid", "root", "lacks", "more"), ["hub", "x_lacks", "x_more"])
+            .join(side("y", bare, *what), ["hub", "y_lacks", "y_more"]).filter(apart)
         )
-        both = sharing.select("x_rid", "y_rid").unionByName(bare.select("x_rid", "y_rid"))
+        both = sharing.select("x_rid", "y_rid").unionByName(both.select("x_rid", "y_rid"))
         return both.select(F.least("x_rid", "y_rid").alias("a"), F.greatest("x_rid", "y_rid").alias("b")).distinct()
 
     def _needed(self) -> Column:
