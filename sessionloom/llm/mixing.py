@@ -15,8 +15,10 @@
    What a document gives follows from its offset in the stream alone.
 
 The hot source is split into shards by its size, so no window sees more than a shard; rows
-are shuffled once, by (source, shard). One row per source and per shard is all that is
-ordered together. Reruns agree: nothing depends on partitioning or arrival order.
+are shuffled once, by (source, shard), and rows without words not at all. What is ordered over
+all sources (weights, limits, quotients) is sorted by range, with running sums per range and
+the sums before it, so a source value per document is no one task's work either. A source's
+own shards are ordered together. Reruns agree: nothing depends on partitioning or arrival order.
 
 Defined results: a null or empty text has size 0 and gives nothing; a null source is a source
 of its own, a null doc_id hashes like the empty text; repeated rows are separate documents
@@ -42,20 +44,59 @@ def seeded(text: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed), text).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def targets(sized: DataFrame, most: int = MOST) -> DataFrame:
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column], stage: Staging, name: str) -> DataFrame:
+    """Add sums over all rows up to each one, itself included, in one order of all rows; staged.
+
+    Rows are sorted by range. A task sums up one range, and the sums of the ranges before it,
+    one row per range, are broadcast.
+    """
+    rows = stage.put(name, df.orderBy(*order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    whole = rows.groupBy("_range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    offsets = whole.select("_range", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in sums])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()}).join(F.broadcast(offsets), "_range")
+    return found.withColumns({n: F.col(n) + F.col(f"_before_{n}") for n in sums}).drop("_range", *[f"_before_{n}" for n in sums])
+
+
+def targets(sized: DataFrame, most: int = MOST, stage: Staging | None = None) -> DataFrame:
     """``source, source_size, weight, target`` of rows ``source, size``; one row per source."""
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    every = Window.partitionBy()
+    stage = stage or Staging(sized.sparkSession, "targets")
+    by_name = [F.col("source").isNull(), F.col("source")]
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    per = per.withColumn("weight", (F.row_number().over(order) - 1) % 3 + 1)
-    filling = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").isNull(), "source").rowsBetween(
-        Window.unboundedPreceding, -1)
-    limit = F.col("source_size") * most
-    full = F.coalesce(F.sum(limit).over(filling), F.lit(0))
-    gone = F.coalesce(F.sum("weight").over(filling), F.lit(0))
-    level = (F.sum("source_size").over(every) - full) / (F.sum("weight").over(every) - gone)
-    per = per.withColumn("level", level)
-    return per.withColumn("target", F.least(limit.cast("double"), F.max("level").over(every) * F.col("weight"))).drop("level")
+    per = running(per, by_name, {"weight": F.lit(1)}, stage, "sources_by_name")
+    per = per.withColumn("weight", (F.col("weight") - 1) % 3 + 1).withColumn("_limit", F.col("source_size") * most)
+    filled = running(per, [F.col("source_size") / F.col("weight"), *by_name], {"_full": F.col("_limit"), "_gone": F.col("weight")}, stage, "sources_by_limit")
+    whole = filled.agg(F.sum("source_size").alias("s"), F.sum("weight").alias("w")).first()  # of all sources
+    full, gone = F.col("_full") - F.col("_limit"), F.col("_gone") - F.col("weight")
+    levelled = stage.put("levels", filled.withColumn("_level", (F.lit(whole["s"]) - full) / (F.lit(whole["w"]) - gone)))
+    level = levelled.agg(F.max("_level").alias("level")).first()["level"]
+    target = F.least(F.col("_limit").cast("double"), F.lit(level).cast("double") * F.col("weight"))
+    return levelled.select("source", "source_size", "weight", target.alias("target"))
+
+
+def _bounds(votes: Column, all_votes: Column, several: Column) -> dict[str, Column]:
+    """Between ``_low`` and ``_high`` lies the quota of a part."""
+    scaled = votes / all_votes * F.col("seats")
+    slack = (several * 3 + 8) / F.greatest(F.col("seats"), F.lit(1))
+    v = F.coalesce(scaled, F.lit(0.0))
+    return {
+        "_low": F.least(F.col("room"), F.greatest(F.lit(0), F.floor(v * (1 - slack)) - 1)),
+        "_high": F.least(F.col("room"), F.ceil(v * (1 + slack)) + 1),
+    }
+
+
+def apportioned_over_all(parts: DataFrame, name: str, stage: Staging) -> DataFrame:
+    """``apportioned`` with all parts in one group, however many; ``parts`` is staged."""
+    whole = parts.agg(F.count("*").alias("n"), F.sum("votes").alias("v")).first()
+    sized = stage.put("bounds", parts.withColumns(_bounds(F.col("votes"), F.lit(whole["v"]).cast("double"), F.lit(whole["n"]))))
+    taken = sized.agg(F.coalesce(F.sum("_low"), F.lit(0)).alias("low")).first()["low"]
+    tried = sized.filter("_high > _low and votes > 0").select(
+        name, (F.col("seats") - F.lit(taken)).alias("_open"), "votes", F.explode(F.sequence(F.col("_low") + 1, F.col("_high"))).alias("_j"))
+    order = [(F.col("votes") / (F.col("_j") * 2 - 1)).desc(), F.col(name), F.col("_j")]
+    won = running(tried, order, {"_rank": F.lit(1)}, stage, "quotients").filter("_rank <= _open")
+    won = won.groupBy(name).agg(F.count("*").alias("_won"))
+    return sized.join(won, name, "left").withColumn("quota", F.col("_low") + F.coalesce("_won", F.lit(0))).drop("_low", "_high", "_won")
 
 
 def apportioned(parts: DataFrame, within: list[str], name: list[str]) -> DataFrame:
@@ -66,20 +107,16 @@ def apportioned(parts: DataFrame, within: list[str], name: list[str]) -> DataFra
     """
     group = Window.partitionBy(*within)
     several = F.count("*").over(group)
-    scaled = F.col("votes") / F.sum("votes").over(group) * F.col("seats")
-    slack = (several * 3 + 8) / F.greatest(F.col("seats"), F.lit(1))
-    sized = parts.withColumns({"_v": F.coalesce(scaled, F.lit(0.0)), "_slack": slack}).withColumns({
-        "_low": F.least(F.col("room"), F.greatest(F.lit(0), F.floor(F.col("_v") * (1 - F.col("_slack"))) - 1)),
-        "_high": F.least(F.col("room"), F.ceil(F.col("_v") * (1 + F.col("_slack"))) + 1),
-    })
+    sized = parts.withColumns({"_all": F.sum("votes").over(group), "_several": several})
+    sized = sized.withColumns(_bounds(F.col("votes"), F.col("_all"), F.col("_several"))).drop("_all", "_several")
     key = [*within, *name]
-    tried = sized.withColumn("_open", F.col("seats") - F.sum("_low").over(group)).filter("_high > _low and _v > 0")
+    tried = sized.withColumn("_open", F.col("seats") - F.sum("_low").over(group)).filter("_high > _low and votes > 0")
     tried = tried.select(*key, "votes", "_open", F.explode(F.sequence(F.col("_low") + 1, F.col("_high"))).alias("_j"))
     best = Window.partitionBy(*within).orderBy((F.col("votes") / (F.col("_j") * 2 - 1)).desc(), *name, "_j")
     won = tried.withColumn("_rank", F.row_number().over(best)).filter("_rank <= _open")
     won = won.groupBy(*key).agg(F.count("*").alias("_won"))
     return sized.join(won, key, "left").withColumn("quota", F.col("_low") + F.coalesce("_won", F.lit(0))).drop(
-        "_v", "_slack", "_low", "_high", "_won")
+        "_low", "_high", "_won")
 
 
 class Mix:
@@ -88,7 +125,7 @@ class Mix:
     def __init__(self, sized: DataFrame, stage: Staging, block_tokens: int = BLOCK_TOKENS,
                  shard_tokens: int = SHARD_TOKENS, most: int = MOST, seed: str = SEED):
         self.stage, self.block, self.seed, self.most = stage, block_tokens, seed, most
-        per = targets(sized, most).withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_tokens)))
+        per = targets(sized, most, stage).withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_tokens)))
         self.sources = stage.put("sources", per.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
         self.quotas = self._quotas(sized)
 
@@ -110,8 +147,9 @@ class Mix:
         per = shards.groupBy("src").agg(F.sum("blocks").alias("own")).join(
             self.sources.select("src", "source_size", "target"), "src")
         per = per.withColumns({"votes": F.col("target") / F.col("source_size") * F.col("own"), "room": F.col("own") * self.most})
-        total = F.floor(F.sum("votes").over(Window.partitionBy()) + 1e-6)
-        seats = self.stage.put("source_quotas", apportioned(per.withColumn("seats", total), [], ["src"]))
+        per = self.stage.put("votes", per)
+        total = per.agg(F.floor(F.coalesce(F.sum("votes"), F.lit(0.0)) + 1e-6).alias("total")).first()["total"]
+        seats = self.stage.put("source_quotas", apportioned_over_all(per.withColumn("seats", F.lit(total).cast("long")), "src", self.stage))
         parts = shards.join(seats.select("src", "own", F.col("quota").alias("seats")), "src").withColumns({
             "votes": F.col("blocks").cast("double"), "room": F.col("blocks") * self.most})
         dealt = apportioned(parts, ["src"], ["shard"])
@@ -120,7 +158,8 @@ class Mix:
 
     def taken(self, rows: DataFrame) -> DataFrame:
         """Add ``taken`` to rows with ``doc_id, source, size`` and whatever else."""
-        return self._taken(rows).drop("src", "shard", "spot")
+        wordless = rows.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
+        return self._taken(rows.filter("size > 0")).drop("src", "shard", "spot").unionByName(wordless)
 
     def whole(self, rows: DataFrame) -> DataFrame:
         """Add ``copies``, how often a document comes whole, to rows with ``doc_id, source, size`` above 0."""

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sessionloom.llm import chat, dedup_exact, fingerprints, mixing, near_dedup, queries, warc
+from sessionloom.llm import chat, dedup_exact, fingerprints, mixing, near_dedup, queries, simhash, warc
 from sessionloom.llm.components import components
 from sessionloom.session import Staging
 
@@ -518,6 +518,28 @@ def test_pipeline_stages_take_odd_documents(spark):
         assert "n_tokens" in now.columns
 
 
+CLASHING = (
+    "digest", "row", "size", "shard", "copies", "__id", "ids", "key", "rid", "rep", "n", "bands", "bytes", "term", "weight", "range", "place", "side", "kind",
+    "spot", "taken", "src", "fp", "hub", "root", "__digest", "__source", "__size", "__copies", "__whole", "lang_pred", "score", "a.b", "c`d",
+)
+
+
+def test_columns_with_clashing_names_pass_through(spark):
+    texts = ["the cat sat on the mat today again", "The cat sat on the mat today again", "a dog ran over that hill and away home", "eine katze liegt auf dem tisch dort", None, ""]
+    rows = [(i, texts[i % 6] and texts[i % 6] + f" {i % 12}", ["en", "de", None][i % 3], f"s{i % 3}", 1, *(f"{c}{i}" for c in CLASHING)) for i in range(40)]
+    quoted = ", ".join(f"`{c.replace('`', '``')}` string" for c in CLASHING)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {quoted}")
+    plain = docs.select("doc_id", "text")
+    for make in (lambda d: near_dedup.groups(d, Staging(spark, "t")), lambda d: dedup_exact.groups(d, Staging(spark, "t")),
+                 lambda d: simhash.groups(d, Staging(spark, "t")), lambda d: fingerprints.compared(d)):
+        assert sorted(map(str, make(docs).drop("row").collect())) == sorted(map(str, make(plain).drop("row").collect()))
+    now = docs
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        before = {tuple(r) for r in now.collect()}
+        now = Staging(spark, "t").put(name, step(spark, now, SF))
+        assert now.columns == docs.columns and {tuple(r) for r in now.collect()} <= before, name
+
+
 def test_every_operator_has_one_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
