@@ -108,7 +108,8 @@ def click_facts(clicks: DataFrame) -> DataFrame:
 
 
 def click_lookup(clicks: DataFrame) -> DataFrame:
-    return session_bounds(click_facts(clicks), ["x"], "x", grace=60)
+    """The sessions' intervals, staged: a latest-start join looks at them before it is planned."""
+    return Staging(clicks.sparkSession, "clicks").put("lookup", session_bounds(click_facts(clicks), ["x"], "x", grace=60))
 
 
 def enriched(clicks: DataFrame) -> DataFrame:
@@ -270,8 +271,9 @@ def interval_overlaps(spark, sf_dir):
 
 def interval_latest(spark, sf_dir):
     clicks = staged_clicks(spark, sf_dir)
+    facts = Staging(spark, "clicks").put("facts", click_facts(clicks))
     return interval_join(
-        known(clicks), click_facts(clicks), {"x": "x"}, "t", "session_start_ts", "session_end_ts",
+        known(clicks), facts, {"x": "x"}, "t", "session_start_ts", "session_end_ts",
         ["session_id", "session_start_ts"], pick="latest", grace=60, salt_by=["t", "_id"],
     ).select("_id", "session_id", "session_start_ts")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import threading
 import uuid
@@ -61,10 +62,10 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local session without that setting falls back to a temporary folder;
     a cluster has to name a folder that every executor can reach.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
+    root, local = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master.startswith("local")
+    if root and (local or not root.startswith("file:")):
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if local:
         return _local_root()
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
@@ -79,12 +80,14 @@ class Staging:
 
     A staged table cuts lineage and survives lost executors. Read back, it prunes
     columns, pushes filters down and has a known size, so that the planner's own
-    broadcast decisions rest on real bytes.
+    broadcast decisions rest on real bytes. What is not released before is released when the
+    process ends with its session alive: a lazy result may read staged tables until then.
     """
 
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.path = f"{scratch_root(spark)}/sessionloom/{label}-{uuid.uuid4().hex}"
+        _unreleased[self.path] = self
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -96,6 +99,7 @@ class Staging:
 
     def release(self) -> None:
         """Delete this run's staged tables."""
+        _unreleased.pop(self.path, None)
         sc = self.spark.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
@@ -105,3 +109,17 @@ class Staging:
 
     def __exit__(self, *exc) -> None:
         self.release()
+
+
+_unreleased: dict[str, Staging] = {}
+
+
+@atexit.register
+def _release_all() -> None:
+    for stage in list(_unreleased.values()):
+        if stage.spark.sparkContext._jsc is None:  # the session has ended
+            return
+        try:
+            stage.release()
+        except Exception:  # the process ends all the same
+            return
