@@ -27,6 +27,10 @@ RUN_SETTINGS = {
 }
 
 
+#: While a table is staged, Python is given batches of so many rows: with whole texts in them, a batch
+#: of the usual 10,000 takes a task tens of megabytes outside the heap, on both sides.
+PUT_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
 _held: dict[str, list] = {}
 _holding = threading.Lock()
 
@@ -94,7 +98,8 @@ class Staging:
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         schema = df.schema
-        df.write.mode("overwrite").parquet(self.folder(name))
+        with settings(self.spark, PUT_SETTINGS):
+            df.write.mode("overwrite").parquet(self.folder(name))
         return self.spark.read.schema(schema).parquet(self.folder(name))
 
     def release(self) -> None:

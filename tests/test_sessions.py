@@ -261,7 +261,7 @@ def executed(df):
 def test_rows_are_shuffled_once_and_windows_see_blocks_only(spark):
     wide = frame(spark, random_rows(200)).withColumn("payload", F.repeat("id", 5))
     plan = executed(S.sessionize(wide, ["user"], "t"))
-    assert plan.count("Exchange hashpartitioning") == 4 and "ShuffledHashJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 4 and "SortMergeJoin" in plan  # hashed by AQE where it fits
     assert "partial_min" in plan and "partial_bit_or" in plan
     assert not [line for line in plan.splitlines() if "Window [" in line and "payload" in line]
 
