@@ -45,16 +45,16 @@ def session_master(
     """One row per session with duration, activity counts and both flags.
 
     ``facts`` is a ``block_facts`` or ``session_rollup`` result; ``activity`` holds rows
-    that carry a session id. Without it all counts are 0. With a ``zone`` the facts' times are UTC;
+    that carry a session id. Without it the work is row-local: counts are those that the facts bring along, or 0. With a ``zone`` the facts' times are UTC;
     the duration is real time, and the times come out as the wall clock of the zone.
     """
     on = on or ["session_id"]
+    if activity is not None:
+        facts = facts.join(activity_counts(activity, on), on, "left")
     length = exact_seconds(F.col("session_end_ts")) - exact_seconds(F.col("session_start_ts"))
     master = facts.drop("session_last_ts").withColumn("session_duration", F.round(length, 4))
     if zone:
         master = master.withColumns({c: local_time(F.col(c), zone) for c in ("session_start_ts", "session_end_ts")})
-    if activity is None:
-        master = master.withColumns({c: F.lit(0).cast("bigint") for c in COUNTS})
-    else:
-        master = master.join(activity_counts(activity, on), on, "left").fillna(0, list(COUNTS))
+    master = ensure_columns(master, {c: "bigint" for c in COUNTS}).fillna(0, list(COUNTS))
+    master = master.select(*[c for c in master.columns if c not in COUNTS], *COUNTS)
     return master.withColumn("is_bounce", is_bounce()).withColumn("is_engaged", is_engaged())

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sessionloom.functions.times import shift_seconds, whole_seconds
-from sessionloom.operators.skew import fits_broadcast, left_join, salted_left_join
+from sessionloom.operators.skew import crowded_hashes, dealt_left_join, fits_broadcast, left_join, salted_left_join
 from sessionloom.session import Staging
 
 BUCKET, PART, PARTS = "_bucket", "_part", "_parts"
@@ -115,11 +115,45 @@ def _parted(found: DataFrame, on: list[str], width: int, crowd: int, stage: Stag
     return rest.unionByName(own).unionByName(best), crowded
 
 
+def _bucket_of(c: Column, width: int) -> Column:
+    return F.floor(whole_seconds(c) / width)
+
+
+def latest_entries(
+    intervals: DataFrame, on: dict[str, str], start: str, end: str, payload: list[str], within: tuple[Column, Column], stage: Staging,
+    grace: int = 0, bucket_seconds: int = 21_600,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The intervals as a latest-start join reads them: an array per key, bucket and part, and the parted buckets.
+
+    Staged, they serve any number of ``interval_join`` calls over the same intervals, keys and bounds.
+    """
+    found = _clipped(_by_key(intervals, on, start, end, payload, grace), list(on))
+    found = _by_bucket(found, bucket_seconds, tuple(_bucket_of(c, bucket_seconds) for c in within))
+    found, crowded = _parted(found, list(on), bucket_seconds, CROWD, stage)
+    keys = [*on, BUCKET] if crowded is None else [*on, BUCKET, PART]
+    entry = F.struct(_LO, _HI, "_payload")
+    return found.groupBy(*keys).agg(F.sort_array(F.collect_list(entry), asc=False).alias("_entries")), crowded
+
+
+def _by_key(intervals: DataFrame, on: dict[str, str], start: str, end: str, payload: list[str], grace: int) -> DataFrame:
+    return intervals.select(
+        *[F.col(r).alias(e) for e, r in on.items()],
+        shift_seconds(F.col(start), -grace).alias(_LO),
+        shift_seconds(F.col(end), grace).alias(_HI),
+        F.struct(*payload).alias("_payload"),
+    )
+
+
+def crowded_events(events: DataFrame, on: list[str], t: str, bucket_seconds: int = 21_600) -> DataFrame:
+    """The ``skew.crowded_hashes`` of events by key and bucket; stage it for ``interval_join``."""
+    return crowded_hashes(events.withColumn(BUCKET, _bucket_of(F.col(t), bucket_seconds)), [*on, BUCKET])
+
+
 def interval_join(
     events: DataFrame, intervals: DataFrame, on: dict[str, str], t: str, start: str, end: str, payload: list[str],
     how: str = "left", pick: str = "all", grace: int = 0, bucket_seconds: int = 21_600,
     within: tuple[Column, Column] | None = None, salt_by: list[str] | None = None, small: bool = False,
-    stage: Staging | None = None,
+    stage: Staging | None = None, entries: tuple[DataFrame, DataFrame | None] | None = None, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join events to the intervals of the same key with ``start - grace <= t <= end + grace``.
 
@@ -132,7 +166,8 @@ def interval_join(
     With ``latest`` the intervals of one key and bucket travel as one array: those that start or
     end in the bucket, and one. Where more than ``CROWD`` meet, as nested intervals may, the bucket is
     parted by time until a part holds about as many, down to single seconds; which buckets
-    those are is counted when the join is made.
+    those are is counted when the join is made. ``entries`` is a ``latest_entries`` result for the same
+    intervals; ``hot`` a ``crowded_events`` result, with which only crowded keys are salted.
     """
     if pick not in ("all", "latest") or how not in ("left", "inner"):
         raise ValueError(f"unsupported: pick={pick}, how={how}")
@@ -140,28 +175,15 @@ def interval_join(
     if clash:
         raise ValueError(f"interval columns collide with event columns: {', '.join(clash)}")
 
-    def bucket(c: Column) -> Column:
-        return F.floor(whole_seconds(c) / bucket_seconds)
-
     if within is None:
         ends = events.agg(F.struct(F.min(t).alias("lo"), F.max(t).alias("hi")).alias("ends")).scalar()
         within = (ends["lo"], ends["hi"])
     keys = [*on, BUCKET]
-    rows = events.withColumn(BUCKET, bucket(F.col(t)))
-    found = intervals.select(
-        *[F.col(r).alias(e) for e, r in on.items()],
-        shift_seconds(F.col(start), -grace).alias(_LO),
-        shift_seconds(F.col(end), grace).alias(_HI),
-        F.struct(*payload).alias("_payload"),
-    )
-    if pick == "latest":
-        found = _clipped(found, list(on))
-    found = _by_bucket(found, bucket_seconds, (bucket(within[0]), bucket(within[1])))
-
+    rows = events.withColumn(BUCKET, _bucket_of(F.col(t), bucket_seconds))
     where = None
     if pick == "latest":
-        entry = F.struct(_LO, _HI, "_payload")
-        found, crowded = _parted(found, list(on), bucket_seconds, CROWD, stage or Staging(events.sparkSession, "intervals"))
+        stage = stage or Staging(events.sparkSession, "intervals")
+        found, crowded = entries or latest_entries(intervals, on, start, end, payload, within, stage, grace, bucket_seconds)
         if crowded is not None:
             if fits_broadcast(crowded):
                 rows = left_join(rows, F.broadcast(crowded), keys)
@@ -169,12 +191,15 @@ def interval_join(
                 rows = salted_left_join(rows, crowded, keys, salt_by or [t])
             rows = rows.withColumn(PARTS, F.coalesce(PARTS, F.lit(1))).withColumn(PART, part_of(F.col(t), bucket_seconds)).drop(PARTS)
             keys = [*keys, PART]
-        found = found.groupBy(*keys).agg(F.sort_array(F.collect_list(entry), asc=False).alias("_entries"))
     else:
+        found = _by_key(intervals, on, start, end, payload, grace)
+        found = _by_bucket(found, bucket_seconds, tuple(_bucket_of(c, bucket_seconds) for c in within))
         where = (F.col(t) >= F.col(_LO)) & (F.col(t) <= F.col(_HI))
 
     if small:
         joined = left_join(rows, F.broadcast(found), keys, where)
+    elif hot is not None:
+        joined = dealt_left_join(rows, found, keys, salt_by or [t], hot, [*on, BUCKET], where)
     else:
         joined = salted_left_join(rows, found, keys, salt_by or [t], where)
 
@@ -195,9 +220,7 @@ def assign_sessions(
     Unmatched events get ``<user>_<date>_unassigned``, or a null id. A session id that the
     events bring along is kept as ``source_session_id``.
     """
-    if "session_id" in events.columns:
-        events = events.withColumnRenamed("session_id", "source_session_id")
-    events = events.drop("is_session_assigned")
+    events = without_session(events)
     on = {**({tenant: tenant} if tenant else {}), user: "sess_user"}
     rows = interval_join(events, lookup, on, t, "sess_start", "sess_end", ["session_id"], **join)
     rows = rows.withColumn("is_session_assigned", F.col("session_id").isNotNull())
@@ -207,6 +230,13 @@ def assign_sessions(
     return rows.withColumn("session_id", F.coalesce("session_id", fallback))
 
 
+def without_session(events: DataFrame) -> DataFrame:
+    """Make room for the columns of a session; an id that the events bring along is ``source_session_id`` from here on."""
+    if "session_id" in events.columns:
+        events = events.withColumnRenamed("session_id", "source_session_id")
+    return events.drop("is_session_assigned")
+
+
 def unassigned(events: DataFrame) -> DataFrame:
     """The same columns as ``assign_sessions`` where there is nothing to join."""
     if "session_id" in events.columns:

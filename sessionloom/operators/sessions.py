@@ -133,9 +133,10 @@ def session_blocks(
     )
 
 
-def _attach(
+def attach_sessions(
     df: DataFrame, blocks: DataFrame, keys: list[str], t: str, gap: int, salt_by: list[str] | None, small: bool = False
 ) -> DataFrame:
+    """Give every row the ``_seq``, ``_start`` and ``_end`` of its session; ``name_sessions`` makes its id of them."""
     found = spread(blocks).select(
         *keys, BLOCK, SALT,
         F.col("session_seq").alias("_seq"),
@@ -159,19 +160,23 @@ def session_sequence(
 ) -> DataFrame:
     """Add the session number within ``keys``."""
     blocks = session_blocks(df, keys, t, gap, salt_by=salt_by)
-    return _attach(df, blocks, keys, t, gap, salt_by).withColumn(out, F.col("_seq")).drop("_seq", "_start", "_end")
+    return attach_sessions(df, blocks, keys, t, gap, salt_by).withColumn(out, F.col("_seq")).drop("_seq", "_start", "_end")
 
 
-def session_names(df: DataFrame, user: str, id_style: str, start: str, seq: str) -> DataFrame:
-    """Add ``session_id`` and, for hashed ids, ``session_label``."""
+def session_id_of(user: Column, id_style: str, found: Column) -> Column:
+    """A session's id from its user and its start or, for sequence ids, its number."""
+    who, what = user.cast("string"), found.cast("string")
     if id_style == "sequence":
-        return df.withColumn("session_id", F.concat(F.col(user).cast("string"), F.lit("_"), F.col(seq).cast("string")))
+        return F.concat(who, F.lit("_"), what)
     if id_style != "hash":
         raise ValueError(f"unknown id style: {id_style}")
-    who, when = F.col(user).cast("string"), F.col(start).cast("string")
-    return df.withColumn("session_id", F.sha2(F.concat_ws("||", who, when), 256)).withColumn(
-        "session_label", F.concat(who, F.lit("__"), when)
-    )
+    return F.sha2(F.concat_ws("||", who, what), 256)
+
+
+def session_names(df: DataFrame, user: str, id_style: str, start: str, seq: str) -> DataFrame:
+    """Add ``session_id`` and, for hashed ids, ``session_label``."""
+    df = df.withColumn("session_id", session_id_of(F.col(user), id_style, F.col(seq if id_style == "sequence" else start)))
+    return df if id_style == "sequence" else df.withColumn("session_label", F.concat(F.col(user).cast("string"), F.lit("__"), F.col(start).cast("string")))
 
 
 def sessionize(
@@ -191,21 +196,27 @@ def sessionize(
     by = [*keys, cut_by] if cut_by else list(keys)
     if blocks is None:
         blocks = session_blocks(df, by, t, gap, raw_end, salt_by)
-    rows = _attach(df, blocks, by, t, gap, salt_by, small)
+    return name_sessions(attach_sessions(df, blocks, by, t, gap, salt_by, small), keys[-1], id_style, zone)
+
+
+def name_sessions(rows: DataFrame, user: str, id_style: str = "hash", zone: str | None = None) -> DataFrame:
+    """The session columns of ``sessionize`` from those of ``attach_sessions``: row-local, so it can come after a shuffle."""
     if zone:
         rows = rows.withColumns({c: local_time(F.col(c), zone) for c in ("_start", "_end")})
-    rows = session_names(rows, keys[-1], id_style, "_start", "_seq")
+    rows = session_names(rows, user, id_style, "_start", "_seq")
     if id_style == "hash":
         rows = rows.withColumn("session_end", F.col("_end")).withColumn("is_session_assigned", F.lit(True))
     return rows.drop("_seq", "_start", "_end")
 
 
 def block_facts(
-    blocks: DataFrame, keys: list[str], cut_by: str | None = "date", id_style: str = "hash", zone: str | None = None
+    blocks: DataFrame, keys: list[str], cut_by: str | None = "date", id_style: str = "hash", zone: str | None = None,
+    named: bool = True,
 ) -> DataFrame:
     """One row per session straight from its blocks; the rows are not read again.
 
     With a ``zone`` the blocks' times are UTC and stay so, and ids show the wall clock of the zone.
+    Not ``named``, a session has its ``session_seq`` and no id yet.
     """
     by = [*keys, cut_by] if cut_by else list(keys)
     facts = blocks.groupBy(*by, "session_seq").agg(
@@ -214,6 +225,8 @@ def block_facts(
         F.max(F.greatest("block_last", "block_end")).alias("session_end_ts"),
         F.sum("block_rows").alias("event_count"),
     )
+    if not named:
+        return facts
     start = local_time(F.col("session_start_ts"), zone) if zone else F.col("session_start_ts")
     return session_names(facts.withColumn("_start", start), keys[-1], id_style, "_start", "session_seq").drop("session_seq", "_start")
 
@@ -229,12 +242,14 @@ def session_rollup(rows: DataFrame, by: list[str], t: str = "event_timestamp", e
 
 
 def session_bounds(
-    facts: DataFrame, keys: list[str], user: str, grace: int | None = None, tail: int | None = None
+    facts: DataFrame, keys: list[str], user: str, grace: int | None = None, tail: int | None = None,
+    name: str = "session_id",
 ) -> DataFrame:
     """Lookup intervals ``sess_start`` … ``sess_end`` per session.
 
     ``tail``: from the first event to the last event's whole second plus ``tail``.
     ``grace``: from ``grace`` seconds before the start to ``grace`` seconds after the session end.
+    ``name`` is the column of ``facts`` that tells the sessions apart.
     """
     if (grace is None) == (tail is None):
         raise ValueError("give either grace or tail")
@@ -246,7 +261,7 @@ def session_bounds(
         hi = shift_seconds(F.col("session_end_ts"), grace)
     others = [F.col(k) for k in keys if k != user]
     return facts.select(
-        *others, F.col(user).alias("sess_user"), "session_id", lo.alias("sess_start"), hi.alias("sess_end")
+        *others, F.col(user).alias("sess_user"), name, lo.alias("sess_start"), hi.alias("sess_end")
     )
 
 

@@ -73,6 +73,47 @@ def salted_left_join(
     return left_join(with_salt(big, by), copies, [*on, SALT], where, hint).drop(SALT)
 
 
+#: Hash buckets that rows are counted in by ``crowded_hashes``, and the rows of one that share a salt at least.
+HASHES, ROWS_PER_SALT = 4096, 100_000
+_HASH, _DEAL = "_hash", "_deal"
+
+
+def _hash_of(on: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*on), F.lit(HASHES)).cast("int")
+
+
+def crowded_hashes(big: DataFrame, on: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Hash buckets of the ``on`` keys with many rows, and over how many salts those are dealt; at most a quarter of ``HASHES`` rows.
+
+    A bucket has at least the rows of each of its keys. Counting takes ``HASHES`` rows per task, whatever
+    the number of keys; stage the result, as a join asks for it on both sides.
+    """
+    counts = big.groupBy(_hash_of(on).alias(_HASH)).agg(F.count(F.lit(1)).alias("_rows"))
+    share = counts.agg(F.greatest(F.lit(rows_per_salt), 4 * F.sum("_rows") / HASHES)).scalar()
+    deal = F.least(F.lit(SALTS), F.ceil(F.col("_rows") / share)).cast("int")
+    return counts.select(_HASH, deal.alias(_DEAL)).filter(F.col(_DEAL) > 1)
+
+
+def dealt_left_join(
+    big: DataFrame, small: DataFrame, on: list[str], by: list[str], crowded: DataFrame, hashed: list[str] | None = None,
+    where: Column | None = None,
+) -> DataFrame:
+    """``salted_left_join`` that salts the keys in ``crowded`` hash buckets only, so the keys of ``big`` are not shuffled to look for hot ones.
+
+    ``crowded`` is a ``crowded_hashes`` result for the ``hashed`` columns, which are all of ``on`` or some of them.
+    """
+    deals = F.broadcast(crowded)
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.withColumn(_HASH, _hash_of(hashed or on)).join(deals, _HASH, "left")
+
+    salt = F.coalesce(F.pmod(F.xxhash64(*by), F.col(_DEAL)), F.lit(0)).cast("int")
+    rows = dealt(big).withColumn(SALT, salt).drop(_HASH, _DEAL)
+    salts = F.sequence(F.lit(0), F.coalesce(F.col(_DEAL), F.lit(1)) - 1)
+    copies = dealt(small).withColumn(SALT, F.explode(salts)).drop(_HASH, _DEAL)
+    return left_join(rows, copies, [*on, SALT], where).drop(SALT)
+
+
 def left_join(
     big: DataFrame, small: DataFrame, on: list[str], where: Column | None = None, hint: str | None = None,
     null_safe: bool = False,

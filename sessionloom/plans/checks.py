@@ -459,7 +459,7 @@ def _raw_tables(spark, sf_dir, moved: Callable[[Column], Column] = lambda t: t)
     }
     folder = Staging(spark, "raw").folder("tables")
     for suffix, df in tables.items():
-        df.write.partitionBy("prefix").parquet(f"{folder}/{suffix}")
+        df.write.partitionBy("prefix").option("compression", "zstd").parquet(f"{folder}/{suffix}")
     return Source("parquet", {}, location=folder + "/{suffix}/prefix={prefix}")
 
 
@@ -520,7 +520,7 @@ def _session_table(spark, sf_dir, change: Callable[[DataFrame], DataFrame]) -> S
     table = clicks.select(
         (F.col("uid") % 3).cast("string").alias("prefix"), "fingerprint", "user_id", "createdAt", "_id", "sessionEnd", "userAgent")
     folder = Staging(spark, "raw").folder("sessions")
-    change(table).write.partitionBy("prefix").parquet(f"{folder}/user_sessions_v2")
+    change(table).write.partitionBy("prefix").option("compression", "zstd").parquet(f"{folder}/user_sessions_v2")
     return Source("parquet", {}, location=folder + "/{suffix}/prefix={prefix}")
 
 

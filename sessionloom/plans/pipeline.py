@@ -8,7 +8,9 @@ by reason. Everything after that reads staged or target Parquet with pruned colu
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
@@ -17,12 +19,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from sessionloom import sinks
 from sessionloom.config import CASTS, RENAMES, SPECS, Layout, Rules, RunWindow, Source, TableSpec, Tenant
-from sessionloom.functions.times import local_day_bounds
+from sessionloom.functions.times import local_day_bounds, local_time
 from sessionloom.operators import dedup as copies, quality, shape
-from sessionloom.operators.facts import session_master
-from sessionloom.operators.intervals import assign_sessions, bucket_copies, unassigned
+from sessionloom.operators.facts import activity_counts, session_master
+from sessionloom.operators.intervals import (
+    bucket_copies, crowded_events, interval_join, latest_entries, unassigned, without_session,
+)
 from sessionloom.operators.sessions import (
-    block_facts, row_duration, session_blocks, session_bounds, session_rollup, sessionize,
+    attach_sessions, block_facts, name_sessions, row_duration, session_blocks, session_bounds, session_id_of, session_names,
+    session_rollup,
 )
 from sessionloom.operators.skew import copies_made, fits_broadcast
 from sessionloom.plans.audit import Audit
@@ -37,6 +42,9 @@ ENRICH = "_enrich"
 SPREAD = "_spread"
 CONTENT = "_content"
 ORPHAN = "_orphan"
+#: What a row carries of its session through the shuffles: its start or number. Ids are made of it where rows are written.
+FOUND, JOINED = "_found", "_joined"
+_KEY = "_session_key"
 #: Gaps, intervals and orders are real time; the wall clock only names days and sessions.
 TIME = "event_timestamp_utc"
 ID = "mongo_id"
@@ -156,6 +164,7 @@ class _Job:
     blocks: DataFrame | None = None
     lookup: DataFrame | None = None
     lookup_small: bool = False
+    entries: tuple[DataFrame, DataFrame | None] | None = None
     session_tenants: list[str] = field(default_factory=list)
     session_ready: list[str] = field(default_factory=list)
     activity: DataFrame | None = None
@@ -167,6 +176,9 @@ class _Job:
         self.days = RunWindow(self.window.day, last.isoformat()).days()
         self.bounds = local_day_bounds(self.window.day, last.isoformat(), self.rules.zone)
         self.by = [TENANT, *self.rules.partition_by]
+        self.dated = {"year", "month", "day"} == set(self.rules.partition_by)  # a date is a partition, and the only column to deal by
+        self.deal = [TENANT, "date"] if self.dated else self.by
+        self.preparing = threading.Lock()
         self.keys = [TENANT, USER]
         self.cut = "date" if self.rules.cut_by_day else None
 
@@ -185,8 +197,8 @@ class _Job:
             stage = "SESSION_BOUNDARY" if spec.is_session else "SESSION_ENRICHMENT"
             rows = self._sessions(kept) if spec.is_session else self._enriched(kept, spec)
             stage = "WRITE"
-            final = self._final(rows)
-            counts, orphans = self._store(final, spec.target, ready, spec.full_load, slots)
+            rows, final = self._narrow(rows), self._final(rows)
+            counts, orphans = self._store(rows, self._final, spec.target, ready, spec.full_load, slots)
         except Exception as e:  # a failing table must not stop the run
             for name in ready:
                 self.audit.fail(name, spec.target, stage, e)
@@ -267,13 +279,14 @@ class _Job:
             return None
         dated = rows.select(TENANT, "date")
         dated = shape.add_ymd(dated) if "year" in self.by else dated
-        return self.staging.put(f"slots-{uuid.uuid4().hex}", sinks.partition_slots(dated, self.by, self.max_files))
+        return self.staging.put(f"slots-{uuid.uuid4().hex}", sinks.partition_slots(dated, self.deal, self.max_files))
 
     def _unique(self, kept: DataFrame, spec: TableSpec) -> tuple[DataFrame, dict[str, int]]:
-        """Deduplicate by record id: the losers' row numbers are found on narrow columns and staged.
+        """Deduplicate by record id: the rows that stay or go are found on narrow columns, and their numbers staged.
 
-        Every later use of the survivors anti-joins that table, so all uses see the same rows,
-        whatever the join strategy and arrival order.
+        Every later use of the survivors reads that table, so all uses see the same rows, whatever
+        the join strategy and arrival order. A few losers are anti-joined; where many ids repeat, bitmaps
+        of the survivors are broadcast, so that no row is shuffled for it.
         """
         if not self.rules.deduplicate or ID not in kept.columns:
             return kept.drop(CONTENT), {}
@@ -283,6 +296,10 @@ class _Job:
         if not counts:
             return kept.drop(CONTENT), counts
         narrow = kept.filter(F.col(ID).isNotNull()).select(TENANT, ID, TIME, CONTENT, SPREAD)
+        if not fits_broadcast(repeated, max_rows=self.rules.broadcast_rows):
+            bits = self.staging.put(f"{spec.target}-first", copies.first_bits(narrow, ID, [TIME, CONTENT], [TENANT], SPREAD))
+            if fits_broadcast(bits):
+                return copies.keep_first(kept.drop(CONTENT), ID, [TENANT], SPREAD, bits), counts
         gone = copies.losers(narrow, ID, [TIME, CONTENT], [TENANT], SPREAD, repeated)
         gone = self.staging.put(f"{spec.target}-losers", gone)
         if fits_broadcast(gone, max_rows=self.rules.broadcast_rows):
@@ -297,39 +314,73 @@ class _Job:
         end = "session_end_raw_utc" if "session_end_raw_utc" in kept.columns else None
         blocks = session_blocks(kept, by, TIME, rules.gap_seconds, end, [SPREAD])
         self.blocks = self.staging.put("blocks", blocks)
-        facts = block_facts(self.blocks, self.keys, self.cut, rules.id_style, rules.zone)
+        facts = block_facts(self.blocks, self.keys, self.cut, rules.id_style, rules.zone, named=False)
+        facts = facts.withColumn(FOUND, F.col("session_start_ts" if rules.id_style == "hash" else "session_seq"))
         grace = None if rules.tail_seconds is not None else rules.grace_seconds
         known = facts.filter(F.col(USER).isNotNull())
-        self.lookup = self.staging.put("lookup", session_bounds(known, self.keys, USER, grace, rules.tail_seconds))
+        self.lookup = self.staging.put("lookup", session_bounds(known, self.keys, USER, grace, rules.tail_seconds, FOUND))
         per_bucket = bucket_copies("sess_start", "sess_end", self.bounds)
         self.lookup_small = fits_broadcast(self.lookup, per_bucket, rules.broadcast_rows)
         self.session_tenants = [r[0] for r in self.lookup.select(TENANT).distinct().collect()]  # tenants only
-        rows = sessionize(
-            kept, self.keys, TIME, rules.gap_seconds, self.cut, rules.id_style, end, [SPREAD], blocks=self.blocks,
-            small=fits_broadcast(self.blocks, copies_made(), rules.broadcast_rows), zone=rules.zone,
-        )
-        if rules.default_duration is not None:
-            rows = row_duration(rows, TIME, default_tail=rules.default_duration)
-        return rows
+        small = fits_broadcast(self.blocks, copies_made(), rules.broadcast_rows)
+        return attach_sessions(kept, self.blocks, by, TIME, rules.gap_seconds, [SPREAD], small)
+
+    def _entries(self) -> tuple[DataFrame, DataFrame | None] | None:
+        """The lookup as latest-start joins read it, worked out once for all tables."""
+        if self.rules.pick != "latest":
+            return None
+        with self.preparing:
+            if self.entries is None:
+                found, crowded = latest_entries(
+                    self.lookup, {TENANT: TENANT, USER: "sess_user"}, "sess_start", "sess_end", [FOUND], self.bounds, self.staging)
+                self.entries = self.staging.put("entries", found), crowded
+        return self.entries
 
     def _enriched(self, kept: DataFrame, spec: TableSpec) -> DataFrame:
-        """Session ids from the lookup; tenants without sessions keep their rows unassigned."""
+        """Sessions from the lookup; tenants without sessions keep their rows unassigned."""
         if spec.full_load or not self.session_tenants:
             return unassigned(kept)
-        rows = assign_sessions(
-            kept, self.lookup, USER, TIME, tenant=TENANT, label_unassigned=self.rules.label_unassigned,
+        on = [TENANT, USER]
+        hot = None if self.lookup_small else self.staging.put(f"{spec.target}-hot", crowded_events(kept, on, TIME))
+        rows = interval_join(
+            without_session(kept), self.lookup, {TENANT: TENANT, USER: "sess_user"}, TIME, "sess_start", "sess_end", [FOUND],
             pick=self.rules.pick, within=self.bounds, salt_by=[SPREAD], small=self.lookup_small, stage=self.staging,
+            entries=self._entries(), hot=hot,
         )
-        joined = F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants)
-        rows = rows.withColumn("session_id", F.when(joined, F.col("session_id")))
+        rows = rows.withColumn(JOINED, F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants))
         if spec.needs_session and self.rules.quality:
-            rows = rows.withColumn(ORPHAN, ~F.col("is_session_assigned") & joined)
+            rows = rows.withColumn(ORPHAN, F.col(FOUND).isNull() & F.col(JOINED))
         return rows
 
+    def _named(self, rows: DataFrame) -> DataFrame:
+        """The session columns of rows that carry what their ids are made of."""
+        rules = self.rules
+        if "_seq" in rows.columns:
+            rows = name_sessions(rows, USER, rules.id_style, rules.zone)
+            return rows if rules.default_duration is None else row_duration(rows, TIME, default_tail=rules.default_duration)
+        if FOUND not in rows.columns:
+            return rows
+        who, found = F.col(USER), F.col(FOUND)
+        of = local_time(found, rules.zone) if rules.id_style == "hash" else found
+        name = F.when(found.isNotNull(), session_id_of(who, rules.id_style, of))
+        if rules.label_unassigned:
+            name = F.coalesce(name, F.concat(who, F.lit("_"), F.col("date").cast("string"), F.lit("_unassigned")))
+        orphan = [ORPHAN] if ORPHAN in rows.columns else []
+        return rows.select(
+            *[c for c in rows.columns if c not in (FOUND, JOINED, ORPHAN)], F.when(F.col(JOINED), name).alias("session_id"),
+            found.isNotNull().alias("is_session_assigned"), *orphan)
+
     # -- sinks -------------------------------------------------------------
 
+    def _narrow(self, rows: DataFrame) -> DataFrame:
+        """What a row needs to be dealt out and finished."""
+        rows = rows.drop(ENRICH, CONTENT, *([] if self.max_files else [SPREAD]))
+        return rows if self.dated or "year" not in self.by else shape.add_ymd(rows)
+
     def _final(self, rows: DataFrame) -> DataFrame:
-        final = shape.finalize_times(rows.drop(USER, ENRICH, CONTENT, *([] if self.max_files else [SPREAD])), EXTRA_TIMES)
+        """The target's columns: row-local, so they are made after the last shuffle."""
+        rows = self._named(rows).drop(USER, ENRICH, CONTENT, *([] if self.max_files else [SPREAD]))
+        final = shape.finalize_times(rows, EXTRA_TIMES)
         final = shape.fix_void(shape.enforce_schema(final, CASTS) if self.rules.enforce_types else final)
         return shape.add_ymd(final) if "year" in self.by else final
 
@@ -353,17 +404,19 @@ class _Job:
         return self._stored(schema, name).filter(day.between(F.lit(self.days[0]), F.lit(self.days[-1])))
 
     def _store(
-        self, final: DataFrame, name: str, ready: list[str], full_load: bool = False, slots: DataFrame | None = None,
+        self, rows: DataFrame, finish: Callable[[DataFrame], DataFrame], name: str, ready: list[str], full_load: bool = False,
+        slots: DataFrame | None = None,
     ) -> tuple[dict[str, int], dict[str, int]]:
-        """Write ``final`` but for its orphans; the rows written and the orphans, per tenant.
+        """Write ``finish(rows)`` but for its orphans; the rows written and the orphans, per tenant.
 
         Emptied days of the window are cleared.
         """
-        orphan = F.col(ORPHAN) if ORPHAN in final.columns else F.lit(False)
         if self.dry_run:
-            return self._per_tenant(final.filter(~orphan)), self._per_tenant(final.filter(orphan))
-        touched, orphans = self._write(final, name, slots)
-        schema = final.drop(ORPHAN, SPREAD).schema
+            orphan = F.col(ORPHAN) if ORPHAN in rows.columns else F.lit(False)
+            found = rows.groupBy(TENANT).agg(F.count_if(~orphan).alias("written"), F.count_if(orphan).alias("orphans")).collect()
+            return tuple({r[TENANT]: r[c] for r in found} for c in ("written", "orphans"))
+        touched, orphans = self._write(rows, finish, name, slots)
+        schema = finish(rows).drop(ORPHAN, SPREAD).schema
         if full_load:
             self.written[name] = self._stored(schema, name)
             return self._per_tenant(self.written[name]), {}
@@ -382,23 +435,26 @@ class _Job:
         self.written[name] = self._read_back(schema, name)
         return counts, orphans
 
-    def _write(self, final: DataFrame, name: str, slots: DataFrame | None) -> tuple[set[tuple], dict[str, int]]:
+    def _write(
+        self, rows: DataFrame, finish: Callable[[DataFrame], DataFrame], name: str, slots: DataFrame | None
+    ) -> tuple[set[tuple], dict[str, int]]:
         """Write all tenants; the partitions that got rows, at most one per tenant and day, and the orphans per tenant."""
         if not self.layout.tenant_first:
-            return self._write_part(final, f"{self.target}/{name}", self.by, slots)
+            return self._write_part(rows, finish, f"{self.target}/{name}", self.by, slots)
         if len(self.tenants) > 1:  # worked out once, then written tenant by tenant
-            final = self.staging.put(f"{name}-final", final)
+            rows = self.staging.put(f"{name}-final", rows)
         touched, orphans = set(), {}
         for t in self.tenants:
             mine = None if slots is None else slots.filter(F.col(TENANT) == t.name).drop(TENANT)
             root = self.layout.root(self.target, name, t.name)
-            parts, lost = self._write_part(final.filter(F.col(TENANT) == t.name).drop(TENANT), root, self.by[1:], mine, t.name)
+            parts, lost = self._write_part(rows.filter(F.col(TENANT) == t.name).drop(TENANT), finish, root, self.by[1:], mine, t.name)
             touched |= {(t.name, *p) for p in parts}
             orphans |= lost
         return touched, orphans
 
     def _write_part(
-        self, rows: DataFrame, path: str, by: list[str], slots: DataFrame | None, tenant: str | None = None
+        self, rows: DataFrame, finish: Callable[[DataFrame], DataFrame], path: str, by: list[str], slots: DataFrame | None,
+        tenant: str | None = None,
     ) -> tuple[set[tuple], dict[str, int]]:
         """Write one dataset: of one ``tenant``, or of all as its first partition column."""
         orphan = F.col(ORPHAN) if ORPHAN in rows.columns else F.lit(False)
@@ -410,7 +466,8 @@ class _Job:
         with_orphans = ORPHAN in rows.columns
         sinks.write_partitions(
             rows, path, by, self.refresh, self.max_files, slots, [SPREAD] if self.max_files and SPREAD in rows.columns else None,
-            (seen, metrics), ~orphan if with_orphans else None, (ORPHAN,) if with_orphans else ())
+            (seen, metrics), ~orphan if with_orphans else None, (ORPHAN,) if with_orphans else (),
+            deal_by=[c for c in self.deal if c in rows.columns], finish=finish)
         found = seen.get
         return {tuple(p) for p in found["partitions"]}, {t: found[c] for c, t in of.items()}
 
@@ -425,6 +482,26 @@ class _Job:
         for t in self.tenants:
             sinks.append_audit(rows.filter(F.col("client_name") == t.name), self.layout.root(self.target, AUDIT_TABLE, t.name))
 
+    def _facts_named(self, facts: DataFrame) -> DataFrame:
+        start = local_time(F.col("session_start_ts"), self.rules.zone)
+        return session_names(facts.withColumn("_start", start), USER, self.rules.id_style, "_start", "session_seq").drop("_start")
+
+    def _master_finished(self, facts: DataFrame) -> DataFrame:
+        facts = self._facts_named(facts).drop("session_seq").withColumnRenamed(USER, self.rules.master_user)
+        first = [] if self.activity is None else [c for c in (TENANT, "session_id") if c in facts.columns]
+        facts = facts.select(*first, *[c for c in facts.columns if c not in first])
+        return self._master_typed(session_master(facts, zone=self.rules.zone))
+
+    def _master_typed(self, master: DataFrame) -> DataFrame:
+        master = shape.enforce_schema(master, CASTS)
+        return shape.add_ymd(master) if "year" in self.by else master
+
+    def _master_slots(self) -> DataFrame | None:
+        """Files per partition of the facts: every session has one block that opens it."""
+        if not self.cut or self.rules.master_user != "resolved_user_id":
+            return None
+        return self._slots(self.blocks.filter(F.col("block_first") == F.col("session_start")))
+
     def master(self) -> None:
         """Session facts with activity counts, from the staged blocks."""
         if not self.rules.build_master or self.blocks is None or self.sessions is None:
@@ -432,13 +509,21 @@ class _Job:
         name = self.rules.master_user
         try:
             if name == "resolved_user_id":
-                zone = self.rules.zone
-                facts = block_facts(self.blocks, self.keys, self.cut, self.rules.id_style, zone).withColumnRenamed(USER, name)
+                facts = block_facts(self.blocks, self.keys, self.cut, self.rules.id_style, self.rules.zone, named=False)
+                if self.activity is not None:  # a hashed id is a key of 32 bytes, and null for rows without a session
+                    key = F.unhex if self.rules.id_style == "hash" else lambda c: c
+                    found = self.activity.withColumn(_KEY, key(F.col("session_id"))).filter(F.col(_KEY).isNotNull())
+                    keyed = self._facts_named(facts).select(*facts.columns, key(F.col("session_id")).alias(_KEY))
+                    counts = activity_counts(found, [TENANT, _KEY])
+                    facts = keyed.join(counts, [TENANT, _KEY], "left").drop(_KEY)
+                rows, finish = facts, self._master_finished
             else:  # from the written rows, whose times are the wall clock
-                zone = None
                 facts = session_rollup(self.sessions, [TENANT, "session_id", "session_label", name, "date"])
-            final = shape.enforce_schema(session_master(facts, self.activity, [TENANT, "session_id"], zone), CASTS)
-            self._store(shape.add_ymd(final) if "year" in self.by else final, MASTER, self.session_ready)
+                rows = session_master(facts, self.activity, [TENANT, "session_id"])
+                finish = self._master_typed
+            if not self.dated and "year" in self.by:
+                rows = shape.add_ymd(rows)
+            self._store(rows, finish, MASTER, self.session_ready, slots=self._master_slots())
         except Exception as e:  # the other tables go on, and the audit names the missing facts
             log.exception("session master failed")
             for t in self.tenants:

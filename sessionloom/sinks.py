@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from sessionloom.operators.dedup import content_hash
 from sessionloom.operators.shape import add_ymd
 from sessionloom.operators.skew import fits_broadcast, salted_left_join
+from sessionloom.session import Staging
 
 #: Rows that are worth a file of their own in a bounded write.
 ROWS_PER_FILE = 1_000_000
@@ -44,6 +46,7 @@ def write_partitions(
     df: DataFrame, path: str, by: list[str] | tuple[str, ...], refresh: str = "touched", max_files: int | None = None,
     slots: DataFrame | None = None, pick_by: list[str] | None = None,
     seen: tuple[Observation, list[Column]] | None = None, only: Column | None = None, aside: tuple[str, ...] = (),
+    deal_by: list[str] | None = None, finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write Parquet partitioned by ``by``.
 
@@ -56,19 +59,25 @@ def write_partitions(
     ``partition_slots`` result that is known already (more rows than are written do no harm), else the rows are
     counted in a pass over the ``by`` columns. ``pick_by`` columns (a stored row number) deal
     the rows out, and are not written; without them rows that are equal share a slot.
+    ``finish`` is applied to the rows once they are dealt out, for row-local columns that need not be
+    shuffled; rows are dealt by ``deal_by`` then (``slots`` too), columns that tell the partitions apart.
     """
+    deal = list(deal_by or by)
     if refresh not in ("touched", "all"):
         raise ValueError(f"unknown refresh: {refresh}")
     if max_files is not None and max_files < 1:
         raise ValueError("max_files has to be 1 or more")
     if only is not None:
-        bare = [c for c in df.columns if c not in (*by, *aside, *(pick_by or []))]
+        bare = [c for c in df.columns if c not in (*by, *deal, *aside, *(pick_by or []))]
         df = df.withColumns({c: F.when(only, F.col(c)) for c in bare})
     if max_files:
-        slots = partition_slots(df, by, max_files) if slots is None else slots
-        dealt = with_slots(df, slots, by, pick_by).repartition(*by, _SLOT).drop(_SLOT)
+        if slots is None:  # staged, as it is asked for more than once
+            slots = Staging(df.sparkSession, "slots").put("slots", partition_slots(df, deal, max_files))
+        dealt = with_slots(df, slots, deal, pick_by).repartition(*deal, _SLOT).drop(_SLOT)
     else:
-        dealt = df.hint("rebalance", *[F.col(c) for c in by])
+        dealt = df.hint("rebalance", *[F.col(c) for c in deal])
+    if finish is not None:
+        dealt = finish(dealt)
     if seen is not None:
         dealt = dealt.observe(seen[0], *seen[1])
     if only is not None:
