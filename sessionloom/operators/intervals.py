@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sessionloom.functions.times import shift_seconds, whole_seconds
-from sessionloom.operators.skew import crowded_hashes, dealt_left_join, fits_broadcast, left_join, salted_left_join
+from sessionloom.operators.skew import SLOT, Deal, crowded_hashes, dealt_left_join, fits_broadcast, left_join, salted_left_join
 from sessionloom.session import Staging
 
 BUCKET, PART, PARTS = "_bucket", "_part", "_parts"
@@ -154,6 +154,7 @@ def interval_join(
     how: str = "left", pick: str = "all", grace: int = 0, bucket_seconds: int = 21_600,
     within: tuple[Column, Column] | None = None, salt_by: list[str] | None = None, small: bool = False,
     stage: Staging | None = None, entries: tuple[DataFrame, DataFrame | None] | None = None, hot: DataFrame | None = None,
+    deal: Deal | None = None,
 ) -> DataFrame:
     """Join events to the intervals of the same key with ``start - grace <= t <= end + grace``.
 
@@ -168,6 +169,7 @@ def interval_join(
     parted by time until a part holds about as many, down to single seconds; which buckets
     those are is counted when the join is made. ``entries`` is a ``latest_entries`` result for the same
     intervals; ``hot`` a ``crowded_events`` result, with which only crowded keys are salted.
+    With a ``deal`` the joined rows are dealt out by it; events have its columns then, and either ``hot`` is given or ``small`` holds.
     """
     if pick not in ("all", "latest") or how not in ("left", "inner"):
         raise ValueError(f"unsupported: pick={pick}, how={how}")
@@ -197,9 +199,12 @@ def interval_join(
         where = (F.col(t) >= F.col(_LO)) & (F.col(t) <= F.col(_HI))
 
     if small:
+        rows = rows if deal is None else deal.out(rows, [*on, BUCKET, *(salt_by or [t])]).drop(SLOT)
         joined = left_join(rows, F.broadcast(found), keys, where)
     elif hot is not None:
-        joined = dealt_left_join(rows, found, keys, salt_by or [t], hot, [*on, BUCKET], where)
+        if deal is not None:
+            found = deal.dated(found, F.col(BUCKET) * bucket_seconds, (F.col(BUCKET) + 1) * bucket_seconds - 1)
+        joined = dealt_left_join(rows, found, keys, salt_by or [t], hot, [*on, BUCKET], where, deal)
     else:
         joined = salted_left_join(rows, found, keys, salt_by or [t], where)
 

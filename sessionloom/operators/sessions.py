@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sessionloom.functions.times import local_time, shift_seconds, utc_time, whole_seconds
-from sessionloom.operators.skew import SALT, left_join, salt_marks, spread, with_salt
+from sessionloom.operators.skew import SALT, SLOT, Deal, left_join, salt_marks, spread, with_salt
 
 BLOCK = "_block"
 SLICE = "_slice"
@@ -134,9 +134,13 @@ def session_blocks(
 
 
 def attach_sessions(
-    df: DataFrame, blocks: DataFrame, keys: list[str], t: str, gap: int, salt_by: list[str] | None, small: bool = False
+    df: DataFrame, blocks: DataFrame, keys: list[str], t: str, gap: int, salt_by: list[str] | None, small: bool = False,
+    deal: Deal | None = None,
 ) -> DataFrame:
-    """Give every row the ``_seq``, ``_start`` and ``_end`` of its session; ``name_sessions`` makes its id of them."""
+    """Give every row the ``_seq``, ``_start`` and ``_end`` of its session; ``name_sessions`` makes its id of them.
+
+    With a ``deal`` the rows come dealt out by it; they have its columns then.
+    """
     found = spread(blocks).select(
         *keys, BLOCK, SALT,
         F.col("session_seq").alias("_seq"),
@@ -145,13 +149,21 @@ def attach_sessions(
     )
     rows = with_salt(_with_block(df, t, gap), salt_by or [t])
     # Not broadcast, the join sorts and can spill, or hashes if AQE finds all partitions small (``session.RUN_SETTINGS``).
-    joined = left_join(rows, found, [*keys, BLOCK, SALT], hint="broadcast" if small else None)
+    on = [*keys, BLOCK, SALT]
+    if deal is None:
+        joined = left_join(rows, found, on, hint="broadcast" if small else None)
+    elif small:
+        joined = left_join(deal.out(rows, on).drop(SLOT), found, on, hint="broadcast")
+    else:
+        if "date" not in keys:
+            found = deal.dated(found, F.col(BLOCK) * (gap + 1), (F.col(BLOCK) + 1) * (gap + 1) - 1)
+        joined = deal.left_join(rows, found, on, on)
     # Blocks come from the same rows, so only a null key or time may be without one.
     whole = reduce(and_, [F.col(c).isNotNull() for c in [*keys, BLOCK]])
     lost = F.col("_seq").isNull() & whole
     error = F.raise_error(F.lit("a row has no session block: blocks and rows differ"))
     checked = {c: F.when(lost, error).otherwise(F.col(c)) for c in ("_seq", "_start", "_end")}
-    return joined.withColumns(checked).drop(BLOCK, SALT)
+    return joined.withColumns(checked).select(*df.columns, "_seq", "_start", "_end")
 
 
 def session_sequence(

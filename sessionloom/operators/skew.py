@@ -9,8 +9,12 @@ No hot-key list, threshold or broadcast is involved.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sessionloom.functions.times import local_time
+
 SALTS = 64
 SALT = "_salt"
 _MASK, _LOW, _HIGH = "_salt_mask", "_salt_low", "_salt_high"
@@ -94,13 +98,43 @@ def crowded_hashes(big: DataFrame, on: list[str], rows_per_salt: int = ROWS_PER_
     return counts.select(_HASH, deal.alias(_DEAL)).filter(F.col(_DEAL) > 1)
 
 
+SLOT, SLOTS = "_slot", "_slots"
+
+
+@dataclass(frozen=True)
+class Deal:
+    """Rows are dealt out by ``by`` and a slot: ``slots`` (broadcast) says how many slots every ``by`` has. One of them is the local ``date``.
+
+    A join whose both sides are dealt out alike leaves its rows where they can be written, without another shuffle.
+    """
+
+    by: list[str]
+    slots: DataFrame
+    zone: str
+
+    def out(self, df: DataFrame, hashed: list[str]) -> DataFrame:
+        found = df.join(F.broadcast(self.slots), self.by, "left")
+        slot = F.pmod(F.xxhash64(*hashed), F.coalesce(SLOTS, F.lit(1))).cast("int")
+        return found.withColumn(SLOT, slot).drop(SLOTS).repartition(*self.by, SLOT)
+
+    def dated(self, df: DataFrame, first: Column, last: Column) -> DataFrame:
+        """``df`` once per local date that the epoch seconds ``first`` to ``last`` touch, a day at most."""
+        dates = [local_time(F.timestamp_seconds(s).cast("timestamp_ntz"), self.zone).cast("date") for s in (first, last)]
+        return df.withColumn("date", F.explode(F.array_distinct(F.array(*dates))))
+
+    def left_join(self, big: DataFrame, small: DataFrame, on: list[str], hashed: list[str], where: Column | None = None) -> DataFrame:
+        keys = [*on, *[c for c in [*self.by, SLOT] if c not in on]]
+        return left_join(self.out(big, hashed), self.out(small, hashed), keys, where).drop(SLOT)
+
+
 def dealt_left_join(
     big: DataFrame, small: DataFrame, on: list[str], by: list[str], crowded: DataFrame, hashed: list[str] | None = None,
-    where: Column | None = None,
+    where: Column | None = None, deal: Deal | None = None,
 ) -> DataFrame:
     """``salted_left_join`` that salts the keys in ``crowded`` hash buckets only, so the keys of ``big`` are not shuffled to look for hot ones.
 
     ``crowded`` is a ``crowded_hashes`` result for the ``hashed`` columns, which are all of ``on`` or some of them.
+    With a ``deal`` the joined rows are dealt out by it; ``small`` has its columns too then.
     """
     deals = F.broadcast(crowded)
 
@@ -111,6 +145,8 @@ def dealt_left_join(
     rows = dealt(big).withColumn(SALT, salt).drop(_HASH, _DEAL)
     salts = F.sequence(F.lit(0), F.coalesce(F.col(_DEAL), F.lit(1)) - 1)
     copies = dealt(small).withColumn(SALT, F.explode(salts)).drop(_HASH, _DEAL)
+    if deal is not None:
+        return deal.left_join(rows, copies, [*on, SALT], [*(hashed or on), SALT], where).drop(SALT)
     return left_join(rows, copies, [*on, SALT], where).drop(SALT)
 
 

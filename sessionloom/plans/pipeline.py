@@ -29,7 +29,7 @@ from sessionloom.operators.sessions import (
     attach_sessions, block_facts, name_sessions, row_duration, session_blocks, session_bounds, session_id_of, session_names,
     session_rollup,
 )
-from sessionloom.operators.skew import copies_made, fits_broadcast
+from sessionloom.operators.skew import SLOTS, Deal, copies_made, fits_broadcast
 from sessionloom.plans.audit import Audit
 from sessionloom.session import RUN_SETTINGS, Staging, settings
 from sessionloom.sources.reader import Unreadable, read_table, time_window
@@ -179,6 +179,7 @@ class _Job:
         self.dated = {"year", "month", "day"} == set(self.rules.partition_by)  # a date is a partition, and the only column to deal by
         self.deal = [TENANT, "date"] if self.dated else self.by
         self.preparing = threading.Lock()
+        self.deals: dict[str, Deal] = {}
         self.keys = [TENANT, USER]
         self.cut = "date" if self.rules.cut_by_day else None
 
@@ -193,9 +194,10 @@ class _Job:
         ready, stage = list(kept_counts), "CLEANSING"
         try:
             slots = self._slots(rows)
+            self._plan_deal(rows, spec)
             kept, repeats = self._unique(rows, spec)
             stage = "SESSION_BOUNDARY" if spec.is_session else "SESSION_ENRICHMENT"
-            rows = self._sessions(kept) if spec.is_session else self._enriched(kept, spec)
+            rows = self._sessions(kept, self.deals.get(spec.target)) if spec.is_session else self._enriched(kept, spec)
             stage = "WRITE"
             rows, final = self._narrow(rows), self._final(rows)
             counts, orphans = self._store(rows, self._final, spec.target, ready, spec.full_load, slots)
@@ -281,6 +283,21 @@ class _Job:
         dated = shape.add_ymd(dated) if "year" in self.by else dated
         return self.staging.put(f"slots-{uuid.uuid4().hex}", sinks.partition_slots(dated, self.deal, self.max_files))
 
+    def _plan_deal(self, rows: DataFrame, spec: TableSpec) -> None:
+        """Slots by which a table's rows are joined and written in one shuffle, unless a bound on the files leaves a slot too many rows."""
+        if self.deal != [TENANT, "date"]:
+            return
+        dated = rows.select(*self.deal)
+        if self.max_files:
+            wanted = sinks.partition_slots(dated, self.deal, 1 << 30)
+            wanted = self.staging.put(f"deal-{uuid.uuid4().hex}", wanted)
+            if not wanted.filter(F.col(SLOTS) > self.max_files).isEmpty():
+                return
+        else:
+            wanted = self.staging.put(f"deal-{uuid.uuid4().hex}", sinks.partition_slots(dated, self.deal, 1 << 30, sinks.ROWS_PER_TASK))
+        if fits_broadcast(wanted):
+            self.deals[spec.target] = Deal(self.deal, wanted, self.rules.zone)
+
     def _unique(self, kept: DataFrame, spec: TableSpec) -> tuple[DataFrame, dict[str, int]]:
         """Deduplicate by record id: the rows that stay or go are found on narrow columns, and their numbers staged.
 
@@ -308,7 +325,7 @@ class _Job:
 
     # -- sessions and enrichment ------------------------------------------
 
-    def _sessions(self, kept: DataFrame) -> DataFrame:
+    def _sessions(self, kept: DataFrame, deal: Deal | None = None) -> DataFrame:
         rules = self.rules
         by = [*self.keys, self.cut] if self.cut else self.keys
         end = "session_end_raw_utc" if "session_end_raw_utc" in kept.columns else None
@@ -323,7 +340,7 @@ class _Job:
         self.lookup_small = fits_broadcast(self.lookup, per_bucket, rules.broadcast_rows)
         self.session_tenants = [r[0] for r in self.lookup.select(TENANT).distinct().collect()]  # tenants only
         small = fits_broadcast(self.blocks, copies_made(), rules.broadcast_rows)
-        return attach_sessions(kept, self.blocks, by, TIME, rules.gap_seconds, [SPREAD], small)
+        return attach_sessions(kept, self.blocks, by, TIME, rules.gap_seconds, [SPREAD], small, deal)
 
     def _entries(self) -> tuple[DataFrame, DataFrame | None] | None:
         """The lookup as latest-start joins read it, worked out once for all tables."""
@@ -339,13 +356,14 @@ class _Job:
     def _enriched(self, kept: DataFrame, spec: TableSpec) -> DataFrame:
         """Sessions from the lookup; tenants without sessions keep their rows unassigned."""
         if spec.full_load or not self.session_tenants:
+            self.deals.pop(spec.target, None)
             return unassigned(kept)
         on = [TENANT, USER]
         hot = None if self.lookup_small else self.staging.put(f"{spec.target}-hot", crowded_events(kept, on, TIME))
         rows = interval_join(
             without_session(kept), self.lookup, {TENANT: TENANT, USER: "sess_user"}, TIME, "sess_start", "sess_end", [FOUND],
             pick=self.rules.pick, within=self.bounds, salt_by=[SPREAD], small=self.lookup_small, stage=self.staging,
-            entries=self._entries(), hot=hot,
+            entries=self._entries(), hot=hot, deal=self.deals.get(spec.target),
         )
         rows = rows.withColumn(JOINED, F.col(ENRICH) & F.col(TENANT).isin(self.session_tenants))
         if spec.needs_session and self.rules.quality:
@@ -440,21 +458,21 @@ class _Job:
     ) -> tuple[set[tuple], dict[str, int]]:
         """Write all tenants; the partitions that got rows, at most one per tenant and day, and the orphans per tenant."""
         if not self.layout.tenant_first:
-            return self._write_part(rows, finish, f"{self.target}/{name}", self.by, slots)
+            return self._write_part(rows, finish, f"{self.target}/{name}", self.by, slots, is_dealt=name in self.deals)
         if len(self.tenants) > 1:  # worked out once, then written tenant by tenant
             rows = self.staging.put(f"{name}-final", rows)
         touched, orphans = set(), {}
         for t in self.tenants:
             mine = None if slots is None else slots.filter(F.col(TENANT) == t.name).drop(TENANT)
             root = self.layout.root(self.target, name, t.name)
-            parts, lost = self._write_part(rows.filter(F.col(TENANT) == t.name).drop(TENANT), finish, root, self.by[1:], mine, t.name)
+            parts, lost = self._write_part(rows.filter(F.col(TENANT) == t.name).drop(TENANT), finish, root, self.by[1:], mine, t.name, name in self.deals and len(self.tenants) == 1)
             touched |= {(t.name, *p) for p in parts}
             orphans |= lost
         return touched, orphans
 
     def _write_part(
         self, rows: DataFrame, finish: Callable[[DataFrame], DataFrame], path: str, by: list[str], slots: DataFrame | None,
-        tenant: str | None = None,
+        tenant: str | None = None, is_dealt: bool = False,
     ) -> tuple[set[tuple], dict[str, int]]:
         """Write one dataset: of one ``tenant``, or of all as its first partition column."""
         orphan = F.col(ORPHAN) if ORPHAN in rows.columns else F.lit(False)
@@ -467,7 +485,7 @@ class _Job:
         sinks.write_partitions(
             rows, path, by, self.refresh, self.max_files, slots, [SPREAD] if self.max_files and SPREAD in rows.columns else None,
             (seen, metrics), ~orphan if with_orphans else None, (ORPHAN,) if with_orphans else (),
-            deal_by=[c for c in self.deal if c in rows.columns], finish=finish)
+            deal_by=[c for c in self.deal if c in rows.columns], finish=finish, is_dealt=is_dealt)
         found = seen.get
         return {tuple(p) for p in found["partitions"]}, {t: found[c] for c, t in of.items()}
 

@@ -21,9 +21,11 @@ def require_utc(spark: SparkSession) -> SparkSession:
 
 #: Settings under which a run plans its joins. A hash join takes the place of a sort-merge join
 #: where AQE has measured that every partition of the hashed side is small; a larger one is sorted, and can spill.
+#: A join keeps both sides as ``skew.Deal`` has dealt them out, though it has more keys than those.
 #: Staged and target tables are written as Zstandard: hexadecimal ids take half the bytes.
 RUN_SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }

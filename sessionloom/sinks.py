@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from sessionloom.operators.dedup import content_hash
 from sessionloom.operators.shape import add_ymd
-from sessionloom.operators.skew import fits_broadcast, salted_left_join
+from sessionloom.operators.skew import SLOT, SLOTS, fits_broadcast, salted_left_join
 from sessionloom.session import Staging
 
 #: Rows that are worth a file of their own in a bounded write.
 ROWS_PER_FILE = 1_000_000
-_SLOT, _SLOTS, _PICK = "_slot", "_slots", "_pick"
+#: Rows that one task joins and writes where files are not bounded.
+ROWS_PER_TASK = 250_000
+_SLOT, _SLOTS, _PICK = SLOT, SLOTS, "_pick"
 
 
 def partition_slots(rows: DataFrame, by: list[str] | tuple[str, ...], max_files: int, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
@@ -47,6 +49,7 @@ def write_partitions(
     slots: DataFrame | None = None, pick_by: list[str] | None = None,
     seen: tuple[Observation, list[Column]] | None = None, only: Column | None = None, aside: tuple[str, ...] = (),
     deal_by: list[str] | None = None, finish: Callable[[DataFrame], DataFrame] | None = None,
+    is_dealt: bool = False,
 ) -> None:
     """Write Parquet partitioned by ``by``.
 
@@ -61,6 +64,7 @@ def write_partitions(
     the rows out, and are not written; without them rows that are equal share a slot.
     ``finish`` is applied to the rows once they are dealt out, for row-local columns that need not be
     shuffled; rows are dealt by ``deal_by`` then (``slots`` too), columns that tell the partitions apart.
+    ``is_dealt`` rows come from a join by ``skew.Deal`` and are not shuffled again; its slots bound the files.
     """
     deal = list(deal_by or by)
     if refresh not in ("touched", "all"):
@@ -70,7 +74,9 @@ def write_partitions(
     if only is not None:
         bare = [c for c in df.columns if c not in (*by, *deal, *aside, *(pick_by or []))]
         df = df.withColumns({c: F.when(only, F.col(c)) for c in bare})
-    if max_files:
+    if is_dealt:
+        dealt = df
+    elif max_files:
         if slots is None:  # staged, as it is asked for more than once
             slots = Staging(df.sparkSession, "slots").put("slots", partition_slots(df, deal, max_files))
         dealt = with_slots(df, slots, deal, pick_by).repartition(*deal, _SLOT).drop(_SLOT)

@@ -205,3 +205,33 @@ def test_nested_intervals_do_not_crowd_one_array(spark):
                                 ["user"]), 21_600, (F.lit(0), F.lit(10 ** 6))), ["user"], 21_600, I.CROWD, I.Staging(spark, "t"))
     longest = entries[0].groupBy("user", I.BUCKET, I.PART).count().agg(F.max("count")).first()[0]
     assert entries[1].count() > 5 and longest <= 2 * I.CROWD
+
+
+def test_dealt_joins_keep_every_match_and_shuffle_rows_once(spark):
+    """A hot user among many: the same matches as the salted join, and no shuffle but that by date and slot."""
+    from sessionloom.operators import skew
+    from sessionloom.session import RUN_SETTINGS, settings
+
+    spans = spark.range(300).select(
+        F.concat(F.lit("s"), "id").alias("sid"), F.concat(F.lit("u"), F.col("id") % 40).alias("who"),
+        F.timestamp_seconds(F.lit(1_704_844_800) + F.col("id") * 977).cast("timestamp_ntz").alias("lo"),
+        F.timestamp_seconds(F.lit(1_704_844_800) + F.col("id") * 977 + 9000).cast("timestamp_ntz").alias("hi")).localCheckpoint()
+    user = F.when(F.col("id") % 3 == 0, F.lit("u7")).when(F.col("id") % 50 != 1, F.concat(F.lit("u"), F.col("id") % 60))
+    events = spark.range(6000).select(
+        F.col("id").cast("string").alias("id"), user.alias("user"),
+        F.timestamp_seconds(F.lit(1_704_844_800) + F.col("id") * 50).cast("timestamp_ntz").alias("t"))
+    zone = "Asia/Kolkata"
+    events = events.withColumn("date", F.from_utc_timestamp(F.col("t").cast("timestamp"), zone).cast("date")).localCheckpoint()
+    slots = events.groupBy("date").agg(F.lit(3).alias(skew.SLOTS)).localCheckpoint()
+    hot = skew.crowded_hashes(events.withColumn(I.BUCKET, I._bucket_of(F.col("t"), 21_600)), ["user", I.BUCKET], 20).localCheckpoint()
+    assert 0 < hot.count() < 400 and hot.agg(F.max("_deal")).first()[0] > 1
+    deal = skew.Deal(["date"], slots, zone)
+    with settings(spark, {**RUN_SETTINGS, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for pick in ("latest", "all"):
+            plain = join(events, spans, pick=pick, salt_by=["id"])
+            dealt = join(events, spans, pick=pick, salt_by=["id"], hot=hot, deal=deal)
+            assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+            plan = dealt._jdf.queryExecution().executedPlan().toString()
+            wide = {line.split("hashpartitioning")[1].split(", [plan_id")[0] for line in plan.splitlines()
+                    if "Exchange hashpartitioning" in line and "_slot" in line}
+            assert len(wide) == 2 and all("date" in keys and "user" not in keys for keys in wide)

@@ -542,3 +542,27 @@ def test_bounded_files_of_a_run(spark, folder, source, splitting):
     for table in ("user_sessions_v2", "activity_logs_v2", "session_master"):
         assert len(files_of(f"{folder}/out/{table}", "tenant=north", "year=2024", "month=01", "day=10")) == 1
         assert "_spread" not in result.tables[table].columns
+
+
+@pytest.mark.parametrize("max_files", [None, 2])
+def test_ids_are_made_where_rows_are_written(spark, folder, source, monkeypatch, max_files):
+    """No table's shuffled rows hold a session id, and the lookup is worked out once for all tables."""
+    shuffled, staged, plain, put = {}, [], sinks.write_partitions, Staging.put
+
+    def spy(df, path, *args, **kw):
+        shuffled[path.rsplit("/", 1)[-1]] = (df.columns, kw.get("is_dealt"))
+        plain(df, path, *args, **kw)
+
+    def noted(self, name, df):
+        staged.append(name.split("-")[0])
+        return put(self, name, df)
+
+    monkeypatch.setattr(sinks, "write_partitions", spy)
+    monkeypatch.setattr(Staging, "put", noted)
+    result = run(spark, source, TENANTS, folder + f"/ids{max_files}", DAY, specs=SPECS, rules=Rules.daily(broadcast_rows=0), max_files=max_files)
+    assert {"user_sessions_v2", "activity_logs_v2", "session_master"} <= set(shuffled)
+    for name, (columns, dealt) in shuffled.items():
+        assert "session_id" not in columns and "session_label" not in columns
+        assert bool(dealt) == (name != "session_master")
+        assert "session_id" in result.tables[name].columns
+    assert staged.count("entries") == staged.count("crowded") == 1

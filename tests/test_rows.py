@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from sessionloom.config import CASTS, RENAMES, Rules
 from sessionloom.functions.identity import BOT_WORDS, bot_pattern, is_bot
@@ -231,3 +231,17 @@ def test_duration_keeps_fractions(spark):
 def test_rules_modes():
     assert Rules.daily().cut_by_day and not Rules.sequence().cut_by_day
     assert Rules.sequence(gap_seconds=5).gap_seconds == 5
+
+
+def test_survivors_by_bitmap_are_those_of_a_window(spark):
+    """Many ids twice or more, some null: the first by time, content and number stays, and no row is shuffled to drop the rest."""
+    rows = spark.range(0, 40_000, 1, 3).select(
+        F.when(F.col("id") % 11 != 0, F.col("id") % 9000).cast("string").alias("key"), F.lit("n").alias("tenant"), (F.col("id") % 7).alias("t"),
+        (F.col("id") % 5).alias("content"), F.monotonically_increasing_id().alias("row")).localCheckpoint()
+    bits = D.first_bits(rows, "key", ["t", "content"], ["tenant"], "row").localCheckpoint()
+    kept = D.keep_first(rows, "key", ["tenant"], "row", bits)
+    ordered = Window.partitionBy("key").orderBy("t", "content", "row")
+    first = rows.filter("key is not null").withColumn("rank", F.row_number().over(ordered)).filter("rank = 1").select("row")
+    expected = {r[0] for r in first.collect()} | {r[0] for r in rows.filter("key is null").select("row").collect()}
+    assert {r["row"] for r in kept.collect()} == expected and kept.count() == len(expected)
+    assert kept.columns == rows.columns and "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
