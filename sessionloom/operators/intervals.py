@@ -76,24 +76,44 @@ def part_of(t: Column, width: int) -> Column:
     return F.floor((whole_seconds(t) - F.col(BUCKET) * width) * F.col(PARTS) / width).cast("int")
 
 
+def _entries_of(intervals: DataFrame, keys: list[str]) -> DataFrame:
+    """An array of intervals per ``keys``, the latest start first."""
+    return intervals.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(_LO, _HI, "_payload")), asc=False).alias("_entries"))
+
+
+def _placed(found: DataFrame, on: list[str], width: int, crowd: int, stage: Staging) -> tuple[DataFrame, DataFrame]:
+    """The visible intervals of a bucket in arrays of ``crowd`` at most, with their number ``_held``; and ``on, _bucket, _parts`` of the buckets with more.
+
+    Intervals are shuffled by their key, once: what hides them, their number and the arrays all go by it. Both are staged.
+    """
+    inside = Window.partitionBy(*on, BUCKET)
+    place = F.row_number().over(inside.orderBy(F.desc(_LO), F.desc(_HI), F.desc("_payload")))
+    seen = _visible(found, on, width).withColumns({"_chunk": F.floor((place - 1) / crowd), "_held": F.count(F.lit(1)).over(inside)})
+    placed = stage.put(f"entries-{uuid.uuid4().hex}", _entries_of(seen, [*on, BUCKET, "_chunk", "_held"]).drop("_chunk"))
+    parts = F.least(F.lit(width), F.ceil(F.col("_held") * 2 / crowd)).cast("int")
+    held = placed.filter(F.col("_held") > crowd).select(*on, BUCKET, parts.alias(PARTS)).distinct()
+    return placed, stage.put(f"crowded-{uuid.uuid4().hex}", held)
+
+
 def _parted(found: DataFrame, on: list[str], width: int, crowd: int, stage: Staging) -> tuple[DataFrame, DataFrame | None]:
-    """The visible intervals by bucket and part; and ``on, _bucket, _parts`` of the buckets with several parts, None without any.
+    """The visible intervals by bucket and part; and ``on, _bucket, _parts`` of the buckets with several parts, None without any."""
+    placed, crowded = _placed(found, on, width, crowd, stage)
+    one = placed.filter(F.col("_held") <= crowd).select(*on, BUCKET, F.lit(0).alias(PART), F.inline("_entries"))
+    return (one, None) if crowded.isEmpty() else (one.unionByName(_in_parts(placed, crowded, on, width, crowd)), crowded)
 
-    Crowded buckets are counted here and now, on the intervals alone, and staged. In such a
+
+def _in_parts(placed: DataFrame, crowded: DataFrame, on: list[str], width: int, crowd: int) -> DataFrame:
+    """The intervals of ``crowded`` buckets by part.
+
+    Crowded buckets were counted on the intervals alone, and staged. In such a
     bucket an interval is listed under the parts that it starts and ends in. Of those that
     cover a part from end to end only the latest start matters: a cover is kept as the
     latest start per power-of-two run of parts, and every part looks at the runs around it.
     So an interval has some rows per doubling of the parts, not one per part.
     """
-    seen = _visible(found, on, width)
-    held = seen.groupBy(*on, BUCKET).agg(F.count(F.lit(1)).alias("_held")).filter(F.col("_held") > crowd)
-    parts = F.least(F.lit(width), F.ceil(F.col("_held") * 2 / crowd)).cast("int")
-    crowded = stage.put(f"crowded-{uuid.uuid4().hex}", held.select(*on, BUCKET, parts.alias(PARTS)))
-    if crowded.isEmpty():
-        return seen.withColumn(PART, F.lit(0)), None
     columns = [*on, BUCKET, PART, _LO, _HI, "_payload"]
+    seen = placed.filter(F.col("_held") > crowd).select(*on, BUCKET, F.inline("_entries"))
     seen = salted_left_join(seen, crowded, [*on, BUCKET], [_LO, _HI])
-    rest = seen.filter(F.col(PARTS).isNull()).withColumn(PART, F.lit(0)).select(*columns)
     first, last = F.greatest(part_of(F.col(_LO), width), F.lit(-1)), F.least(part_of(F.col(_HI), width), F.col(PARTS))
     ranged = seen.filter(F.col(PARTS).isNotNull()).withColumns({"_first": first, "_last": last}).filter("_first <= _last")
     ends = F.array_distinct(F.filter(F.array("_first", "_last"), lambda p: (p >= 0) & (p < F.col(PARTS))))
@@ -112,7 +132,7 @@ def _parted(found: DataFrame, on: list[str], width: int, crowd: int, stage: Stag
         "_level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumn("_at", F.expr(f"shiftright({PART}, _level)"))
     best = around.join(tops, [*on, BUCKET, "_level", "_at"]).groupBy(*on, BUCKET, PART).agg(F.max("_top").alias("_top"))
     best = best.select(*on, BUCKET, PART, f"_top.{_LO}", f"_top.{_HI}", "_top._payload")
-    return rest.unionByName(own).unionByName(best), crowded
+    return own.unionByName(best)
 
 
 def _bucket_of(c: Column, width: int) -> Column:
@@ -125,14 +145,18 @@ def latest_entries(
 ) -> tuple[DataFrame, DataFrame | None]:
     """The intervals as a latest-start join reads them: an array per key, bucket and part, and the parted buckets.
 
-    Staged, they serve any number of ``interval_join`` calls over the same intervals, keys and bounds.
+    They are staged and serve any number of ``interval_join`` calls over the same intervals, keys and bounds.
+    Only the intervals of crowded buckets are shuffled again, to be parted.
     """
     found = _clipped(_by_key(intervals, on, start, end, payload, grace), list(on))
     found = _by_bucket(found, bucket_seconds, tuple(_bucket_of(c, bucket_seconds) for c in within))
-    found, crowded = _parted(found, list(on), bucket_seconds, CROWD, stage)
-    keys = [*on, BUCKET] if crowded is None else [*on, BUCKET, PART]
-    entry = F.struct(_LO, _HI, "_payload")
-    return found.groupBy(*keys).agg(F.sort_array(F.collect_list(entry), asc=False).alias("_entries")), crowded
+    placed, crowded = _placed(found, list(on), bucket_seconds, CROWD, stage)
+    if crowded.isEmpty():
+        return placed.drop("_held"), None
+    parted = _entries_of(_in_parts(placed, crowded, list(on), bucket_seconds, CROWD), [*on, BUCKET, PART])
+    parted = stage.put(f"parted-{uuid.uuid4().hex}", parted)
+    one = placed.filter(F.col("_held") <= CROWD).withColumn(PART, F.lit(0)).drop("_held")
+    return one.unionByName(parted), crowded
 
 
 def _by_key(intervals: DataFrame, on: dict[str, str], start: str, end: str, payload: list[str], grace: int) -> DataFrame:

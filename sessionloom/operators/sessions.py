@@ -105,7 +105,8 @@ def session_blocks(
     """One row per key and non-empty block, with the session it belongs to.
 
     Adds ``session_seq`` (1, 2, … within the key), ``session_start`` and ``session_end``:
-    the latest event or, if later, the latest ``raw_end`` of the session.
+    the latest event or, if later, the latest ``raw_end`` of the session; and its latest event and
+    number of rows, ``session_last`` and ``session_rows``, so that its facts need no further shuffle.
     """
     end = F.max(raw_end) if raw_end else F.lit(None).cast("timestamp_ntz")
     blocks = (
@@ -128,7 +129,9 @@ def session_blocks(
         .withColumn("_opens", opens)
         .withColumn("session_seq", F.sum("_opens").over(ordered))
         .withColumn("session_start", F.max(F.when(F.col("_opens") == 1, F.col("block_first"))).over(ordered))
-        .withColumn("session_end", F.greatest(F.max("block_last").over(whole), F.max("block_end").over(whole)))
+        .withColumn("session_last", F.max("block_last").over(whole))
+        .withColumn("session_end", F.greatest("session_last", F.max("block_end").over(whole)))
+        .withColumn("session_rows", F.sum("block_rows").over(whole))
         .drop("_prev", "_opens")
     )
 
@@ -227,15 +230,18 @@ def block_facts(
 ) -> DataFrame:
     """One row per session straight from its blocks; the rows are not read again.
 
+    The block that opens a session has all of its facts, so blocks read from a staged table are not shuffled.
     With a ``zone`` the blocks' times are UTC and stay so, and ids show the wall clock of the zone.
     Not ``named``, a session has its ``session_seq`` and no id yet.
     """
     by = [*keys, cut_by] if cut_by else list(keys)
-    facts = blocks.groupBy(*by, "session_seq").agg(
-        F.min("block_first").alias("session_start_ts"),
-        F.max("block_last").alias("session_last_ts"),
-        F.max(F.greatest("block_last", "block_end")).alias("session_end_ts"),
-        F.sum("block_rows").alias("event_count"),
+    opening = blocks.filter(F.col("block_first").eqNullSafe(F.col("session_start")))
+    facts = opening.select(
+        *by, "session_seq",
+        F.col("session_start").alias("session_start_ts"),
+        F.col("session_last").alias("session_last_ts"),
+        F.col("session_end").alias("session_end_ts"),
+        F.col("session_rows").alias("event_count"),
     )
     if not named:
         return facts

@@ -40,6 +40,7 @@ TENANT = "tenant"
 USER = "_user"
 ENRICH = "_enrich"
 SPREAD = "_spread"
+RESOLVED = "resolved_user_id"
 CONTENT = "_content"
 ORPHAN = "_orphan"
 #: What a row carries of its session through the shuffles: its start or number. Ids are made of it where rows are written.
@@ -180,6 +181,7 @@ class _Job:
         self.deal = [TENANT, "date"] if self.dated else self.by
         self.preparing = threading.Lock()
         self.deals: dict[str, Deal] = {}
+        self.plain: dict[str, set[str]] = {}
         self.keys = [TENANT, USER]
         self.cut = "date" if self.rules.cut_by_day else None
 
@@ -199,8 +201,13 @@ class _Job:
             stage = "SESSION_BOUNDARY" if spec.is_session else "SESSION_ENRICHMENT"
             rows = self._sessions(kept, self.deals.get(spec.target)) if spec.is_session else self._enriched(kept, spec)
             stage = "WRITE"
-            rows, final = self._narrow(rows), self._final(rows)
-            counts, orphans = self._store(rows, self._final, spec.target, ready, spec.full_load, slots)
+            whole, final = rows.columns, self._final(rows)
+            derived = self._derived(rows, spec)
+
+            def finish(df: DataFrame) -> DataFrame:
+                return self._final(self._restored(df, derived, whole))
+
+            counts, orphans = self._store(self._narrow(rows.drop(*derived)), finish, spec.target, ready, spec.full_load, slots)
         except Exception as e:  # a failing table must not stop the run
             for name in ready:
                 self.audit.fail(name, spec.target, stage, e)
@@ -242,6 +249,9 @@ class _Job:
                 self.audit.fail(t.name, spec.target, "CLEANSING", e)
         if not frames:
             return None, {}
+        self.plain[spec.target] = {
+            c for c in EXTRA_TIMES if all(c in df.columns or not {f"{c}_utc", f"{c}_local"} & set(df.columns) for df in frames.values())
+        } | ({RESOLVED} if self.rules.resolve_users and all({"user_id", spec.user_col} <= set(df.columns) for df in frames.values()) else set())
         try:
             return self._put(f"{spec.target}-kept", frames, spec)
         except Exception:  # one of the scans failed; find the tenants that can be read
@@ -267,7 +277,9 @@ class _Job:
             # Written to the staged table and read from there on, so every later use sees the same number.
             numbered = kept.withColumns({CONTENT: copies.content_hash(kept), SPREAD: F.monotonically_increasing_id()})
             rows.append(numbered.withColumn(TENANT, F.lit(tenant)))
-        staged = self.staging.put(name, shape.fix_void(shape.union_tenants(rows)))
+        whole = shape.fix_void(shape.union_tenants(rows))
+        derived = self._derived(whole, spec)
+        staged = self._restored(self.staging.put(name, whole.drop(*derived)), derived, whole.columns)
         counts = {}
         for tenant, metrics in seen.items():
             counters = dict(metrics.get)
@@ -275,6 +287,27 @@ class _Job:
             self.audit.count(tenant, spec.target, **counters)
         return staged, counts
 
+    def _derived(self, df: DataFrame, spec: TableSpec) -> dict[str, Column]:
+        """Columns that other columns of their row give back exactly, and how: they are neither staged nor shuffled."""
+        kinds, zone = {f.name: f.dataType for f in df.schema.fields}, self.rules.zone
+        out = {"event_timestamp_local": local_time(F.col(TIME), zone)}
+        for c in self.plain[spec.target] - {RESOLVED}:
+            if f"{c}_utc" not in kinds:
+                continue
+            own = c == self.renames.get(spec.time_col, spec.time_col)
+            utc = F.col(TIME if own else f"{c}_utc")
+            out |= {f"{c}_utc": utc} if own else {}
+            out[f"{c}_local"] = local_time(utc, zone)
+            if isinstance(kinds[c], (T.TimestampType, T.TimestampNTZType)) and not (own and spec.time_encoding != "time"):
+                out[c] = utc.cast(kinds[c])
+        return out | ({RESOLVED: F.col(USER)} if RESOLVED in self.plain[spec.target] else {})
+
+    @staticmethod
+    def _restored(df: DataFrame, derived: dict[str, Column], whole: list[str]) -> DataFrame:
+        """``df`` with its ``derived`` columns, those of ``whole`` in their order there."""
+        df = df.withColumns(derived)
+        return df.select(*[c for c in whole if c in df.columns], *[c for c in df.columns if c not in whole])
+
     def _slots(self, rows: DataFrame) -> DataFrame | None:
         """Files per target partition, from the staged rows; some of those are not written, which does no harm."""
         if not self.max_files:
@@ -330,7 +363,7 @@ class _Job:
         by = [*self.keys, self.cut] if self.cut else self.keys
         end = "session_end_raw_utc" if "session_end_raw_utc" in kept.columns else None
         blocks = session_blocks(kept, by, TIME, rules.gap_seconds, end, [SPREAD])
-        self.blocks = self.staging.put("blocks", blocks)
+        self.blocks = self.staging.put("blocks", blocks.drop("block_last", "block_end", "block_rows"))  # the session's own are staged
         facts = block_facts(self.blocks, self.keys, self.cut, rules.id_style, rules.zone, named=False)
         facts = facts.withColumn(FOUND, F.col("session_start_ts" if rules.id_style == "hash" else "session_seq"))
         grace = None if rules.tail_seconds is not None else rules.grace_seconds
@@ -348,9 +381,8 @@ class _Job:
             return None
         with self.preparing:
             if self.entries is None:
-                found, crowded = latest_entries(
+                self.entries = latest_entries(
                     self.lookup, {TENANT: TENANT, USER: "sess_user"}, "sess_start", "sess_end", [FOUND], self.bounds, self.staging)
-                self.entries = self.staging.put("entries", found), crowded
         return self.entries
 
     def _enriched(self, kept: DataFrame, spec: TableSpec) -> DataFrame:
@@ -528,6 +560,7 @@ class _Job:
         try:
             if name == "resolved_user_id":
                 facts = block_facts(self.blocks, self.keys, self.cut, self.rules.id_style, self.rules.zone, named=False)
+                facts = facts.drop("session_last_ts", *(["session_seq"] if self.rules.id_style == "hash" else []))
                 if self.activity is not None:  # a hashed id is a key of 32 bytes, and null for rows without a session
                     key = F.unhex if self.rules.id_style == "hash" else lambda c: c
                     found = self.activity.withColumn(_KEY, key(F.col("session_id"))).filter(F.col(_KEY).isNotNull())

@@ -188,6 +188,26 @@ def test_latest_in_parted_buckets(spark, crowd, small, monkeypatch):
         assert (got[i]["lo"] if hit else got[i]["sid"]) == (hit[0] if hit else None)
 
 
+@pytest.mark.parametrize("crowd", [1, 64])
+def test_intervals_are_shuffled_once_for_their_arrays(spark, crowd, monkeypatch):
+    """Crowded buckets are counted on the staged arrays, and an array holds no more than a crowd."""
+    monkeypatch.setattr(I, "CROWD", crowd)
+    plans, put = {}, I.Staging.put
+
+    def noted(self, name, df):
+        plans[name.split("-")[0]] = df._jdf.queryExecution().executedPlan().toString()
+        out = put(self, name, df)
+        if name.startswith("entries"):
+            assert out.agg(F.max(F.size("_entries"))).first()[0] <= crowd
+        return out
+
+    monkeypatch.setattr(I.Staging, "put", noted)
+    _, _, e, s = inputs(spark, 11)
+    join(e, s, pick="latest").collect()
+    assert plans["entries"].count("Exchange hashpartitioning") == 1
+    assert "Window" not in plans["crowded"] and ("parted" in plans) == (crowd == 1)
+
+
 def test_nested_intervals_do_not_crowd_one_array(spark):
     """100,000 intervals of one user, each inside the one before: no array grows with their number."""
     n = 100_000

@@ -472,6 +472,38 @@ def test_only_kept_rows_are_staged_and_counters_stay(spark, folder, source, monk
     assert audit["south", "user_sessions_v2"]["rows_read_raw"] == 1
 
 
+@pytest.mark.parametrize("texts", [False, True])
+def test_derived_columns_are_neither_staged_nor_shuffled(spark, folder, source, monkeypatch, texts):
+    """Times and users that a row's other columns give back are made where rows are used; a raw text time is kept."""
+    if texts:
+        raw = f"{folder}/raw/n_activity_logs_v2"
+        rows = spark.read.parquet(*[source.location.format(prefix="n", suffix="activity_logs_v2")])
+        rows.withColumn("createdAt", F.col("createdAt").cast("string")).write.parquet(raw + "-text")
+        plain_read = pipeline.read_table
+        monkeypatch.setattr(pipeline, "read_table", lambda s, src, t, spec: s.read.parquet(raw + "-text")
+                            if (t.prefix, spec.suffix) == ("n", "activity_logs_v2") else plain_read(s, src, t, spec))
+    staged, shuffled, put, plain = {}, {}, Staging.put, sinks.write_partitions
+
+    def noted(self, name, df):
+        staged[name] = df.columns
+        return put(self, name, df)
+
+    def spy(df, path, *args, **kw):
+        shuffled[path.rsplit("/", 1)[-1]] = df.columns
+        plain(df, path, *args, **kw)
+
+    monkeypatch.setattr(Staging, "put", noted)
+    monkeypatch.setattr(sinks, "write_partitions", spy)
+    result = run(spark, source, TENANTS[:1], folder + f"/lean{texts}", DAY, specs=CORE)
+    derived = {"event_timestamp_local", "created_at_utc", "created_at_local", "resolved_user_id"}
+    for columns in (staged["activity_logs_v2-kept"], shuffled["activity_logs_v2"]):
+        assert not derived & set(columns) and ("created_at" in columns) == texts
+    assert not derived & set(shuffled["user_sessions_v2"])
+    rows = result.tables["activity_logs_v2"]
+    assert {"resolved_user_id", "event_timestamp", "created_at"} <= set(rows.columns) and rows.count()
+    assert rows.filter("created_at <> event_timestamp or created_at is null or resolved_user_id is null or to_date(event_timestamp) <> date").isEmpty()
+
+
 def test_runs_of_two_tenants_at_the_same_time(spark, folder, source):
     """Each tenant has datasets of its own: both runs complete, and a later run of one leaves the other as it is."""
     out, layout = folder + "/out", Layout(tenant_first=True)

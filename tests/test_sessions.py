@@ -272,6 +272,19 @@ def test_facts_add_no_exchange_to_the_blocks(spark):
     assert executed(S.block_facts(blocks, ["user"])).count("Exchange hashpartitioning") == count == 2
 
 
+def test_facts_of_staged_blocks_are_not_shuffled(spark):
+    df = frame(spark, random_rows(200)).unionByName(frame(spark, [("n0", None, at(1)), ("n1", None, at(2)), ("n2", None, at(300))]))
+    blocks = S.session_blocks(df, ["user", "date"], "t").localCheckpoint()
+    facts = S.block_facts(blocks, ["user"])
+    assert "Exchange" not in facts._jdf.queryExecution().executedPlan().toString()
+    plain = blocks.groupBy("user", "date", "session_seq").agg(
+        F.min("block_first"), F.max("block_last"), F.max(F.greatest("block_last", "block_end")), F.sum("block_rows"))
+    told = facts.join(S.block_facts(blocks, ["user"], named=False).select("session_seq", F.col("session_start_ts").alias("s"), F.col("user").alias("u")),
+                      F.col("user").eqNullSafe(F.col("u")) & (F.col("s") == F.col("session_start_ts")))
+    got = told.select("user", "date", "session_seq", "session_start_ts", "session_last_ts", "session_end_ts", "event_count")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, plain.collect())))
+
+
 def test_null_keys_are_a_group_of_their_own(spark):
     base = dt.datetime(2024, 1, 10)
     rows = [(None, base), (None, base + dt.timedelta(seconds=30)), ("a", base + dt.timedelta(seconds=40)), (None, base + dt.timedelta(hours=2))]
