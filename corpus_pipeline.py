@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and reads all that the stage before it kept; the
 result is written as Parquet and read again for the next one. All but the last return the
-columns of ``documents``.
+columns of ``documents``. A stage that gives texts to Python stages its result, so that the small
+batches of ``Staging.put`` hold whoever evaluates it.
 
 1. ``language``    rows whose language the identifier rejects go
 2. ``exact_dedup`` of texts equal but for the case of A-Z, the row with the largest doc_id stays
@@ -20,13 +21,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sessionloom.llm import bpe, dedup_exact, language, mixing, near_dedup
-from sessionloom.llm.common import WORD, free_names, whole_text
+from sessionloom.llm.common import WORD, whole_text
 from sessionloom.llm.queries import BYTE_BPE
 from sessionloom.session import Staging
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.accepted(docs, language.learned(docs))
+    return Staging(spark, "pipeline-language").put("accepted", language.accepted(docs, language.learned(docs)))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    (ids,) = free_names(docs, "ids")
-    made = bpe.encode(docs, BYTE_BPE, ids=ids)
-    return made.select("doc_id", "source", F.expr(f"octet_length({ids}) div 4").alias("n_tokens"), F.col(ids).alias("ids"))
+    made = bpe.encode(docs.select("doc_id", "source", "text"), BYTE_BPE, keep=False)
+    return Staging(spark, "pipeline-encode").put(
+        "encoded", made.select("doc_id", "source", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids"))
 
 
 STAGES = [

@@ -185,10 +185,12 @@ def tokenizer_file(df: DataFrame, path: str) -> Broadcast:
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None,
+           keep: bool = True) -> DataFrame:
     """Add ``ids`` (binary: little-endian unsigned 32-bit integers) of every text.
 
     With ``decoded``, the ids are decoded again in the same pass and that text is added too.
+    Without ``keep`` the texts themselves do not come back from Python.
     """
     if free_names(df, ids, decoded or ids + "_decoded") != [ids, decoded or ids + "_decoded"]:
         raise ValueError(f"{ids} or {decoded} is a column already")
@@ -204,7 +206,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
 
         return work
 
-    return map_text(df, fields, make, text)
+    return map_text(df, fields, make, text, keep=keep)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

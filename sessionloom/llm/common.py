@@ -57,16 +57,19 @@ def map_text(
     make: Callable[[], Callable[[list[str]], list[list]]],
     text: str = "text",
     slice_rows: int = 256,
+    keep: bool = True,
 ) -> DataFrame:
     """Append columns computed in Python from whole texts, in Arrow batches and without a shuffle.
 
     ``make`` runs once per task and returns a function from texts (null: empty) to one list of
     values per field. A batch is worked off in slices, so that a task never holds the results
-    of more than ``slice_rows`` texts.
+    of more than ``slice_rows`` texts. Without ``keep`` the texts themselves do not come back.
     """
-    at, names = df.columns.index(text), [*df.columns, *(f.name for f in fields)]
-    plain = [f"c{i}" for i in range(len(names))]  # mapInArrow cannot take names with dots
-    held = [T.StructField(n, f.dataType) for n, f in zip(plain, [*df.schema.fields, *fields])]
+    at = df.columns.index(text)
+    back = [i for i in range(len(df.columns)) if keep or i != at]
+    made_of = [*(df.schema.fields[i] for i in back), *fields]
+    plain = [f"c{i}" for i in range(len(df.columns) + len(fields))]  # mapInArrow cannot take names with dots
+    held = [T.StructField(n, f.dataType) for n, f in zip(plain, made_of)]
     types = [_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,10 +78,10 @@ def map_text(
             for start in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(start, slice_rows)
                 made = work([t or "" for t in part.column(at).to_pylist()])
-                columns = [*part.columns, *(pa.array(v, type=t) for v, t in zip(made, types))]
-                yield pa.RecordBatch.from_arrays(columns, names=plain)
+                columns = [*(part.column(i) for i in back), *(pa.array(v, type=t) for v, t in zip(made, types))]
+                yield pa.RecordBatch.from_arrays(columns, names=plain[: len(columns)])
 
-    return df.toDF(*plain[: len(df.columns)]).mapInArrow(run, T.StructType(held)).toDF(*names)
+    return df.toDF(*plain[: len(df.columns)]).mapInArrow(run, T.StructType(held)).toDF(*(f.name for f in made_of))
 
 
 def _arrow_type(t: T.DataType) -> pa.DataType:

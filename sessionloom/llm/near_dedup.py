@@ -145,7 +145,7 @@ def sketches(docs: DataFrame, shingle_words: int, doc_id: str = "doc_id", text:
         return work
 
     rows = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).cast("string").alias("text"))
-    return map_text(rows, fields, make).drop("text")
+    return map_text(rows, fields, make, keep=False)
 
 
 def shingle_sets(rows: DataFrame, shingle_words: int) -> DataFrame:
@@ -155,7 +155,7 @@ def shingle_sets(rows: DataFrame, shingle_words: int) -> DataFrame:
         hashes = WordHashes()
         return lambda texts: [[shingle_set(words_of(t), shingle_words, hashes).astype(np.int64) for t in texts]]
 
-    return map_text(rows, [T.StructField("shingles", T.ArrayType(T.LongType()))], make).drop("text")
+    return map_text(rows, [T.StructField("shingles", T.ArrayType(T.LongType()))], make, keep=False)
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,11 +6,13 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 import corpus_pipeline
 from sessionloom.llm import chat, dedup_exact, fingerprints, mixing, near_dedup, queries, simhash, warc
+from sessionloom.llm.common import map_text
 from sessionloom.llm.components import components
 from sessionloom.session import Staging
 
@@ -524,6 +526,32 @@ CLASHING = (
 )
 
 
+def test_stages_give_python_small_batches_whoever_evaluates_them(spark, monkeypatch):
+    docs = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "'some words' AS text", "'en' AS lang", "'web' AS source")
+
+    @F.arrow_udf("boolean")
+    def small(texts: pa.Array) -> pa.Array:
+        return pa.array([len(texts) <= 1000] * len(texts), pa.bool_())
+
+    def sizes(batches):
+        for batch in batches:
+            ids = pa.array([b"0000" * batch.num_rows] * batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), ids], names=["doc_id", "source", "ids"])
+
+    monkeypatch.setattr(corpus_pipeline.language, "learned", lambda docs: None)
+    monkeypatch.setattr(corpus_pipeline.language, "accepted", lambda docs, model: docs.filter(small("text")))
+    monkeypatch.setattr(corpus_pipeline.bpe, "encode", lambda docs, *a, **b: docs.mapInArrow(sizes, "doc_id long, source string, ids binary"))
+    assert corpus_pipeline.identify_language(spark, docs, SF).count() == 2500
+    assert corpus_pipeline.encode_documents(spark, docs, SF).agg(F.max("n_tokens")).first()[0] <= 1000
+
+
+def test_texts_need_not_come_back_from_python(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, None, "y")], "`doc.id` long, text string, source string")
+    made = map_text(docs, [T.StructField("n", T.LongType())], lambda: lambda texts: [[len(t) for t in texts]], keep=False)
+    assert made.columns == ["doc.id", "source", "n"]
+    assert sorted(map(tuple, made.collect())) == [(1, "x", 3), (2, "y", 0)]
+
+
 def test_columns_with_clashing_names_pass_through(spark):
     texts = ["the cat sat on the mat today again", "The cat sat on the mat today again", "a dog ran over that hill and away home", "eine katze liegt auf dem tisch dort", None, ""]
     rows = [(i, texts[i % 6] and texts[i % 6] + f" {i % 12}", ["en", "de", None][i % 3], f"s{i % 3}", 1, *(f"{c}{i}" for c in CLASHING)) for i in range(40)]
