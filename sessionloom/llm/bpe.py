@@ -19,13 +19,12 @@ from __future__ import annotations
 import heapq
 import json
 from array import array
-from functools import lru_cache
 
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, types as T
 
-from sessionloom.llm.common import free_names, map_text
+from sessionloom.llm.common import free_names, map_text, tables
 
 # Fixed value: the pattern that splits text into pre-tokens before byte-level merges.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -174,11 +173,6 @@ def _unpacked(packed: bytes) -> array:
     return ids
 
 
-@lru_cache(maxsize=2)
-def _loaded(file_text: str) -> ByteBpe:
-    return ByteBpe(file_text)
-
-
 def tokenizer_file(df: DataFrame, path: str) -> Broadcast:
     """The file's text on its way to every executor."""
     with open(path, encoding="utf-8") as f:
@@ -198,7 +192,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
     fields = [T.StructField(ids, T.BinaryType())] + ([T.StructField(decoded, T.StringType())] if decoded else [])
 
     def make():
-        bpe = _loaded(sent.value)
+        bpe = tables(ByteBpe, sent.value)
 
         def work(texts):
             made = [bpe.encode(t) for t in texts]
@@ -214,7 +208,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     sent = tokenizer_file(df, path)
 
     def make():
-        bpe = _loaded(sent.value)
+        bpe = tables(ByteBpe, sent.value)
         return lambda packed: [[bpe.decode(x or b"") for x in packed]]
 
     return map_text(df, [T.StructField(decoded, T.StringType())], make, ids)

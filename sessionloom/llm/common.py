@@ -51,6 +51,28 @@ def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_tables: dict[tuple, object] = {}
+_asked: set[tuple] = set()
+
+
+def tables(build: Callable, source: str):
+    """``build(source)``, kept in this worker from task to task until ``map_text`` works there for another operator."""
+    key = (build, source)
+    _asked.add(key)
+    if key not in _tables:
+        _tables[key] = build(source)
+    return _tables[key]
+
+
+def working(make: Callable):
+    """``make()``; tables that it has not asked for leave this worker's memory."""
+    _asked.clear()
+    work = make()
+    for key in _tables.keys() - _asked:
+        del _tables[key]
+    return work
+
+
 def map_text(
     df: DataFrame,
     fields: list[T.StructField],
@@ -62,8 +84,9 @@ def map_text(
     """Append columns computed in Python from whole texts, in Arrow batches and without a shuffle.
 
     ``make`` runs once per task and returns a function from texts (null: empty) to one list of
-    values per field. A batch is worked off in slices, so that a task never holds the results
-    of more than ``slice_rows`` texts. Without ``keep`` the texts themselves do not come back.
+    values per field; what it takes from ``tables`` is kept for the worker's next task. A batch
+    is worked off in slices, so that a task never holds the results of more than ``slice_rows``
+    texts. Without ``keep`` the texts themselves do not come back.
     """
     at = df.columns.index(text)
     back = [i for i in range(len(df.columns)) if keep or i != at]
@@ -73,7 +96,7 @@ def map_text(
     types = [_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        work = working(make)
         for batch in batches:
             for start in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(start, slice_rows)

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from sessionloom.llm.common import col, free_names, map_text, whole_text
+from sessionloom.llm.common import col, free_names, map_text, whole_text, working
 from sessionloom.operators.skew import fits_broadcast, left_join
 
 UNKNOWN = "und"
@@ -237,7 +237,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.arrow_udf("boolean")
     def keep(texts: pa.Array) -> pa.Array:
-        model = sent.value
+        model = working(lambda: sent.value)
         if not model.languages:
             return pa.array([any(map(str.isalpha, t)) for t in _each(texts)], pa.bool_())
         return pa.array([not model.predict(t)[2] for t in _each(texts)], pa.bool_())

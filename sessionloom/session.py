@@ -31,9 +31,14 @@ RUN_SETTINGS = {
 }
 
 
-#: While a table is staged, Python is given batches of so many rows: with whole texts in them, a batch
-#: of the usual 10,000 takes a task tens of megabytes outside the heap, on both sides.
-PUT_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+#: While a table is staged, Python is given batches of so many rows and about so many bytes at most, and Parquet is
+#: read in batches of so many rows: with whole texts in them, batches of the usual 10,000 and 4,096 rows take a task
+#: tens of megabytes, outside the heap on both sides and in arrays that a heap of regions grows for.
+PUT_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "1m",
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+}
 
 _held: dict[str, list] = {}
 _holding = threading.Lock()

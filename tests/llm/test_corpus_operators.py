@@ -12,7 +12,7 @@ from pyspark.sql import functions as F, types as T
 
 import corpus_pipeline
 from sessionloom.llm import chat, dedup_exact, fingerprints, mixing, near_dedup, queries, simhash, warc
-from sessionloom.llm.common import map_text
+from sessionloom.llm.common import map_text, tables, working
 from sessionloom.llm.components import components
 from sessionloom.session import Staging
 
@@ -545,6 +545,38 @@ def test_stages_give_python_small_batches_whoever_evaluates_them(spark, monkeypa
     assert corpus_pipeline.encode_documents(spark, docs, SF).agg(F.max("n_tokens")).first()[0] <= 1000
 
 
+def test_stages_bound_the_bytes_of_python_batches(spark, monkeypatch):
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 1000) AS text", "'en' AS lang", "'web' AS source")
+
+    @F.arrow_udf("boolean")
+    def small(texts: pa.Array) -> pa.Array:
+        return pa.array([len(texts) <= 200] * len(texts), pa.bool_())
+
+    def sizes(batches):
+        for batch in batches:
+            ids = pa.array([b"0000" * batch.num_rows] * batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), ids], names=["doc_id", "source", "ids"])
+
+    monkeypatch.setattr(corpus_pipeline.language, "learned", lambda docs: None)
+    monkeypatch.setattr(corpus_pipeline.language, "accepted", lambda docs, model: docs.filter(small("text")))
+    monkeypatch.setattr(corpus_pipeline.bpe, "encode", lambda docs, *a, **b: docs.mapInArrow(sizes, "doc_id long, source string, ids binary"))
+    assert corpus_pipeline.identify_language(spark, docs, SF).count() == 2000
+    assert corpus_pipeline.encode_documents(spark, docs, SF).agg(F.max("n_tokens")).first()[0] <= 200
+
+
+def test_workers_keep_the_tables_of_one_operator_only():
+    made = []
+
+    def build(source):
+        made.append(source)
+        return source.upper()
+
+    assert working(lambda: tables(build, "a")) == working(lambda: tables(build, "a")) == "A" and made == ["a"]
+    assert working(lambda: tables(build, "b") + tables(build, "c")) == "BC"
+    working(lambda: None)
+    assert working(lambda: tables(build, "a")) == "A" and made == ["a", "b", "c", "a"]
+
+
 def test_texts_need_not_come_back_from_python(spark):
     docs = spark.createDataFrame([(1, "a b", "x"), (2, None, "y")], "`doc.id` long, text string, source string")
     made = map_text(docs, [T.StructField("n", T.LongType())], lambda: lambda texts: [[len(t) for t in texts]], keep=False)
