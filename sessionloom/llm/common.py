@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,13 +81,15 @@ def map_text(
     text: str = "text",
     slice_rows: int = 256,
     keep: bool = True,
+    slice_bytes: int = 1 << 17,
 ) -> DataFrame:
     """Append columns computed in Python from whole texts, in Arrow batches and without a shuffle.
 
     ``make`` runs once per task and returns a function from texts (null: empty) to one list of
     values per field; what it takes from ``tables`` is kept for the worker's next task. A batch
-    is worked off in slices, so that a task never holds the results of more than ``slice_rows``
-    texts. Without ``keep`` the texts themselves do not come back.
+    is worked off in slices of at most ``slice_rows`` texts and, if more than one, ``slice_bytes``
+    bytes of them, so that a task never holds more results, nor Spark larger batches of them.
+    Without ``keep`` the texts themselves do not come back.
     """
     at = df.columns.index(text)
     back = [i for i in range(len(df.columns)) if keep or i != at]
@@ -98,8 +101,7 @@ def map_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = working(make)
         for batch in batches:
-            for start in range(0, batch.num_rows, slice_rows):
-                part = batch.slice(start, slice_rows)
+            for part in _slices(batch, at, slice_rows, slice_bytes):
                 made = work([t or "" for t in part.column(at).to_pylist()])
                 columns = [*(part.column(i) for i in back), *(pa.array(v, type=t) for v, t in zip(made, types))]
                 yield pa.RecordBatch.from_arrays(columns, names=plain[: len(columns)])
@@ -107,6 +109,19 @@ def map_text(
     return df.toDF(*plain[: len(df.columns)]).mapInArrow(run, T.StructType(held)).toDF(*(f.name for f in made_of))
 
 
+def _slices(batch: pa.RecordBatch, at: int, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of at most so many rows, and so many bytes of column ``at`` unless one row has more."""
+    start = held = 0
+    for i, n in enumerate(pc.binary_length(batch.column(at)).to_pylist()):
+        n = n or 0
+        if i > start and (i - start == rows or held + n > size):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def _arrow_type(t: T.DataType) -> pa.DataType:
     if isinstance(t, T.ArrayType):
         return pa.list_(_arrow_type(t.elementType))

@@ -36,7 +36,7 @@ RUN_SETTINGS = {
 #: tens of megabytes, outside the heap on both sides and in arrays that a heap of regions grows for.
 PUT_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "1m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "256k",
     "spark.sql.parquet.columnarReaderBatchSize": "512",
 }
 

@@ -564,6 +564,16 @@ def test_stages_bound_the_bytes_of_python_batches(spark, monkeypatch):
     assert corpus_pipeline.encode_documents(spark, docs, SF).agg(F.max("n_tokens")).first()[0] <= 200
 
 
+def test_results_come_back_in_small_batches(spark):
+    docs = spark.range(0, 300, 1, 1).selectExpr("id", "if(id % 3 = 0, null, repeat('x', int(id) * 1000)) AS text")
+    fields = [T.StructField("n", T.LongType()), T.StructField("together", T.LongType())]
+    made = map_text(docs, fields, lambda: lambda texts: [[len(t) for t in texts], [sum(map(len, texts)) if len(texts) > 1 else 0] * len(texts)])
+    found = made.select("id", "n", "together").collect()
+    assert sorted((r["id"], r["n"]) for r in found) == [(i, i * 1000 if i % 3 else 0) for i in range(300)]
+    assert max(r["together"] for r in found) <= 1 << 17
+    assert map_text(docs.limit(0), fields, lambda: lambda texts: [[], []]).count() == 0
+
+
 def test_workers_keep_the_tables_of_one_operator_only():
     made = []
 
