@@ -3,20 +3,20 @@
 An archive is a leading skippable frame (magic 0x184D2A5D) that holds a Zstandard dictionary
 built from the archive's own records, and then one Zstandard frame per record, so that each
 record can be read alone. Too few or too small records to build a dictionary from make an
-archive without that frame, which readers treat as "no dictionary".
+archive without that frame, which readers treat as "no dictionary". A trailing skippable frame
+(magic 0x184D2A5E) has the numbers of records and of their bytes, an empty one ends the file.
 
 Records with equal payloads of at least ``min_bytes`` are stored once: the smallest page_id
 is a ``response``, the others are ``revisit`` records that refer to it. Digests are compared
 in a narrow staged table (salted, so that one payload with a third of all rows is spread);
 the pages themselves move at most once, by (digest, page).
 
-Tasks write archives of about ``archive_bytes`` below the shared folder, each under a name of
-its own, and return one manifest row per archive. The manifest is a committed table: files
-of a lost or repeated attempt are not in it and are never read. Files are written through
-Arrow's file systems (file, hdfs, s3, gs, abfs), into the folder as Hadoop qualifies it on the driver, so
-that a bare path means the same place to Spark and to the tasks; a local folder is refused unless
-the master is local. A task holds one archive's records at a time, and a record whole: what
-bounds a single payload is the memory of a task.
+Tasks make archives of about ``archive_bytes`` and Spark writes and reads them, each a file of its
+own: they lie in any store that the staged tables can lie in, under Spark's commit, so that files of a
+lost or repeated attempt are never read. The manifest is a staged table of one row per archive. Where
+the folder does not hold every archive that the tasks made, as one that is not shared, ``write`` raises an
+error, and so does ``read`` where it lacks one of the manifest. A task holds one archive's records at a time, a record
+whole, and Spark an archive as one value: what bounds a single payload is the memory of a task.
 
 Defined results: a null html is the empty payload; equal rows (same page_id, same payload)
 get equal records; a null page_id is never the smallest, and payloads that only rows without
@@ -30,21 +30,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-import uuid
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sessionloom.llm.common import col
 from sessionloom.operators.skew import salted_left_join
-from sessionloom.session import Staging
+from sessionloom.session import PUT_SETTINGS, Staging, settings
 
 # Fixed values of the format.
-DICTIONARY_MAGIC = 0x184D2A5D
+DICTIONARY_MAGIC, COUNTS_MAGIC = 0x184D2A5D, 0x184D2A5E
+#: An empty skippable frame: what Spark writes after every row of text, in place of a line break.
+END = "P*M\x18\0\0\0\0"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_URN = "urn:x-page:"
 
@@ -147,7 +147,8 @@ def decompress(source) -> Iterator[bytes]:
         inside = not frame.eof
         data = frame.unused_data if frame.eof else b""
         if frame.eof:
-            yield b"".join(out)
+            if found := b"".join(out):  # nothing of a skippable frame
+                yield found
             frame, out = reader.decompressobj(), []
     if inside:
         raise ValueError("the archive ends inside a record")
@@ -172,17 +173,11 @@ def _located(pages: DataFrame, stage: Staging, min_bytes: int) -> DataFrame:
 
 def write(pages: DataFrame, stage: Staging, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: str = DATE) -> DataFrame:
     """Write ``page_id, url, html`` to archives; the committed manifest ``path, records, raw_bytes, stored_bytes``."""
-    folder = qualified(pages.sparkSession, stage.folder("warc"))
-
-    def put(records: list[bytes]) -> dict[str, list]:
-        files, root = _file_system(folder)
-        files.create_dir(root, recursive=True)
-        name, stored = f"part-{uuid.uuid4().hex}.warc.zst", 0
-        with files.open_output_stream(f"{root}/{name}") as out:
-            for part in compress(records):
-                out.write(part)
-                stored += len(part)
-        return {"path": [f"{folder}/{name}"], "records": [len(records)], "raw_bytes": [sum(map(len, records))], "stored_bytes": [stored]}
+    spark, folder, seen = pages.sparkSession, stage.folder("warc"), Observation()
+
+    def archive(records: list[bytes]) -> pa.RecordBatch:
+        counts = struct.pack("<II", COUNTS_MAGIC, 16) + struct.pack(">QQ", len(records), sum(map(len, records)))
+        return pa.RecordBatch.from_pydict({"archive": [b"".join([*compress(records), counts])]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -193,40 +188,62 @@ def write(pages: DataFrame, stage: Staging, min_bytes: int = 0, archive_bytes: i
                     held.append(record(page_id, url, payload, first, date))
                     size += len(held[-1])
                     if size >= archive_bytes:
-                        yield pa.RecordBatch.from_pydict(put(held))
+                        yield archive(held)
                         held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_pydict(put(held))
+            yield archive(held)
+
+    made = _located(pages, stage, min_bytes).mapInArrow(run, "archive binary").observe(seen, F.count(F.lit(1)).alias("archives"))
+    files = made.select(F.col("archive").cast("string")).write.mode("overwrite")
+    with settings(spark, PUT_SETTINGS):  # a row is written as it is, bytes that are no UTF-8 as well
+        files.options(maxRecordsPerFile=1, lineSep=END, compression="none").text(folder)
+    found = _files(spark, [folder]).filter("length > 0")  # of no rows Spark may make an empty file
+    manifest = stage.put("manifest", found.select(
+        "path", _count(-24).alias("records"), _count(-16).alias("raw_bytes"), F.col("length").alias("stored_bytes")))
+    if (there := manifest.count()) != seen.get["archives"]:
+        raise ValueError(f"{folder} holds {there} of {seen.get['archives']} archives: set spark.checkpoint.dir to a folder that all executors share")
+    return manifest
+
+
+def _files(spark: SparkSession, folders: list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(folders)
+
 
-    made = _located(pages, stage, min_bytes).mapInArrow(run, "path string, records long, raw_bytes long, stored_bytes long")
-    return stage.put("manifest", made)
+def _count(at: int) -> Column:
+    """One of an archive's counts, so many bytes before the file's end."""
+    return F.conv(F.hex(F.substring("content", at, 8)), 16, 10).cast("long")
 
 
 def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of a manifest's archives, in up to ``READERS`` tasks of as many archives each; payloads are checked against their digests."""
-    readers = min(READERS, max(1, manifest.count()))
+    """The records of a manifest's archives, in up to ``READERS`` tasks; payloads are checked against their digests."""
+    spark, wanted = manifest.sparkSession, manifest.select("path")
+    folders = [r["folder"] for r in wanted.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect()]
+    if not folders:
+        return spark.createDataFrame([], RECORD)
+    files = _files(spark, folders).join(F.broadcast(wanted), "path", "left_semi")
+    if (there := files.select("path").count()) != (archives := wanted.distinct().count()):
+        raise FileNotFoundError(f"{there} of {archives} archives are in {', '.join(folders)}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                files, place = _file_system(path)
-                with files.open_input_stream(place) as source:
-                    held, size = [], 0
-                    for data in decompress(source):
-                        found = parse(data)
-                        if not payloads:
-                            found["payload"] = None
-                        held.append(found)
-                        size += len(found["payload"] or b"") + 256
-                        if size >= 4 << 20:
-                            yield pa.RecordBatch.from_pylist(held, RECORD_ARROW)
-                            held, size = [], 0
-                    if held:
+            for content in batch.column(0):
+                held, size = [], 0
+                for data in decompress(pa.BufferReader(content.as_buffer())):
+                    found = parse(data)
+                    if not payloads:
+                        found["payload"] = None
+                    held.append(found)
+                    size += len(found["payload"] or b"") + 256
+                    if size >= 4 << 20:
                         yield pa.RecordBatch.from_pylist(held, RECORD_ARROW)
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_pylist(held, RECORD_ARROW)
+
+    return files.select("content").coalesce(READERS).mapInArrow(run, RECORD)
 
-    # ranges of a hash are even, where a hash of it would put several archives into one task and none into another
-    return manifest.select("path").repartitionByRange(readers, F.xxhash64("path")).mapInArrow(run, RECORD)
 
+# Names of places, for callers that open an archive without Spark.
 
 def qualified(spark: SparkSession, folder: str) -> str:
     """The folder with the scheme and authority that Spark itself would take for it."""
@@ -253,9 +270,3 @@ def arrow_uri(path: str) -> str:
         return "/" + path.removeprefix("file:").lstrip("/")
     scheme, mark, rest = path.partition("://")
     return ARROW_SCHEMES.get(scheme, scheme) + mark + rest
-
-
-def _file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
-    """Arrow's file system for a URI or a local path."""
-    uri = arrow_uri(path)
-    return pa.fs.FileSystem.from_uri(uri) if "://" in uri else (pa.fs.LocalFileSystem(), uri)

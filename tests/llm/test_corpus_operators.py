@@ -638,3 +638,56 @@ def test_archives_of_a_bare_path_and_their_readers(spark, folder, monkeypatch):
     assert found.rdd.getNumPartitions() <= 7
     got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in found.collect()}
     assert got == {i: ("revisit", 0) if i % 3 == 0 and i else ("response", None) for i in range(900)}
+
+
+def some_pages(spark, n=60):
+    rows = [(i, f"http://e/{i}", f"page {i % 50} " * 40) for i in range(n)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+
+
+def located(found):
+    return {r["page_id"]: (r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"]).decode()) for r in found.collect()}
+
+
+SOME = {i: ("revisit", i - 50, None) if i >= 50 else ("response", None, f"page {i} " * 40) for i in range(60)}
+
+
+def test_archives_in_a_store_that_only_spark_opens(spark, folder):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.archives.link./shared", f"file://{folder}")
+    with Staging(spark, "t") as stage:
+        stage.path = "viewfs://archives/shared/t"
+        manifest = warc.write(some_pages(spark), stage, archive_bytes=4_000)
+        assert manifest.count() > 3 and all(r["path"].startswith("viewfs://archives/") for r in manifest.collect())
+        assert located(warc.read(manifest)) == SOME
+
+
+def test_archives_of_a_bare_path_on_a_cluster(spark, monkeypatch):
+    """A bare path may be mounted on every machine: it is as good for archives as for the staged tables."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert located(warc.read(warc.write(some_pages(spark), Staging(spark, "t"), archive_bytes=4_000))) == SOME
+
+
+def test_archive_files_and_their_counts(spark):
+    manifest = warc.write(some_pages(spark), Staging(spark, "t"), archive_bytes=4_000).collect()
+    for r in manifest:
+        with open(r["path"].removeprefix("file:"), "rb") as file:
+            data = file.read()
+        records = list(warc.decompress(pa.BufferReader(data)))
+        assert (r["records"], r["raw_bytes"], r["stored_bytes"]) == (len(records), sum(map(len, records)), len(data))
+        assert data.endswith(warc.END.encode()) and all(map(warc.parse, records))
+    assert sum(r["records"] for r in manifest) == 60
+
+
+def test_lost_archives_are_an_error(spark, monkeypatch):
+    import os
+
+    manifest = warc.write(some_pages(spark), Staging(spark, "t"), archive_bytes=4_000)
+    path = manifest.first()["path"]
+    assert 0 < len(located(warc.read(manifest.filter(F.col("path") == path)))) < 60  # of some archives only
+    os.remove(path.removeprefix("file:"))
+    with pytest.raises(FileNotFoundError):
+        warc.read(manifest)
+    files = warc._files
+    monkeypatch.setattr(warc, "_files", lambda *a: files(*a).limit(2))  # the driver's part of a folder that is not shared
+    with pytest.raises(ValueError, match="executors share"):
+        warc.write(some_pages(spark), Staging(spark, "t"), archive_bytes=4_000)
